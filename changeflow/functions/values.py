@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -48,6 +48,17 @@ def cold_start(now: datetime, lookback: str | None = "PT1H") -> datetime:
     return now - parse_duration(lookback)
 
 
+def moment(value: datetime | Column, dtype: T.DataType) -> Column:
+    """A point in time as a literal of the given type, whatever the time zone of this process."""
+    if isinstance(value, Column):
+        return value.cast(dtype)
+    if value.tzinfo is not None:
+        value = value.astimezone(timezone.utc)
+        if isinstance(dtype, T.TimestampNTZType):
+            value = value.replace(tzinfo=None)
+    return F.lit(value.isoformat(sep=" ")).cast(dtype)
+
+
 def iso_text(value: str | Column, dtype: T.DataType) -> Column:
     """Round-trip ISO text: seven fraction digits, and an offset for zoned timestamps."""
     value = F.col(value) if isinstance(value, str) else value

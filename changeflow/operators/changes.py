@@ -20,19 +20,30 @@ _SEEN = "__seen"
 
 
 def with_history(
-    df: DataFrame, key: Sequence[str], order: Sequence[str | Column], keyless: bool = False, hot_rows: int | None = None
+    df: DataFrame,
+    key: Sequence[str],
+    order: Sequence[str | Column],
+    keyless: bool = False,
+    hot_rows: int | None = None,
+    ttl: timedelta | None = None,
 ) -> DataFrame:
     """Before image and resolved change kind, in one ordered pass per (entity, key).
 
     The before image is the row of the preceding change unless that was a Delete; a supplied before
     image wins. ``Snapshot`` becomes Update when the key was seen and not since deleted, else Insert.
+    With ``ttl`` a preceding change more than that before a change is forgotten.
     """
     if not key and not keyless:
         raise ValueError("no key columns: all rows would share one slot; pass keyless=True to allow it")
     group = ["entity", *[F.col(f"row.`{k}`") for k in key]]
-    seen = F.struct(F.when(F.col("change_type") != "Delete", F.col("row")).alias("row"))
+    seen = F.struct(F.when(F.col("change_type") != "Delete", F.col("row")).alias("row"), "source_ts")
+    if ttl is None:
+        seen = F.struct(F.when(F.col("change_type") != "Delete", F.col("row")).alias("row"))
     out = running(df, group, order, last={_SEEN: seen}, hot_rows=hot_rows)
     before = F.col(f"{_SEEN}.row")
+    if ttl is not None:
+        fresh = F.col("source_ts") - F.col(f"{_SEEN}.source_ts") <= F.lit(ttl)
+        before = F.when(fresh, before)
     supplied = F.col("prev") if "prev" in df.columns else F.lit(None)
     return out.withColumns(
         {

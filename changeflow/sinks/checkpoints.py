@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.functions.values import iso_text
+from changeflow.functions.values import iso_text, moment
 from changeflow.scratch import BROADCAST_BYTES, small
 from changeflow.sinks.tables import read_version, write_version
 
@@ -26,7 +26,6 @@ def resume(df: DataFrame, stored: DataFrame, wm: str, start: datetime | Column)
     Positions are parsed to the type of the watermark, so the comparison is on time, not text.
     """
     dtype = df.schema[wm].dataType
-    start = start if isinstance(start, Column) else F.lit(start)
     table = stored.select(
         F.col("driver_id").alias("__d"), F.col("entity").alias("__e"), F.col("position").try_cast(dtype).alias("__p")
     )
@@ -34,7 +33,7 @@ def resume(df: DataFrame, stored: DataFrame, wm: str, start: datetime | Column)
     on = (F.col("driver_id") == F.col("__d")) & (F.col("entity") == F.col("__e"))
     return (
         df.join(table, on, "left")
-        .filter(F.col(wm) > F.coalesce(F.col("__p"), start.cast(dtype)))
+        .filter(F.col(wm) > F.coalesce(F.col("__p"), moment(start, dtype)))
         .drop("__d", "__e", "__p")
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.functions.text import subject_matches
+from changeflow.functions.values import moment
 from changeflow.scratch import children, exists
 from changeflow.spec import CHANGE_KINDS
 
@@ -56,7 +57,7 @@ def split_dead_letters(
 
 def retain(df: DataFrame, now: datetime, max_age: timedelta = timedelta(days=1), ts: str = "source_ts") -> DataFrame:
     """Events not older than ``max_age``."""
-    return df.filter(F.col(ts) >= F.lit(now - max_age).cast(df.schema[ts].dataType))
+    return df.filter(F.col(ts) >= moment(now - max_age, df.schema[ts].dataType))
 
 
 def expired_days(spark: SparkSession, path: str, now: datetime, max_age: timedelta = timedelta(days=1)) -> list[str]:

@@ -10,9 +10,8 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from changeflow.functions.text import key_text  # noqa: F401  (composite key text belongs to scans)
+from changeflow.functions.values import moment
 from changeflow.scratch import BROADCAST_BYTES, small
 from changeflow.spec import Entity
 
@@ -38,12 +37,12 @@ def incremental_scan(
     if predicate:
         df = df.filter(F.expr(predicate))
     if overlap is None:
-        return df.filter(F.col(wm) > _literal(since, dtype))
+        return df.filter(F.col(wm) > moment(since, dtype))
     if emitted is None or not key:
         raise ValueError("an overlap scan needs the emitted rows and the key")
     start = since - overlap
-    seen = emitted.filter(F.col(wm) > _literal(start, dtype)).select(*key, wm)
-    return df.filter(F.col(wm) > _literal(start, dtype)).join(seen, [*key, wm], "left_anti")
+    seen = emitted.filter(F.col(wm) > moment(start, dtype)).select(*key, wm)
+    return df.filter(F.col(wm) > moment(start, dtype)).join(seen, [*key, wm], "left_anti")
 
 
 def raw_changes(
@@ -212,6 +211,3 @@ def read_jdbc(
         df = df.filter(F.expr(entity.filter))
     return df if since is None else incremental_scan(df, entity.watermark, since)
 
-
-def _literal(value: datetime | Column, dtype: T.DataType) -> Column:
-    return (value if isinstance(value, Column) else F.lit(value)).cast(dtype)
