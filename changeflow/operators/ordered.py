@@ -75,8 +75,7 @@ def running(
 
     is_hot = F.xxhash64(*keys).isin(list(hot))
     calm = _plain(wide.filter(~is_hot), keys, orders, last, total)
-    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-                -(-sum(hot.values()) // (hot_rows or HOT_ROWS)))
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-sum(hot.values()) // HOT_ROWS))
     split = _split(wide.filter(is_hot), keys, orders, last, total, parts)
     return calm.select(*columns, *last, *total).unionByName(split.select(*columns, *last, *total))
 
