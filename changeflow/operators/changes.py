@@ -36,30 +36,27 @@ def with_history(
     if not key and not keyless:
         raise ValueError("no key columns: all rows would share one slot; pass keyless=True to allow it")
     group = ["entity", *[F.col(f"row.`{k}`") for k in key]]
-    seen = F.struct(F.when(F.col("change_type") != "Delete", F.col("row")).alias("row"), "source_ts")
-    if ttl is None:
-        seen = F.struct(F.when(F.col("change_type") != "Delete", F.col("row")).alias("row"))
-    out = running(df, group, order, last={_SEEN: seen}, hot_rows=hot_rows)
-    before = F.col(f"{_SEEN}.row")
+    before_row = {"__row": "row", "__kind": "change_type"} | ({"__at": "source_ts"} if ttl is not None else {})
+    out = running(df, group, order, previous=before_row, hot_rows=hot_rows)
+    known = F.col("__kind") != "Delete"
     if ttl is not None:
-        fresh = F.col("source_ts") - F.col(f"{_SEEN}.source_ts") <= F.lit(ttl)
-        before = F.when(fresh, before)
+        known = known & (F.col("source_ts") - F.col("__at") <= F.lit(ttl))
+    before = F.when(known, F.col("__row"))
     supplied = F.col("prev") if "prev" in df.columns else F.lit(None)
     return out.withColumns(
         {
             "prev": F.coalesce(supplied, before),
             "change_type": F.when(
-                F.col("change_type") == "Snapshot", F.when(before.isNull(), "Insert").otherwise("Update")
+                F.col("change_type") == "Snapshot", F.when(known, "Update").otherwise("Insert")
             ).otherwise(F.col("change_type")),
         }
-    ).drop(_SEEN)
+    ).drop(*before_row)
 
 
 def with_before_image(df: DataFrame, key: Sequence[str], order: Sequence[str | Column], **options) -> DataFrame:
     """Only the before image; change kinds stay as they are."""
-    return with_history(df.withColumn("__kind", F.col("change_type")), key, order, **options).withColumn(
-        "change_type", F.col("__kind")
-    ).drop("__kind")
+    kept = df.withColumn("__given", F.col("change_type"))
+    return with_history(kept, key, order, **options).withColumn("change_type", F.col("__given")).drop("__given")
 
 
 def resolve_change_type(df: DataFrame, key: Sequence[str], order: Sequence[str | Column], **options) -> DataFrame:
@@ -172,7 +169,7 @@ def dedup_requests(
 
     # One row per distinct (id, time): only the first of equal times can be accepted.
     times = rows.groupBy(F.col(request).alias("__id"), "__at").agg(F.count(F.lit(1)).alias("__rows"))
-    times = running(times, ["__id"], ["__at"], last={"__before": F.col("__at")}, hot_rows=hot_rows)
+    times = running(times, ["__id"], ["__at"], previous={"__before": "__at"}, hot_rows=hot_rows)
     head = F.col("__before").isNull() | (F.col("__at") - F.col("__before") >= micros)
     times = running(
         times.withColumn("__head", head), ["__id"], ["__at"],

@@ -23,6 +23,7 @@ from changeflow.scratch import shared_path, small
 HOT_ROWS = 5_000_000
 MAX_HOT_GROUPS = 2_000
 SKETCH_ITEMS = 16_384
+MEASURED_SHARE = 0.1
 
 _POS, _PART, _HASH = "__pos", "__part", "__hash"
 
@@ -33,51 +34,62 @@ def hot_groups(df: DataFrame, key: Sequence[ColumnLike], hot_rows: int | None =
     """Key hash → estimated rows of every group above ``hot_rows``.
 
     Without an explicit threshold small inputs are not measured: they cannot hold a large group.
+    Large inputs are measured on a tenth of the rows; this only decides how a group is computed.
     """
-    if hot_rows is None and small(df):
+    is_small = small(df)
+    if hot_rows is None and is_small:
         return {}
-    top = (
-        df.select(F.xxhash64(*key).alias(_HASH))
-        .agg(F.expr(f"approx_top_k({_HASH}, {MAX_HOT_GROUPS}, {SKETCH_ITEMS})").alias("top"))
-        .first()["top"]
-    )
+    share = 1.0 if is_small else MEASURED_SHARE
+    keys = df.select(F.xxhash64(*key).alias(_HASH))
+    keys = keys if is_small else keys.sample(share, seed=1)
+    top = keys.agg(F.expr(f"approx_top_k({_HASH}, {MAX_HOT_GROUPS}, {SKETCH_ITEMS})").alias("top")).first()["top"]
     limit = HOT_ROWS if hot_rows is None else hot_rows
-    return {t["item"]: t["count"] for t in top or [] if t["count"] > limit}
+    counts = {t["item"]: int(t["count"] / share) for t in top or []}
+    return {item: rows for item, rows in counts.items() if rows > limit}
 
 
 def running(
     df: DataFrame,
     key: Sequence[ColumnLike],
     order: Sequence[ColumnLike],
-    last: Mapping[str, Column] | None = None,
-    total: Mapping[str, Column] | None = None,
+    previous: Mapping[str, ColumnLike] | None = None,
+    last: Mapping[str, ColumnLike] | None = None,
+    total: Mapping[str, ColumnLike] | None = None,
     hot_rows: int | None = None,
 ) -> DataFrame:
     """Add values taken over the *earlier* rows of each group, in ascending order.
 
-    ``last``: the most recent non-null value of an expression. ``total``: the sum of an expression
-    (0 before the first row). ``order`` must be unique within a group for repeatable results.
+    ``previous``: the value in the row just before. ``last``: the most recent non-null value.
+    ``total``: the sum (0 before the first row). ``order`` must be unique within a group for
+    repeatable results. Columns given by name are used in place, so that calls on the same key
+    share one shuffle and wide rows are not copied.
     """
-    last, total = dict(last or {}), dict(total or {})
-    keys = [f"__k{i}" for i in range(len(key))]
-    orders = [f"__o{i}" for i in range(len(order))]
-    values = {f"__v{i}": e for i, e in enumerate([*last.values(), *total.values()])}
-    last = dict(zip(last, values))
-    total = dict(zip(total, list(values)[len(last):]))
-    columns = df.columns
-
-    wide = df.withColumns(
-        {**dict(zip(keys, map(_column, key))), **dict(zip(orders, map(_column, order))), **values}
-    )
-    hot = hot_groups(df, key, hot_rows)
+    made: dict[str, Column] = {}
+
+    def names(values: Sequence[ColumnLike], prefix: str) -> list[str]:
+        out = []
+        for i, v in enumerate(values):
+            if isinstance(v, str) and v in df.columns:
+                out.append(v)
+            else:
+                made[f"{prefix}{i}"] = F.col(v) if isinstance(v, str) else v
+                out.append(f"{prefix}{i}")
+        return out
+
+    groups = [dict(g or {}) for g in (previous, last, total)]
+    keys, orders = names(key, "__k"), names(order, "__o")
+    prev, last_, total_ = (dict(zip(g, names(list(g.values()), p))) for g, p in zip(groups, ("__p", "__l", "__t")))
+    columns = [*df.columns, *prev, *last_, *total_]
+
+    wide = df.withColumns(made)
+    hot = hot_groups(wide, keys, hot_rows)
     if not hot:
-        return _plain(wide, keys, orders, last, total).select(*columns, *last, *total)
-
+        return _plain(wide, keys, orders, prev, last_, total_).select(*columns)
     is_hot = F.xxhash64(*keys).isin(list(hot))
-    calm = _plain(wide.filter(~is_hot), keys, orders, last, total)
     parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-sum(hot.values()) // HOT_ROWS))
-    split = _split(wide.filter(is_hot), keys, orders, last, total, parts)
-    return calm.select(*columns, *last, *total).unionByName(split.select(*columns, *last, *total))
+    calm = _plain(wide.filter(~is_hot), keys, orders, prev, last_, total_)
+    split = _split(wide.filter(is_hot), keys, orders, prev, last_, total_, parts)
+    return calm.select(*columns).unionByName(split.select(*columns))
 
 
 def numbered(
@@ -88,19 +100,17 @@ def numbered(
     return out.withColumn(name, F.col(name) + 1)
 
 
-def _column(value: ColumnLike) -> Column:
-    return F.col(value) if isinstance(value, str) else value
-
-
-def _plain(df, keys, orders, last, total):
-    window = Window.partitionBy(*keys).orderBy(*orders).rowsBetween(Window.unboundedPreceding, -1)
+def _plain(df, keys, orders, previous, last, total):
+    window = Window.partitionBy(*keys).orderBy(*orders)
+    before = window.rowsBetween(Window.unboundedPreceding, -1)
     return df.withColumns(
-        {n: F.last(F.col(v), ignorenulls=True).over(window) for n, v in last.items()}
-        | {n: F.coalesce(F.sum(v).over(window), F.lit(0)) for n, v in total.items()}
+        {n: F.lag(v).over(window) for n, v in previous.items()}
+        | {n: F.last(F.col(v), ignorenulls=True).over(before) for n, v in last.items()}
+        | {n: F.coalesce(F.sum(v).over(before), F.lit(0)) for n, v in total.items()}
     )
 
 
-def _split(df, keys, orders, last, total, parts):
+def _split(df, keys, orders, previous, last, total, parts):
     spark = df.sparkSession
     path = shared_path(spark, "ordered")
     # monotonically_increasing_id is (partition << 33) + row; writing it out fixes it for good.
@@ -112,25 +122,29 @@ def _split(df, keys, orders, last, total, parts):
     )
     rows = spark.read.parquet(path).withColumn(_PART, F.shiftright(_POS, 33))
 
-    inside = _plain(rows, [*keys, _PART], [_POS], last, total)
+    # A preceding value may be NULL, so it travels in a struct; then it is a last non-null value.
+    boxes = {f"__b{i}": F.struct(F.col(v).alias("v")) for i, v in enumerate(previous.values())}
+    rows = rows.withColumns(boxes)
+    last = dict(zip((f"__x{i}" for i in range(len(boxes))), boxes)) | last
+
+    inside = _plain(rows, [*keys, _PART], [_POS], {}, last, total)
     ends = rows.groupBy(*keys, _PART).agg(
-        *[F.max_by(v, F.when(F.col(v).isNotNull(), F.col(_POS))).alias(v) for v in last.values()],
-        *[F.sum(v).alias(v) for v in total.values()],
         F.count(F.lit(1)).alias("__n"),
+        *[F.max_by(v, F.when(F.col(v).isNotNull(), F.col(_POS))).alias(f"__e{n}") for n, v in last.items()],
+        *[F.sum(v).alias(f"__e{n}") for n, v in total.items()],
     )
     earlier = Window.partitionBy(*keys).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     carry = ends.select(
-        *[F.col(k).alias(f"c{k}") for k in keys],
+        *[F.col(k).alias(f"__c{i}") for i, k in enumerate(keys)],
         F.col(_PART).alias("__cpart"),
-        *[F.last(F.col(v), ignorenulls=True).over(earlier).alias(f"__c{n}") for n, v in last.items()],
-        *[F.coalesce(F.sum(v).over(earlier), F.lit(0)).alias(f"__c{n}") for n, v in total.items()],
+        *[F.last(F.col(f"__e{n}"), ignorenulls=True).over(earlier).alias(f"__c{n}") for n in last],
+        *[F.coalesce(F.sum(f"__e{n}").over(earlier), F.lit(0)).alias(f"__c{n}") for n in total],
     )
     # At most one row per range partition plus one per hot group, so this is always small.
     same = F.col(_PART) == F.col("__cpart")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"c{k}"))
-    joined = inside.join(F.broadcast(carry), same, "left")
-    return joined.withColumns(
-        {n: F.coalesce(F.col(n), F.col(f"__c{n}")) for n in last}
-        | {n: F.col(n) + F.col(f"__c{n}") for n in total}
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__c{i}"))
+    joined = inside.join(F.broadcast(carry), same, "left").withColumns(
+        {n: F.coalesce(F.col(n), F.col(f"__c{n}")) for n in last} | {n: F.col(n) + F.col(f"__c{n}") for n in total}
     )
+    return joined.withColumns({n: F.col(f"__x{i}.v") for i, n in enumerate(previous)})

@@ -21,15 +21,11 @@ DEAD_LETTER_PREFIX = "cdc.dlq"
 def write_events(df: DataFrame, path: str, ts: str = "source_ts", mode: str = "append") -> None:
     """Append events to the log, laid out by driver and day so that readers prune folders.
 
-    Rows are spread by (driver, day, hash of the key) so that a busy driver is written by many tasks
-    while each task writes few files.
+    Rows are rebalanced by folder: Spark splits a busy driver's day over several tasks and packs
+    small ones together, so tasks and files have an even size.
     """
-    day = F.to_date(ts)
-    (
-        df.withColumn("event_date", day)
-        .repartition("driver_id", "event_date", F.pmod(F.xxhash64("entity", F.col("event_id")), F.lit(64)))
-        .write.mode(mode).partitionBy("driver_id", "event_date").parquet(path)
-    )
+    dated = df.withColumn("event_date", F.to_date(ts)).hint("rebalance", "driver_id", "event_date")
+    dated.write.mode(mode).partitionBy("driver_id", "event_date").parquet(path)
 
 
 def dead_letter_reason(max_bytes: int = MAX_BYTES, errors: str | None = None) -> Column:

@@ -49,14 +49,15 @@ def read_batches(spark: SparkSession, path: str, before: int | None = None, afte
 class KeyedState:
     """The newest row per key as a base table plus one small change set per micro-batch.
 
-    ``compact_every`` batches are folded into a new base. Reading joins only the keys at hand.
+    Every ``compact_every`` batches they are folded into a new base. A read for some keys filters the
+    state by them before anything else.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: Sequence[str], compact_every: int = 20):
         self.spark, self.path, self.key, self.compact_every = spark, path, list(key), compact_every
 
-    def before(self, batch: int) -> DataFrame | None:
-        """State as it was before a batch."""
+    def before(self, batch: int, keys: DataFrame | None = None) -> DataFrame | None:
+        """State as it was before a batch, of the given keys or of all."""
         bases = [v for v in versions(self.spark, f"{self.path}/base") if v < batch]
         start = bases[-1] if bases else -1
         changes = read_batches(self.spark, f"{self.path}/delta", batch, start)
@@ -65,6 +66,10 @@ class KeyedState:
         if not parts:
             return None
         both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        if keys is not None:
+            here = keys.select(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(self.key)]).distinct()
+            on = [F.col(k).eqNullSafe(F.col(f"__h{i}")) for i, k in enumerate(self.key)]
+            both = both.join(here, on, "left_semi")
         rest = [c for c in both.columns if c not in (*self.key, "v")]
         return both.groupBy(*self.key).agg(F.max_by(F.struct(*rest), "v").alias("__row")).select(*self.key, "__row.*")
 

@@ -37,20 +37,15 @@ def track_changes(
 
     def step(batch: DataFrame, number: int) -> None:
         keyed = batch.withColumns({n: F.col(f"row.`{k}`") for n, k in zip(names, key)})
-        known = state.before(number)
+        seeds = state.before(number, keyed)
         rows = keyed.withColumn("__stored", F.lit(1))
-        if known is not None:
-            here = keyed.select("entity", *names).distinct()
-            on = [F.col(f"s.{n}").eqNullSafe(F.col(f"h.{n}")) for n in ("entity", *names)]
-            seeds = known.alias("s").join(here.alias("h"), on, "left_semi")
+        if seeds is not None:
             rows = rows.unionByName(seeds.withColumn("__stored", F.lit(0)), allowMissingColumns=True)
         out = with_history(rows, key, ["__stored", *order], hot_rows=hot_rows, ttl=ttl).filter("__stored = 1")
-        write_batch(out.drop("__stored", *names), f"{path}/events", number)
-        latest = keyed.groupBy("entity", *names).agg(
-            F.max_by(F.struct("change_type", "source_ts", "row", *[c for c in order if c not in ("source_ts",)]),
-                     F.struct(*order)).alias("__l")
-        )
-        changed = latest.select("entity", *names, "__l.*")
+        write_batch(out.drop("__stored"), f"{path}/events", number)
+        done = spark.read.parquet(f"{path}/events/v={number}")
+        latest = F.max_by(F.struct(*[c for c in batch.columns if c not in ("entity", "prev", "meta")]), F.struct(*order))
+        changed = done.groupBy("entity", *names).agg(latest.alias("__l")).select("entity", *names, "__l.*")
         state.write(changed, number, live="change_type != 'Delete'")
 
     return run(stream, step, f"{path}/checkpoint", every)
@@ -75,12 +70,10 @@ def dedup_stream(
     state = KeyedState(spark, f"{path}/state", [request])
 
     def step(batch: DataFrame, number: int) -> None:
-        known = state.before(number)
+        seeds = state.before(number, batch)
         rows = batch.withColumn("__stored", F.lit(False))
         late = None
-        if known is not None:
-            here = batch.select(request).distinct()
-            seeds = known.join(here, request, "left_semi")
+        if seeds is not None:
             joined = rows.join(seeds.withColumnRenamed("accepted", "__accepted"), request, "left")
             is_late = F.coalesce(F.col(ts) <= F.col("__accepted"), F.lit(False))
             late = joined.filter(is_late).drop("__accepted").withColumn("duplicate", F.lit(True))
