@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from changeflow.functions.maps import override, text_map
 from changeflow.functions.text import subject_matches
 from changeflow.operators.ordered import running
+from changeflow.scratch import shared_path
 from changeflow.spec import Target
 
 # Change kinds (lower case) and the write operation they mean.
@@ -208,6 +210,91 @@ def apply_commands(
     return apply_planned(table, planned, key, order, hot_rows), command_results(planned, key)
 
 
+def rename_target(fields: str, current: str | Column) -> Column:
+    """The new name an update asks for: ``newName``, else ``name``, when not empty and different."""
+    current = F.col(current) if isinstance(current, str) else current
+    wanted = [F.nullif(F.try_element_at(F.col(fields), F.lit(n)), F.lit("")) for n in ("newName", "name")]
+    return F.coalesce(*[F.when(w != current, w) for w in wanted])
+
+
+def apply_with_renames(
+    table: DataFrame, cmds: DataFrame, key: str, order: Sequence[str], new_key: str = "new_key", hot_rows: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """``apply_commands`` where an Update may also change the key of its row.
+
+    Later commands address the new key, so a rename must be decided before what follows it on either
+    key. The batch is worked off in rounds: a round takes all commands that precede the first open
+    rename of their key, then every rename that is the first open one of both its keys. Rounds are as
+    many as the longest chain of renames that touch a common key; each runs on all keys at once.
+    A rename fails as a whole when its row is missing or the new key is taken.
+    """
+    spark = table.sparkSession
+    path = shared_path(spark, "renames")
+    rank = F.struct(*order)
+    values = [c for c in table.columns if c != key]
+    rename = (F.col("operation") == "Update") & F.col(new_key).isNotNull() & (F.col(new_key) != F.col(key))
+    pending = cmds.withColumns({"__rank": rank, "__rename": F.coalesce(rename, F.lit(False))})
+    pending = _kept(pending, f"{path}/pending-0")
+    named = pending.select(key).unionByName(pending.filter("__rename").select(F.col(new_key).alias(key))).distinct()
+    work = _kept(table.join(named, key, "left_semi"), f"{path}/table-0")
+    results = None
+    for step in itertools.count(1):
+        open_renames = pending.filter("__rename")
+        mentions = open_renames.select(F.col(key).alias("__k"), "__rank").unionByName(
+            open_renames.select(F.col(new_key).alias("__k"), "__rank")
+        )
+        first = mentions.groupBy("__k").agg(F.min("__rank").alias("__first"))
+        marked = pending.join(first, F.col(key) == F.col("__k"), "left").drop("__k")
+        target = first.select(F.col("__k").alias("__nk"), F.col("__first").alias("__nfirst"))
+        marked = marked.join(target, F.col("__rename") & (F.col(new_key) == F.col("__nk")), "left").drop("__nk")
+        free = ~F.col("__rename") & (F.col("__first").isNull() | (F.col("__rank") < F.col("__first")))
+        turn = F.col("__rename") & (F.col("__rank") == F.col("__first")) & (F.col("__rank") == F.col("__nfirst"))
+        marked = _kept(marked.withColumns({"__free": free, "__turn": turn}), f"{path}/marked-{step}")
+
+        planned = plan_commands(work, marked.filter("__free"), [key], order, hot_rows=hot_rows)
+        planned = _kept(planned, f"{path}/planned-{step}")
+        work = _kept(apply_planned(work, planned, [key], order, hot_rows), f"{path}/applied-{step}")
+        moves = _kept(_moves(work, marked.filter("__turn"), key, new_key, values), f"{path}/moves-{step}")
+        done = moves.filter("success")
+        work = work.join(done.select(key), key, "left_anti").unionByName(
+            done.select(F.col(new_key).alias(key), *[F.col(f"__new.`{c}`").alias(c) for c in values])
+        )
+        work = _kept(work, f"{path}/table-{step}")
+        for part in (planned.withColumn(new_key, F.lit(None).cast(cmds.schema[new_key].dataType)), moves):
+            part = part.select("correlation_id", "operation", key, new_key, "success", F.col("message").alias("error_message"))
+            results = part if results is None else results.unionByName(part)
+        rest = marked.filter("not __free and not __turn").drop("__first", "__nfirst", "__free", "__turn")
+        pending = _kept(rest, f"{path}/pending-{step}")
+        if pending.isEmpty():
+            break
+    return table.join(named, key, "left_anti").unionByName(work), results
+
+
+def _moves(work: DataFrame, renames: DataFrame, key: str, new_key: str, values: Sequence[str]) -> DataFrame:
+    """Renames with ``success``, ``message`` and the row as it will be under the new key."""
+    old = work.select(F.col(key).alias("__ok"), F.struct(*values).alias("__old"))
+    taken = work.select(F.col(key).alias("__tk"), F.lit(True).alias("__taken"))
+    out = renames.join(old, F.col(key) == F.col("__ok"), "left").join(taken, F.col(new_key) == F.col("__tk"), "left")
+
+    def value(c: str) -> Column:
+        named = F.array_contains("set", c) if "set" in renames.columns else F.col(c).isNotNull()
+        return F.when(named, F.col(c)).otherwise(F.col(f"__old.`{c}`"))
+
+    fault = F.col("error") if "error" in renames.columns else F.lit(None).cast("string")
+    message = (
+        F.when(fault.isNotNull(), fault).when(F.col("__old").isNull(), "not found").when(F.col("__taken"), "already exists")
+    )
+    return out.withColumns(
+        {"message": message, "success": message.isNull(), "__new": F.struct(*[value(c).alias(c) for c in values])}
+    ).drop("__ok", "__tk", "__old", "__taken")
+
+
+def _kept(df: DataFrame, path: str) -> DataFrame:
+    """A table written to the shared folder and read back, so that plans do not grow with the rounds."""
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def map_point_attributes(fields: str | Column, extra: str | Column, create: bool) -> Column:
     """Native attributes of a point from command fields; ``extra`` entries override.
 

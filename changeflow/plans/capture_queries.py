@@ -302,23 +302,25 @@ def debezium_decode(spark, sf):
 
 
 def _catalogue(spark, sf):
-    customers, orders = read(spark, sf, "customer"), read(spark, sf, "orders")
-    tables = customers.select(
-        F.lower("c_mktsegment").alias("table_schema"), F.col("c_name").alias("table_name"),
-        F.when(F.col("c_nationkey") < 20, "BASE TABLE").otherwise("VIEW").alias("table_type"),
-        F.concat(F.lit("pk_"), "c_custkey").alias("constraint_name"),
-        F.when(F.col("c_acctbal") > 0, "PRIMARY KEY").otherwise("UNIQUE").alias("constraint_type"), "c_custkey",
+    """Orders as tables and their line numbers as key columns, so a key has at most a few columns."""
+    orders, lines = read(spark, sf, "orders"), read(spark, sf, "lineitem")
+    tables = orders.select(
+        F.lower("o_orderpriority").alias("table_schema"), F.concat(F.lit("t"), "o_orderkey").alias("table_name"),
+        F.when(F.col("o_orderstatus") != "P", "BASE TABLE").otherwise("VIEW").alias("table_type"),
+        F.concat(F.lit("pk_"), "o_orderkey").alias("constraint_name"),
+        F.when(F.col("o_totalprice") > 100000, "PRIMARY KEY").otherwise("UNIQUE").alias("constraint_type"), "o_orderkey",
     )
-    usage = orders.join(tables, F.col("o_custkey") == F.col("c_custkey")).select(
+    columns = lines.select("l_orderkey", "l_linenumber").distinct()
+    usage = columns.join(tables, F.col("l_orderkey") == F.col("o_orderkey")).select(
         "table_schema", "table_name", "constraint_name",
-        F.concat(F.lit("col_"), "o_orderkey").alias("column_name"), F.col("o_orderkey").alias("ordinal_position"),
+        F.concat(F.lit("col_"), "l_linenumber").alias("column_name"), F.col("l_linenumber").alias("ordinal_position"),
     )
     return tables, usage
 
 
 def discover_tables(spark, sf):
     tables, _ = _catalogue(spark, sf)
-    return scan.discover_tables(tables, ("furniture", "machinery"))
+    return scan.discover_tables(tables, ("5-low", "2-high"))
 
 
 def discover_keys(spark, sf):
@@ -445,10 +447,10 @@ ORACLE = {
           CASE WHEN o_orderstatus <> 'O' THEN '?' END AS prev_priority,
           CASE WHEN o_orderstatus = 'O' AND o_orderpriority = '5-LOW' THEN 'true' ELSE 'false' END AS snapshot,
           '2.7.0' AS version FROM orders""",
-    "discover_tables": """SELECT lower(c_mktsegment) || '.' || c_name AS entity FROM customer
-        WHERE lower(c_mktsegment) NOT IN ('furniture', 'machinery')""",
-    "discover_keys": """SELECT lower(c_mktsegment) || '.' || c_name AS entity,
-        string_agg('col_' || o_orderkey, ',' ORDER BY o_orderkey) AS key_columns
-        FROM customer JOIN orders ON o_custkey = c_custkey
-        WHERE c_acctbal > 0 AND c_nationkey < 20 GROUP BY c_mktsegment, c_name""",
+    "discover_tables": """SELECT lower(o_orderpriority) || '.t' || o_orderkey AS entity FROM orders
+        WHERE o_orderpriority NOT IN ('5-LOW', '2-HIGH')""",
+    "discover_keys": """SELECT lower(o_orderpriority) || '.t' || o_orderkey AS entity,
+        string_agg('col_' || l_linenumber, ',' ORDER BY l_linenumber) AS key_columns
+        FROM orders JOIN (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) ON l_orderkey = o_orderkey
+        WHERE o_totalprice > 100000 AND o_orderstatus <> 'P' GROUP BY o_orderpriority, o_orderkey""",
 }

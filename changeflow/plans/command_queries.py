@@ -97,6 +97,29 @@ def apply_commands_split(spark, sf):
     return writeback.apply_commands(_table(spark, sf), _commands(spark, sf), KEY, ORDER, types=("element",), hot_rows=0)[0]
 
 
+def _renames(spark, sf):
+    """Each user's first purchase renames the row; views address the new key, all else the old one."""
+    events = read(spark, sf, "events")
+    first = events.filter("event_type = 'purchase'").groupBy("user_id").agg(F.min(F.struct("ts", "event_id"))["event_id"].alias("first_id"))
+    fresh = -1 - F.col("user_id")
+    cmds = events.join(first.withColumnRenamed("user_id", "u"), F.col("user_id") == F.col("u"), "left").select(
+        F.concat(F.lit("c"), "event_id").alias("correlation_id"), "ts", F.lit("Update").alias("operation"),
+        F.when(F.col("event_type") == "view", fresh).otherwise(F.col("user_id")).alias("c_custkey"),
+        F.when(F.col("event_id") == F.col("first_id"), fresh).alias("new_key"),
+        F.col("value").alias("c_acctbal"), F.lit(None).cast("string").alias("c_name"),
+        F.when(F.col("event_type") == "purchase", F.col("props")).alias("c_mktsegment"),
+    )
+    return writeback.apply_with_renames(_table(spark, sf), cmds, "c_custkey", ORDER)
+
+
+def rename_commands(spark, sf):
+    return _renames(spark, sf)[0]
+
+
+def rename_results(spark, sf):
+    return _renames(spark, sf)[1]
+
+
 def command_targets(spark, sf):
     talks = read(spark, sf, "conversations")
     cmds = talks.select(
@@ -163,7 +186,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         decode_commands, route_commands, route_per_pattern, apply_commands, command_results, apply_commands_split,
-        command_targets, element_attributes, template_attributes, point_attributes, echo_suppression,
+        rename_commands, rename_results, command_targets, element_attributes, template_attributes, point_attributes, echo_suppression,
     )
 }
 
@@ -199,7 +222,20 @@ _FINAL = f"""WITH {_APPLY}, s AS (
   FROM t FULL JOIN l ON c_custkey = user_id
   WHERE CASE WHEN last_op IS NOT NULL THEN last_op = 'Create' ELSE c_custkey IS NOT NULL END"""
 
+_RENAMES = """t AS (SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer WHERE c_acctbal > 0),
+  f AS (SELECT user_id AS u, min((ts, event_id)) AS first_at FROM events WHERE event_type = 'purchase' GROUP BY 1),
+  c AS (SELECT e.*, c_custkey IS NOT NULL AS known, coalesce((ts, event_id) > first_at, false) AS moved, coalesce((ts, event_id) = first_at, false) AS move
+    FROM events e LEFT JOIN f ON u = user_id LEFT JOIN t ON c_custkey = user_id),
+  r AS (SELECT *, known AND CASE WHEN event_type = 'view' THEN moved ELSE NOT moved END AS success FROM c)"""
+
 ORACLE = {
+    "rename_commands": f"""WITH {_RENAMES}, l AS (SELECT user_id, max((move AND success)::INT) AS gone, arg_max(value, (ts, event_id)) FILTER (success) AS bal,
+          arg_max(props, (ts, event_id)) FILTER (success AND event_type = 'purchase') AS segm FROM r GROUP BY 1)
+        SELECT CASE WHEN gone = 1 THEN -1 - c_custkey ELSE c_custkey END AS c_custkey, c_name, coalesce(bal, c_acctbal) AS c_acctbal,
+          coalesce(segm, c_mktsegment) AS c_mktsegment FROM t LEFT JOIN l ON c_custkey = user_id""",
+    "rename_results": f"""WITH {_RENAMES} SELECT 'c' || event_id AS correlation_id, 'Update' AS operation,
+        CASE WHEN event_type = 'view' THEN -1 - user_id ELSE user_id END AS c_custkey, CASE WHEN move THEN -1 - user_id END AS new_key,
+        success, CASE WHEN NOT success THEN 'not found' END AS error_message FROM r""",
     "decode_commands": f"""WITH {_CMDS} SELECT correlation_id, operation,
         CASE event_type WHEN 'error' THEN '/x' || user_id ELSE 'element' END AS entity_type,
         CASE event_type WHEN 'signup' THEN 'u' || user_id WHEN 'click' THEN 'a/' || user_id WHEN 'error' THEN '/x' || user_id ELSE 'element' END AS name,

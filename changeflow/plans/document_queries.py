@@ -55,13 +55,13 @@ def document_values(spark, sf):
 
 
 def _pages(spark, sf):
-    """One delta page per order day and priority; open orders are items, finished ones deleted items."""
+    """Delta pages of up to 50 consecutive orders per priority; finished orders are deleted items."""
     orders = read(spark, sf, "orders")
     item = F.struct(
         F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"),
         F.when(F.col("o_orderstatus") == "F", F.struct(F.lit("deleted").alias("state"))).alias("deleted"),
     )
-    pages = orders.groupBy(F.col("o_orderpriority").alias("entity"), F.datediff("o_orderdate", F.lit("1995-01-01")).alias("page_no")).agg(
+    pages = orders.groupBy(F.col("o_orderpriority").alias("entity"), F.floor(F.col("o_orderkey") / 50).alias("page_no")).agg(
         F.collect_list(item).alias("value")
     )
     page = F.struct(
@@ -95,8 +95,8 @@ def page_cursors(spark, sf):
 
 
 def _responses(spark, sf, items, time, sample):
-    """One response per user and hour: values as numbers, texts or objects by event type."""
-    e = read(spark, sf, "events").withColumn("hour", F.date_trunc("hour", "ts"))
+    """Responses of up to 50 consecutive events per user: values as numbers, texts or objects by type."""
+    e = read(spark, sf, "events")
     at = F.when(F.col("event_type") != "view", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
     one = F.concat(
         F.lit('{"id":'), "event_id",
@@ -105,14 +105,15 @@ def _responses(spark, sf, items, time, sample):
                                                                       .when(F.col("event_type") == "signup", F.lit('"on"')).otherwise(F.col("value").cast("string")))),
         F.lit("}"),
     )
-    return e.groupBy(F.concat(F.lit("sig-"), "user_id").alias("signal"), "hour").agg(
+    return e.groupBy(F.concat(F.lit("sig-"), "user_id").alias("signal"), F.floor(F.col("event_id") / 50).alias("page")).agg(
+        F.min(F.date_trunc("hour", "ts")).alias("since"), F.max("ts").alias("until"),
         F.concat(F.lit(f'{{"{items}":['), F.concat_ws(",", F.sort_array(F.collect_list(one))), F.lit("]}")).alias("value")
     )
 
 
 def samples(spark, sf):
     out = documents.decode_samples(
-        _responses(spark, sf, "samples", "key", "value"), "samples", "key", "value", F.col("hour").cast("timestamp"), "seeq"
+        _responses(spark, sf, "samples", "key", "value"), "samples", "key", "value", F.col("since").cast("timestamp"), "seeq"
     )
     return out.select(
         "signal", F.date_format("source_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("source_ts"), "change_type",
@@ -124,7 +125,7 @@ def sample_positions(spark, sf):
     """Next start per signal: newest sample, or the end of the requested window."""
     out = documents.decode_samples(_responses(spark, sf, "Items", "Timestamp", "Value"), "Items", "Timestamp", "Value")
     newest = documents.sample_watermark(out).withColumn("rule", F.lit("newest"))
-    window = documents.sample_watermark(out, F.col("hour").cast("timestamp") + F.expr("interval 1 hour")).withColumn("rule", F.lit("window"))
+    window = documents.sample_watermark(out, F.col("until").cast("timestamp")).withColumn("rule", F.lit("window"))
     return newest.unionByName(window).select("signal", "rule", F.date_format("since", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("since"))
 
 
@@ -174,7 +175,7 @@ QUERIES = {
 }
 
 _OID = "lpad(lower(to_hex(event_id)), 24, '0')"
-_PAGE = "date_diff('day', DATE '1995-01-01', o_orderdate::DATE)"
+_PAGE = "o_orderkey // 50"
 _ITEMS = """SELECT o_orderpriority AS entity, {page} AS page_no, {kind} AS change_type, o_orderkey AS id, o_orderstatus AS status,
         CASE WHEN o_orderstatus = 'F' THEN '{{"state":"deleted"}}' END AS deleted, '{source}' AS source FROM orders"""
 _US = "strftime({}, '%Y-%m-%d %H:%M:%S.%f')"
@@ -196,12 +197,12 @@ ORACLE = {
         SELECT entity, arg_max(coalesce(d, n), page_no) FILTER (coalesce(d, n) IS NOT NULL) AS cursor, 'both' AS links FROM l GROUP BY entity
         UNION ALL SELECT entity, arg_max(d, page_no) FILTER (d IS NOT NULL), 'delta' FROM l GROUP BY entity""",
     "samples": f"""SELECT 'sig-' || user_id AS signal,
-        CASE WHEN event_type = 'view' THEN {_US.format("date_trunc('hour', ts)")} ELSE {_US.format("ts")} END AS source_ts,
+        CASE WHEN event_type = 'view' THEN {_US.format("min(date_trunc('hour', ts)) OVER (PARTITION BY user_id, event_id // 50)")} ELSE {_US.format("ts")} END AS source_ts,
         'Snapshot' AS change_type, CASE event_type WHEN 'error' THEN NULL WHEN 'click' THEN replace(props, ' ', '') WHEN 'signup' THEN '"on"'
           ELSE CASE WHEN value = floor(value) THEN value::BIGINT::VARCHAR ELSE value::VARCHAR END END AS sample_value FROM events""",
     "sample_positions": f"""SELECT 'sig-' || user_id AS signal, 'newest' AS rule,
         {_US.format("max(CASE WHEN event_type <> 'view' THEN ts END)")} AS since FROM events GROUP BY user_id
-        UNION ALL SELECT 'sig-' || user_id, 'window', {_US.format("max(date_trunc('hour', ts)) + INTERVAL 1 HOUR")} FROM events GROUP BY user_id""",
+        UNION ALL SELECT 'sig-' || user_id, 'window', {_US.format("max(ts)")} FROM events GROUP BY user_id""",
     "asset_changes": """WITH g AS (SELECT user_id AS id, ts, CASE WHEN event_type IN ('click', 'signup') THEN 'element' WHEN event_type = 'view' THEN 'elementTemplate' ELSE 'attribute' END AS t,
           CASE WHEN value < 20 THEN 'Insert' WHEN value < 60 THEN 'Update' WHEN value < 90 THEN 'Delete' END AS k FROM events),
         o AS (SELECT c_custkey AS oid, 'element' AS ot, '\\\\AF\\db\\' || c_name AS w, c_name AS name FROM customer

@@ -50,7 +50,7 @@ def ontology_extract(spark, sf):
 
 
 def bindings_decode(spark, sf):
-    """One result document per nation with a binding per customer; some bindings lack parts."""
+    """Result documents of up to 50 customers, one binding each; some bindings lack parts."""
     c = read(spark, sf, "customer")
     term = lambda v: F.struct(v.alias("value"))
     binding = F.struct(
@@ -59,11 +59,11 @@ def bindings_decode(spark, sf):
         F.when(F.col("c_mktsegment") == "MACHINERY", term(F.col("c_mktsegment"))).alias("parent"),
         term(F.concat(F.lit(OWL), F.when(F.col("c_mktsegment") == "FURNITURE", "namedindividual").when(F.col("c_mktsegment") == "HOUSEHOLD", "CLASS").otherwise("ObjectProperty"))).alias("type"),
     )
-    docs = c.groupBy("c_nationkey").agg(F.collect_list(binding).alias("b")).select(
-        "c_nationkey", F.to_json(F.struct(F.struct(F.col("b").alias("bindings")).alias("results"))).alias("value")
+    docs = c.groupBy(F.floor(F.col("c_custkey") / 50).alias("page")).agg(F.collect_list(binding).alias("b")).select(
+        "page", F.to_json(F.struct(F.struct(F.col("b").alias("bindings")).alias("results"))).alias("value")
     )
-    docs = docs.unionByName(read(spark, sf, "region").select(F.col("r_regionkey").alias("c_nationkey"), F.lit('{"head":{}}').alias("value")))
-    return ontology.decode_bindings(docs).select("c_nationkey", "iri", "label", "parent_iri", "type")
+    docs = docs.unionByName(read(spark, sf, "region").select(F.col("r_regionkey").cast("bigint").alias("page"), F.lit('{"head":{}}').alias("value")))
+    return ontology.decode_bindings(docs).select("page", "iri", "label", "parent_iri", "type")
 
 
 def _customer_terms(spark, sf):
@@ -131,7 +131,7 @@ _TERMS = """o AS (
 
 ORACLE = {
     "ontology_extract": f"WITH {_TERMS} SELECT * FROM o",
-    "bindings_decode": """SELECT c_nationkey, 'ex:' || c_custkey AS iri, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_name END AS label,
+    "bindings_decode": """SELECT c_custkey // 50 AS page, 'ex:' || c_custkey AS iri, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_name END AS label,
         CASE WHEN c_mktsegment = 'MACHINERY' THEN c_mktsegment END AS parent_iri,
         CASE c_mktsegment WHEN 'FURNITURE' THEN 'individual' WHEN 'HOUSEHOLD' THEN 'class' ELSE 'property' END AS type FROM customer WHERE c_acctbal > 0""",
     "lookup_iri": """SELECT o_orderkey, 'ex:customer/' || o_custkey AS who, greatest(c_name, lower(c_mktsegment)) AS label,
