@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column
@@ -150,20 +150,32 @@ def type_json_fields(text: str | Column) -> Column:
     return F.transform_values(raw, typed)
 
 
-def document_value(document: str | Column, path: str, kind: str = "text") -> Column:
-    """One property of an extended-JSON document.
+def document_fields(document: str | Column, kinds: Mapping[str, str]) -> Column:
+    """Properties of an extended-JSON document as a struct; ``kinds`` gives text, double or date for each.
 
     Wrapped values are unwrapped: ``$oid`` to text, ``$numberDecimal``/``$numberLong``/… to the number,
-    ``$date`` (ISO text or epoch milliseconds) to a timestamp, ``$undefined`` to NULL.
+    ``$date`` (ISO text or epoch milliseconds) to a timestamp, ``$undefined`` to NULL. The document
+    is parsed once for all properties; a wrapper is parsed only where there is one.
     """
     document = F.col(document) if isinstance(document, str) else document
-    get = lambda suffix: F.get_json_object(document, f"$.{path}{suffix}")
-    raw = get("")
+    parsed = F.from_json(document, T.StructType([T.StructField(n, T.StringType()) for n in kinds]))
+    return once(parsed, lambda d: F.struct(*[_unwrapped(d[n], kind).alias(n) for n, kind in kinds.items()]))
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with an expensive value evaluated once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _unwrapped(raw: Column, kind: str) -> Column:
+    names = ("$oid", "$numberDecimal", "$numberDouble", "$numberLong", "$numberInt", "$undefined")
+    wrapper = F.from_json(raw, T.StructType([T.StructField(n, T.StringType()) for n in names]))
     if kind == "date":
-        millis = F.coalesce(get(".$date.$numberLong"), get(".$date")).try_cast("bigint")
-        return F.coalesce(F.timestamp_millis(millis), F.try_to_timestamp(get(".$date")))
-    unwrapped = F.coalesce(
-        get(".$oid"), get(".$numberDecimal"), get(".$numberDouble"), get(".$numberLong"), get(".$numberInt"),
-        F.when(get(".$undefined").isNull(), raw),
+        date = F.from_json(raw, "`$date` string")["$date"]
+        text = F.when(date.startswith("{"), F.get_json_object(date, "$.$numberLong")).otherwise(date)
+        return once(text, lambda t: F.coalesce(F.timestamp_millis(t.try_cast("bigint")), F.try_to_timestamp(t)))
+    inner = once(
+        wrapper, lambda w: F.coalesce(*[w[n] for n in names[:5]], F.when(w["$undefined"].isNull(), raw))
     )
-    return unwrapped.try_cast("double") if kind == "double" else unwrapped
+    value = F.when(raw.startswith('{"$'), inner).otherwise(raw)
+    return value.try_cast("double") if kind == "double" else value

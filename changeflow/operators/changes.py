@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,8 @@ from changeflow.operators.ordered import numbered, running
 from changeflow.scratch import shared_path
 
 _SEEN = "__seen"
+# Runs of at most this many distinct times are folded in one row.
+FOLD_ROWS = 10_000
 
 
 def with_history(
@@ -79,15 +81,18 @@ def resolve_against(df: DataFrame, seen: DataFrame, key: Sequence[str]) -> DataF
     )
 
 
-def current_state(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The latest row per (entity, key); deleted keys are absent. One partial aggregate, no window."""
-    group = [F.col(f"row.`{k}`").alias(f"__k{i}") for i, k in enumerate(key)]
-    latest = F.max_by(F.struct("change_type", "row"), F.struct(*order)).alias("__latest")
+def current_state(df: DataFrame, key: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+    """The latest row per (entity, key); deleted keys are absent.
+
+    Spark keeps only the first row per key of each task before the shuffle (a window group limit),
+    so a key with very many changes is reduced early.
+    """
+    newest = [(F.col(c) if isinstance(c, str) else c).desc() for c in order]
+    window = Window.partitionBy("entity", *[F.col(f"row.`{k}`") for k in key]).orderBy(*newest)
     return (
-        df.groupBy("entity", *group)
-        .agg(latest)
-        .filter(F.col("__latest.change_type") != "Delete")
-        .select("entity", F.col("__latest.row").alias("row"))
+        df.withColumn("__n", F.row_number().over(window))
+        .filter((F.col("__n") == 1) & (F.col("change_type") != "Delete"))
+        .select("entity", "row")
     )
 
 
@@ -157,10 +162,11 @@ def dedup_requests(
 
     A row is accepted when no accepted row of its id lies less than ``ttl`` before it; duplicates do
     not extend the window. A run of rows without a gap of ``ttl`` starts with an accepted row, and a
-    run shorter than ``ttl`` accepts nothing else, so most ids need one ordered pass. Longer runs
-    are followed by doubling: each row points to the first row at least ``ttl`` later, and the rows
-    reached from the start of a run are found in a number of joins that grows with the logarithm of
-    the longest run. Nothing is folded row by row, so one very busy id stays parallel.
+    run shorter than ``ttl`` accepts nothing else, so most ids need one ordered pass. Longer runs of
+    up to ``FOLD_ROWS`` times are folded in order. Still longer ones are followed by doubling: each
+    time points to the first one at least ``ttl`` later, and those reached from the start of a run
+    are found in a number of joins that grows with the logarithm of the longest run, so one very
+    busy id stays parallel.
     """
     spark = df.sparkSession
     micros = int(ttl.total_seconds() * 1_000_000)
@@ -180,10 +186,14 @@ def dedup_requests(
     times = spark.read.parquet(f"{path}/times")
 
     accepted = times.filter("__head").select("__id", "__at")
-    long_runs = times.filter(F.col("__at") - F.col("__run") >= micros)
-    span = long_runs.agg(F.max(F.col("__at") - F.col("__run"))).first()[0]
+    fold_rows = FOLD_ROWS if hot_rows is None else hot_rows
+    runs = times.groupBy("__id", "__run").agg(F.max("__at").alias("__end"), F.count(F.lit(1)).alias("__size"))
+    runs = runs.filter(F.col("__end") - F.col("__run") >= micros)
+    short = times.join(runs.filter(F.col("__size") <= fold_rows).select("__id", "__run"), ["__id", "__run"], "left_semi")
+    accepted = accepted.unionByName(_folded(short, micros))
+    span = runs.filter(F.col("__size") > fold_rows).agg(F.max(F.col("__end") - F.col("__run"))).first()[0]
     if span is not None:
-        busy = times.join(long_runs.select("__id", "__run").distinct(), ["__id", "__run"], "left_semi")
+        busy = times.join(runs.filter(F.col("__size") > fold_rows).select("__id", "__run"), ["__id", "__run"], "left_semi")
         accepted = accepted.unionByName(_reached(busy, micros, span, path, hot_rows))
 
     # The first row of an accepted (id, time) is the accepted one.
@@ -195,6 +205,20 @@ def dedup_requests(
     )
 
 
+def _folded(runs: DataFrame, micros: int) -> DataFrame:
+    """Accepted times after the head of runs that hold at most ``FOLD_ROWS`` times."""
+    ats = F.sort_array(F.collect_list("__at"))
+    keep = F.aggregate(
+        F.col("__ats"),
+        F.array(F.col("__run")),
+        lambda kept, at: F.when(at - F.element_at(kept, -1) >= micros, F.array_append(kept, at)).otherwise(kept),
+    )
+    return (
+        runs.groupBy("__id", "__run").agg(ats.alias("__ats"))
+        .select("__id", F.explode(F.slice(keep, 2, FOLD_ROWS + 1)).alias("__at"))
+    )
+
+
 def _reached(busy: DataFrame, micros: int, span: int, path: str, hot_rows: int | None) -> DataFrame:
     """Accepted times after the head of each long run, by pointer doubling."""
     spark = busy.sparkSession

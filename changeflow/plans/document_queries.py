@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from changeflow.functions.values import document_value, type_json_fields
+from changeflow.functions.values import document_fields, type_json_fields
 from changeflow.plans.tables import read
 from changeflow.sources import documents
 
@@ -37,20 +37,20 @@ def _document_feed(spark, sf):
 
 def document_changes(spark, sf):
     out = documents.decode_document_changes(_document_feed(spark, sf), ["actions"])
+    out = out.withColumn("d", document_fields("row", {"_id": "text", "user": "text"}))
     return out.select(
         "entity", "change_type", F.date_format("source_ts", "yyyy-MM-dd HH:mm:ss").alias("source_ts"),
-        F.try_element_at("meta", F.lit("resumeToken")).alias("token"), document_value("row", "_id").alias("id"),
-        document_value("row", "user").alias("user_id"), F.get_json_object("prev", "$.user").alias("prev_user"),
+        F.try_element_at("meta", F.lit("resumeToken")).alias("token"), F.col("d._id").alias("id"),
+        F.col("d.user").alias("user_id"), F.get_json_object("prev", "$.user").alias("prev_user"),
     )
 
 
 def document_values(spark, sf):
     rows = documents.decode_document_changes(_document_feed(spark, sf)).filter("change_type <> 'Delete'")
-    return rows.select(
-        F.try_element_at("meta", F.lit("resumeToken")).alias("token"), "entity",
-        document_value("row", "amount", "double").alias("amount"),
-        F.date_format(document_value("row", "seenAt", "date"), "yyyy-MM-dd HH:mm:ss.SSS").alias("seen_at"),
-        document_value("row", "gone").alias("gone"), document_value("row", "nested").alias("nested"),
+    kinds = {"amount": "double", "seenAt": "date", "gone": "text", "nested": "text"}
+    return rows.withColumn("d", document_fields("row", kinds)).select(
+        F.try_element_at("meta", F.lit("resumeToken")).alias("token"), "entity", "d.amount",
+        F.date_format("d.seenAt", "yyyy-MM-dd HH:mm:ss.SSS").alias("seen_at"), "d.gone", "d.nested",
     )
 
 

@@ -118,12 +118,9 @@ def scoped_mapping(spark, sf):
         "5-LOW": [Rule("o_totalprice", target="price")],
     }
     out = mapping.apply_scoped_mapping(raw, scopes, ["o_orderkey"])
-    get = lambda c, k: F.get_json_object(c, f"$.{k}")
-    return out.select(
-        get("pk", "o_orderkey").cast("bigint").alias("o_orderkey"), get("fields", "status").alias("status"),
-        get("fields", "o_custkey").cast("bigint").alias("o_custkey"), get("fields", "price").cast("double").alias("price"),
-        get("fields", "o_totalprice").cast("double").alias("o_totalprice"), get("fields", "o_orderdate").alias("o_orderdate"),
-    )
+    fields = "status string, o_custkey bigint, price double, o_totalprice double, o_orderdate string"
+    out = out.select(F.from_json("pk", "o_orderkey bigint").alias("p"), F.from_json("fields", fields).alias("f"))
+    return out.select("p.o_orderkey", "f.*")
 
 
 def request_checks(spark, sf):

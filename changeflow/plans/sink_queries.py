@@ -53,13 +53,18 @@ def _events(spark, sf):
 
 
 def _opened(spark, sf, numbers):
-    out = publishable(_events(spark, sf), numbers)
-    get = lambda p: F.get_json_object("envelope", f"$.{p}")
+    image = "struct<event_id: string, value: double>"
+    schema = (
+        f"event_id string, change_type string, entity_path string, source_timestamp string, primary_key struct<user_id: string>, "
+        f"fields {image}, previous_fields {image}, metadata map<string,string>"
+    )
+    out = publishable(_events(spark, sf), numbers).withColumn("e", F.from_json("envelope", schema))
     return out.select(
-        get("fields.event_id").alias("event_id"), get("primary_key.user_id").alias("user_id"), get("source_timestamp").alias("source_ts"),
-        get("change_type").alias("change_type"), get("entity_path").alias("entity"), get("fields.value").cast("double").alias("value"),
-        get("previous_fields.event_id").alias("prev_id"), get("metadata.region").alias("region"),
-        F.col("envelope").contains("previous_fields").alias("has_prev"), (get("event_id") == F.col("event_id")).alias("same_id"),
+        F.col("e.fields.event_id").alias("event_id"), F.col("e.primary_key.user_id").alias("user_id"),
+        F.col("e.source_timestamp").alias("source_ts"), F.col("e.change_type").alias("change_type"),
+        F.col("e.entity_path").alias("entity"), F.col("e.fields.value").alias("value"),
+        F.col("e.previous_fields.event_id").alias("prev_id"), F.try_element_at("e.metadata", F.lit("region")).alias("region"),
+        F.col("envelope").contains("previous_fields").alias("has_prev"), (F.col("e.event_id") == F.col("event_id")).alias("same_id"),
     )
 
 

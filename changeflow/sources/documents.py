@@ -23,23 +23,35 @@ def decode_document_changes(df: DataFrame, collections: Sequence[str] = (), valu
     Other operations are dropped, and other collections when some are listed. A delete without a
     document carries the document key. Cluster time is in epoch seconds.
     """
-    get = lambda path: F.get_json_object(F.col(value), f"$.{path}")
-    kind = kind_of(get("operationType"), DOCUMENT_KINDS, None)
-    collection = F.coalesce(get("ns.coll"), F.lit("unknown"))
-    seconds = F.coalesce(get("clusterTime.$timestamp.t"), get("clusterTime")).try_cast("bigint")
-    full = get("fullDocument")
-    out = df.withColumns({"entity": collection, "change_type": kind})
+    # One parse per record, also when filters follow: those are not moved below a generator. The parts
+    # that stay JSON text are declared as strings.
+    schema = (
+        "_id string, operationType string, ns struct<coll: string>, clusterTime string, fullDocument string, "
+        "fullDocumentBeforeChange string, documentKey string"
+    )
+    part = lambda name: F.col(f"__r.{name}")
+    out = df.select(F.explode(F.array(F.from_json(F.col(value), schema))).alias("__r")).withColumns(
+        {
+            "entity": F.coalesce(part("ns.coll"), F.lit("unknown")),
+            "change_type": kind_of(part("operationType"), DOCUMENT_KINDS, None),
+        }
+    )
     if collections:
         out = out.filter(F.col("entity").isin(*collections))
+    seconds = F.coalesce(
+        F.get_json_object(part("clusterTime"), "$.$timestamp.t"), part("clusterTime")
+    ).try_cast("bigint")
+    token = F.coalesce(F.get_json_object(part("_id"), "$._data"), part("_id"), F.lit(""))
+    full = part("fullDocument")
     return out.filter(F.col("change_type").isNotNull()).select(
         "entity",
         "change_type",
         F.timestamp_seconds(seconds).alias("source_ts"),
-        F.when((F.col("change_type") == "Delete") & (F.coalesce(full, F.lit("{}")) == "{}"), get("documentKey"))
+        F.when((F.col("change_type") == "Delete") & (F.coalesce(full, F.lit("{}")) == "{}"), part("documentKey"))
         .otherwise(full)
         .alias("row"),
-        get("fullDocumentBeforeChange").alias("prev"),
-        F.create_map(F.lit("resumeToken"), F.coalesce(get("_id._data"), get("_id"), F.lit(""))).alias("meta"),
+        part("fullDocumentBeforeChange").alias("prev"),
+        F.create_map(F.lit("resumeToken"), token).alias("meta"),
     )
 
 
@@ -52,15 +64,14 @@ def decode_delta_pages(
     ``detect_deletes`` is set, every other item an Update.
     """
     items = F.from_json(F.get_json_object(F.col(value), "$.value"), "array<variant>")
-    item = F.to_json("__item")
-    deleted = F.map_contains_key(F.from_json(item, "map<string,variant>"), "deleted")
+    deleted = F.try_variant_get(F.col("__item"), "$.deleted", "variant").isNotNull()  # also a JSON null counts
     kind = F.when(deleted, "Delete").otherwise("Update") if detect_deletes else F.lit("Update")
     return df.withColumn("__item", F.explode(items)).select(
         "entity",
         "page_no",
         kind.alias("change_type"),
         F.lit(None).cast("timestamp").alias("source_ts"),
-        item.alias("row"),
+        F.to_json("__item").alias("row"),
         text_map({"source": source}).alias("meta"),
     )
 

@@ -133,10 +133,11 @@ def decode_debezium(
         "source: struct<version: string, connector: string, name: string, ts_ms: bigint, "
         "snapshot: string, schema: string, table: string>>"
     )
-    p = F.from_json(F.col(value), schema)["payload"]
-    source = p["source"]
+    p, source = F.col("__p"), F.col("__p.source")
     name = F.lit(driver) if driver else source["name"]
-    return df.withColumn("__p", p).select(
+    # A generator keeps later filters above the parse, so that each record is parsed once.
+    parsed = df.withColumn("__p", F.explode(F.array(F.from_json(F.col(value), schema)["payload"])))
+    return parsed.select(
         *[c for c in df.columns if c != value],
         name.alias("driver_id"),
         source["connector"].alias("source_type"),
