@@ -64,11 +64,15 @@ def heartbeats(
     )
 
 
-def throughput(events: DataFrame, size: str = "5 minutes", slide: str = "1 minute", ts: str = "detected_at") -> DataFrame:
+def throughput(
+    events: DataFrame, size: str = "5 minutes", slide: str = "1 minute", ts: str = "detected_at", late: str | None = None
+) -> DataFrame:
     """Per driver and sliding window: events, events per minute, greatest lag in seconds, dead letters.
 
-    events: driver_id, detected_at, source_ts, dead BOOLEAN.
+    events: driver_id, detected_at, source_ts, dead BOOLEAN; ``late`` sets the watermark of a stream.
     """
+    if late is not None:
+        events = events.withWatermark(ts, late)
     lag = (F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("source_ts").cast("timestamp"))) / 1e6
     minutes = F.unix_seconds(F.col("w.end").cast("timestamp")) - F.unix_seconds(F.col("w.start").cast("timestamp"))
     return (

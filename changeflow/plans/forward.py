@@ -43,8 +43,21 @@ def change_events(
     State operators run on raw column names, before the mapping. ``sequence=False`` leaves the
     per-driver number out (NULL), which saves an ordered pass over all rows.
     """
-    out = with_history(raw, key, order, hot_rows=hot_rows)
-    out = out.withColumns(
+    history = with_history(raw, key, order, hot_rows=hot_rows)
+    return finish_events(history, driver, key, order, detected_at, 0 if sequence else None, hot_rows)
+
+
+def finish_events(
+    history: DataFrame,
+    driver: Driver,
+    key: Sequence[str],
+    order: Sequence[str | Column],
+    detected_at: Column | None = None,
+    after: int | None = 0,
+    hot_rows: int | None = None,
+) -> DataFrame:
+    """Everything of an event that follows from its own row; numbers continue ``after`` the last one."""
+    out = history.withColumns(
         {
             "source_type": F.lit(driver.source_type),
             "driver_id": F.lit(driver.driver_id),
@@ -54,7 +67,10 @@ def change_events(
         }
     )
     out = with_event_id(out, ["driver_id", "entity", *[F.col(f"row.`{k}`") for k in key], *order])
-    out = with_sequence(out, order, hot_rows=hot_rows) if sequence else out.withColumn("seq", F.lit(None).cast("bigint"))
+    if after is None:
+        out = out.withColumn("seq", F.lit(None).cast("bigint"))
+    else:
+        out = with_sequence(out, order, hot_rows=hot_rows).withColumn("seq", F.col("seq") + after)
     out = apply_mapping(out, driver.rules, key)
     return with_subject(out, driver.subject, driver.template, driver.prefix)
 

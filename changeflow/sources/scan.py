@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from changeflow.functions.values import moment
 from changeflow.scratch import BROADCAST_BYTES, small
+from changeflow.sinks.tables import read_version, write_version
 from changeflow.spec import Entity
 
 # Schemas that hold no user tables.
@@ -149,6 +150,14 @@ def snapshot_changes(
     )
 
 
+def snapshot_cycle(cur: DataFrame, path: str, key: Sequence[str], wm: str, since: datetime) -> DataFrame:
+    """One poll of a snapshot source: changes against the stored snapshot, which is then replaced."""
+    spark = cur.sparkSession
+    before = read_version(spark, path)
+    now = spark.read.parquet(f"{path}/v={write_version(cur, path)}")
+    return snapshot_changes(before, now, key, wm, since)
+
+
 def anchor(df: DataFrame, pos: str, stored: object | None = None) -> DataFrame:
     """Changes after a stored position; without one everything that exists now is discarded.
 

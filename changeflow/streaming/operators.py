@@ -1,20 +1,55 @@
-"""Streaming forms of the change-state, duplicate, echo and heartbeat operators."""
+"""Streaming forms of the forward path, write-back, duplicate, echo and heartbeat operators."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from changeflow.operators.changes import dedup_requests, with_history
 from changeflow.operators.monitor import heartbeats
-from changeflow.operators.writeback import suppress_echo
+from changeflow.operators.writeback import apply_planned, plan_commands, suppress_echo
+from changeflow.plans.forward import Driver, finish_events, publishable
+from changeflow.sinks.checkpoints import checkpoints, merge_checkpoints
+from changeflow.sinks.tables import MAX_BYTES, dead_letter_reason, read_version, write_version
 from changeflow.streaming.micro import KeyedState, read_batches, run, write_batch
 
 
+class Tracker:
+    """Before images and kinds across micro-batches: the last change per key is put before a batch's own.
+
+    ``order`` names columns of the raw change table. A Delete clears the state. With ``ttl`` a state
+    older than that, against the change that reads it, counts as absent.
+    """
+
+    def __init__(
+        self, spark: SparkSession, path: str, key: Sequence[str], order: Sequence[str],
+        ttl: timedelta | None = None, hot_rows: int | None = None,
+    ):
+        self.key, self.order, self.ttl, self.hot_rows = list(key), list(order), ttl, hot_rows
+        self.names = [f"__k{i}" for i in range(len(key))]
+        self.state = KeyedState(spark, path, ["entity", *self.names])
+
+    def history(self, batch: DataFrame, number: int) -> DataFrame:
+        keyed = batch.withColumns({n: F.col(f"row.`{k}`") for n, k in zip(self.names, self.key)})
+        seeds = self.state.before(number, keyed)
+        rows = keyed.withColumn("__stored", F.lit(1))
+        if seeds is not None:
+            rows = rows.unionByName(seeds.withColumn("__stored", F.lit(0)), allowMissingColumns=True)
+        out = with_history(rows, self.key, ["__stored", *self.order], hot_rows=self.hot_rows, ttl=self.ttl)
+        return out.filter("__stored = 1").drop("__stored")
+
+    def save(self, done: DataFrame, number: int) -> None:
+        """Store the newest change per key of a written batch."""
+        columns = dict.fromkeys(["change_type", "source_ts", "row", *self.order])
+        latest = F.max_by(F.struct(*columns), F.struct(*self.order))
+        changed = done.groupBy("entity", *self.names).agg(latest.alias("__l")).select("entity", *self.names, "__l.*")
+        self.state.write(changed, number, live="change_type != 'Delete'")
+
+
 def track_changes(
     stream: DataFrame,
     key: Sequence[str],
@@ -24,29 +59,76 @@ def track_changes(
     every: str | None = None,
     hot_rows: int | None = None,
 ) -> StreamingQuery:
-    """Before images and change kinds on a stream of raw changes.
+    """Before images and change kinds on a stream of raw changes, the same as in one run over everything.
 
-    The last change of each key is kept in a state table and put before the batch's own changes, so
-    the batch operator gives the same result as one run over everything. A Delete clears the state.
-    With ``ttl`` a state older than that, against the change that reads it, counts as absent.
-    Output: ``path/events``; ``order`` names columns of the raw change table.
+    Output: ``path/events``.
     """
     spark = stream.sparkSession
-    names = [f"__k{i}" for i in range(len(key))]
-    state = KeyedState(spark, f"{path}/state", ["entity", *names])
+    tracker = Tracker(spark, f"{path}/state", key, order, ttl, hot_rows)
 
     def step(batch: DataFrame, number: int) -> None:
-        keyed = batch.withColumns({n: F.col(f"row.`{k}`") for n, k in zip(names, key)})
-        seeds = state.before(number, keyed)
-        rows = keyed.withColumn("__stored", F.lit(1))
-        if seeds is not None:
-            rows = rows.unionByName(seeds.withColumn("__stored", F.lit(0)), allowMissingColumns=True)
-        out = with_history(rows, key, ["__stored", *order], hot_rows=hot_rows, ttl=ttl).filter("__stored = 1")
-        write_batch(out.drop("__stored"), f"{path}/events", number)
+        write_batch(tracker.history(batch, number), f"{path}/events", number)
+        tracker.save(spark.read.parquet(f"{path}/events/v={number}"), number)
+
+    return run(stream, step, f"{path}/checkpoint", every)
+
+
+def publish_changes(
+    stream: DataFrame,
+    driver: Driver,
+    key: Sequence[str],
+    order: Sequence[str],
+    path: str,
+    detected_at: Column | None = None,
+    max_bytes: int = MAX_BYTES,
+    every: str | None = None,
+    hot_rows: int | None = None,
+) -> StreamingQuery:
+    """The whole forward path on a stream.
+
+    ``path/events`` gets publishable events and dead letters side by side, in folders by column
+    ``outcome``; ``path/checkpoints`` the positions, which also pass dead letters. Sequence numbers
+    continue over batches and restarts.
+    """
+    spark = stream.sparkSession
+    tracker = Tracker(spark, f"{path}/state", key, order, hot_rows=hot_rows)
+    numbers = KeyedState(spark, f"{path}/numbers", ["driver_id"])
+
+    def step(batch: DataFrame, number: int) -> None:
+        known = numbers.before(number)
+        after = known.agg(F.max("seq")).first()[0] if known is not None else None
+        history = tracker.history(batch, number)
+        events = finish_events(history, driver, key, order, detected_at, after or 0, hot_rows)
+        marked = publishable(events).withColumn("reason", dead_letter_reason(max_bytes))
+        marked = marked.withColumn("outcome", F.when(F.col("reason").isNull(), "published").otherwise("dead_lettered"))
+        marked.write.mode("overwrite").partitionBy("outcome").parquet(f"{path}/events/v={number}")
         done = spark.read.parquet(f"{path}/events/v={number}")
-        latest = F.max_by(F.struct(*[c for c in batch.columns if c not in ("entity", "prev", "meta")]), F.struct(*order))
-        changed = done.groupBy("entity", *names).agg(latest.alias("__l")).select("entity", *names, "__l.*")
-        state.write(changed, number, live="change_type != 'Delete'")
+        tracker.save(done, number)
+        numbers.write(done.groupBy("driver_id").agg(F.max("seq").alias("seq")), number)
+        old = read_version(spark, f"{path}/checkpoints", before=number)
+        write_version(merge_checkpoints(old, checkpoints(done)), f"{path}/checkpoints", number)
+
+    return run(stream, step, f"{path}/checkpoint", every)
+
+
+def apply_command_stream(
+    stream: DataFrame, table: str, key: Sequence[str], order: Sequence[str], path: str,
+    types: Sequence[str] | None = None, every: str | None = None, hot_rows: int | None = None,
+) -> StreamingQuery:
+    """Write commands on a stream, applied to a versioned table; ``path/results`` gets their results.
+
+    Batch n makes version n + 1 of the table from the newest one before it.
+    """
+    spark = stream.sparkSession
+
+    def step(batch: DataFrame, number: int) -> None:
+        current = read_version(spark, table, before=number + 1)
+        if current is None:
+            raise ValueError(f"no first version of the table in {table}")
+        planned = plan_commands(current, batch, key, order, types, hot_rows)
+        write_batch(planned, f"{path}/results", number)
+        planned = spark.read.parquet(f"{path}/results/v={number}")
+        write_version(apply_planned(current, planned, key, order, hot_rows), table, number + 1)
 
     return run(stream, step, f"{path}/checkpoint", every)
 

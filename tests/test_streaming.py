@@ -126,3 +126,103 @@ def test_poll_runs_the_scan(spark, shared):
         query.awaitTermination(1)
     query.stop()
     assert seen[:2] == [0, 1]
+
+
+def test_publish_changes(spark, events, shared):
+    from changeflow.plans.forward import Driver, change_events
+    from changeflow.sinks.tables import read_version
+
+    land(events, f"{shared}/in", CUTS[:2])
+    driver = Driver("d1", "pg", "ctx:A")
+    row_id = lambda df: df.withColumnRenamed("event_id", "row_id")
+
+    def start():
+        raw_stream = row_id(raw(source(spark, events, f"{shared}/in")))
+        streaming.publish_changes(raw_stream, driver, ["user_id"], ["source_ts", "row_id"], f"{shared}/out", F.col("source_ts"), max_bytes=420).awaitTermination()
+
+    start()
+    land(events, f"{shared}/in", CUTS[2:], CUTS[1])
+    start()
+    got = micro.read_batches(spark, f"{shared}/out/events")
+    want = change_events(row_id(raw(events)), driver, ["user_id"], ["source_ts", "row_id"], F.col("source_ts"))
+    columns = ["row_id", "event_id", "seq", "change_type", "subject", "prev.value"]
+    assert got.select(*columns).exceptAll(want.select(*columns)).count() == 0 and got.count() == 1000
+    assert {r.reason for r in got.filter("outcome = 'dead_lettered'").select("reason").distinct().collect()} == {"too large"}
+    assert 0 < got.filter("outcome = 'dead_lettered'").count() < 1000
+    position = read_version(spark, f"{shared}/out/checkpoints").first()
+    assert position.position[:26] == events.agg(F.max("ts")).first()[0].isoformat()
+
+
+def test_apply_command_stream(spark, events, shared):
+    from changeflow.operators.writeback import apply_commands
+    from changeflow.sinks.tables import read_version, versions, write_version
+
+    op = F.when(F.col("event_type") == "signup", "Create").when(F.col("event_type") == "error", "Delete").otherwise("Update")
+    cmds = events.select(F.col("event_id").cast("string").alias("correlation_id"), "ts", op.alias("operation"), F.col("user_id").alias("k"), "value")
+    table = spark.range(8).select(F.col("id").alias("k"), F.lit(0.0).alias("value"))
+    write_version(table, f"{shared}/table", 0)
+    land(cmds, f"{shared}/in")
+    streaming.apply_command_stream(source(spark, cmds, f"{shared}/in"), f"{shared}/table", ["k"], ["ts"], f"{shared}/out").awaitTermination()
+    after, results = apply_commands(table, cmds, ["k"], ["ts"])
+    got = read_version(spark, f"{shared}/table")
+    assert versions(spark, f"{shared}/table") == [0, 1, 2, 3, 4]
+    assert got.exceptAll(after).count() == 0 and after.exceptAll(got).count() == 0
+    done = micro.read_batches(spark, f"{shared}/out/results").select("correlation_id", "success")
+    assert done.exceptAll(results.select("correlation_id", "success")).count() == 0 and done.count() == 1000
+
+
+def test_scan_step(spark, shared):
+    from changeflow.spec import Entity
+    from changeflow.streaming.polling import scan_step
+
+    tables = {"a": [(1, datetime(2026, 1, 1, 0, 30)), (2, datetime(2025, 12, 31))], "b": []}
+    load = lambda e: spark.createDataFrame(tables[e.name], "id int, updated_at timestamp")
+    step = scan_step(spark, "d", [Entity("a", ("id",)), Entity("b", ("id",))], load, shared, now=lambda: datetime(2026, 1, 1, 1))
+    ids = lambda: sorted((r.v, r.pk) for r in micro.read_batches(spark, f"{shared}/changes").collect())
+    step(0)
+    tables["a"].append((3, datetime(2026, 1, 1, 0, 45)))
+    tables["b"].append((9, datetime(2026, 1, 1, 0, 10)))
+    step(1)
+    assert ids() == [(0, '{"id":1}'), (1, '{"id":3}'), (1, '{"id":9}')]
+    step(1)  # run again: the same rows
+    assert ids() == [(0, '{"id":1}'), (1, '{"id":3}'), (1, '{"id":9}')]
+    step(2)
+    assert len(ids()) == 3
+
+
+def test_snapshot_cycle(spark, shared):
+    from changeflow.sources.scan import snapshot_cycle
+
+    make = lambda rows: spark.createDataFrame(rows, "id int, wm timestamp")
+    day = lambda d: datetime(2026, 1, d)
+    first = snapshot_cycle(make([(1, day(1)), (2, None)]), shared, ["id"], "wm", day(1))
+    assert first.count() == 0
+    second = snapshot_cycle(make([(3, day(2))]), shared, ["id"], "wm", day(1)).orderBy("phase", "id").collect()
+    assert [(r.phase, r.change_type, r.id) for r in second] == [(0, "Delete", 1), (0, "Delete", 2), (1, "Snapshot", 3)]
+
+
+def test_own_source(spark, shared):
+    """A Python data source that yields raw changes works like any other source."""
+    from pyspark.sql.datasource import DataSource, DataSourceReader
+
+    class Meter(DataSource):
+        @classmethod
+        def name(cls):
+            return "meter"
+
+        def schema(self):
+            return "entity string, change_type string, source_ts timestamp, row struct<id: int, v: int>, meta map<string,string>"
+
+        def reader(self, schema):
+            class Reader(DataSourceReader):
+                def read(self, partition):
+                    from datetime import datetime
+
+                    for i, v in enumerate((5, 6, 7)):
+                        yield ("m", "Snapshot", datetime(2026, 1, 1 + i), (1, v), {})
+
+            return Reader()
+
+    spark.dataSource.register(Meter)
+    out = changes.with_history(spark.read.format("meter").load(), ["id"], ["source_ts"]).orderBy("source_ts")
+    assert [(r.change_type, r.prev.v if r.prev else None) for r in out.collect()] == [("Insert", None), ("Update", 5), ("Update", 6)]
