@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from changeflow.operators.lookup import lookup
 from changeflow.operators.ordered import numbered, running
 from changeflow.scratch import shared_path
 
@@ -72,10 +73,9 @@ def resolve_change_type(df: DataFrame, key: Sequence[str], order: Sequence[str |
 def resolve_against(df: DataFrame, seen: DataFrame, key: Sequence[str]) -> DataFrame:
     """Snapshot is Update when its key is in a stored key table, else Insert."""
     flag = seen.select(*[F.col(k).alias(f"__s{k}") for k in key]).distinct().withColumn(_SEEN, F.lit(True))
-    on = [F.col(f"row.`{k}`").eqNullSafe(F.col(f"__s{k}")) for k in key]
     kind = F.when(F.col(_SEEN), "Update").otherwise("Insert")
     return (
-        df.join(flag, on, "left")
+        lookup(df, flag, [F.col(f"row.`{k}`") for k in key], [f"__s{k}" for k in key], null_safe=True)
         .withColumn("change_type", F.when(F.col("change_type") == "Snapshot", kind).otherwise(F.col("change_type")))
         .drop(_SEEN, *[f"__s{k}" for k in key])
     )
@@ -199,10 +199,8 @@ def dedup_requests(
     # The first row of an accepted (id, time) is the accepted one.
     firsts = accepted.select(F.col("__id").alias("__fid"), F.col("__at").alias("__fat"), F.lit(True).alias("__ok"))
     marked = numbered(rows, [request, "__at"], list(tie) or ["__at"], "__n", hot_rows)
-    on = (F.col(request).eqNullSafe(F.col("__fid"))) & (F.col("__at") == F.col("__fat")) & (F.col("__n") == 1)
-    return marked.join(firsts, on, "left").withColumn("duplicate", F.col("__ok").isNull()).select(
-        *df.columns, "duplicate"
-    )
+    out = lookup(marked, firsts, [request, "__at"], ["__fid", "__fat"], null_safe=True, hot_rows=hot_rows)
+    return out.withColumn("duplicate", F.col("__ok").isNull() | (F.col("__n") > 1)).select(*df.columns, "duplicate")
 
 
 def _folded(runs: DataFrame, micros: int) -> DataFrame:

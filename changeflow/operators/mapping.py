@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeflow.functions.values import CAST_TYPES, cast_or_keep, cast_value, map_concept, plain_text
-from changeflow.scratch import BROADCAST_BYTES, small
+from changeflow.operators.lookup import lookup
 from changeflow.spec import Rule, check_rules
 
 # The fields a change request must carry, and the change kinds it may name.
@@ -130,15 +130,11 @@ def _cast(value, rule, dtype, failed_casts):
 
 
 def map_concepts(df: DataFrame, column: str, concepts: DataFrame, into: str | None = None) -> DataFrame:
-    """Concept lookup against a table ``(value, concept)``; a miss keeps the value.
-
-    The table is broadcast only when its size is known to be small; otherwise Spark picks the join.
-    """
+    """Concept lookup against a table ``(value, concept)`` with unique values; a miss keeps the value."""
     table = concepts.select(F.col("value").alias("__cv"), F.col("concept").alias("__cc"))
-    table = F.broadcast(table) if small(table, BROADCAST_BYTES) else table
     value = F.col(column).cast("string")
     return (
-        df.join(table, value == F.col("__cv"), "left")
+        lookup(df, table, [value], ["__cv"])
         .withColumn(into or column, F.coalesce(F.col("__cc"), value))
         .drop("__cv", "__cc")
     )

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from changeflow.operators.lookup import lookup
+
 # Allowed lifecycle transitions (state, action, next state).
 TRANSITIONS = (
     ("Disconnected", "start", "Connecting"),
@@ -29,10 +31,9 @@ def health(log: DataFrame, order: Sequence[str] = ("seq",)) -> DataFrame:
     """
     at = F.struct(*order)
     ok = F.col("ok")
-    last_ok = log.filter(ok).groupBy("driver_id").agg(F.max(at).alias("__ok"))
+    last_ok = log.filter(ok).groupBy(F.col("driver_id").alias("__d")).agg(F.max(at).alias("__ok"))
     trailing = (
-        log.filter(~ok)
-        .join(last_ok, "driver_id", "left")
+        lookup(log.filter(~ok), last_ok, ["driver_id"], ["__d"])
         .filter(F.col("__ok").isNull() | (at > F.col("__ok")))
         .groupBy("driver_id")
         .agg(F.count(F.lit(1)).alias("consecutive_failures"))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from changeflow.operators.lookup import lookup
 from changeflow.scratch import BROADCAST_BYTES, small
 from changeflow.sinks.tables import write_version
 
@@ -81,13 +82,13 @@ def lookup_iri(df: DataFrame, onto: DataFrame, column: str, ordinal: str | None
     table = by_iri(onto, ordinal).select(
         F.col("iri").alias("__iri"), *[F.col(c).alias(f"{prefix}{c}") for c in ("label", "parent_iri", "type")]
     )
-    return df.join(_sized(table, onto), F.col(column) == F.col("__iri"), "left").drop("__iri")
+    return lookup(df, table, [column], ["__iri"]).drop("__iri")
 
 
 def has_iri(df: DataFrame, onto: DataFrame, column: str) -> DataFrame:
     """Rows whose IRI is in the ontology."""
-    table = onto.select(F.col("iri").alias("__iri"))
-    return df.join(_sized(table, onto), F.col(column) == F.col("__iri"), "left_semi")
+    table = onto.select(F.col("iri").alias("__iri")).distinct()
+    return lookup(df, table, [column], ["__iri"], "left_semi")
 
 
 def find_label(df: DataFrame, onto: DataFrame, column: str) -> DataFrame:
@@ -95,7 +96,8 @@ def find_label(df: DataFrame, onto: DataFrame, column: str) -> DataFrame:
     table = onto.filter(F.col("label").isNotNull()).select(
         F.lower("label").alias("__label"), "iri", "label", "parent_iri", "type"
     )
-    return df.join(_sized(table, onto), F.lower(F.col(column)) == F.col("__label")).drop("__label")
+    table = F.broadcast(table) if small(table, BROADCAST_BYTES) else table
+    return df.join(table, F.lower(F.col(column)) == F.col("__label")).drop("__label")
 
 
 def refresh_ontology(new: DataFrame, path: str) -> int:
@@ -111,11 +113,6 @@ def enrich_concepts(events: DataFrame, onto: DataFrame, columns: Sequence[str],
 
 
 def crosswalk(events: DataFrame, table: DataFrame, column: str) -> DataFrame:
-    """Target class and predicate of a source class; table: source_class, target_class, predicate."""
+    """Target class and predicate of a source class; table: source_class (unique), target_class, predicate."""
     side = table.select(F.col("source_class").alias("__s"), "target_class", "predicate")
-    return events.join(_sized(side, table), F.col(column) == F.col("__s"), "left").drop("__s")
-
-
-def _sized(table: DataFrame, measured: DataFrame) -> DataFrame:
-    """Broadcast a lookup table only when the optimizer knows it to be small."""
-    return F.broadcast(table) if small(measured, BROADCAST_BYTES) else table
+    return lookup(events, side, [column], ["__s"]).drop("__s")

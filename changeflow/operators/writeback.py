@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from changeflow.functions.maps import override, text_map
 from changeflow.functions.text import subject_matches
+from changeflow.operators.lookup import lookup
 from changeflow.operators.ordered import running
 from changeflow.scratch import shared_path
 from changeflow.spec import Target
@@ -119,8 +120,8 @@ def plan_commands(
     decided by the last Create or Delete before it, else by the table.
     """
     here = table.select(*[F.col(k).alias(f"__t{i}") for i, k in enumerate(key)], F.lit(True).alias("__stored"))
-    on = [F.col(k) == F.col(f"__t{i}") for i, k in enumerate(key)]
-    joined = cmds.join(here, on, "left").drop(*[f"__t{i}" for i in range(len(key))])
+    stored = [f"__t{i}" for i in range(len(key))]
+    joined = lookup(cmds, here, list(key), stored, hot_rows=hot_rows).drop(*stored)
     fault = F.col("error") if "error" in cmds.columns else F.lit(None).cast("string")
     if types is not None and "entity_type" in cmds.columns:
         unsupported = F.when(
@@ -244,9 +245,10 @@ def apply_with_renames(
             open_renames.select(F.col(new_key).alias("__k"), "__rank")
         )
         first = mentions.groupBy("__k").agg(F.min("__rank").alias("__first"))
-        marked = pending.join(first, F.col(key) == F.col("__k"), "left").drop("__k")
+        marked = lookup(pending, first, [key], ["__k"], hot_rows=hot_rows).drop("__k")
         target = first.select(F.col("__k").alias("__nk"), F.col("__first").alias("__nfirst"))
-        marked = marked.join(target, F.col("__rename") & (F.col(new_key) == F.col("__nk")), "left").drop("__nk")
+        wanted = F.when(F.col("__rename"), F.col(new_key))
+        marked = lookup(marked, target, [wanted], ["__nk"], hot_rows=hot_rows).drop("__nk")
         free = ~F.col("__rename") & (F.col("__first").isNull() | (F.col("__rank") < F.col("__first")))
         turn = F.col("__rename") & (F.col("__rank") == F.col("__first")) & (F.col("__rank") == F.col("__nfirst"))
         marked = _kept(marked.withColumns({"__free": free, "__turn": turn}), f"{path}/marked-{step}")

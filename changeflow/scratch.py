@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 # Inputs below this many bytes (by the optimizer's own statistics) fit one task comfortably.
 SMALL_INPUT_BYTES = 64 * 1024 * 1024
 # Largest table, by the same statistics, that is sent to every executor on request.
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.functions.values import iso_text, moment
-from changeflow.scratch import BROADCAST_BYTES, small
+from changeflow.operators.lookup import lookup
 from changeflow.sinks.tables import read_version, write_version
 
 
@@ -29,10 +29,8 @@ def resume(df: DataFrame, stored: DataFrame, wm: str, start: datetime | Column)
     table = stored.select(
         F.col("driver_id").alias("__d"), F.col("entity").alias("__e"), F.col("position").try_cast(dtype).alias("__p")
     )
-    table = F.broadcast(table) if small(table, BROADCAST_BYTES) else table
-    on = (F.col("driver_id") == F.col("__d")) & (F.col("entity") == F.col("__e"))
     return (
-        df.join(table, on, "left")
+        lookup(df, table, ["driver_id", "entity"], ["__d", "__e"])
         .filter(F.col(wm) > F.coalesce(F.col("__p"), moment(start, dtype)))
         .drop("__d", "__e", "__p")
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.functions.maps import text_map
+from changeflow.operators.lookup import lookup
 from changeflow.sources.feeds import kind_of
 
 # Operations of document streams and of the asset tree, and the change kinds they mean.
@@ -147,9 +148,10 @@ def decode_asset_changes(log: DataFrame, objects: DataFrame, types: Sequence[str
         .otherwise(F.col("name"))
         .alias("__where"),
     )
-    on = (F.col("object_id") == F.col("__id")) & (F.lower("object_type") == F.col("__type"))
+    # Deletes look for no object: their id is made NULL for the join.
+    wanted = F.when(F.col("change_type") != "Delete", F.col("object_id"))
     meta = F.create_map(F.lit("source"), F.lit("asset-tree"), F.lit("entityType"), F.col("object_type"))
-    kept = log.join(found, on & (F.col("change_type") != "Delete"), "left").filter(
+    kept = lookup(log, found, [wanted, F.lower("object_type")], ["__id", "__type"]).filter(
         (F.col("change_type") == "Delete") | F.col("__id").isNotNull()
     )
     tail = F.when(F.col("change_type") == "Delete", F.col("object_id").cast("string")).otherwise(F.col("__where"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.functions.maps import text_map
+from changeflow.operators.lookup import lookup
 
 # Operation codes of the feeds and the change kinds they mean.
 TRACKING_KINDS = {"I": "Insert", "U": "Update", "D": "Delete"}
@@ -40,15 +41,15 @@ def changes_join_current(
     """Version-log rows after ``since`` with the current row of their key.
 
     Key values come from the log side. A Delete keeps the key columns only. The log is filtered
-    before the join; a busy key repeats on the log side only, which Spark's skew handling splits.
+    before the join; the table holds a key once, the log may hold it very often.
     """
     if not key:
         raise ValueError("change tracking needs key columns")
     rest = [c for c in table.columns if c.lower() not in {k.lower() for k in key}]
     side = table.select(*[F.col(k).alias(f"__t{i}") for i, k in enumerate(key)], *rest)
-    on = [F.col(k) == F.col(f"__t{i}") for i, k in enumerate(key)]
     kind = kind_of(operation, TRACKING_KINDS)
-    joined = log.filter(F.col(version) > since).select(*key, version, operation).join(side, on, "left")
+    wanted = log.filter(F.col(version) > since).select(*key, version, operation)
+    joined = lookup(wanted, side, list(key), [f"__t{i}" for i in range(len(key))])
     return joined.select(
         version,
         kind.alias("change_type"),

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.functions.values import moment
-from changeflow.scratch import BROADCAST_BYTES, small
+from changeflow.operators.lookup import lookup
 from changeflow.sinks.tables import read_version, write_version
 from changeflow.spec import Entity
 
@@ -113,9 +113,7 @@ def scan_all(
 def scan_shared(df: DataFrame, wm: str, state: DataFrame, entity: str = "entity") -> DataFrame:
     """Several entities in one table, each after its own watermark from a small state table."""
     table = state.select(F.col("entity").alias("__e"), F.col("since").alias("__since"))
-    table = F.broadcast(table) if small(table, BROADCAST_BYTES) else table
-    on = (F.col(entity) == F.col("__e")) & (F.col(wm) > F.col("__since"))
-    return df.join(table, on).drop("__e", "__since")
+    return lookup(df, table, [entity], ["__e"], "inner").filter(F.col(wm) > F.col("__since")).drop("__e", "__since")
 
 
 def graph_scan(nodes: DataFrame, edges: DataFrame, name: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from changeflow.operators.changes import dedup_requests, with_history
+from changeflow.operators.lookup import lookup
 from changeflow.operators.monitor import heartbeats
 from changeflow.operators.writeback import apply_planned, plan_commands, suppress_echo
 from changeflow.plans.forward import Driver, finish_events, publishable
@@ -156,7 +157,8 @@ def dedup_stream(
         rows = batch.withColumn("__stored", F.lit(False))
         late = None
         if seeds is not None:
-            joined = rows.join(seeds.withColumnRenamed("accepted", "__accepted"), request, "left")
+            side = seeds.select(F.col(request).alias("__r"), F.col("accepted").alias("__accepted"))
+            joined = lookup(rows, side, [request], ["__r"], hot_rows=hot_rows).drop("__r")
             is_late = F.coalesce(F.col(ts) <= F.col("__accepted"), F.lit(False))
             late = joined.filter(is_late).drop("__accepted").withColumn("duplicate", F.lit(True))
             seed_rows = seeds.select(request, F.col("accepted").alias(ts), F.lit(True).alias("__stored"))
