@@ -20,13 +20,18 @@ def merge_metadata(base: str | Column, headers: Mapping[str, str]) -> Column:
     """Configured headers win over existing entries; names ignore case and keep their first spelling."""
     base = F.col(base) if isinstance(base, str) else base
     base = F.coalesce(base, text_map({}))
-    if not headers:
-        return base
-    by_lower = text_map({k.lower(): v for k, v in headers.items()})
-    kept = F.transform_values(base, lambda k, v: F.coalesce(F.try_element_at(by_lower, F.lower(k)), v))
+    return merge_ignoring_case(base, text_map(headers)) if headers else base
+
+
+def merge_ignoring_case(base: Column, extra: Column) -> Column:
+    """Entries of ``extra`` replace those of ``base`` under any spelling of the name; the first spelling stays."""
+    entries = F.map_entries(extra)
+    named = lambda k: F.filter(entries, lambda e: F.lower(e["key"]) == F.lower(k))
+    kept = F.transform_values(
+        base, lambda k, v: F.when(F.size(named(k)) > 0, F.try_element_at(named(k), F.lit(-1))["value"]).otherwise(v)
+    )
     present = F.transform(F.map_keys(base), F.lower)
-    # Each entry is tested against the few keys of its own row.
-    added = F.map_filter(text_map(headers), lambda k, v: ~F.array_contains(present, F.lower(k)))
+    added = F.map_filter(extra, lambda k, v: ~F.array_contains(present, F.lower(k)))
     return F.map_concat(kept, added)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeflow import scratch
-from changeflow.operators.ordered import hot_groups
+from changeflow.operators.ordered import Hot, hot_groups
 
 
 def lookup(
@@ -23,7 +23,7 @@ def lookup(
     right: Sequence[str],
     how: str = "left",
     null_safe: bool = False,
-    hot_rows: int | None = None,
+    hot_rows: Hot = None,
 ) -> DataFrame:
     """``df`` joined with ``table``, whose key columns ``right`` are unique and named unlike any of ``df``."""
     left = [F.col(c) if isinstance(c, str) else c for c in left]

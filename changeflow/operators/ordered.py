@@ -28,14 +28,19 @@ MEASURED_SHARE = 0.1
 _POS, _PART, _HASH = "__pos", "__part", "__hash"
 
 ColumnLike = Column | str
+# A threshold in rows (None: the default), or groups that were measured already.
+Hot = int | dict[int, int] | None
 
 
-def hot_groups(df: DataFrame, key: Sequence[ColumnLike], hot_rows: int | None = None) -> dict[int, int]:
+def hot_groups(df: DataFrame, key: Sequence[ColumnLike], hot_rows: Hot = None) -> dict[int, int]:
     """Key hash → estimated rows of every group above ``hot_rows``.
 
     Without an explicit threshold small inputs are not measured: they cannot hold a large group.
     Large inputs are measured on a tenth of the rows; this only decides how a group is computed.
+    Several passes over the same key can share one measurement by passing it on.
     """
+    if isinstance(hot_rows, dict):
+        return hot_rows
     is_small = small(df)
     if hot_rows is None and is_small:
         return {}
@@ -55,7 +60,7 @@ def running(
     previous: Mapping[str, ColumnLike] | None = None,
     last: Mapping[str, ColumnLike] | None = None,
     total: Mapping[str, ColumnLike] | None = None,
-    hot_rows: int | None = None,
+    hot_rows: Hot = None,
 ) -> DataFrame:
     """Add values taken over the *earlier* rows of each group, in ascending order.
 
@@ -93,7 +98,7 @@ def running(
 
 
 def numbered(
-    df: DataFrame, key: Sequence[ColumnLike], order: Sequence[ColumnLike], name: str, hot_rows: int | None = None
+    df: DataFrame, key: Sequence[ColumnLike], order: Sequence[ColumnLike], name: str, hot_rows: Hot = None
 ) -> DataFrame:
     """Number the rows of each group 1, 2, 3 … in order."""
     out = running(df, key, order, total={name: F.lit(1).cast("bigint")}, hot_rows=hot_rows)

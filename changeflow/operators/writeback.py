@@ -8,10 +8,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.functions.maps import override, text_map
+from changeflow.functions.maps import merge_ignoring_case, override, text_map
 from changeflow.functions.text import subject_matches
 from changeflow.operators.lookup import lookup
-from changeflow.operators.ordered import running
+from changeflow.operators.ordered import Hot, hot_groups, running
 from changeflow.scratch import shared_path
 from changeflow.spec import Target
 
@@ -110,7 +110,7 @@ def plan_commands(
     key: Sequence[str],
     order: Sequence[str],
     types: Sequence[str] | None = None,
-    hot_rows: int | None = None,
+    hot_rows: Hot = None,
 ) -> DataFrame:
     """Commands with ``success`` and ``message``, as if they were applied one by one in order.
 
@@ -151,7 +151,7 @@ def command_results(planned: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def apply_planned(
-    table: DataFrame, planned: DataFrame, key: Sequence[str], order: Sequence[str], hot_rows: int | None = None
+    table: DataFrame, planned: DataFrame, key: Sequence[str], order: Sequence[str], hot_rows: Hot = None
 ) -> DataFrame:
     """The table after the successful commands.
 
@@ -207,8 +207,9 @@ def apply_commands(
     hot_rows: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The table after the commands, and one result row per command."""
-    planned = plan_commands(table, cmds, key, order, types, hot_rows)
-    return apply_planned(table, planned, key, order, hot_rows), command_results(planned, key)
+    hot = hot_groups(cmds, list(key), hot_rows)
+    planned = plan_commands(table, cmds, key, order, types, hot)
+    return apply_planned(table, planned, key, order, hot), command_results(planned, key)
 
 
 def rename_target(fields: str, current: str | Column) -> Column:
@@ -300,8 +301,8 @@ def _kept(df: DataFrame, path: str) -> DataFrame:
 def map_point_attributes(fields: str | Column, extra: str | Column, create: bool) -> Column:
     """Native attributes of a point from command fields; ``extra`` entries override.
 
-    On create a missing type or class gets its default and empty values are dropped. On update there
-    are no defaults, the class cannot change, and an empty type is ignored.
+    On create a missing type or class gets its default, empty values are dropped and names ignore
+    case. On update there are no defaults, the class cannot change, and an empty type is ignored.
     """
     fields = F.col(fields) if isinstance(fields, str) else fields
     extra = F.coalesce(F.col(extra) if isinstance(extra, str) else extra, text_map({}))
@@ -316,7 +317,8 @@ def map_point_attributes(fields: str | Column, extra: str | Column, create: bool
         elif name != "pointClass":
             values[native] = value
     keep = (lambda k, v: v.isNotNull() & (v != "")) if create else (lambda k, v: v.isNotNull())
-    return override(F.map_filter(text_map(values), keep), F.map_filter(extra, keep))
+    base, extra = F.map_filter(text_map(values), keep), F.map_filter(extra, keep)
+    return merge_ignoring_case(base, extra) if create else override(base, extra)
 
 
 def suppress_echo(

@@ -13,8 +13,8 @@ from changeflow.spec import Target
 KEY, ORDER = ["c_custkey"], ["ts", "correlation_id"]
 
 TARGETS = (
-    Target("af-1", "aveva", ("cmd.element.>", "cmd.*.create")),
-    Target("af-2", "aveva", ("cmd.element.*",)),
+    Target("af-1", "historian", ("cmd.element.>", "cmd.*.create")),
+    Target("af-2", "historian", ("cmd.element.*",)),
     Target("pg-1", "postgres", ("cmd.>",)),
     Target("off", "postgres", ("cmd.>",), enabled=False),
     Target("read-only", "neo4j", ("cmd.>",), writable=False),
@@ -195,8 +195,8 @@ _CMDS = """d AS (SELECT *, 'c' || event_id AS correlation_id,
     CASE event_type WHEN 'signup' THEN 'create' WHEN 'error' THEN 'delete' WHEN 'click' THEN 'snapshot' ELSE 'update' END AS tail
     FROM events WHERE event_type <> 'view')"""
 _ROUTES = f"""{_CMDS}, r AS (
-    SELECT *, 'af-1' AS driver_id, 'aveva' AS source_type, 1 + (tail = 'create')::INT AS hits FROM d WHERE event_type <> 'purchase'
-    UNION ALL SELECT *, 'af-2', 'aveva', 1 FROM d WHERE event_type NOT IN ('purchase', 'click')
+    SELECT *, 'af-1' AS driver_id, 'historian' AS source_type, 1 + (tail = 'create')::INT AS hits FROM d WHERE event_type <> 'purchase'
+    UNION ALL SELECT *, 'af-2', 'historian', 1 FROM d WHERE event_type NOT IN ('purchase', 'click')
     UNION ALL SELECT *, 'pg-1', 'postgres', 1 FROM d WHERE event_type <> 'click')"""
 # Whether a key exists before a command, then its outcome and its segment.
 _APPLY = """c AS (SELECT *, 'c' || event_id AS correlation_id, value <= 110 AS valid,

@@ -123,9 +123,10 @@ def samples(spark, sf):
 
 def sample_positions(spark, sf):
     """Next start per signal: newest sample, or the end of the requested window."""
-    out = documents.decode_samples(_responses(spark, sf, "Items", "Timestamp", "Value"), "Items", "Timestamp", "Value")
+    responses = _responses(spark, sf, "Items", "Timestamp", "Value")
+    out = documents.decode_samples(responses, "Items", "Timestamp", "Value")
     newest = documents.sample_watermark(out).withColumn("rule", F.lit("newest"))
-    window = documents.sample_watermark(out, F.col("until").cast("timestamp")).withColumn("rule", F.lit("window"))
+    window = documents.sample_watermark(responses, F.col("until").cast("timestamp")).withColumn("rule", F.lit("window"))
     return newest.unionByName(window).select("signal", "rule", F.date_format("since", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("since"))
 
 

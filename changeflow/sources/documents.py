@@ -116,9 +116,13 @@ def decode_samples(
     )
 
 
-def sample_watermark(samples: DataFrame, request_end: Column | None = None) -> DataFrame:
-    """Next start per signal: the end of the requested window if given, else the newest sample."""
-    return samples.groupBy("signal").agg((F.max(request_end) if request_end is not None else F.max("source_ts")).alias("since"))
+def sample_watermark(df: DataFrame, at: str | Column = "source_ts") -> DataFrame:
+    """Next start per signal: the newest time ``at``.
+
+    Pass decoded samples to go on after the newest sample, or the responses with the end of their
+    requested window to go on there; then responses without samples count too.
+    """
+    return df.groupBy("signal").agg(F.max(at).alias("since"))
 
 
 def watched_types(filters: Sequence[str | None]) -> tuple[str, ...]:
@@ -128,7 +132,9 @@ def watched_types(filters: Sequence[str | None]) -> tuple[str, ...]:
     return tuple(dict.fromkeys((f or "").strip() or "element" for f in filters))
 
 
-def decode_asset_changes(log: DataFrame, objects: DataFrame, types: Sequence[str] = ASSET_TYPES) -> DataFrame:
+def decode_asset_changes(
+    log: DataFrame, objects: DataFrame, types: Sequence[str] = ASSET_TYPES, source: str = "asset-tree"
+) -> DataFrame:
     """Asset-tree changes as raw changes.
 
     log: object_id, object_type, action, change_ts; objects: object_id, object_type, name, path,
@@ -150,7 +156,7 @@ def decode_asset_changes(log: DataFrame, objects: DataFrame, types: Sequence[str
     )
     # Deletes look for no object: their id is made NULL for the join.
     wanted = F.when(F.col("change_type") != "Delete", F.col("object_id"))
-    meta = F.create_map(F.lit("source"), F.lit("asset-tree"), F.lit("entityType"), F.col("object_type"))
+    meta = F.create_map(F.lit("source"), F.lit(source), F.lit("entityType"), F.col("object_type"))
     kept = lookup(log, found, [wanted, F.lower("object_type")], ["__id", "__type"]).filter(
         (F.col("change_type") == "Delete") | F.col("__id").isNotNull()
     )
