@@ -49,6 +49,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library wrote."""
+    fs, folder = _folder(spark, path)
+    fs.delete(folder, True)
+
+
 def _folder(spark: SparkSession, path: str):
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from changeflow.functions.text import subject_matches
 from changeflow.functions.values import moment
-from changeflow.scratch import children, exists
+from changeflow.scratch import children, exists, remove
 from changeflow.spec import CHANGE_KINDS
 
 # The largest message in bytes and the address prefix of dead letters.
@@ -100,25 +100,39 @@ def append_if_absent(events: DataFrame, path: str, key: str = "event_id", order:
     fresh.write.mode("append").parquet(path)
 
 
-def versions(spark: SparkSession, path: str) -> list[int]:
-    """Completely written versions of a versioned table, oldest first."""
-    found = []
-    for name in children(spark, path):
-        if name.startswith("v=") and exists(spark, f"{path}/{name}/_SUCCESS"):
-            found.append(int(name[2:]))
-    return sorted(found)
+def versions(spark: SparkSession, path: str, before: int | None = None, after: int | None = None) -> list[int]:
+    """Completely written versions of a versioned table in (after, before), oldest first."""
+    named = sorted(int(name[2:]) for name in children(spark, path) if name.startswith("v="))
+    wanted = [v for v in named if (before is None or v < before) and (after is None or v > after)]
+    return [v for v in wanted if exists(spark, f"{path}/v={v}/_SUCCESS")]
 
 
-def read_version(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+def newest_version(spark: SparkSession, path: str, before: int | None = None) -> int | None:
     """The newest complete version (older than ``before``), or None."""
-    known = [v for v in versions(spark, path) if before is None or v < before]
-    return spark.read.parquet(f"{path}/v={known[-1]}") if known else None
+    named = sorted((int(name[2:]) for name in children(spark, path) if name.startswith("v=")), reverse=True)
+    for v in named:
+        if (before is None or v < before) and exists(spark, f"{path}/v={v}/_SUCCESS"):
+            return v
+    return None
+
+
+def read_version(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+    """The rows of the newest complete version (older than ``before``), or None."""
+    v = newest_version(spark, path, before)
+    return None if v is None else spark.read.parquet(f"{path}/v={v}")
 
 
 def write_version(df: DataFrame, path: str, version: int | None = None) -> int:
     """Write a full new version. Readers see it only once it is complete; a failed write leaves the old."""
     if version is None:
-        known = versions(df.sparkSession, path)
-        version = known[-1] + 1 if known else 0
+        newest = newest_version(df.sparkSession, path)
+        version = 0 if newest is None else newest + 1
     df.write.mode("overwrite").parquet(f"{path}/v={version}")
     return version
+
+
+def drop_versions(spark: SparkSession, path: str, before: int) -> None:
+    """Delete the versions older than ``before``."""
+    for name in children(spark, path):
+        if name.startswith("v=") and int(name[2:]) < before:
+            remove(spark, f"{path}/{name}")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from changeflow.sinks.tables import versions
+from changeflow.sinks.tables import drop_versions, newest_version, versions
 
 Step = Callable[[DataFrame, int], None]
 
@@ -38,9 +38,11 @@ def write_batch(df: DataFrame, path: str, batch: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/v={batch}")
 
 
-def read_batches(spark: SparkSession, path: str, before: int | None = None, after: int = -1) -> DataFrame | None:
+def read_batches(
+    spark: SparkSession, path: str, before: int | None = None, after: int | None = None
+) -> DataFrame | None:
     """Completed batches in (after, before), with their number in column ``v``."""
-    known = [v for v in versions(spark, path) if v > after and (before is None or v < before)]
+    known = versions(spark, path, before, after)
     if not known:
         return None
     return spark.read.option("basePath", path).parquet(*[f"{path}/v={v}" for v in known])
@@ -58,10 +60,13 @@ class KeyedState:
 
     def before(self, batch: int, keys: DataFrame | None = None) -> DataFrame | None:
         """State as it was before a batch, of the given keys or of all."""
-        bases = [v for v in versions(self.spark, f"{self.path}/base") if v < batch]
-        start = bases[-1] if bases else -1
+        return self._read(batch, newest_version(self.spark, f"{self.path}/base", batch), keys)
+
+    def _read(self, batch: int, start: int | None, keys: DataFrame | None = None) -> DataFrame | None:
         changes = read_batches(self.spark, f"{self.path}/delta", batch, start)
-        base = self.spark.read.parquet(f"{self.path}/base/v={start}").withColumn("v", F.lit(start)) if bases else None
+        base = None
+        if start is not None:
+            base = self.spark.read.parquet(f"{self.path}/base/v={start}").withColumn("v", F.lit(start))
         parts = [p for p in (base, changes) if p is not None]
         if not parts:
             return None
@@ -73,9 +78,21 @@ class KeyedState:
         rest = [c for c in both.columns if c not in (*self.key, "v")]
         return both.groupBy(*self.key).agg(F.max_by(F.struct(*rest), "v").alias("__row")).select(*self.key, "__row.*")
 
+    def load(self, rows: DataFrame) -> None:
+        """Begin with given rows, one per key, as the base before the first batch."""
+        write_batch(rows, f"{self.path}/base", -1)
+
     def write(self, changes: DataFrame, batch: int, live: str | None = None) -> None:
-        """Store a batch's changed keys; ``live`` is the condition under which a row is kept for good."""
+        """Store a batch's changed keys; ``live`` is the condition under which a row is kept for good.
+
+        After folding, what the base before the new one already covers is deleted: a batch that is
+        run again never reads further back than that.
+        """
         write_batch(changes, f"{self.path}/delta", batch)
         if (batch + 1) % self.compact_every == 0:
-            state = self.before(batch + 1)
+            older = newest_version(self.spark, f"{self.path}/base", batch)
+            state = self._read(batch + 1, older)
             write_batch(state.filter(live) if live else state, f"{self.path}/base", batch)
+            if older is not None:
+                drop_versions(self.spark, f"{self.path}/delta", older + 1)
+                drop_versions(self.spark, f"{self.path}/base", older)

@@ -15,7 +15,7 @@ from changeflow.operators.monitor import heartbeats
 from changeflow.operators.writeback import apply_planned, plan_commands, suppress_echo
 from changeflow.plans.forward import Driver, finish_events, publishable
 from changeflow.sinks.checkpoints import checkpoints, merge_checkpoints
-from changeflow.sinks.tables import MAX_BYTES, dead_letter_reason, read_version, write_version
+from changeflow.sinks.tables import MAX_BYTES, dead_letter_reason, drop_versions, read_version, write_version
 from changeflow.streaming.micro import KeyedState, read_batches, run, write_batch
 
 
@@ -108,28 +108,52 @@ def publish_changes(
         numbers.write(done.groupBy("driver_id").agg(F.max("seq").alias("seq")), number)
         old = read_version(spark, f"{path}/checkpoints", before=number)
         write_version(merge_checkpoints(old, checkpoints(done)), f"{path}/checkpoints", number)
+        drop_versions(spark, f"{path}/checkpoints", number - 1)
 
     return run(stream, step, f"{path}/checkpoint", every)
 
 
+class CommandTable:
+    """A table that write commands change batch by batch, kept as a keyed state with marks for deleted rows."""
+
+    def __init__(self, spark: SparkSession, path: str, key: Sequence[str]):
+        self.key = list(key)
+        self.state = KeyedState(spark, path, key)
+
+    def load(self, rows: DataFrame) -> None:
+        self.state.load(rows.withColumn("__gone", F.lit(False)))
+
+    def read(self, before: int = 2**62, keys: DataFrame | None = None) -> DataFrame:
+        """The rows, as they were before a batch; of the given keys or all."""
+        rows = self.state.before(before, keys)
+        if rows is None:
+            raise ValueError(f"no rows were loaded into {self.state.path}")
+        return rows.filter("not __gone").drop("__gone")
+
+    def write(self, after: DataFrame, touched: DataFrame, batch: int) -> None:
+        """Store the rows of the touched keys; touched keys without a row are deleted."""
+        rows = after.withColumn("__gone", F.lit(False))
+        keys = touched.select(*self.key).distinct().join(after.select(*self.key), self.key, "left_anti")
+        gone = keys.withColumn("__gone", F.lit(True))
+        self.state.write(rows.unionByName(gone, allowMissingColumns=True), batch, live="not __gone")
+
+
 def apply_command_stream(
-    stream: DataFrame, table: str, key: Sequence[str], order: Sequence[str], path: str,
+    stream: DataFrame, table: CommandTable, order: Sequence[str], path: str,
     types: Sequence[str] | None = None, every: str | None = None, hot_rows: int | None = None,
 ) -> StreamingQuery:
-    """Write commands on a stream, applied to a versioned table; ``path/results`` gets their results.
+    """Write commands on a stream, applied to a table; ``path/results`` gets the commands with their results.
 
-    Batch n makes version n + 1 of the table from the newest one before it.
+    A batch reads and writes only the rows its commands name.
     """
     spark = stream.sparkSession
+    key = table.key
 
     def step(batch: DataFrame, number: int) -> None:
-        current = read_version(spark, table, before=number + 1)
-        if current is None:
-            raise ValueError(f"no first version of the table in {table}")
-        planned = plan_commands(current, batch, key, order, types, hot_rows)
-        write_batch(planned, f"{path}/results", number)
+        current = table.read(number, batch)
+        write_batch(plan_commands(current, batch, key, order, types, hot_rows), f"{path}/results", number)
         planned = spark.read.parquet(f"{path}/results/v={number}")
-        write_version(apply_planned(current, planned, key, order, hot_rows), table, number + 1)
+        table.write(apply_planned(current, planned, key, order, hot_rows), planned, number)
 
     return run(stream, step, f"{path}/checkpoint", every)
 

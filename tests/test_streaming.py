@@ -154,23 +154,35 @@ def test_publish_changes(spark, events, shared):
 
 
 def test_apply_command_stream(spark, events, shared):
-    from changeflow.operators.writeback import apply_commands
-    from changeflow.sinks.tables import read_version, versions, write_version
-
     op = F.when(F.col("event_type") == "signup", "Create").when(F.col("event_type") == "error", "Delete").otherwise("Update")
     cmds = events.select(F.col("event_id").cast("string").alias("correlation_id"), "ts", op.alias("operation"), F.col("user_id").alias("k"), "value")
-    table = spark.range(8).select(F.col("id").alias("k"), F.lit(0.0).alias("value"))
-    write_version(table, f"{shared}/table", 0)
+    rows = spark.range(40).select(F.col("id").alias("k"), F.lit(0.0).alias("value"))
+    table = streaming.CommandTable(spark, f"{shared}/table", ["k"])
+    with pytest.raises(ValueError):
+        table.read()
+    table.load(rows)
     land(cmds, f"{shared}/in")
-    streaming.apply_command_stream(source(spark, cmds, f"{shared}/in"), f"{shared}/table", ["k"], ["ts"], f"{shared}/out").awaitTermination()
-    after, results = apply_commands(table, cmds, ["k"], ["ts"])
-    got = read_version(spark, f"{shared}/table")
-    assert versions(spark, f"{shared}/table") == [0, 1, 2, 3, 4]
-    assert got.exceptAll(after).count() == 0 and after.exceptAll(got).count() == 0
+    streaming.apply_command_stream(source(spark, cmds, f"{shared}/in"), table, ["ts"], f"{shared}/out").awaitTermination()
+    after, results = writeback.apply_commands(rows, cmds, ["k"], ["ts"])
+    got = table.read()
+    assert got.exceptAll(after).count() == 0 and after.exceptAll(got).count() == 0 and got.count() > 25
     done = micro.read_batches(spark, f"{shared}/out/results").select("correlation_id", "success")
     assert done.exceptAll(results.select("correlation_id", "success")).count() == 0 and done.count() == 1000
 
 
+def test_folding_drops_what_is_covered(spark, shared):
+    from changeflow.scratch import children
+
+    state = micro.KeyedState(spark, shared, ["k"], compact_every=2)
+    for n in range(6):
+        state.write(spark.sql(f"select 'a' k, {n} x union all select 'k{n}', {n}"), n, live="x >= 0")
+        assert {r.k: r.x for r in state.before(n + 1).collect()} == {"a": n} | {f"k{i}": i for i in range(n + 1)}
+    assert sorted(children(spark, f"{shared}/base")) == ["v=3", "v=5"]
+    assert sorted(children(spark, f"{shared}/delta")) == ["v=4", "v=5"]
+    state.write(spark.sql("select 'a' k, 50 x"), 5)  # run again
+    assert [r.x for r in state.before(6).filter("k = 'a'").collect()] == [50]
+
+
 def test_scan_step(spark, shared):
     from changeflow.spec import Entity
     from changeflow.streaming.polling import scan_step
