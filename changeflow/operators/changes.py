@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeflow.operators.lookup import lookup
-from changeflow.operators.ordered import hot_groups, numbered, running
+from changeflow.operators.ordered import Step, hot_groups, numbered, running, running_steps
 from changeflow.scratch import shared_path
 
 _SEEN = "__seen"
@@ -176,12 +176,15 @@ def dedup_requests(
     # One row per distinct (id, time): only the first of equal times can be accepted.
     times = rows.groupBy(F.col(request).alias("__id"), "__at").agg(F.count(F.lit(1)).alias("__rows"))
     hot = hot_groups(df, [request], hot_rows)
-    times = running(times, ["__id"], ["__at"], previous={"__before": "__at"}, hot_rows=hot)
     head = F.col("__before").isNull() | (F.col("__at") - F.col("__before") >= micros)
-    times = running(
-        times.withColumn("__head", head), ["__id"], ["__at"],
-        last={"__run": F.when(F.col("__head"), F.col("__at"))}, hot_rows=hot,
-    ).withColumn("__run", F.when(F.col("__head"), F.col("__at")).otherwise(F.col("__run")))
+    steps = [
+        Step(previous={"__before": "__at"}, derive={"__head": head}),
+        Step(
+            last={"__start": F.when(F.col("__head"), F.col("__at"))},
+            derive={"__run": F.when(F.col("__head"), F.col("__at")).otherwise(F.col("__start"))},
+        ),
+    ]
+    times = running_steps(times, ["__id"], ["__at"], steps, hot_rows=hot).select("__id", "__at", "__head", "__run")
     path = shared_path(spark, "dedup")
     times.write.parquet(f"{path}/times")
     times = spark.read.parquet(f"{path}/times")

@@ -14,6 +14,7 @@ computed correctly, by the plain window.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,6 +54,21 @@ def hot_groups(df: DataFrame, key: Sequence[ColumnLike], hot_rows: Hot = None) -
     return {item: rows for item, rows in counts.items() if rows > limit}
 
 
+@dataclass(frozen=True)
+class Step:
+    """Values over the earlier rows of a group, in ascending order, and columns derived from them.
+
+    ``previous``: the value in the row just before. ``last``: the most recent non-null value.
+    ``total``: the sum (0 before the first row). ``derive``: further columns, which may use the
+    values and which later steps may use.
+    """
+
+    previous: Mapping[str, ColumnLike] = field(default_factory=dict)
+    last: Mapping[str, ColumnLike] = field(default_factory=dict)
+    total: Mapping[str, ColumnLike] = field(default_factory=dict)
+    derive: Mapping[str, Column] = field(default_factory=dict)
+
+
 def running(
     df: DataFrame,
     key: Sequence[ColumnLike],
@@ -62,41 +78,59 @@ def running(
     total: Mapping[str, ColumnLike] | None = None,
     hot_rows: Hot = None,
 ) -> DataFrame:
-    """Add values taken over the *earlier* rows of each group, in ascending order.
+    """One ``Step`` over each group."""
+    return running_steps(df, key, order, [Step(previous or {}, last or {}, total or {})], hot_rows)
 
-    ``previous``: the value in the row just before. ``last``: the most recent non-null value.
-    ``total``: the sum (0 before the first row). ``order`` must be unique within a group for
-    repeatable results. Columns given by name are used in place, so that calls on the same key
-    share one shuffle and wide rows are not copied.
-    """
-    made: dict[str, Column] = {}
 
-    def names(values: Sequence[ColumnLike], prefix: str) -> list[str]:
-        out = []
-        for i, v in enumerate(values):
-            if isinstance(v, str) and v in df.columns:
-                out.append(v)
-            else:
-                made[f"{prefix}{i}"] = F.col(v) if isinstance(v, str) else v
-                out.append(f"{prefix}{i}")
-        return out
-
-    groups = [dict(g or {}) for g in (previous, last, total)]
-    keys, orders = names(key, "__k"), names(order, "__o")
-    prev, last_, total_ = (dict(zip(g, names(list(g.values()), p))) for g, p in zip(groups, ("__p", "__l", "__t")))
-    columns = [*df.columns, *prev, *last_, *total_]
+def running_steps(
+    df: DataFrame, key: Sequence[ColumnLike], order: Sequence[ColumnLike], steps: Sequence[Step], hot_rows: Hot = None
+) -> DataFrame:
+    """Steps one after the other over the same groups in the same order, with one shuffle.
 
+    ``order`` must be unique within a group for repeatable results. Columns given by name are used
+    in place, so that calls on the same key share a shuffle and wide rows are not copied.
+    """
+    made: dict[str, Column] = {}
+    keys, orders = _names(df, key, "__k", made), _names(df, order, "__o", made)
+    columns = [*df.columns, *(n for s in steps for n in (*s.previous, *s.last, *s.total, *s.derive))]
     wide = df.withColumns(made)
     hot = hot_groups(wide, keys, hot_rows)
     if not hot:
-        return _plain(wide, keys, orders, prev, last_, total_).select(*columns)
+        return _plain_steps(wide, keys, orders, steps).select(*columns)
     is_hot = F.xxhash64(*keys).isin(list(hot))
     parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-sum(hot.values()) // HOT_ROWS))
-    calm = _plain(wide.filter(~is_hot), keys, orders, prev, last_, total_)
-    split = _split(wide.filter(is_hot), keys, orders, prev, last_, total_, parts)
+    calm = _plain_steps(wide.filter(~is_hot), keys, orders, steps)
+    split = _split(wide.filter(is_hot), keys, orders, steps, parts)
     return calm.select(*columns).unionByName(split.select(*columns))
 
 
+def _names(df: DataFrame, values: Sequence[ColumnLike], prefix: str, made: dict[str, Column]) -> list[str]:
+    """Column names of the values; those that are no plain column are added to ``made``."""
+    out = []
+    for i, v in enumerate(values):
+        if isinstance(v, str) and v in df.columns:
+            out.append(v)
+        else:
+            made[f"{prefix}{i}"] = F.col(v) if isinstance(v, str) else v
+            out.append(f"{prefix}{i}")
+    return out
+
+
+def _values(df: DataFrame, step: Step):
+    """The step's inputs as columns of the table: (table, previous, last, total) by result name."""
+    made: dict[str, Column] = {}
+    groups = zip((step.previous, step.last, step.total), ("__p", "__l", "__t"))
+    named = [dict(zip(g, _names(df, list(g.values()), p, made))) for g, p in groups]
+    return df.withColumns(made), *named
+
+
+def _plain_steps(df, keys, orders, steps):
+    for step in steps:
+        df, previous, last, total = _values(df, step)
+        df = _plain(df, keys, orders, previous, last, total).withColumns(dict(step.derive))
+    return df
+
+
 def numbered(
     df: DataFrame, key: Sequence[ColumnLike], order: Sequence[ColumnLike], name: str, hot_rows: Hot = None
 ) -> DataFrame:
@@ -115,7 +149,7 @@ def _plain(df, keys, orders, previous, last, total):
     )
 
 
-def _split(df, keys, orders, previous, last, total, parts):
+def _split(df, keys, orders, steps, parts):
     spark = df.sparkSession
     path = shared_path(spark, "ordered")
     # monotonically_increasing_id is (partition << 33) + row; writing it out fixes it for good.
@@ -126,7 +160,15 @@ def _split(df, keys, orders, previous, last, total, parts):
         .write.parquet(path)
     )
     rows = spark.read.parquet(path).withColumn(_PART, F.shiftright(_POS, 33))
+    for step in steps:
+        rows = _split_step(rows, keys, step).withColumns(dict(step.derive))
+    return rows
+
 
+def _split_step(rows, keys, step):
+    """One step inside each (key, partition), then what earlier partitions of the key carry over."""
+    columns = rows.columns
+    rows, previous, last, total = _values(rows, step)
     # A preceding value may be NULL, so it travels in a struct; then it is a last non-null value.
     boxes = {f"__b{i}": F.struct(F.col(v).alias("v")) for i, v in enumerate(previous.values())}
     rows = rows.withColumns(boxes)
@@ -152,4 +194,5 @@ def _split(df, keys, orders, previous, last, total, parts):
     joined = inside.join(F.broadcast(carry), same, "left").withColumns(
         {n: F.coalesce(F.col(n), F.col(f"__c{n}")) for n in last} | {n: F.col(n) + F.col(f"__c{n}") for n in total}
     )
-    return joined.withColumns({n: F.col(f"__x{i}.v") for i, n in enumerate(previous)})
+    named = joined.withColumns({n: F.col(f"__x{i}.v") for i, n in enumerate(previous)})
+    return named.select(*columns, *step.previous, *step.last, *step.total)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from changeflow.functions.maps import merge_ignoring_case, override, text_map
 from changeflow.functions.text import subject_matches
 from changeflow.operators.lookup import lookup
-from changeflow.operators.ordered import Hot, hot_groups, running
+from changeflow.operators.ordered import Hot, Step, hot_groups, running_steps
 from changeflow.scratch import shared_path
 from changeflow.spec import Target
 
@@ -112,15 +112,17 @@ def plan_commands(
     types: Sequence[str] | None = None,
     hot_rows: Hot = None,
 ) -> DataFrame:
-    """Commands with ``success`` and ``message``, as if they were applied one by one in order.
+    """Commands with ``success``, ``message`` and ``segment``, as if they were applied one by one in order.
 
     cmds: correlation_id, operation, the key and value columns of the table, and optionally ``set``
     (names of the columns a command supplies; without it those that are not NULL), ``entity_type``
     and ``error`` (a command that cannot be carried out). Whether a key exists before a command is
-    decided by the last Create or Delete before it, else by the table.
+    decided by the last Create or Delete before it, else by the table. Successful Creates and Deletes
+    begin a new segment of the key's commands.
     """
     here = table.select(*[F.col(k).alias(f"__t{i}") for i, k in enumerate(key)], F.lit(True).alias("__stored"))
     stored = [f"__t{i}" for i in range(len(key))]
+    hot_rows = hot_groups(cmds, list(key), hot_rows)
     joined = lookup(cmds, here, list(key), stored, hot_rows=hot_rows).drop(*stored)
     fault = F.col("error") if "error" in cmds.columns else F.lit(None).cast("string")
     if types is not None and "entity_type" in cmds.columns:
@@ -132,7 +134,6 @@ def plan_commands(
     joined = joined.withColumn("__fault", fault)
     valid, op = F.col("__fault").isNull(), F.col("operation")
     leaves = F.when(valid & (op == "Create"), F.lit(True)).when(valid & (op == "Delete"), F.lit(False))
-    out = running(joined, key, order, last={"__left": leaves}, hot_rows=hot_rows)
     exists = F.coalesce("__left", "__stored", F.lit(False))
     message = (
         F.when(~valid, F.col("__fault"))
@@ -140,9 +141,12 @@ def plan_commands(
         .when((op == "Update") & ~exists, "not found")
         .when(~op.isin("Create", "Update", "Delete"), F.concat(F.lit("unknown operation "), op))
     )
-    return out.withColumn("message", message).withColumn("success", F.col("message").isNull()).drop(
-        "__fault", "__left", "__stored"
-    )
+    reset = (F.col("success") & op.isin("Create", "Delete")).cast("int")
+    steps = [
+        Step(last={"__left": leaves}, derive={"message": message, "success": message.isNull()}),
+        Step(total={"__resets": reset}, derive={"segment": F.col("__resets") + reset}),
+    ]
+    return running_steps(joined, key, order, steps, hot_rows).drop("__fault", "__left", "__stored", "__resets")
 
 
 def command_results(planned: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -150,21 +154,16 @@ def command_results(planned: DataFrame, key: Sequence[str]) -> DataFrame:
     return planned.select("correlation_id", "operation", *key, "success", F.col("message").alias("error_message"))
 
 
-def apply_planned(
-    table: DataFrame, planned: DataFrame, key: Sequence[str], order: Sequence[str], hot_rows: Hot = None
-) -> DataFrame:
+def apply_planned(table: DataFrame, planned: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The table after the successful commands.
 
-    An Update sets only the supplied columns; a Create after a Delete starts empty. Successful
-    Creates and Deletes cut a key's commands into segments, and only the last segment counts. The
-    commands are reduced to one row per key by a partial aggregate before they meet the table.
+    An Update sets only the supplied columns; a Create after a Delete starts empty, so only the last
+    segment of a key counts. The commands are reduced to one row per key by a partial aggregate
+    before they meet the table.
     """
     values = [c for c in table.columns if c not in key]
-    done = planned.filter("success")
+    done = planned.filter("success").withColumnRenamed("segment", "__seg")
     reset = F.col("operation").isin("Create", "Delete")
-    done = running(done, key, order, total={"__seg": reset.cast("int")}, hot_rows=hot_rows).withColumn(
-        "__seg", F.col("__seg") + reset.cast("int")
-    )
     rank = F.struct("__seg", *order)
 
     def given(c: str) -> Column:
@@ -207,9 +206,8 @@ def apply_commands(
     hot_rows: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The table after the commands, and one result row per command."""
-    hot = hot_groups(cmds, list(key), hot_rows)
-    planned = plan_commands(table, cmds, key, order, types, hot)
-    return apply_planned(table, planned, key, order, hot), command_results(planned, key)
+    planned = plan_commands(table, cmds, key, order, types, hot_rows)
+    return apply_planned(table, planned, key, order), command_results(planned, key)
 
 
 def rename_target(fields: str, current: str | Column) -> Column:
@@ -256,7 +254,7 @@ def apply_with_renames(
 
         planned = plan_commands(work, marked.filter("__free"), [key], order, hot_rows=hot_rows)
         planned = _kept(planned, f"{path}/planned-{step}")
-        work = _kept(apply_planned(work, planned, [key], order, hot_rows), f"{path}/applied-{step}")
+        work = _kept(apply_planned(work, planned, [key], order), f"{path}/applied-{step}")
         moves = _kept(_moves(work, marked.filter("__turn"), key, new_key, values), f"{path}/moves-{step}")
         done = moves.filter("success")
         work = work.join(done.select(key), key, "left_anti").unionByName(

@@ -153,7 +153,7 @@ def apply_command_stream(
         current = table.read(number, batch)
         write_batch(plan_commands(current, batch, key, order, types, hot_rows), f"{path}/results", number)
         planned = spark.read.parquet(f"{path}/results/v={number}")
-        table.write(apply_planned(current, planned, key, order, hot_rows), planned, number)
+        table.write(apply_planned(current, planned, key, order), planned, number)
 
     return run(stream, step, f"{path}/checkpoint", every)
 
