@@ -15,13 +15,13 @@ from changeflow.functions.maps import text_map
 DEFAULT_LOOKBACK = timedelta(hours=1)
 # Cast names of mapping rules and the Spark types they mean.
 CAST_TYPES = {
-    "string": "string",
-    "int": "int",
-    "long": "bigint",
-    "double": "double",
-    "bool": "boolean",
-    "timestamp": "timestamp",
-    "date": "date",
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "long": T.LongType(),
+    "double": T.DoubleType(),
+    "bool": T.BooleanType(),
+    "timestamp": T.TimestampType(),
+    "date": T.DateType(),
 }
 
 _DURATION = re.compile(
@@ -98,7 +98,7 @@ def cast_value(value: str | Column, name: str, dtype: T.DataType) -> Column:
     text = plain_text(value, dtype)
     if name == "string":
         return text
-    if dtype.simpleString() == CAST_TYPES[name]:
+    if dtype == CAST_TYPES[name]:
         return value
     if name in ("int", "long"):
         return F.when(text.rlike(_INTEGER), F.trim(text).try_cast(CAST_TYPES[name]))

@@ -46,6 +46,8 @@ def with_history(
         known = known & (F.col("source_ts") - F.col("__at") <= F.lit(ttl))
     before = F.when(known, F.col("__row"))
     supplied = F.col("prev") if "prev" in df.columns else F.lit(None)
+    if "prev" in df.columns and isinstance(df.schema["prev"].dataType, T.MapType):
+        supplied = F.when(F.size("prev") > 0, F.col("prev"))  # an empty image is none
     return out.withColumns(
         {
             "prev": F.coalesce(supplied, before),
@@ -198,6 +200,8 @@ def dedup_requests(
     span = runs.filter(F.col("__size") > fold_rows).agg(F.max(F.col("__end") - F.col("__run"))).first()[0]
     if span is not None:
         busy = times.join(runs.filter(F.col("__size") > fold_rows).select("__id", "__run"), ["__id", "__run"], "left_semi")
+        busy.write.parquet(f"{path}/busy")
+        busy = spark.read.parquet(f"{path}/busy")
         accepted = accepted.unionByName(_reached(busy, micros, span, path, hot_rows))
 
     # The first row of an accepted (id, time) is the accepted one.

@@ -120,7 +120,7 @@ def _cast(value, rule, dtype, failed_casts):
     name = (rule.type or "").lower()
     if name not in CAST_TYPES:  # also an unknown type name leaves the value
         return value, None, dtype
-    target = T._parse_datatype_string(CAST_TYPES[name])
+    target = CAST_TYPES[name]
     if name == "string" or dtype == target:
         return cast_value(value, name, dtype), None, target
     typed, raw = cast_or_keep(value, name, dtype)

@@ -28,8 +28,8 @@ def write_events(df: DataFrame, path: str, ts: str = "source_ts", mode: str = "a
     dated.write.mode(mode).partitionBy("driver_id", "event_date").parquet(path)
 
 
-def dead_letter_reason(max_bytes: int = MAX_BYTES, errors: str | None = None) -> Column:
-    """Why an event cannot be published, NULL when it can."""
+def dead_letter_reason(max_bytes: int = MAX_BYTES, errors: str | None = None, kind: str | None = None) -> Column:
+    """Why an event cannot be published, NULL when it can; ``kind`` names a change-kind column to check."""
     subject = F.coalesce(F.col("subject"), F.lit(""))
     reason = (
         F.when(subject == "", "no address")
@@ -37,6 +37,8 @@ def dead_letter_reason(max_bytes: int = MAX_BYTES, errors: str | None = None) ->
         .when(F.col("envelope").isNull(), "not encodable")
         .when(F.octet_length("envelope") > max_bytes, "too large")
     )
+    if kind:
+        reason = F.when(F.col(kind).isNull() | ~F.col(kind).isin(*CHANGE_KINDS), "unknown change kind").otherwise(reason)
     return F.when(F.size(errors) > 0, "invalid").otherwise(reason) if errors else reason
 
 
@@ -44,7 +46,8 @@ def split_dead_letters(
     df: DataFrame, max_bytes: int = MAX_BYTES, prefix: str = DEAD_LETTER_PREFIX, errors: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Publishable events, and dead letters with ``reason`` and their dead-letter address."""
-    marked = df.withColumn("reason", dead_letter_reason(max_bytes, errors))
+    kind = "change_type" if "change_type" in df.columns else None
+    marked = df.withColumn("reason", dead_letter_reason(max_bytes, errors, kind))
     dead = marked.filter("reason is not null").withColumn(
         "subject", F.lower(F.concat_ws(".", F.lit(prefix), F.coalesce("subject", F.lit(""))))
     )

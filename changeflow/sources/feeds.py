@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from changeflow.functions.maps import text_map
 from changeflow.operators.lookup import lookup
@@ -92,6 +93,23 @@ def next_feed_version(feed: DataFrame, start: int) -> DataFrame:
     return feed.agg(F.coalesce(seen + 1, F.lit(start).cast("bigint")).alias("position"))
 
 
+def typed_rows(df: DataFrame, schema: str) -> DataFrame:
+    """``row`` and ``prev`` of a decoded feed as typed structs; they may be JSON text or text maps.
+
+    A value that does not parse as its type is NULL. After this a feed can be tracked, mapped and
+    published like any scanned table.
+    """
+    fields = T.StructType.fromDDL(schema).fields
+
+    def typed(name: str) -> Column:
+        if isinstance(df.schema[name].dataType, T.StringType):
+            return F.from_json(name, schema)
+        parts = [F.try_element_at(F.col(name), F.lit(f.name)).try_cast(f.dataType).alias(f.name) for f in fields]
+        return F.when(F.size(name) > 0, F.struct(*parts))
+
+    return df.withColumns({c: typed(c) for c in ("row", "prev") if c in df.columns})
+
+
 def decode_log_messages(df: DataFrame) -> DataFrame:
     """Decoded replication messages as raw changes.
 

@@ -100,7 +100,7 @@ def publish_changes(
         after = known.agg(F.max("seq")).first()[0] if known is not None else None
         history = tracker.history(batch, number)
         events = finish_events(history, driver, key, order, detected_at, after or 0, hot_rows)
-        marked = publishable(events).withColumn("reason", dead_letter_reason(max_bytes))
+        marked = publishable(events).withColumn("reason", dead_letter_reason(max_bytes, kind="change_type"))
         marked = marked.withColumn("outcome", F.when(F.col("reason").isNull(), "published").otherwise("dead_lettered"))
         marked.write.mode("overwrite").partitionBy("outcome").parquet(f"{path}/events/v={number}")
         done = spark.read.parquet(f"{path}/events/v={number}")

@@ -7,7 +7,6 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from changeflow.functions.values import cold_start
 from changeflow.sinks.tables import read_version, write_version
@@ -43,7 +42,7 @@ def scan_step(
         write_batch(found.withColumns({"driver_id": F.lit(driver_id), "source_ts": F.col("source_ts").cast("timestamp")}),
                     f"{path}/changes", number)
         rows = [(driver_id, name, at) for name, at in since.items()]
-        state = spark.createDataFrame(rows, T._parse_datatype_string(_STATE))
+        state = spark.createDataFrame(rows, _STATE)
         done = spark.read.parquet(f"{path}/changes/v={number}")
         write_version(advance_watermark(done, "source_ts", state), f"{path}/watermarks", number)
 

@@ -76,6 +76,12 @@ def test_sequence_is_optional(spark):
     assert events(spark, sequence=False).filter("seq is not null").count() == 0
 
 
+def test_unknown_kind_is_a_dead_letter(spark):
+    df = spark.createDataFrame([("a", "x", k) for k in ("Insert", "Upsert", None)], "subject string, envelope string, change_type string")
+    good, dead = split_dead_letters(df)
+    assert good.count() == 1 and [r.reason for r in dead.collect()] == ["unknown change kind"] * 2
+
+
 def test_dead_letters(spark):
     df = spark.createDataFrame(
         [("A.b", "x"), ("", "x"), (None, "x"), ("a.{y}", "x"), ("a", None), ("a", "x" * 50), ("a", "é" * 25)], "subject string, envelope string"

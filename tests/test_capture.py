@@ -136,6 +136,34 @@ def test_nested_attributes_last_value(spark):
     assert (rows[1].attributes, rows[1].categories) == (None, [])
 
 
+def test_decoded_feed_to_events(spark):
+    """Envelopes in JSON through to addressed events, with the images of the feed."""
+    from changeflow.operators.changes import with_history
+    from changeflow.plans.forward import Driver, finish_events
+
+    source = '"source":{"version":"2","connector":"pg","name":"d","ts_ms":%d,"table":"t"}'
+    feed = [
+        '{"payload":{"op":"r","after":{"id":1,"v":"a"},' + source % 1000 + "}}",
+        '{"payload":{"op":"u","before":{"id":1,"v":"x"},"after":{"id":1,"v":"b"},' + source % 2000 + "}}",
+        '{"payload":{"op":"r","before":{},"after":{"id":1,"v":"oops"},' + source % 3000 + "}}",
+        '{"payload":{"op":"d","before":{"id":1,"v":"c"},"after":null,' + source % 4000 + "}}",
+    ]
+    raw = feeds.typed_rows(feeds.decode_debezium(spark.createDataFrame([(f,) for f in feed], "value string")), "id int, v string")
+    raw = raw.withColumn("row", F.coalesce("row", "prev"))
+    events = finish_events(with_history(raw, ["id"], ["source_ts"]), Driver("d", "pg"), ["id"], ["source_ts"]).orderBy("seq")
+    got = [(r.change_type, r.fields.v, r.prev.v if r.prev else None, r.subject) for r in events.collect()]
+    assert got == [
+        ("Insert", "a", None, "cdc.pg.d.insert"), ("Update", "b", "x", "cdc.pg.d.update"), ("Update", "oops", "b", "cdc.pg.d.update"),
+        ("Delete", "c", "c", "cdc.pg.d.delete"),
+    ]
+
+
+def test_typed_rows_of_json(spark):
+    df = spark.sql("""select '{"a":1,"b":"x"}' row, cast(null as string) prev""")
+    r = feeds.typed_rows(df, "a int, b string").first()
+    assert (r.row.a, r.row.b, r.prev) == (1, "x", None)
+
+
 def test_feed_without_key_for_before_images(spark):
     feed = spark.sql("select 1 id, 'insert' _change_type, 3L _commit_version, timestamp'2026-01-01' _commit_timestamp")
     with pytest.raises(ValueError):
