@@ -97,11 +97,10 @@ def running_steps(
     hot = hot_groups(wide, keys, hot_rows)
     if not hot:
         return _plain_steps(wide, keys, orders, steps).select(*columns)
-    is_hot = F.xxhash64(*keys).isin(list(hot))
-    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-sum(hot.values()) // HOT_ROWS))
-    calm = _plain_steps(wide.filter(~is_hot), keys, orders, steps)
-    split = _split(wide.filter(is_hot), keys, orders, steps, parts)
-    return calm.select(*columns).unionByName(split.select(*columns))
+    calm, rows = _apart(wide, keys, orders, hot)
+    for step in steps:
+        rows = _split_step(rows, keys, step).withColumns(dict(step.derive))
+    return _plain_steps(calm, keys, orders, steps).select(*columns).unionByName(rows.select(*columns))
 
 
 def _names(df: DataFrame, values: Sequence[ColumnLike], prefix: str, made: dict[str, Column]) -> list[str]:
@@ -134,9 +133,24 @@ def _plain_steps(df, keys, orders, steps):
 def numbered(
     df: DataFrame, key: Sequence[ColumnLike], order: Sequence[ColumnLike], name: str, hot_rows: Hot = None
 ) -> DataFrame:
-    """Number the rows of each group 1, 2, 3 … in order."""
-    out = running(df, key, order, total={name: F.lit(1).cast("bigint")}, hot_rows=hot_rows)
-    return out.withColumn(name, F.col(name) + 1)
+    """Number the rows of each group 1, 2, 3 … in order.
+
+    In a hot group the number follows from the row's position, so its rows move only once.
+    """
+    made: dict[str, Column] = {}
+    keys, orders = _names(df, key, "__k", made), _names(df, order, "__o", made)
+    columns = [*(c for c in df.columns if c != name), name]
+    wide = df.withColumns(made)
+    plain = F.row_number().over(Window.partitionBy(*keys).orderBy(*orders)).cast("bigint")
+    hot = hot_groups(wide, keys, hot_rows)
+    if not hot:
+        return wide.withColumn(name, plain).select(*columns)
+    calm, rows = _apart(wide, keys, orders, hot)
+    ends = rows.groupBy(*keys, _PART).agg(F.count(F.lit(1)).alias("__n"), F.min(_POS).alias("__first"))
+    rows = rows.join(*_carried(ends, keys, {"__before": F.sum("__n")}, ["__first"]), "left").withColumn(
+        name, F.coalesce("__before", F.lit(0)) + F.col(_POS) - F.col("__first") + 1
+    )
+    return calm.withColumn(name, plain).select(*columns).unionByName(rows.select(*columns))
 
 
 def _plain(df, keys, orders, previous, last, total):
@@ -149,20 +163,39 @@ def _plain(df, keys, orders, previous, last, total):
     )
 
 
-def _split(df, keys, orders, steps, parts):
+def _apart(df, keys, orders, hot):
+    """Rows of ordinary groups, and rows of hot groups written in order with their position."""
     spark = df.sparkSession
+    is_hot = F.xxhash64(*keys).isin(list(hot))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-sum(hot.values()) // HOT_ROWS))
     path = shared_path(spark, "ordered")
     # monotonically_increasing_id is (partition << 33) + row; writing it out fixes it for good.
     (
-        df.repartitionByRange(parts, *keys, *orders)
+        df.filter(is_hot)
+        .repartitionByRange(parts, *keys, *orders)
         .sortWithinPartitions(*keys, *orders)
         .withColumn(_POS, F.monotonically_increasing_id())
         .write.parquet(path)
     )
-    rows = spark.read.parquet(path).withColumn(_PART, F.shiftright(_POS, 33))
-    for step in steps:
-        rows = _split_step(rows, keys, step).withColumns(dict(step.derive))
-    return rows
+    return df.filter(~is_hot), spark.read.parquet(path).withColumn(_PART, F.shiftright(_POS, 33))
+
+
+def _carried(ends, keys, values, keep=()):
+    """For a join on (key, partition): what the earlier partitions of the key amount to.
+
+    The table has at most one row per range partition plus one per hot group, so it is always small.
+    """
+    earlier = Window.partitionBy(*keys).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    carry = ends.select(
+        *[F.col(k).alias(f"__c{i}") for i, k in enumerate(keys)],
+        F.col(_PART).alias("__cpart"),
+        *keep,
+        *[v.over(earlier).alias(n) for n, v in values.items()],
+    )
+    same = F.col(_PART) == F.col("__cpart")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__c{i}"))
+    return F.broadcast(carry), same
 
 
 def _split_step(rows, keys, step):
@@ -180,19 +213,11 @@ def _split_step(rows, keys, step):
         *[F.max_by(v, F.when(F.col(v).isNotNull(), F.col(_POS))).alias(f"__e{n}") for n, v in last.items()],
         *[F.sum(v).alias(f"__e{n}") for n, v in total.items()],
     )
-    earlier = Window.partitionBy(*keys).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    carry = ends.select(
-        *[F.col(k).alias(f"__c{i}") for i, k in enumerate(keys)],
-        F.col(_PART).alias("__cpart"),
-        *[F.last(F.col(f"__e{n}"), ignorenulls=True).over(earlier).alias(f"__c{n}") for n in last],
-        *[F.coalesce(F.sum(f"__e{n}").over(earlier), F.lit(0)).alias(f"__c{n}") for n in total],
-    )
-    # At most one row per range partition plus one per hot group, so this is always small.
-    same = F.col(_PART) == F.col("__cpart")
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"__c{i}"))
-    joined = inside.join(F.broadcast(carry), same, "left").withColumns(
-        {n: F.coalesce(F.col(n), F.col(f"__c{n}")) for n in last} | {n: F.col(n) + F.col(f"__c{n}") for n in total}
+    values = {f"__c{n}": F.last(F.col(f"__e{n}"), ignorenulls=True) for n in last}
+    values |= {f"__c{n}": F.sum(f"__e{n}") for n in total}
+    joined = inside.join(*_carried(ends, keys, values), "left").withColumns(
+        {n: F.coalesce(F.col(n), F.col(f"__c{n}")) for n in last}
+        | {n: F.col(n) + F.coalesce(F.col(f"__c{n}"), F.lit(0)) for n in total}
     )
     named = joined.withColumns({n: F.col(f"__x{i}.v") for i, n in enumerate(previous)})
     return named.select(*columns, *step.previous, *step.last, *step.total)

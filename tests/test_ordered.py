@@ -56,22 +56,14 @@ def test_hot_groups_are_found(spark):
 
 
 def test_split_spreads_the_hot_group(spark):
-    """No task of the split form sees the whole group."""
+    """No partition of the split form holds the whole group, and numbering moves its rows once."""
     df = spark.range(8_000).select(F.lit(1).alias("key"), "id")
-    seen = []
-    original = ordered._split
-
-    def spy(rows, *args):
-        out = original(rows, *args)
-        seen.append(args[-1])
-        return out
-
-    ordered._split = spy
-    try:
-        ordered.numbered(df, ["key"], ["id"], "seq", hot_rows=0).count()
-    finally:
-        ordered._split = original
-    assert seen == [8]
+    calm, rows = ordered._apart(df, ["key"], ["id"], ordered.hot_groups(df, ["key"], 0))
+    assert calm.count() == 0
+    sizes = [r["count"] for r in rows.groupBy("__part").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2_000 and sum(sizes) == 8_000
+    plan = ordered.numbered(df, ["key"], ["id"], "seq", hot_rows=0).filter("seq > 0")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") == 1  # only the small carry table: the calm side is empty by its constant key
 
 
 def test_shared_shuffle(spark):
