@@ -11,7 +11,7 @@ from changeflow.functions.text import checkpoint_key, key_text, snapshot_key
 from changeflow.functions.values import cold_start, normalise_watermark
 from changeflow.operators.changes import current_state
 from changeflow.plans.tables import read
-from changeflow.sinks.checkpoints import checkpoints, merge_checkpoints, resume, save_checkpoints
+from changeflow.sinks.checkpoints import checkpoints, resume, save_checkpoints
 from changeflow.sinks.tables import read_version
 from changeflow.scratch import shared_path
 from changeflow.sources import feeds, scan

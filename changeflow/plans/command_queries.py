@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from changeflow.functions.maps import merge_attributes, text_map
+from changeflow.functions.maps import merge_attributes
 from changeflow.operators import writeback
 from changeflow.plans.reverse import command_columns
 from changeflow.plans.tables import read

@@ -12,6 +12,8 @@ SMALL_INPUT_BYTES = 64 * 1024 * 1024
 # Largest table, by the same statistics, that is sent to every executor on request.
 BROADCAST_BYTES = 32 * 1024 * 1024
 
+_local_dirs: dict[str, str] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; in local mode a fresh one when it is unset."""
@@ -20,9 +22,10 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="changeflow-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="changeflow-")
+    return _local_dirs[app]
 
 
 def shared_path(spark: SparkSession, label: str) -> str:

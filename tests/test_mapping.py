@@ -1,6 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
-
 from changeflow.functions.maps import merge_attributes, merge_metadata
 from changeflow.functions.text import sanitise_path, snapshot_key, subject_matches, subject_regex
 from changeflow.functions.values import document_fields, type_json_fields
