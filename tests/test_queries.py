@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from changeflow.plans import registry
 from conftest import SMALL
 from oracle import compare, connect
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = registry.QUERIES, registry.ORACLE
 
 
 @pytest.fixture(scope="module")
