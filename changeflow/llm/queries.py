@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changeflow.llm import language, quality, token_counts as counts, token_files as files
+from changeflow.llm import decontaminate, language, mixing, near_dedup, quality, substring_dedup, token_counts, token_files, url_lists, vector_search
 from changeflow.plans.tables import read
 
+# Lists of the URL query: kind, share of patterns that are ever listed (1 / n).
+LISTS = (("malware", "url", 11), ("spam", "host", 5), ("parked", "domain", 7), ("tracking", "prefix", 9), ("trusted", "host", 13))
+
 
 def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text")
@@ -18,6 +21,83 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def list_entries(pages: DataFrame) -> DataFrame:
+    """Dated list entries for hosts, domains, prefixes and URLs of the pages.
+
+    A hash of list and pattern decides whether and when a pattern is added, removed 60 days later, and added again after 90 more.
+    """
+    keys = pages.select(F.explode(url_lists.url_keys(F.col("url"))).alias("key")).select("key.kind", "key.pattern").distinct()
+    digit = lambda c: F.conv(F.substring(F.md5(c), 1, 4), 16, 10).cast("int")
+    parts = []
+    for name, kind, share in LISTS:
+        h = digit(F.concat(F.lit(name), F.col("pattern")))
+        steps = F.array(*[F.struct(F.lit(action).alias("action"), F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(h, F.lit(250)) + days).alias("dated")) for action, days in (("add", 0), ("remove", 60), ("add", 150))])
+        own = keys.where((F.col("kind") == kind) & (F.pmod(h, F.lit(share)) == 0))
+        parts.append(own.select(F.lit(name).alias("list"), "kind", "pattern", F.explode(steps).alias("s")).select("list", "kind", "pattern", "s.action", "s.dated"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def op2_url_lists(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read(spark, folder, "pages").select("page_id", "url")
+    captures = pages.withColumn("fetched_at", F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.col("page_id") * 7919, F.lit(400)).cast("int")).cast("timestamp"))
+    out = url_lists.judge(captures, list_entries(pages), allow=["trusted"])
+    return out.select("page_id", "url", F.date_format("fetched_at", "yyyy-MM-dd").alias("fetched_on"), F.array_join("lists", ",").alias("lists"), "blocked")
+
+
+_SQL_KEYS = r"""
+parts AS (
+  SELECT DISTINCT url AS u, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)(?::[0-9]*)?([^?#]*)(\?[^#]*)?', 1)) AS host,
+    regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)(?::[0-9]*)?([^?#]*)(\?[^#]*)?', 2) AS raw_path,
+    regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)(?::[0-9]*)?([^?#]*)(\?[^#]*)?', 3) AS query
+  FROM pages WHERE url IS NOT NULL),
+paths AS (SELECT u, host, CASE WHEN raw_path = '' THEN '/' ELSE raw_path END AS path, query FROM parts WHERE host <> ''),
+split AS (SELECT *, string_split(host, '.') AS labels, string_split(path, '/') AS segments FROM paths),
+keys AS (
+  SELECT u, 'url' AS kind, host || path || query AS pattern FROM split
+  UNION ALL SELECT u, 'host', host FROM split
+  UNION ALL SELECT u, 'domain', array_to_string(labels[i:], '.') FROM (SELECT u, labels, unnest(range(1, len(labels))) AS i FROM split)
+  UNION ALL SELECT u, 'prefix', host || array_to_string(segments[1:i], '/') || '/' FROM (SELECT u, host, segments, unnest(range(1, len(segments))) AS i FROM split))"""
+
+
+def _url_sql() -> str:
+    lists = " UNION ALL ".join(
+        f"SELECT '{name}' AS list, kind, pattern, ('0x' || substr(md5('{name}' || pattern), 1, 4))::BIGINT AS h FROM patterns WHERE kind = '{kind}' AND ('0x' || substr(md5('{name}' || pattern), 1, 4))::BIGINT % {share} = 0"
+        for name, kind, share in LISTS
+    )
+    return f"""WITH {_SQL_KEYS},
+patterns AS (SELECT DISTINCT kind, pattern FROM keys),
+listed AS ({lists}),
+valid AS (
+  SELECT list, kind, pattern, DATE '2024-01-01' + (h % 250)::INT AS valid_from, DATE '2024-01-01' + (h % 250 + 60)::INT AS valid_to FROM listed
+  UNION ALL SELECT list, kind, pattern, DATE '2024-01-01' + (h % 250 + 150)::INT, DATE '9999-01-01' FROM listed),
+captures AS (SELECT page_id, url, DATE '2024-01-01' + (((page_id * 7919) % 400 + 400) % 400)::INT AS fetched FROM pages),
+hits AS (
+  SELECT DISTINCT c.url, c.fetched, v.list FROM (SELECT DISTINCT url, fetched FROM captures) c JOIN keys k ON k.u = c.url
+  JOIN valid v ON v.kind = k.kind AND v.pattern = k.pattern AND v.valid_from <= c.fetched AND c.fetched < v.valid_to),
+lists AS (SELECT url, fetched, string_agg(list, ',' ORDER BY list) AS lists, bool_or(list = 'trusted') AS trusted FROM hits GROUP BY url, fetched)
+SELECT c.page_id, c.url, strftime(c.fetched, '%Y-%m-%d') AS fetched_on, coalesce(l.lists, '') AS lists, l.lists IS NOT NULL AND NOT l.trusted AS blocked
+FROM captures c LEFT JOIN lists l ON l.url = c.url AND l.fetched = c.fetched"""
+
+
+def op3_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicate_classes(read(spark, folder, "documents")).select("doc_id", "class_id", "class_size")
+
+
+def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.find_leaks(read(spark, folder, "documents").select("doc_id", "text"), read(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", (F.size("matches") > 0).alias("contaminated"), F.coalesce(F.array_max("matches.coverage"), F.lit(0.0)).alias("coverage"),
+        F.array_sort("matches.item_id").alias("item_ids"),
+    )
+
+
+def op5_vector_search(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_search.top_k(read(spark, folder, "embeddings"), F.col("id") % 50 == 0, k=5, scale=256)
+
+
 def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     model = language.learn(docs, F.pmod(F.crc32(F.col("id").cast("string")), F.lit(5)) != 0)
@@ -26,20 +106,35 @@ def op6_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
-    path = files.new_path(spark)
-    files.write_token_files(read(spark, folder, "documents"), path, "word_bpe_49k.json", end_id=1)
-    return files.read_token_files(spark, path)
+    path = token_files.new_path(spark)
+    token_files.write_token_files(read(spark, folder, "documents"), path, "word_bpe_49k.json", end_id=1)
+    return token_files.read_token_files(spark, path)
+
+
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.remove_repeats(read(spark, folder, "documents")).drop("kept")
+
+
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(read(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return counts.token_counts(read(spark, folder, "documents"), "byte_bpe_50k.json", limit=512)
+    return token_counts.token_counts(read(spark, folder, "documents"), "byte_bpe_50k.json", limit=512)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_quality": op1_quality,
-    "op6_language": op6_language,
-    "op7_token_files": op7_token_files,
-    "op10_token_counts": op10_token_counts,
+    f.__name__: f
+    for f in (op1_quality, op2_url_lists, op3_near_dedup, op4_decontaminate, op5_vector_search, op6_language, op7_token_files, op8_substring_dedup, op9_mixing, op10_token_counts)
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_url_lists": _url_sql(),
+    "op5_vector_search": """
+WITH whole AS (SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)::BIGINT) AS v FROM embeddings
+               WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+           FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5""",
+}
