@@ -106,12 +106,16 @@ def with_sequence(
 
 
 def with_event_id(df: DataFrame, parts: Sequence[str | Column], ts: str = "source_ts") -> DataFrame:
-    """A sortable id that is the same on every run: time in hex, then a hash of the given parts."""
-    cols = [F.coalesce((F.col(p) if isinstance(p, str) else p).cast("string"), F.lit("")) for p in parts]
+    """A sortable id that is the same on every run: time in hex, then the whole SHA-256 of the given parts.
+
+    Each part is written with its length, and a missing part with none, so different parts never give the same text.
+    """
+    texts = [(F.col(p) if isinstance(p, str) else p).cast("string") for p in parts]
+    cols = [F.coalesce(F.concat(F.octet_length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
     dtype = df.schema[ts].dataType
     stamp = F.col(ts).cast("timestamp") if isinstance(dtype, T.TimestampNTZType) else F.col(ts)
     millis = F.lpad(F.lower(F.hex(F.coalesce(F.unix_millis(stamp), F.lit(0)))), 12, "0")
-    return df.withColumn("event_id", F.concat(millis, F.substring(F.sha2(F.concat_ws("\x1f", *cols), 256), 1, 20)))
+    return df.withColumn("event_id", F.concat(millis, F.sha2(F.concat(*cols), 256)))
 
 
 def field_diff(df: DataFrame, new: str = "row", old: str = "prev") -> DataFrame:
@@ -159,13 +163,14 @@ def dedup_requests(
     ttl: timedelta = timedelta(minutes=5),
     tie: Sequence[str] = (),
     hot_rows: int | None = None,
+    fold_rows: int = FOLD_ROWS,
 ) -> DataFrame:
     """Add ``duplicate``: true within ``ttl`` after the last *accepted* row of the same request id.
 
     A row is accepted when no accepted row of its id lies less than ``ttl`` before it; duplicates do
     not extend the window. A run of rows without a gap of ``ttl`` starts with an accepted row, and a
     run shorter than ``ttl`` accepts nothing else, so most ids need one ordered pass. Longer runs of
-    up to ``FOLD_ROWS`` times are folded in order. Still longer ones are followed by doubling: each
+    up to ``fold_rows`` times are folded in order. Still longer ones are followed by doubling: each
     time points to the first one at least ``ttl`` later, and those reached from the start of a run
     are found in a number of joins that grows with the logarithm of the longest run, so one very
     busy id stays parallel.
@@ -192,14 +197,13 @@ def dedup_requests(
     times = spark.read.parquet(f"{path}/times")
 
     accepted = times.filter("__head").select("__id", "__at")
-    fold_rows = FOLD_ROWS if hot_rows is None else hot_rows
     runs = times.groupBy("__id", "__run").agg(F.max("__at").alias("__end"), F.count(F.lit(1)).alias("__size"))
     runs = runs.filter(F.col("__end") - F.col("__run") >= micros)
-    short = times.join(runs.filter(F.col("__size") <= fold_rows).select("__id", "__run"), ["__id", "__run"], "left_semi")
+    short = _of_runs(times, runs.filter(F.col("__size") <= fold_rows))
     accepted = accepted.unionByName(_folded(short, micros))
     span = runs.filter(F.col("__size") > fold_rows).agg(F.max(F.col("__end") - F.col("__run"))).first()[0]
     if span is not None:
-        busy = times.join(runs.filter(F.col("__size") > fold_rows).select("__id", "__run"), ["__id", "__run"], "left_semi")
+        busy = _of_runs(times, runs.filter(F.col("__size") > fold_rows))
         busy.write.parquet(f"{path}/busy")
         busy = spark.read.parquet(f"{path}/busy")
         accepted = accepted.unionByName(_reached(busy, micros, span, path, hot_rows))
@@ -207,12 +211,24 @@ def dedup_requests(
     # The first row of an accepted (id, time) is the accepted one.
     firsts = accepted.select(F.col("__id").alias("__fid"), F.col("__at").alias("__fat"), F.lit(True).alias("__ok"))
     marked = numbered(rows, [request, "__at"], list(tie) or ["__at"], "__n", hot_rows)
-    out = lookup(marked, firsts, [request, "__at"], ["__fid", "__fat"], null_safe=True, hot_rows=hot_rows)
+    out = lookup(marked, firsts, [request, "__at"], ["__fid", "__fat"], null_safe=True)
     return out.withColumn("duplicate", F.col("__ok").isNull() | (F.col("__n") > 1)).select(*df.columns, "duplicate")
 
 
+def _of_runs(times: DataFrame, runs: DataFrame) -> DataFrame:
+    """The times of some runs; a NULL request id is an id like any other."""
+    wanted = runs.select(F.col("__id").alias("__rid"), F.col("__run").alias("__rrun"))
+    return times.join(wanted, F.col("__id").eqNullSafe(F.col("__rid")) & (F.col("__run") == F.col("__rrun")), "left_semi")
+
+
+def _same_id(left: DataFrame, right: DataFrame, time: str, how: str = "inner") -> DataFrame:
+    """Join on ("__id", time), NULL ids included."""
+    other = right.withColumnsRenamed({"__id": "__oid", time: "__otime"})
+    return left.join(other, F.col("__id").eqNullSafe(F.col("__oid")) & (F.col(time) == F.col("__otime")), how)
+
+
 def _folded(runs: DataFrame, micros: int) -> DataFrame:
-    """Accepted times after the head of runs that hold at most ``FOLD_ROWS`` times."""
+    """Accepted times after the head of runs that are short enough to be one row each."""
     ats = F.sort_array(F.collect_list("__at"))
     keep = F.aggregate(
         F.col("__ats"),
@@ -221,7 +237,7 @@ def _folded(runs: DataFrame, micros: int) -> DataFrame:
     )
     return (
         runs.groupBy("__id", "__run").agg(ats.alias("__ats"))
-        .select("__id", F.explode(F.slice(keep, 2, FOLD_ROWS + 1)).alias("__at"))
+        .select("__id", F.explode(F.slice(keep, 2, F.size(keep))).alias("__at"))
     )
 
 
@@ -246,11 +262,11 @@ def _reached(busy: DataFrame, micros: int, span: int, path: str, hot_rows: int |
         jump = spark.read.parquet(f"{path}/jump-{level}")
         jumps.append(jump)
         step = jump.select("__id", F.col("__at").alias("__next"), F.col("__next").alias("__far"))
-        jump = jump.join(step, ["__id", "__next"]).select("__id", "__at", F.col("__far").alias("__next"))
+        jump = _same_id(jump, step, "__next").select("__id", "__at", F.col("__far").alias("__next"))
     reached = busy.filter("__head").select("__id", "__at")
     for level in reversed(range(levels)):
-        far = reached.join(jumps[level], ["__id", "__at"]).select("__id", F.col("__next").alias("__at"))
+        far = _same_id(reached, jumps[level], "__at").select("__id", F.col("__next").alias("__at"))
         reached = reached.unionByName(far)
         reached.write.parquet(f"{path}/reached-{level}")
         reached = spark.read.parquet(f"{path}/reached-{level}")
-    return reached.join(busy.filter("__head").select("__id", "__at"), ["__id", "__at"], "left_anti")
+    return _same_id(reached, busy.filter("__head").select("__id", "__at"), "__at", "left_anti")

@@ -1,9 +1,4 @@
-"""Joining a wide table with one that has at most one row per key, whatever the key distribution.
-
-A small lookup table is broadcast. Otherwise keys that hold very many rows on the wide side are
-found with the heavy-hitter sketch of ``ordered``; their rows meet a broadcast of just those lookup
-rows, of which there is at most one per hot key, and all other rows take a shuffled join.
-"""
+"""Joining a wide table with one that has at most one row per key."""
 
 from __future__ import annotations
 
@@ -12,9 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow import scratch
-from changeflow.operators.ordered import Hot, hot_groups
-
 
 def lookup(
     df: DataFrame,
@@ -23,20 +15,15 @@ def lookup(
     right: Sequence[str],
     how: str = "left",
     null_safe: bool = False,
-    hot_rows: Hot = None,
 ) -> DataFrame:
-    """``df`` joined with ``table``, whose key columns ``right`` are unique and named unlike any of ``df``."""
-    left = [F.col(c) if isinstance(c, str) else c for c in left]
+    """``df`` joined with ``table``, whose key columns ``right`` are unique and named unlike any of ``df``.
+
+    A plain equi-join at every size, so the result never depends on it. Spark broadcasts the table if
+    it turns out small at run time, and splits the partitions of hot keys of ``df`` (adaptive skew join) if not.
+    """
     on = None
     for a, b in zip(left, right):
+        a = F.col(a) if isinstance(a, str) else a
         same = a.eqNullSafe(F.col(b)) if null_safe else a == F.col(b)
         on = same if on is None else on & same
-    if scratch.small(table, scratch.BROADCAST_BYTES):
-        return df.join(F.broadcast(table), on, how)
-    hot = list(hot_groups(df, left, hot_rows))
-    if not hot:
-        return df.join(table, on, how)
-    is_hot = F.xxhash64(*left).isin(hot)
-    types = [f.dataType for f in df.select(*left).schema.fields]
-    few = table.filter(F.xxhash64(*[F.col(b).cast(t) for b, t in zip(right, types)]).isin(hot))
-    return df.filter(~is_hot).join(table, on, how).unionByName(df.filter(is_hot).join(F.broadcast(few), on, how))
+    return df.join(table, on, how)

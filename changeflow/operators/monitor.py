@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from changeflow.functions.values import moment
 from changeflow.operators.lookup import lookup
 
 # Allowed lifecycle transitions (state, action, next state).
@@ -65,24 +67,52 @@ def heartbeats(
     )
 
 
-def throughput(
-    events: DataFrame, size: str = "5 minutes", slide: str = "1 minute", ts: str = "detected_at", late: str | None = None
+def heartbeats_of_all(
+    events: DataFrame, drivers: DataFrame, start: datetime, end: datetime, every: timedelta = timedelta(seconds=30), ts: str = "ts"
 ) -> DataFrame:
-    """Per driver and sliding window: events, events per minute, greatest lag in seconds, dead letters.
+    """A row per driver and window of [start, end), also where a driver was silent (0 events)."""
+    dtype = events.schema[ts].dataType
+    first, last = moment(start, dtype), moment(end, dtype) - F.lit(timedelta(microseconds=1))
+    size = f"{int(every.total_seconds())} seconds"
+    grid = drivers.select("driver_id").distinct().withColumn("t", F.explode(F.sequence(first, last, F.lit(every))))
+    grid = grid.select(F.window("t", size).alias("w"), "driver_id").select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "driver_id")
+    counted = heartbeats(events.filter((F.col(ts) >= first) & (F.col(ts) <= last)), size, ts)
+    return grid.join(counted, ["window_start", "window_end", "driver_id"], "left").withColumn(
+        "events", F.coalesce("events", F.lit(0).cast("bigint"))
+    )
+
+
+def minute_rollup(events: DataFrame, ts: str = "detected_at", late: str | None = None) -> DataFrame:
+    """Per driver and minute: events, greatest lag in seconds, dead letters. One partial aggregate over the raw rows.
 
     events: driver_id, detected_at, source_ts, dead BOOLEAN; ``late`` sets the watermark of a stream.
     """
     if late is not None:
         events = events.withWatermark(ts, late)
     lag = (F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("source_ts").cast("timestamp"))) / 1e6
+    return (
+        events.groupBy(F.window(ts, "1 minute").alias("w"), "driver_id")
+        .agg(F.count(F.lit(1)).alias("events"), F.max(lag).alias("max_lag_seconds"), F.count_if("dead").alias("dead_letters"))
+        .select(F.col("w.start").alias("minute"), "driver_id", "events", "max_lag_seconds", "dead_letters")
+    )
+
+
+def throughput(
+    events: DataFrame, size: str = "5 minutes", slide: str = "1 minute", ts: str = "detected_at"
+) -> DataFrame:
+    """Per driver and sliding window of whole minutes: events, events per minute, greatest lag in seconds, dead letters.
+
+    The windows slide over the minute rollup, so what is multiplied is a row per driver and minute, not the events.
+    """
+    return slide_minutes(minute_rollup(events, ts), size, slide)
+
+
+def slide_minutes(rollup: DataFrame, size: str, slide: str = "1 minute") -> DataFrame:
+    """Sliding windows over a minute rollup."""
     minutes = F.unix_seconds(F.col("w.end").cast("timestamp")) - F.unix_seconds(F.col("w.start").cast("timestamp"))
     return (
-        events.groupBy(F.window(ts, size, slide).alias("w"), "driver_id")
-        .agg(
-            F.count(F.lit(1)).alias("events"),
-            F.max(lag).alias("max_lag_seconds"),
-            F.count_if("dead").alias("dead_letters"),
-        )
+        rollup.groupBy(F.window("minute", size, slide).alias("w"), "driver_id")
+        .agg(F.sum("events").alias("events"), F.max("max_lag_seconds").alias("max_lag_seconds"), F.sum("dead_letters").alias("dead_letters"))
         .select(
             F.col("w.start").alias("window_start"), "driver_id", "events",
             (F.col("events") * 60 / minutes).alias("events_per_minute"), "max_lag_seconds", "dead_letters",
@@ -90,6 +120,14 @@ def throughput(
     )
 
 
+def dead_letters_within(rollup: DataFrame, hours: int = 24) -> DataFrame:
+    """Per driver and minute with events: the dead letters of the ``hours`` up to the end of that minute."""
+    at = F.unix_seconds(F.col("minute").cast("timestamp"))
+    back = Window.partitionBy("driver_id").orderBy("__at").rangeBetween(-hours * 3600 + 60, 0)
+    out = rollup.withColumn("__at", at).withColumn("dead_letters", F.sum("dead_letters").over(back))
+    return out.select("minute", "driver_id", "dead_letters")
+
+
 def outcome_counts(log: DataFrame, outcome: str = "outcome") -> DataFrame:
     """Published, dead-lettered and retried messages per driver."""
     return log.groupBy("driver_id").agg(

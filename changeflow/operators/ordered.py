@@ -2,13 +2,12 @@
 
 A window function sends a whole group to one task. That is fine for ordinary keys, but a key that
 holds a large share of the rows would make one task do most of the work. So groups are measured
-first: a heavy-hitter sketch over the key hash (one aggregate, no shuffle of rows) names the groups
-above ``hot_rows``. All other groups take the plain window. The hot ones are range-partitioned by
+first: rows and bytes per key hash, counted exactly and summed before the shuffle, name the groups
+above ``HOT_ROWS`` rows or ``HOT_BYTES`` bytes. All other groups take the plain window. The hot ones are range-partitioned by
 (key, order), written once to the shared folder with a row position, and computed per partition;
 the partitions are then stitched with a carry table of one row per (key, partition).
 
-Any group above about 0.05 % of the rows is found by the sketch. A group that is missed is still
-computed correctly, by the plain window.
+Both ways give the same values; the measurement only decides how a group is computed.
 """
 
 from __future__ import annotations
@@ -18,13 +17,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from changeflow.scratch import shared_path, small
 
 HOT_ROWS = 5_000_000
-MAX_HOT_GROUPS = 2_000
-SKETCH_ITEMS = 16_384
-MEASURED_SHARE = 0.1
+HOT_BYTES = 1 << 30
 
 _POS, _PART, _HASH = "__pos", "__part", "__hash"
 
@@ -34,24 +32,49 @@ Hot = int | dict[int, int] | None
 
 
 def hot_groups(df: DataFrame, key: Sequence[ColumnLike], hot_rows: Hot = None) -> dict[int, int]:
-    """Key hash → estimated rows of every group above ``hot_rows``.
+    """Key hash → rows of every group above ``hot_rows`` rows (default HOT_ROWS, or HOT_BYTES bytes).
 
-    Without an explicit threshold small inputs are not measured: they cannot hold a large group.
-    Large inputs are measured on a tenth of the rows; this only decides how a group is computed.
-    Several passes over the same key can share one measurement by passing it on.
+    Without an explicit threshold small inputs are not measured: they cannot hold a large group. The
+    groups found are at most the table's size divided by the limit. Several passes over the same key
+    can share one measurement by passing it on.
     """
     if isinstance(hot_rows, dict):
         return hot_rows
-    is_small = small(df)
-    if hot_rows is None and is_small:
+    if hot_rows is None and small(df):
         return {}
-    share = 1.0 if is_small else MEASURED_SHARE
-    keys = df.select(F.xxhash64(*key).alias(_HASH))
-    keys = keys if is_small else keys.sample(share, seed=1)
-    top = keys.agg(F.expr(f"approx_top_k({_HASH}, {MAX_HOT_GROUPS}, {SKETCH_ITEMS})").alias("top")).first()["top"]
-    limit = HOT_ROWS if hot_rows is None else hot_rows
-    counts = {t["item"]: int(t["count"] / share) for t in top or []}
-    return {item: rows for item, rows in counts.items() if rows > limit}
+    columns = [F.xxhash64(*key).alias(_HASH)] + ([_row_bytes(df.schema).alias("__bytes")] if hot_rows is None else [])
+    groups = df.select(*columns).groupBy(_HASH)
+    if hot_rows is not None:
+        large = groups.agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > hot_rows)
+    else:
+        large = groups.agg(F.count(F.lit(1)).alias("rows"), F.sum("__bytes").alias("bytes")).filter(
+            (F.col("rows") > HOT_ROWS) | (F.col("bytes") > HOT_BYTES)
+        )
+    return {r[_HASH]: r["rows"] for r in large.select(_HASH, "rows").collect()}
+
+
+def _row_bytes(schema: T.StructType) -> Column:
+    """About how many bytes a row takes: the lengths of its texts, and a fixed size for everything else."""
+    fixed, texts = 0, []
+
+    def visit(field_type: T.DataType, value: Column) -> None:
+        nonlocal fixed
+        if isinstance(field_type, (T.StringType, T.BinaryType)):
+            texts.append(F.coalesce(F.octet_length(value), F.lit(0)).cast("bigint"))
+        elif isinstance(field_type, T.StructType):
+            for f in field_type.fields:
+                visit(f.dataType, value.getField(f.name))
+        elif isinstance(field_type, (T.ArrayType, T.MapType)):
+            texts.append(F.greatest(F.size(value), F.lit(0)).cast("bigint") * 32)
+        else:
+            fixed += 8
+
+    for f in schema.fields:
+        visit(f.dataType, F.col(f"`{f.name}`"))
+    total = F.lit(fixed).cast("bigint")
+    for t in texts:
+        total = total + t
+    return total
 
 
 @dataclass(frozen=True)
@@ -183,7 +206,8 @@ def _apart(df, keys, orders, hot):
 def _carried(ends, keys, values, keep=()):
     """For a join on (key, partition): what the earlier partitions of the key amount to.
 
-    The table has at most one row per range partition plus one per hot group, so it is always small.
+    The table has one row per range partition and hot group in it; its rows may be wide, so Spark decides by its
+    measured size whether it is broadcast.
     """
     earlier = Window.partitionBy(*keys).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     carry = ends.select(
@@ -195,7 +219,7 @@ def _carried(ends, keys, values, keep=()):
     same = F.col(_PART) == F.col("__cpart")
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"__c{i}"))
-    return F.broadcast(carry), same
+    return carry, same
 
 
 def _split_step(rows, keys, step):

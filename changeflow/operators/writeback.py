@@ -123,7 +123,7 @@ def plan_commands(
     here = table.select(*[F.col(k).alias(f"__t{i}") for i, k in enumerate(key)], F.lit(True).alias("__stored"))
     stored = [f"__t{i}" for i in range(len(key))]
     hot_rows = hot_groups(cmds, list(key), hot_rows)
-    joined = lookup(cmds, here, list(key), stored, hot_rows=hot_rows).drop(*stored)
+    joined = lookup(cmds, here, list(key), stored).drop(*stored)
     fault = F.col("error") if "error" in cmds.columns else F.lit(None).cast("string")
     if types is not None and "entity_type" in cmds.columns:
         unsupported = F.when(
@@ -244,10 +244,10 @@ def apply_with_renames(
             open_renames.select(F.col(new_key).alias("__k"), "__rank")
         )
         first = mentions.groupBy("__k").agg(F.min("__rank").alias("__first"))
-        marked = lookup(pending, first, [key], ["__k"], hot_rows=hot_rows).drop("__k")
+        marked = lookup(pending, first, [key], ["__k"]).drop("__k")
         target = first.select(F.col("__k").alias("__nk"), F.col("__first").alias("__nfirst"))
         wanted = F.when(F.col("__rename"), F.col(new_key))
-        marked = lookup(marked, target, [wanted], ["__nk"], hot_rows=hot_rows).drop("__nk")
+        marked = lookup(marked, target, [wanted], ["__nk"]).drop("__nk")
         free = ~F.col("__rename") & (F.col("__first").isNull() | (F.col("__rank") < F.col("__first")))
         turn = F.col("__rename") & (F.col("__rank") == F.col("__first")) & (F.col("__rank") == F.col("__nfirst"))
         marked = _kept(marked.withColumns({"__free": free, "__turn": turn}), f"{path}/marked-{step}")
@@ -324,14 +324,16 @@ def suppress_echo(
 ) -> DataFrame:
     """Drop the first change of each session that an applied command opened, once per session.
 
-    The first change is found by a partial aggregate, so a busy session is reduced before a shuffle.
+    Session names ignore case. The first change is found by a partial aggregate, so a busy session is
+    reduced before a shuffle.
     """
-    known = sessions.select(F.col(session).alias("__s")).distinct()
+    name = F.lower(F.col(session).cast("string"))
+    known = sessions.select(name.alias("__s")).distinct()
     first = (
         changes.filter(F.col(session).isNotNull())
-        .groupBy(F.col(session).alias("__s"))
+        .groupBy(name.alias("__s"))
         .agg(F.min(F.struct(*order)).alias("__first"))
         .join(known, "__s", "left_semi")
     )
-    on = (F.col(session) == F.col("__s")) & (F.struct(*order) == F.col("__first"))
+    on = (name == F.col("__s")) & (F.struct(*order) == F.col("__first"))
     return changes.join(first, on, "left_anti")

@@ -11,7 +11,7 @@ from changeflow.functions.text import checkpoint_key, key_text, snapshot_key
 from changeflow.functions.values import cold_start, normalise_watermark
 from changeflow.operators.changes import current_state
 from changeflow.plans.tables import read
-from changeflow.sinks.checkpoints import checkpoints, resume, save_checkpoints
+from changeflow.sinks.checkpoints import checkpoints, positions, resume, save_checkpoints
 from changeflow.sinks.tables import read_version
 from changeflow.scratch import shared_path
 from changeflow.sources import feeds, scan
@@ -145,7 +145,8 @@ def checkpoint_rollup(spark, sf):
 
 def checkpoint_merge(spark, sf):
     rows = _positions(spark, sf)
-    old = checkpoints(rows.filter("source_ts < '2024-01-15'"))
+    """Positions of all events, then those of a source that was set back for two entities."""
+    old = checkpoints(rows)
     new = checkpoints(rows.filter("source_ts < '2024-01-10' and entity in ('click', 'view')"))
     path = shared_path(spark, "checkpoints")
     save_checkpoints(old, path)
@@ -159,6 +160,22 @@ def resume_from_checkpoint(spark, sf):
     return resume(rows, stored, "source_ts", datetime(2024, 1, 25)).select("entity", "event_id", "source_ts")
 
 
+def resume_by_kind(spark, sf):
+    """Positions of three kinds in one checkpoint table: a time, an event id, a version number."""
+    rows = _positions(spark, sf).withColumn("event_number", F.col("seq"))
+    sparse = rows.withColumn("source_ts", F.when(F.col("entity") == "click", F.col("source_ts")))
+    stored = checkpoints(sparse.filter("detected_at < '2024-01-15' and entity in ('click', 'view')"))
+    by_time = resume(rows, stored, "source_ts", datetime(2024, 1, 25), id_col="event_number").select("entity", "event_id", F.lit("time").alias("kind"))
+    log = _tracking_log(spark, sf).withColumns({"driver_id": F.lit("ct"), "entity": F.col("operation")})
+    state = log.groupBy("driver_id", "entity").agg(F.max(F.when(F.col("version") < 1500, F.col("version"))).alias("version"))
+    kept = positions(state.filter("entity <> 'D'"), "version")
+    path = shared_path(spark, "positions")
+    save_checkpoints(stored.select("driver_id", "entity", "position", F.col("updated_at").cast("timestamp").alias("updated_at")), path)
+    save_checkpoints(kept, path)
+    by_version = resume(log, read_version(spark, path), "version", 2000)
+    return by_time.unionByName(by_version.select("entity", F.concat_ws("-", "o_orderkey", "version").alias("event_id"), F.lit("version").alias("kind")))
+
+
 def snapshot_deletes(spark, sf):
     changes = line_changes(spark, sf)
     before, now = line_state(changes.filter("source_ts < '1999-01-01'")), line_state(changes)
@@ -202,7 +219,9 @@ def _tracking_log(spark, sf) -> DataFrame:
 
 
 def change_tracking_join(spark, sf):
-    table = read(spark, sf, "orders").filter("o_orderstatus <> 'F'").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    """All orders; those in status F have keys that the log does not name."""
+    key = F.when(F.col("o_orderstatus") == "F", F.col("o_orderkey") + 1_000_000_000).otherwise(F.col("o_orderkey"))
+    table = read(spark, sf, "orders").select(key.alias("o_orderkey"), "o_orderstatus", "o_totalprice")
     return feeds.changes_join_current(_tracking_log(spark, sf), table, ["o_orderkey"], 1000)
 
 
@@ -337,7 +356,7 @@ QUERIES = {
     for f in (
         incremental_scan, cold_start_scan, filtered_scan, watermark_advance, multi_entity_scan, shared_scan,
         watermark_kinds, key_texts, late_overlap, anchored_scan, checkpoint_rollup, checkpoint_merge,
-        resume_from_checkpoint, snapshot_deletes, snapshot_changes, graph_scan, change_tracking_join,
+        resume_from_checkpoint, resume_by_kind, snapshot_deletes, snapshot_changes, graph_scan, change_tracking_join,
         version_advance, change_feed, change_feed_latest, change_feed_before, change_feed_position, log_decode,
         debezium_decode, discover_tables, discover_keys,
     )
@@ -394,12 +413,20 @@ ORACLE = {
         arg_max(ts, event_id) AS updated_at, 'web.' || event_type AS key FROM events GROUP BY event_type""",
     "checkpoint_merge": f"""SELECT 'web' AS driver_id, event_type AS entity, arg_max({_ISO}, event_id) AS position,
         arg_max(ts, event_id) AS updated_at FROM events
-        WHERE ts < CASE WHEN event_type IN ('click', 'view') THEN TIMESTAMP '2024-01-10' ELSE TIMESTAMP '2024-01-15' END
+        WHERE event_type NOT IN ('click', 'view') OR ts < TIMESTAMP '2024-01-10'
         GROUP BY event_type""",
     "resume_from_checkpoint": """WITH s AS (SELECT event_type AS t, arg_max(ts, event_id) AS p FROM events
           WHERE ts < TIMESTAMP '2024-01-15' AND event_type <> 'signup' GROUP BY 1)
         SELECT event_type AS entity, event_id::VARCHAR AS event_id, ts AS source_ts FROM events LEFT JOIN s ON event_type = t
         WHERE ts > coalesce(p, TIMESTAMP '2024-01-25')""",
+    "resume_by_kind": f"""WITH {_LOG_SQL}, s AS (SELECT event_type AS t, max(event_id) AS i, arg_max(ts, event_id) AS p FROM events
+          WHERE ts < TIMESTAMP '2024-01-15' AND event_type IN ('click', 'view') GROUP BY 1),
+        raw AS (SELECT l_orderkey AS k, date_diff('day', DATE '1995-01-01', l_shipdate::DATE) AS version,
+          CASE WHEN l_linenumber = 7 THEN 'X' WHEN l_returnflag = 'N' THEN 'I' WHEN l_returnflag = 'A' THEN 'U' ELSE 'D' END AS op FROM lineitem),
+        m AS (SELECT op, max(version) FILTER (version < 1500) AS v FROM raw WHERE op <> 'D' GROUP BY 1)
+        SELECT event_type AS entity, event_id::VARCHAR AS event_id, 'time' AS kind FROM events LEFT JOIN s ON event_type = t
+        WHERE CASE WHEN event_type = 'view' AND t IS NOT NULL THEN event_id > i ELSE ts > coalesce(p, TIMESTAMP '2024-01-25') END
+        UNION ALL SELECT raw.op, k || '-' || version, 'version' FROM raw LEFT JOIN m ON raw.op = m.op WHERE version > coalesce(v, 2000)""",
     "snapshot_deletes": f"""WITH b AS ({_line_state_sql("WHERE l_shipdate < TIMESTAMP '1999-01-01'")}), n AS ({_line_state_sql()})
         SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM b
         WHERE (l_orderkey, l_linenumber) NOT IN (SELECT (l_orderkey, l_linenumber) FROM n)""",
@@ -413,7 +440,7 @@ ORACLE = {
     "change_tracking_join": f"""WITH {_LOG_SQL} SELECT version, kind AS change_type, k AS o_orderkey,
         CASE WHEN kind <> 'Delete' THEN o_orderstatus END AS o_orderstatus,
         CASE WHEN kind <> 'Delete' THEN o_totalprice END AS o_totalprice
-        FROM log LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus <> 'F') ON k = o_orderkey WHERE version > 1000""",
+        FROM log LEFT JOIN (SELECT * REPLACE (o_orderkey + CASE WHEN o_orderstatus = 'F' THEN 1000000000 ELSE 0 END AS o_orderkey) FROM orders) ON k = o_orderkey WHERE version > 1000""",
     "version_advance": f"WITH {_LOG_SQL} SELECT max(version) AS position FROM log WHERE version > 1000 UNION ALL SELECT 1000",
     "change_feed": f"""WITH {_FEED_SQL} SELECT v AS version, {_FEED_KIND} AS change_type, o_orderkey, priority FROM feed
         WHERE v >= 365 AND t <> 'update_preimage'""",

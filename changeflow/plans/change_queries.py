@@ -10,7 +10,7 @@ from changeflow.operators import changes
 from changeflow.operators.ordered import numbered
 from changeflow.plans.capture_queries import LINE_KEY, LINE_ORDER, LINE_ORDER_SQL, line_changes
 from changeflow.plans.forward import Driver, change_events as build_events
-from changeflow.plans.tables import read
+from changeflow.plans.tables import numbered_as_given, read
 from changeflow.sources import scan
 
 SINCE = datetime(2024, 1, 3)
@@ -30,8 +30,8 @@ def event_order():
     return ["source_ts", F.col("row.event_id")]
 
 
-def _change_events(spark, sf, hot_rows=None):
-    raw = event_changes(spark, sf, SINCE)
+def _change_events(spark, sf, hot_rows=None, since=SINCE):
+    raw = event_changes(spark, sf, since)
     out = build_events(raw, WEB, ["user_id"], event_order(), detected_at=F.col("source_ts"), hot_rows=hot_rows)
     return out.select(
         F.col("fields.event_id").alias("source_event_id"), "pk.user_id", "source_ts", "change_type", "driver_id", "context",
@@ -44,6 +44,11 @@ def change_events(spark, sf):
     return _change_events(spark, sf)
 
 
+def change_events_whole(spark, sf):
+    """Without a watermark: the whole table."""
+    return _change_events(spark, sf, since=None)
+
+
 def change_events_split(spark, sf):
     """The same with every key treated as too large for one task."""
     return _change_events(spark, sf, hot_rows=0)
@@ -112,9 +117,9 @@ def sequence_numbers(spark, sf):
     )
 
 
-def _dedup(spark, sf, hours, hot_rows=None):
+def _dedup(spark, sf, hours, **options):
     events = read(spark, sf, "events").select("event_id", "user_id", "ts")
-    return changes.dedup_requests(events, "user_id", "ts", timedelta(hours=hours), tie=["event_id"], hot_rows=hot_rows)
+    return changes.dedup_requests(events, "user_id", "ts", timedelta(hours=hours), tie=["event_id"], **options)
 
 
 def dedup_requests(spark, sf):
@@ -122,20 +127,20 @@ def dedup_requests(spark, sf):
 
 
 def dedup_requests_split(spark, sf):
-    return _dedup(spark, sf, 48, hot_rows=20)
+    return _dedup(spark, sf, 48, hot_rows=20, fold_rows=20)
 
 
 def key_history(spark, sf):
-    """All changes of the keys of one type, newest first."""
-    raw = event_changes(spark, sf)
-    out = changes.key_history(raw, {"event_type": "purchase"}, ["source_ts"])
-    return out.select("row.event_id", "row.user_id", "source_ts")
+    """All changes of one key, newest first."""
+    raw = event_changes(spark, sf).withColumn("event_id", F.col("row.event_id"))
+    out = changes.key_history(raw, {"user_id": 7}, ["source_ts", "event_id"])
+    return numbered_as_given(out.select("event_id", "row.user_id", "source_ts"))
 
 
 QUERIES = {
     f.__name__: f
     for f in (
-        change_events, change_events_split, line_events, supplied_before_image, resolved_kinds, forgotten_state,
+        change_events, change_events_whole, change_events_split, line_events, supplied_before_image, resolved_kinds, forgotten_state,
         current_state, field_diff, resolve_seen, event_identity, sequence_numbers, dedup_requests,
         dedup_requests_split, key_history,
     )
@@ -148,7 +153,7 @@ HISTORY_SQL = f"""h AS (
     SELECT *, lag(event_type) {W} AS p_type, lag(value) {W} AS p_value, lag(event_id) {W} AS p_id, lag(ts) {W} AS p_ts,
            lag(props) {W} AS p_props FROM {{source}}))"""
 _KIND = "CASE WHEN event_type = 'error' THEN 'Delete' WHEN has_prev THEN 'Update' ELSE 'Insert' END"
-_EVENTS_SQL = f"""WITH e AS (SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-03'),
+_EVENTS_SQL = f"""WITH e AS (SELECT * FROM events WHERE ts > TIMESTAMP '{{since}}'),
   {HISTORY_SQL.format(source="e")}
   SELECT event_id AS source_event_id, user_id, ts AS source_ts, {_KIND} AS change_type, 'Web-1' AS driver_id,
     'ctx:Web' AS context, event_type, CASE WHEN has_prev THEN p_type END AS prev_event_type,
@@ -169,8 +174,9 @@ def _dedup_sql(hours: int) -> str:
 _LINE_W = f"OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {LINE_ORDER_SQL})"
 
 ORACLE = {
-    "change_events": _EVENTS_SQL,
-    "change_events_split": _EVENTS_SQL,
+    "change_events": _EVENTS_SQL.format(since="2024-01-03"),
+    "change_events_whole": _EVENTS_SQL.format(since="0001-01-01"),
+    "change_events_split": _EVENTS_SQL.format(since="2024-01-03"),
     "line_events": f"""SELECT l_orderkey, l_linenumber, l_shipdate AS source_ts, l_quantity,
         CASE WHEN l_returnflag = 'R' THEN 'Delete' WHEN pf IS NOT NULL AND pf <> 'R' THEN 'Update' ELSE 'Insert' END AS change_type,
         CASE WHEN pf <> 'R' THEN pq END AS prev_quantity, CASE WHEN pf <> 'R' THEN ps END AS prev_shipdate
@@ -199,10 +205,11 @@ ORACLE = {
           (SELECT user_id FROM events WHERE ts < TIMESTAMP '2024-01-10' AND event_type = 'signup') THEN 'Update' ELSE 'Insert' END AS change_type
         FROM events WHERE ts > TIMESTAMP '2024-01-10'""",
     "event_identity": """SELECT event_id AS source_event_id, printf('%012x', epoch_us(ts) // 1000) ||
-        left(sha256('Web-1' || chr(31) || 'public.events' || chr(31) || user_id || chr(31) || event_id), 20) AS event_id FROM events""",
+        sha256('5:Web-1' || '13:public.events' || length(user_id::VARCHAR) || ':' || user_id || length(event_id::VARCHAR) || ':' || event_id) AS event_id FROM events""",
     "sequence_numbers": """SELECT o_orderkey, o_orderstatus,
         row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate, o_orderkey) AS seq FROM orders""",
     "dedup_requests": _dedup_sql(24),
     "dedup_requests_split": _dedup_sql(48),
-    "key_history": "SELECT event_id, user_id, ts AS source_ts FROM events WHERE event_type = 'purchase' ORDER BY ts DESC",
+    "key_history": """SELECT event_id, user_id, ts AS source_ts, row_number() OVER (ORDER BY ts DESC, event_id DESC) AS place
+        FROM events WHERE user_id = 7""",
 }

@@ -63,7 +63,7 @@ def route_per_pattern(spark, sf):
     return out.groupBy("driver_id", "operation").agg(F.count(F.lit(1)).alias("deliveries"))
 
 
-def _commands(spark, sf):
+def event_commands(spark, sf):
     """Commands on customers: a field map with explicit names, cleared values included."""
     events = read(spark, sf, "events")
     op = F.when(F.col("event_type") == "signup", "Create").when(F.col("event_type") == "error", "Delete").otherwise("Update")
@@ -80,21 +80,23 @@ def _commands(spark, sf):
     return command_columns(cmds, {"c_custkey": "bigint"}, {"c_acctbal": "double", "c_mktsegment": "string", "c_name": "string"})
 
 
-def _table(spark, sf):
-    return read(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment").filter("c_acctbal > 0")
+def customers(spark, sf):
+    """All customers; those without a positive balance have keys that no command names."""
+    key = F.when(F.col("c_acctbal") > 0, F.col("c_custkey")).otherwise(F.col("c_custkey") + 100_000_000)
+    return read(spark, sf, "customer").select(key.alias("c_custkey"), "c_name", "c_acctbal", "c_mktsegment")
 
 
 def apply_commands(spark, sf):
-    return writeback.apply_commands(_table(spark, sf), _commands(spark, sf), KEY, ORDER, types=("element",))[0]
+    return writeback.apply_commands(customers(spark, sf), event_commands(spark, sf), KEY, ORDER, types=("element",))[0]
 
 
 def command_results(spark, sf):
-    return writeback.apply_commands(_table(spark, sf), _commands(spark, sf), KEY, ORDER, types=("element",))[1]
+    return writeback.apply_commands(customers(spark, sf), event_commands(spark, sf), KEY, ORDER, types=("element",))[1]
 
 
 def apply_commands_split(spark, sf):
     """The same with every key treated as too large for one task."""
-    return writeback.apply_commands(_table(spark, sf), _commands(spark, sf), KEY, ORDER, types=("element",), hot_rows=0)[0]
+    return writeback.apply_commands(customers(spark, sf), event_commands(spark, sf), KEY, ORDER, types=("element",), hot_rows=0)[0]
 
 
 def _renames(spark, sf):
@@ -109,7 +111,7 @@ def _renames(spark, sf):
         F.col("value").alias("c_acctbal"), F.lit(None).cast("string").alias("c_name"),
         F.when(F.col("event_type") == "purchase", F.col("props")).alias("c_mktsegment"),
     )
-    return writeback.apply_with_renames(_table(spark, sf), cmds, "c_custkey", ORDER)
+    return writeback.apply_with_renames(customers(spark, sf), cmds, "c_custkey", ORDER)
 
 
 def rename_commands(spark, sf):
@@ -201,7 +203,7 @@ _ROUTES = f"""{_CMDS}, r AS (
 # Whether a key exists before a command, then its outcome and its segment.
 _APPLY = """c AS (SELECT *, 'c' || event_id AS correlation_id, value <= 110 AS valid,
     CASE event_type WHEN 'signup' THEN 'Create' WHEN 'error' THEN 'Delete' ELSE 'Update' END AS op FROM events),
-  t AS (SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer WHERE c_acctbal > 0),
+  t AS (SELECT c_custkey + CASE WHEN c_acctbal > 0 THEN 0 ELSE 100000000 END AS c_custkey, c_name, c_acctbal, c_mktsegment FROM customer),
   e AS (SELECT c.*, coalesce(last_value(CASE WHEN valid AND op = 'Create' THEN true WHEN valid AND op = 'Delete' THEN false END IGNORE NULLS)
       OVER (PARTITION BY user_id ORDER BY ts, correlation_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), t.c_custkey IS NOT NULL) AS here
     FROM c LEFT JOIN t ON user_id = c_custkey),
@@ -222,7 +224,7 @@ _FINAL = f"""WITH {_APPLY}, s AS (
   FROM t FULL JOIN l ON c_custkey = user_id
   WHERE CASE WHEN last_op IS NOT NULL THEN last_op = 'Create' ELSE c_custkey IS NOT NULL END"""
 
-_RENAMES = """t AS (SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer WHERE c_acctbal > 0),
+_RENAMES = """t AS (SELECT c_custkey + CASE WHEN c_acctbal > 0 THEN 0 ELSE 100000000 END AS c_custkey, c_name, c_acctbal, c_mktsegment FROM customer),
   f AS (SELECT user_id AS u, min((ts, event_id)) AS first_at FROM events WHERE event_type = 'purchase' GROUP BY 1),
   c AS (SELECT e.*, c_custkey IS NOT NULL AS known, coalesce((ts, event_id) > first_at, false) AS moved, coalesce((ts, event_id) = first_at, false) AS move
     FROM events e LEFT JOIN f ON u = user_id LEFT JOIN t ON c_custkey = user_id),

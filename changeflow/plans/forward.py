@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from changeflow.functions.maps import merge_metadata
 from changeflow.operators.addressing import to_envelope, with_headers, with_subject
@@ -43,8 +44,30 @@ def change_events(
     State operators run on raw column names, before the mapping. ``sequence=False`` leaves the
     per-driver number out (NULL), which saves an ordered pass over all rows.
     """
+    raw, order = without_excluded(raw, driver.rules, key, order)
     history = with_history(raw, key, order, hot_rows=hot_rows)
-    return finish_events(history, driver, key, order, detected_at, 0 if sequence else None, hot_rows)
+    out = finish_events(history, driver, key, order, detected_at, 0 if sequence else None, hot_rows)
+    return out.drop(*[c for c in order if isinstance(c, str) and c.startswith("__order")])
+
+
+def without_excluded(
+    raw: DataFrame, rules: Sequence[Rule], key: Sequence[str], order: Sequence[str | Column]
+) -> tuple[DataFrame, Sequence[str | Column]]:
+    """Raw changes without the fields that rules exclude, so that they are neither read nor shuffled.
+
+    Key fields stay until the mapping. Order columns that are expressions are computed first, since
+    they may use an excluded field.
+    """
+    gone = {r.source.lower() for r in rules if r.exclude} - {k.lower() for k in key}
+    fields = {c: [f.name for f in raw.schema[c].dataType.fields] for c in ("row", "prev") if c in raw.columns and isinstance(raw.schema[c].dataType, T.StructType)}
+    if not any(n.lower() in gone for names in fields.values() for n in names):
+        return raw, order
+    named = {f"__order{i}": c for i, c in enumerate(order) if not isinstance(c, str)}
+    out = raw.withColumns(named)
+    for c, names in fields.items():
+        kept = F.struct(*[F.col(f"{c}.`{n}`").alias(n) for n in names if n.lower() not in gone])
+        out = out.withColumn(c, F.when(F.col(c).isNotNull(), kept))
+    return out, [c if isinstance(c, str) else f"__order{i}" for i, c in enumerate(order)]
 
 
 def finish_events(

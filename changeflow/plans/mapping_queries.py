@@ -61,9 +61,8 @@ def concept_map(spark, sf):
 
 
 def concept_table(spark, sf):
-    nations = read(spark, sf, "nation").select(
-        F.col("n_nationkey").cast("string").alias("value"), F.concat(F.lit("geo:"), "n_name").alias("concept")
-    ).filter("value <> '3'")
+    value = F.when(F.col("n_nationkey") == 3, "x3").otherwise(F.col("n_nationkey").cast("string"))
+    nations = read(spark, sf, "nation").select(value.alias("value"), F.concat(F.lit("geo:"), "n_name").alias("concept"))
     customers = read(spark, sf, "customer").select("c_custkey", "c_nationkey")
     return mapping.map_concepts(customers, "c_nationkey", nations, "nation")
 

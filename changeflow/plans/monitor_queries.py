@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import functions as F
 
 from changeflow.operators import monitor
-from changeflow.plans.tables import read
+from changeflow.plans.tables import numbered_as_given, read
 
 
 def _log(spark, sf):
@@ -45,6 +47,17 @@ def throughput_minutes(spark, sf):
     return out.withColumn("max_lag_seconds", F.round("max_lag_seconds", 3))
 
 
+def dead_letters_day(spark, sf):
+    return monitor.dead_letters_within(monitor.minute_rollup(_lagged(spark, sf)), 24)
+
+
+def heartbeats_all_drivers(spark, sf):
+    """Hourly heartbeats of one day for every user, most of whom are silent in most hours."""
+    events = read(spark, sf, "events").select("ts", F.concat(F.lit("d"), "user_id").alias("driver_id"))
+    day = datetime(2024, 1, 10), datetime(2024, 1, 11)
+    return monitor.heartbeats_of_all(events, events, *day, every=timedelta(hours=1))
+
+
 def outcome_counts(spark, sf):
     outcome = F.when(F.col("event_type") == "error", "dead_lettered").when(F.col("event_type") == "view", "retried").otherwise("published")
     log = read(spark, sf, "events").select(F.concat(F.lit("d"), "user_id").alias("driver_id"), outcome.alias("outcome"))
@@ -60,8 +73,11 @@ def lifecycle_audit(spark, sf):
 
 
 def group_profile(spark, sf):
-    nations = read(spark, sf, "nation").filter("n_regionkey <> 2")
-    return monitor.group_profile(read(spark, sf, "customer"), nations, "c_nationkey", "n_nationkey", "n_name").orderBy("c_nationkey")
+    """Nations of one region have keys that no customer names."""
+    key = F.when(F.col("n_regionkey") == 2, F.col("n_nationkey") + 1000).otherwise(F.col("n_nationkey"))
+    nations = read(spark, sf, "nation").select(key.alias("n_nationkey"), "n_name")
+    out = monitor.group_profile(read(spark, sf, "customer"), nations, "c_nationkey", "n_nationkey", "n_name").orderBy("c_nationkey")
+    return numbered_as_given(out)
 
 
 def not_normal(spark, sf):
@@ -76,7 +92,7 @@ def row_by_key(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        health_rollup, heartbeat_windows, throughput_windows, throughput_minutes, outcome_counts, lifecycle_audit, group_profile,
+        health_rollup, heartbeat_windows, throughput_windows, throughput_minutes, dead_letters_day, heartbeats_all_drivers, outcome_counts, lifecycle_audit, group_profile,
         not_normal, row_by_key,
     )
 }
@@ -104,6 +120,13 @@ ORACLE = {
     "heartbeat_windows": HEARTBEATS_SQL,
     "throughput_windows": _throughput_sql(5),
     "throughput_minutes": _throughput_sql(1),
+    "dead_letters_day": """WITH m AS (SELECT date_trunc('minute', ts) AS minute, event_type AS driver_id, count(*) FILTER (value > 60) AS dead FROM events GROUP BY 1, 2)
+        SELECT minute, driver_id, sum(dead) OVER (PARTITION BY driver_id ORDER BY minute RANGE BETWEEN INTERVAL 1439 MINUTE PRECEDING AND CURRENT ROW)::BIGINT AS dead_letters FROM m""",
+    "heartbeats_all_drivers": """WITH g AS (SELECT DISTINCT 'd' || user_id AS driver_id, w FROM events,
+          (SELECT unnest(generate_series(TIMESTAMP '2024-01-10', TIMESTAMP '2024-01-10 23:00:00', INTERVAL 1 HOUR)) AS w)),
+        c AS (SELECT 'd' || user_id AS driver_id, date_trunc('hour', ts) AS w, count(*) AS n, max(ts) AS last FROM events GROUP BY 1, 2)
+        SELECT g.w AS window_start, g.w + INTERVAL 1 HOUR AS window_end, g.driver_id, coalesce(n, 0) AS events, last AS last_event_at
+        FROM g LEFT JOIN c ON c.driver_id = g.driver_id AND c.w = g.w""",
     "outcome_counts": """SELECT 'd' || user_id AS driver_id, count(*) FILTER (event_type NOT IN ('error', 'view')) AS published,
         count(*) FILTER (event_type = 'error') AS dead_lettered, count(*) FILTER (event_type = 'view') AS retried FROM events GROUP BY user_id""",
     "lifecycle_audit": """WITH l AS (SELECT event_id, ['Disconnected', 'Connecting', 'Connected', 'Streaming', 'Reconnecting', 'Failed', 'Stopped'][hour(ts) % 7 + 1] AS state,
@@ -113,7 +136,7 @@ ORACLE = {
           WHEN action = 'stop' AND state IN ('Connecting', 'Connected', 'Streaming', 'Reconnecting') THEN 'Disconnected' END AS next_state FROM l)
         SELECT event_id, state, action, next_state IS NOT NULL AS valid, next_state,
           CASE state WHEN 'Disconnected' THEN 'start' WHEN 'Failed' THEN 'start,restart' WHEN 'Streaming' THEN 'stop,restart' WHEN 'Stopped' THEN '' ELSE 'stop' END AS valid_actions FROM n""",
-    "group_profile": """SELECT c_nationkey, coalesce(any_value(n_name), '?') AS group_name, count(*) AS rows FROM customer
+    "group_profile": """SELECT c_nationkey, coalesce(any_value(n_name), '?') AS group_name, count(*) AS rows, row_number() OVER (ORDER BY c_nationkey) AS place FROM customer
         LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 2) ON c_nationkey = n_nationkey GROUP BY c_nationkey""",
     "not_normal": "SELECT o_orderkey, nullif(o_orderstatus, 'P') AS state, o_orderpriority FROM orders WHERE o_orderstatus <> 'O'",
     "row_by_key": "SELECT * FROM orders WHERE o_orderkey = 11",

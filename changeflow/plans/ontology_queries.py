@@ -109,10 +109,11 @@ def ontology_refresh(spark, sf):
 
 
 def crosswalk(spark, sf):
+    name = F.when(F.col("n_nationkey") == 4, "other").otherwise(F.col("n_nationkey").cast("string"))
     nations = read(spark, sf, "nation").select(
-        F.concat(F.lit("ex:nation/"), "n_nationkey").alias("source_class"), F.concat(F.lit("geo:"), "n_regionkey").alias("target_class"),
+        F.concat(F.lit("ex:nation/"), name).alias("source_class"), F.concat(F.lit("geo:"), "n_regionkey").alias("target_class"),
         F.lit("skos:broadMatch").alias("predicate"),
-    ).filter("source_class <> 'ex:nation/4'")
+    )
     return ontology.crosswalk(_customer_terms(spark, sf), nations, "nation_iri").select("c_custkey", "nation_iri", "target_class", "predicate")
 
 

@@ -128,20 +128,39 @@ def retention(spark, sf):
     return sinks.retain(events, datetime(2024, 1, 30, 12), timedelta(days=1), "ts")
 
 
+def retention_without_source_time(spark, sf):
+    """Age counts from detection; most of these events have no time of their source."""
+    events = read(spark, sf, "events").select(
+        "event_id", F.col("ts").alias("detected_at"), F.when(F.col("event_type") == "view", F.col("ts")).alias("source_ts")
+    )
+    return sinks.retain(events, datetime(2024, 1, 20, 12), timedelta(days=2))
+
+
 def replay_log(spark, sf):
     """The event log written by driver and day, then replayed for one subscription after a position."""
     events = _events(spark, sf).withColumn("seq", F.col("fields.event_id"))
     path = shared_path(spark, "log")
     sinks.write_events(events, path)
-    out = sinks.replay(spark, path, "cdc.*.public.events.update", since=100)
+    sinks.write_events(events.limit(0), path)
+    out = sinks.replay(spark, path, "cdc.*.public.events.update", since={"Web-1": 100, "other": 10**9})
     return out.select("seq", "source_ts", F.date_format("event_date", "yyyy-MM-dd").alias("event_date"), "driver_id", "subject")
 
 
+def replay_range(spark, sf):
+    """The log of one driver over some days, written twice by the same run."""
+    events = _events(spark, sf).withColumn("seq", F.col("fields.event_id")).withColumn("driver_id", F.concat("driver_id", F.col("seq") % 3))
+    path = shared_path(spark, "log")
+    sinks.write_events(events, path, run=0)
+    sinks.write_events(events, path, run=0)
+    out = sinks.replay(spark, path, driver="Web-12", start=datetime(2024, 1, 5, 6), end=datetime(2024, 1, 9, 18))
+    return out.select("seq", "detected_at", "driver_id", "subject")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         sanitised_paths, default_subject, template_subject, override_subject, envelope, envelope_doubles, headers, subscribe,
-        dead_letters, append_if_absent, retention, replay_log,
+        dead_letters, append_if_absent, retention, retention_without_source_time, replay_log, replay_range,
     )
 }
 
@@ -189,6 +208,11 @@ ORACLE = {
         CASE WHEN event_type = 'error' THEN 'Delete' ELSE 'Insert' END AS change_type,
         CASE WHEN event_type = 'error' THEN 2 ELSE 0 END AS change_code FROM events""",
     "retention": "SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-29 12:00:00'",
+    "retention_without_source_time": """SELECT event_id, ts AS detected_at, CASE WHEN event_type = 'view' THEN ts END AS source_ts FROM events
+        WHERE ts >= TIMESTAMP '2024-01-18 12:00:00'""",
+    "replay_range": f"""WITH {HISTORY_SQL.format(source="events")}
+        SELECT event_id AS seq, ts AS detected_at, 'Web-1' || event_id % 3 AS driver_id, 'cdc.ctx-web.public.events.' || lower({_KIND}) AS subject
+        FROM h WHERE event_id % 3 = 2 AND ts >= TIMESTAMP '2024-01-05 06:00:00' AND ts < TIMESTAMP '2024-01-09 18:00:00'""",
     "replay_log": f"""WITH {HISTORY_SQL.format(source="events")}
         SELECT event_id AS seq, ts AS source_ts, strftime(ts, '%Y-%m-%d') AS event_date, 'Web-1' AS driver_id,
         'cdc.ctx-web.public.events.update' AS subject FROM h WHERE {_KIND} = 'Update' AND event_id > 100""",

@@ -1,69 +1,158 @@
-"""Registered queries: the streaming forms, run over everything that is available."""
+"""Registered queries: the streaming forms over several micro-batches, stopped and started again once."""
 
 from __future__ import annotations
 
-from datetime import timedelta
+from collections.abc import Callable
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from changeflow.plans import change_queries, command_queries, monitor_queries
+from changeflow.plans import capture_queries, change_queries, command_queries, monitor_queries
 from changeflow.plans.tables import read
 from changeflow.scratch import shared_path
-from changeflow.sources.scan import raw_changes
+from changeflow.sources.scan import raw_changes, snapshot_cycle
+from changeflow.spec import Entity
 from changeflow.streaming import operators as streaming
 from changeflow.streaming.micro import read_batches
+from changeflow.streaming.polling import scan_step
 
+BATCHES = 5
 
-def stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table's files as a stream."""
-    schema = read(spark, folder, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}*.parquet").parquet(folder)
 
+def cuts(df: DataFrame, by: str, parts: int = BATCHES) -> list[DataFrame]:
+    """A table in ``parts`` pieces of about equal size, in order of a time column."""
+    at = F.unix_micros(F.col(by).cast("timestamp"))
+    edges = df.select(at.cast("double").alias("t")).approxQuantile("t", [i / parts for i in range(1, parts)], 0.01)
+    edges = [float("-inf"), *edges, float("inf")]
+    return [df.filter((at.cast("double") > a) & (at.cast("double") <= b)) for a, b in zip(edges, edges[1:])]
 
-def stream_change_events(spark, sf):
-    events = stream(spark, sf, "events")
+
+def in_two_runs(pieces: list[DataFrame], start: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Land the pieces one after another as files and stream them, one file a batch; the query is stopped and started again midway."""
+    spark = pieces[0].sparkSession
+    folder = shared_path(spark, "landed")
+    half = len(pieces) // 2 + 1
+    for part in (pieces[:half], pieces[half:]):
+        for piece in part:
+            piece.coalesce(1).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(pieces[0].schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        start(stream).awaitTermination()
+
+
+def _events(spark, sf) -> list[DataFrame]:
+    return cuts(read(spark, sf, "events"), "ts")
+
+
+def _raw(events: DataFrame) -> DataFrame:
     kind = F.when(F.col("event_type") == "error", "Delete").otherwise("Snapshot")
-    raw = raw_changes(events, "public.events", "ts", kind).withColumn("event_id", F.col("row.event_id"))
+    return raw_changes(events, "public.events", "ts", kind).withColumn("event_id", F.col("row.event_id"))
+
+
+def stream_change_events(spark, sf):
     path = shared_path(spark, "stream-changes")
-    streaming.track_changes(raw, ["user_id"], ["source_ts", "event_id"], path).awaitTermination()
+    in_two_runs(_events(spark, sf), lambda s: streaming.track_changes(_raw(s), ["user_id"], ["source_ts", "event_id"], path))
     out = read_batches(spark, f"{path}/events")
     return out.select("event_id", "row.user_id", "source_ts", "change_type", F.col("prev.event_id").alias("prev_id"), F.col("prev.value").alias("prev_value"))
 
 
+def stream_publish(spark, sf):
+    """The whole forward path: sequence numbers, before images and positions go on over batches and the restart."""
+    path = shared_path(spark, "stream-publish")
+    start = lambda s: streaming.publish_changes(
+        _raw(s).withColumnRenamed("event_id", "number"), change_queries.WEB, ["user_id"], ["source_ts", "number"], path,
+        detected_at=F.col("source_ts"),
+    )
+    in_two_runs(_events(spark, sf), start)
+    out = read_batches(spark, f"{path}/events").filter("outcome = 'published'")
+    return out.select(
+        F.col("fields.event_id").alias("source_event_id"), "pk.user_id", "source_ts", "change_type", "driver_id", "context",
+        F.col("fields.event_type").alias("event_type"), F.col("prev.event_type").alias("prev_event_type"),
+        F.col("prev.value").alias("prev_value"), "seq", "subject",
+    )
+
+
+def stream_commands(spark, sf):
+    """Write commands on a stream: the table afterwards."""
+    path = shared_path(spark, "stream-commands")
+    table = streaming.CommandTable(spark, f"{path}/table", command_queries.KEY)
+    table.load(command_queries.customers(spark, sf))
+    commands = cuts(command_queries.event_commands(spark, sf), "ts")
+    in_two_runs(commands, lambda s: streaming.apply_command_stream(s, table, command_queries.ORDER, f"{path}/run", types=("element",)))
+    return table.read()
+
+
 def stream_heartbeats(spark, sf):
-    events = stream(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("driver_id"))
+    """Batches in reverse order of time: all but the first come late, and all are counted."""
     path = shared_path(spark, "stream-heartbeats")
-    streaming.heartbeat_stream(events, path).awaitTermination()
+    pieces = [p.select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("driver_id")) for p in reversed(_events(spark, sf))]
+    in_two_runs(pieces, lambda s: streaming.heartbeat_stream(s, path))
     out = streaming.read_heartbeats(spark, path)
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end", "last_event_at")})
 
 
 def stream_dedup(spark, sf):
-    events = stream(spark, sf, "events").select("event_id", "user_id", "ts")
     path = shared_path(spark, "stream-dedup")
-    streaming.dedup_stream(events, "user_id", "ts", path, timedelta(hours=24), ["event_id"]).awaitTermination()
+    pieces = [p.select("event_id", "user_id", "ts") for p in _events(spark, sf)]
+    in_two_runs(pieces, lambda s: streaming.dedup_stream(s, "user_id", "ts", path, timedelta(hours=24), ["event_id"]))
     return read_batches(spark, f"{path}/requests").drop("v")
 
 
 def stream_echo(spark, sf):
-    changes = stream(spark, sf, "events").select(
-        "event_id", "ts", F.when(F.col("event_type") != "view", F.col("user_id")).alias("replica_session")
-    )
-    sessions = read(spark, sf, "events").filter("event_type = 'signup' and value > 40").select(F.col("user_id").alias("replica_session"))
+    """Sessions are asked for batch by batch."""
+    sessions = lambda: read(spark, sf, "events").filter("event_type = 'signup' and value > 40").select(F.col("user_id").alias("replica_session"))
     path = shared_path(spark, "stream-echo")
-    streaming.suppress_echo_stream(changes, sessions, ["ts", "event_id"], path).awaitTermination()
+    pieces = [p.select("event_id", "ts", F.when(F.col("event_type") != "view", F.col("user_id")).alias("replica_session")) for p in _events(spark, sf)]
+    in_two_runs(pieces, lambda s: streaming.suppress_echo_stream(s, sessions, ["ts", "event_id"], path))
     return read_batches(spark, f"{path}/changes").drop("v")
 
 
-QUERIES = {f.__name__: f for f in (stream_change_events, stream_heartbeats, stream_dedup, stream_echo)}
+def poll_scan(spark, sf):
+    """Polls of a growing table: each reads what came after the stored watermark; one poll is run twice."""
+    path = shared_path(spark, "poll")
+    events = read(spark, sf, "events")
+    limits = [datetime(2024, 1, d) for d in (5, 10, 15, 20, 25)] + [datetime(2100, 1, 1)]
+    seen = {"limit": limits[0]}
+    load = lambda e: events.filter(F.col("ts") < F.lit(seen["limit"].isoformat(sep=" ")).cast("timestamp_ntz"))
+    entity = Entity("public.events", ("event_id",), watermark="ts")
+    step = scan_step(spark, "web", [entity], load, path, lookback="P3650D", now=lambda: datetime(2024, 1, 1, tzinfo=timezone.utc))
+    for number, seen["limit"] in enumerate(limits):
+        step(number)
+        if number == 2:
+            step(number)
+    out = read_batches(spark, f"{path}/changes")
+    return out.select("entity", F.get_json_object("pk", "$.event_id").alias("event_id"), F.col("source_ts").cast("timestamp_ntz").alias("source_ts"))
+
+
+def snapshot_polls(spark, sf):
+    """Two cycles of a snapshot source: the second reports what changed and what vanished."""
+    path = shared_path(spark, "snapshots")
+    changes = capture_queries.line_changes(spark, sf)
+    before = capture_queries.line_state(changes.filter("source_ts < '1999-01-01'"))
+    since = datetime(2000, 1, 1)
+    snapshot_cycle(before, path, capture_queries.LINE_KEY, "l_shipdate", since)
+    out = snapshot_cycle(capture_queries.line_state(changes), path, capture_queries.LINE_KEY, "l_shipdate", since)
+    return out.select("phase", "change_type", *capture_queries.LINE_KEY, "l_quantity", "l_shipdate")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        stream_change_events, stream_publish, stream_commands, stream_heartbeats, stream_dedup, stream_echo, poll_scan, snapshot_polls,
+    )
+}
 
 ORACLE = {
     "stream_change_events": f"""WITH {change_queries.HISTORY_SQL.format(source="events")}
         SELECT event_id, user_id, ts AS source_ts,
         CASE WHEN event_type = 'error' THEN 'Delete' WHEN has_prev THEN 'Update' ELSE 'Insert' END AS change_type,
         CASE WHEN has_prev THEN p_id END AS prev_id, CASE WHEN has_prev THEN p_value END AS prev_value FROM h""",
+    "stream_publish": change_queries.ORACLE["change_events_whole"],
+    "stream_commands": command_queries.ORACLE["apply_commands"],
     "stream_heartbeats": monitor_queries.HEARTBEATS_SQL,
     "stream_dedup": change_queries.ORACLE["dedup_requests"],
     "stream_echo": command_queries.ORACLE["echo_suppression"],
+    "poll_scan": "SELECT 'public.events' AS entity, event_id::VARCHAR AS event_id, ts AS source_ts FROM events",
+    "snapshot_polls": capture_queries.ORACLE["snapshot_changes"],
 }

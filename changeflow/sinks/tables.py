@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from changeflow.functions.text import subject_matches
@@ -18,14 +18,19 @@ MAX_BYTES = 4 * 1024 * 1024
 DEAD_LETTER_PREFIX = "cdc.dlq"
 
 
-def write_events(df: DataFrame, path: str, ts: str = "source_ts", mode: str = "append") -> None:
-    """Append events to the log, laid out by driver and day so that readers prune folders.
+def write_events(df: DataFrame, path: str, ts: str = "detected_at", run: int | str | None = None) -> None:
+    """Append events to the log, laid out by driver and day of detection so that readers prune folders.
 
-    Rows are rebalanced by folder: Spark splits a busy driver's day over several tasks and packs
-    small ones together, so tasks and files have an even size.
+    The day is the one on which the change was seen: many sources give no time of their own. Rows are
+    rebalanced by folder: Spark splits a busy driver's day over several tasks and packs small ones
+    together, so tasks and files have an even size. With ``run`` the events lie below a folder of that
+    run or batch, which a repeated run replaces, so nothing is stored twice.
     """
     dated = df.withColumn("event_date", F.to_date(ts)).hint("rebalance", "driver_id", "event_date")
-    dated.write.mode(mode).partitionBy("driver_id", "event_date").parquet(path)
+    if run is None:
+        dated.write.mode("append").partitionBy("driver_id", "event_date").parquet(path)
+    else:
+        dated.write.mode("overwrite").partitionBy("driver_id", "event_date").parquet(f"{path}/run={run}")
 
 
 def dead_letter_reason(max_bytes: int = MAX_BYTES, errors: str | None = None, kind: str | None = None) -> Column:
@@ -54,22 +59,41 @@ def split_dead_letters(
     return marked.filter("reason is null").drop("reason"), dead
 
 
-def retain(df: DataFrame, now: datetime, max_age: timedelta = timedelta(days=1), ts: str = "source_ts") -> DataFrame:
-    """Events not older than ``max_age``."""
-    return df.filter(F.col(ts) >= moment(now - max_age, df.schema[ts].dataType))
+def retain(df: DataFrame, now: datetime, max_age: timedelta = timedelta(days=1), ts: str = "detected_at") -> DataFrame:
+    """Events detected within ``max_age``; an event without that time is kept."""
+    return df.filter(F.col(ts).isNull() | (F.col(ts) >= moment(now - max_age, df.schema[ts].dataType)))
 
 
 def expired_days(spark: SparkSession, path: str, now: datetime, max_age: timedelta = timedelta(days=1)) -> list[str]:
     """Day folders of the event log that lie wholly before the retention limit."""
     limit = (now - max_age).date().isoformat()
-    days = [(d, day) for d in children(spark, path) if "=" in d for day in children(spark, f"{path}/{d}")]
+    top = [d for d in children(spark, path) if "=" in d]
+    runs = [f"{r}/{d}" for r in top if r.startswith("run=") for d in children(spark, f"{path}/{r}") if "=" in d]
+    drivers = [d for d in top if not d.startswith("run=")] + runs
+    days = [(d, day) for d in drivers for day in children(spark, f"{path}/{d}")]
     return sorted(f"{d}/{day}" for d, day in days if day.startswith("event_date=") and day[11:] < limit)
 
 
-def replay(spark: SparkSession, path: str, subject: str | None = None, since: int | None = None) -> DataFrame:
-    """The retained log from the start, or after a sequence number; optionally one subscription."""
+def replay(
+    spark: SparkSession, path: str, subject: str | None = None, since: int | Mapping[str, int] | None = None,
+    driver: str | None = None, start: datetime | None = None, end: datetime | None = None, ts: str = "detected_at",
+) -> DataFrame:
+    """The retained log: of one driver, one subscription, a time range [start, end), after a sequence number.
+
+    Driver and time range also prune folders. Numbers count per driver, so ``since`` is the number of
+    ``driver``, or maps drivers to numbers; a driver that it does not name is replayed from its start.
+    """
     log = spark.read.parquet(path)
-    if since is not None:
+    if driver is not None:
+        log = log.filter(F.col("driver_id") == driver)
+    for limit, after in ((start, True), (end, False)):
+        if limit is not None:
+            at, day = moment(limit, log.schema[ts].dataType), F.lit(limit.date())
+            log = log.filter((F.col(ts) >= at) & (F.col("event_date") >= day) if after else (F.col(ts) < at) & (F.col("event_date") <= day))
+    if isinstance(since, Mapping):
+        for name, number in since.items():
+            log = log.filter((F.col("driver_id") != name) | (F.col("seq") > number))
+    elif since is not None:
         log = log.filter(F.col("seq") > since)
     return log if subject is None else log.filter(subject_matches("subject", subject))
 
@@ -85,11 +109,10 @@ def kind_code(change_type: str = "change_type") -> Column:
 def new_rows(events: DataFrame, table: DataFrame, key: str = "event_id", order: Sequence[str] = ()) -> DataFrame:
     """Events whose id the table does not hold yet, one per id (the first in ``order``).
 
-    Ids are reduced to one row by a partial aggregate before anything is shuffled.
+    Each task keeps its first row per id before anything is shuffled (a window group limit).
     """
-    rest = [c for c in events.columns if c != key]
-    rank = F.struct(*order) if order else F.struct(*rest)
-    one = events.groupBy(key).agg(F.min_by(F.struct(*rest), rank).alias("__row")).select(key, "__row.*")
+    first = Window.partitionBy(key).orderBy(*(order or [c for c in events.columns if c != key]))
+    one = events.withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n")
     return one.join(table.select(key), key, "left_anti").select(*events.columns)
 
 

@@ -178,8 +178,10 @@ def discover_tables(catalogue: DataFrame, system: Sequence[str] = SYSTEM_SCHEMAS
 
 
 def catalogue_tables(spark: SparkSession) -> DataFrame:
-    """Spark's own catalogue in the shape ``discover_tables`` reads."""
-    rows = [(t.namespace[0] if t.namespace else "", t.name) for t in spark.catalog.listTables()]
+    """Spark's own catalogue, all schemas, in the shape ``discover_tables`` reads."""
+    schemas = [d.name for d in spark.catalog.listDatabases()]
+    found = {(t.namespace[0] if t.namespace else "", t.name) for d in schemas for t in spark.catalog.listTables(d)}
+    rows = sorted(found)
     return spark.createDataFrame(rows, "table_schema string, table_name string")
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -75,8 +75,8 @@ class KeyedState:
             here = keys.select(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(self.key)]).distinct()
             on = [F.col(k).eqNullSafe(F.col(f"__h{i}")) for i, k in enumerate(self.key)]
             both = both.join(here, on, "left_semi")
-        rest = [c for c in both.columns if c not in (*self.key, "v")]
-        return both.groupBy(*self.key).agg(F.max_by(F.struct(*rest), "v").alias("__row")).select(*self.key, "__row.*")
+        newest = Window.partitionBy(*self.key).orderBy(F.desc("v"))
+        return both.withColumn("__n", F.row_number().over(newest)).filter("__n = 1").drop("__n", "v")
 
     def load(self, rows: DataFrame) -> None:
         """Begin with given rows, one per key, as the base before the first batch."""

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -46,9 +46,9 @@ class Tracker:
     def save(self, done: DataFrame, number: int) -> None:
         """Store the newest change per key of a written batch."""
         columns = dict.fromkeys(["change_type", "source_ts", "row", *self.order])
-        latest = F.max_by(F.struct(*columns), F.struct(*self.order))
-        changed = done.groupBy("entity", *self.names).agg(latest.alias("__l")).select("entity", *self.names, "__l.*")
-        self.state.write(changed, number, live="change_type != 'Delete'")
+        newest = Window.partitionBy("entity", *self.names).orderBy(*[F.col(c).desc() for c in self.order])
+        last = done.withColumn("__n", F.row_number().over(newest)).filter("__n = 1")
+        self.state.write(last.select("entity", *self.names, *columns), number, live="change_type != 'Delete'")
 
 
 def track_changes(
@@ -182,7 +182,7 @@ def dedup_stream(
         late = None
         if seeds is not None:
             side = seeds.select(F.col(request).alias("__r"), F.col("accepted").alias("__accepted"))
-            joined = lookup(rows, side, [request], ["__r"], hot_rows=hot_rows).drop("__r")
+            joined = lookup(rows, side, [request], ["__r"]).drop("__r")
             is_late = F.coalesce(F.col(ts) <= F.col("__accepted"), F.lit(False))
             late = joined.filter(is_late).drop("__accepted").withColumn("duplicate", F.lit(True))
             seed_rows = seeds.select(request, F.col("accepted").alias(ts), F.lit(True).alias("__stored"))
@@ -202,37 +202,45 @@ def drop_within_watermark(stream: DataFrame, request: str, ts: str, ttl: str = "
 
 
 def suppress_echo_stream(
-    stream: DataFrame, sessions: DataFrame, order: Sequence[str], path: str,
+    stream: DataFrame, sessions: DataFrame | Callable[[], DataFrame], order: Sequence[str], path: str,
     session: str = "replica_session", every: str | None = None,
 ) -> StreamingQuery:
-    """Echo suppression on a stream; sessions that were used up are the state. Output: ``path/changes``."""
+    """Echo suppression on a stream; sessions that were used up are the state. Output: ``path/changes``.
+
+    Give a function to see sessions that open while the stream runs: it is called for every batch. A
+    batch reads the state of its own sessions only. Session names ignore case.
+    """
     spark = stream.sparkSession
-    state = KeyedState(spark, f"{path}/state", [session])
+    state = KeyedState(spark, f"{path}/state", ["__session"])
 
     def step(batch: DataFrame, number: int) -> None:
-        used = state.before(number)
-        open_sessions = sessions.select(session).distinct()
+        known = sessions() if callable(sessions) else sessions
+        name = F.lower(F.col(session).cast("string")).alias("__session")
+        here = batch.select(name).filter("__session is not null").distinct()
+        opened = known.select(name).distinct().join(here, "__session", "left_semi")
+        used = state.before(number, here)
         if used is not None:
-            open_sessions = open_sessions.join(used, session, "left_anti")
-        write_batch(suppress_echo(batch, open_sessions, order, session), f"{path}/changes", number)
-        spent = batch.select(session).distinct().join(open_sessions, session, "left_semi")
-        state.write(spent.withColumn("used", F.lit(True)), number)
+            opened = opened.join(used, "__session", "left_anti")
+        opened = opened.withColumnRenamed("__session", session)
+        write_batch(suppress_echo(batch, opened, order, session), f"{path}/changes", number)
+        state.write(opened.select(name).withColumn("used", F.lit(True)), number)
 
     return run(stream, step, f"{path}/checkpoint", every)
 
 
 def heartbeat_stream(
-    stream: DataFrame, path: str, size: str = "30 seconds", ts: str = "ts", late: str = "1 minute", every: str | None = None
+    stream: DataFrame, path: str, size: str = "30 seconds", ts: str = "ts", every: str | None = None
 ) -> StreamingQuery:
-    """Heartbeat windows as they change; ``read_heartbeats`` gives the newest value per window."""
-    out = heartbeats(stream, size, ts, late)
-    return run(out, lambda df, n: write_batch(df, f"{path}/windows", n), f"{path}/checkpoint", every, "update")
+    """Each batch's share of the heartbeat windows; ``read_heartbeats`` adds the shares up.
+
+    There is no watermark: a row that comes late is counted in its own window, however late it is.
+    """
+    return run(stream, lambda df, n: write_batch(heartbeats(df, size, ts), f"{path}/windows", n), f"{path}/checkpoint", every)
 
 
 def read_heartbeats(spark: SparkSession, path: str) -> DataFrame:
-    """The newest value of each heartbeat window."""
+    """The heartbeat windows over all batches."""
     rows = read_batches(spark, f"{path}/windows")
-    value = F.struct("window_end", "events", "last_event_at")
-    return rows.groupBy("window_start", "driver_id").agg(F.max_by(value, "v").alias("__w")).select(
-        "window_start", "__w.window_end", "driver_id", "__w.events", "__w.last_event_at"
+    return rows.groupBy("window_start", "window_end", "driver_id").agg(
+        F.sum("events").alias("events"), F.max("last_event_at").alias("last_event_at")
     )

@@ -70,7 +70,7 @@ def test_dedup_requests(spark, hot_rows, spread):
         key = "hot" if i % 3 == 0 else rnd.choice("abcdefgh")
         rows.append((i, key, start + timedelta(seconds=rnd.randrange(spread))))
     df = spark.createDataFrame(rows, "i int, req string, ts timestamp").repartition(4)
-    out = changes.dedup_requests(df, "req", "ts", timedelta(seconds=20), tie=["i"], hot_rows=hot_rows)
+    out = changes.dedup_requests(df, "req", "ts", timedelta(seconds=20), tie=["i"], hot_rows=hot_rows, **({} if hot_rows is None else {"fold_rows": hot_rows}))
     got = {r.i: r.duplicate for r in out.collect()}
     want = {}
     for key in {r[1] for r in rows}:
@@ -79,6 +79,27 @@ def test_dedup_requests(spark, hot_rows, spread):
     assert got == want
 
 
+def test_requests_without_an_id_are_one_id(spark):
+    start = datetime(2026, 1, 1)
+    rows = [(i, key, start + timedelta(minutes=4 * i)) for key in (None, "a") for i in range(3)]
+    df = spark.createDataFrame(rows, "i int, req string, ts timestamp")
+    for rest in ({}, {"hot_rows": 0, "fold_rows": 0}):
+        out = changes.dedup_requests(df, "req", "ts", tie=["i"], **rest).collect()
+        assert {(r.req, r.i): r.duplicate for r in out} == {(k, i): i == 1 for k in (None, "a") for i in range(3)}
+
+
+def test_a_long_run_is_folded_whole(spark):
+    df = spark.range(24_000).select(F.lit("x").alias("req"), F.timestamp_seconds(F.col("id") * 3).alias("ts"), "id")
+    for rest in ({}, {"hot_rows": 50_000}, {"fold_rows": 50_000}):
+        assert changes.dedup_requests(df, "req", "ts", timedelta(seconds=5), tie=["id"], **rest).filter("not duplicate").count() == 12_000
+
+
+def test_event_ids_tell_missing_from_empty(spark):
+    df = spark.createDataFrame([(None, "a", "b"), (None, "", "ab"), (None, None, "ab"), (None, "a:", "b"), (None, "a", ":b")], "source_ts timestamp, x string, y string")
+    out = changes.with_event_id(df, ["x", "y"]).select("event_id").collect()
+    assert len({r[0] for r in out}) == 5 and {len(r[0]) for r in out} == {12 + 64}
+
+
 def test_many_copies_make_one_request(spark):
     start = datetime(2026, 1, 1)
     df = spark.createDataFrame([(i, "r", start) for i in range(10)], "i int, req string, ts timestamp")

@@ -1,4 +1,6 @@
 import pytest
+from pyspark.sql import functions as F
+
 from changeflow.functions.maps import merge_attributes, merge_metadata
 from changeflow.functions.text import sanitise_path, snapshot_key, subject_matches, subject_regex
 from changeflow.functions.values import document_fields, type_json_fields
@@ -168,3 +170,20 @@ def test_attributes(spark):
     df = spark.sql("select map('a', '1', 'b', '2') base, map('a', cast(null as string), 'c', '3') patch, cast(null as map<string,string>) none")
     assert df.select(merge_attributes("base", "patch", False)).first()[0] == {"a": None, "b": "2"}
     assert df.select(merge_attributes("base", "none", False)).first()[0] == {"a": "1", "b": "2"}
+
+
+def test_excluded_columns_are_not_read_by_the_forward_plan(spark, tmp_path):
+    from changeflow.plans.forward import Driver, change_events
+    from changeflow.sources.scan import raw_changes
+
+    rows = spark.createDataFrame([(1, "secret", 10, 5), (1, "secret", 11, 6)], "k int, ssn string, t int, n int")
+    rows.write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    raw = raw_changes(table.withColumn("ts", F.timestamp_seconds("t")), "t", "ts", "Snapshot")
+    driver = Driver("d", "pg", rules=[Rule("ssn", exclude=True), Rule("t", exclude=True)])
+    raw = raw.withColumn("row", F.col("row").dropFields("ts"))
+    out = change_events(raw, driver, ["k"], [F.col("row.t")], detected_at=F.col("source_ts"), sequence=False)
+    assert "ssn" not in out._jdf.queryExecution().executedPlan().toString().split("ReadSchema:")[1]
+    got = [r.asDict(recursive=True) for r in out.orderBy("source_ts").collect()]
+    assert [r["fields"] for r in got] == [{"n": 5}, {"n": 6}] and got[1]["prev"] == {"n": 5}
+    assert not [c for c in out.columns if c.startswith("__")]

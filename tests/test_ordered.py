@@ -55,6 +55,21 @@ def test_hot_groups_are_found(spark):
     assert ordered.hot_groups(df, ["key"]) == {}  # a small input is not measured
 
 
+def test_every_hot_group_is_found(spark, monkeypatch):
+    df = spark.range(9_000).select((F.col("id") % 3_000).alias("key"))
+    assert len(ordered.hot_groups(df, ["key"], 2)) == 3_000
+    wide = spark.range(3_000).select((F.col("id") % 30).alias("key"), F.when(F.col("id") % 30 == 7, F.repeat(F.lit("x"), 5_000)).alias("text"))
+    monkeypatch.setattr(ordered, "small", lambda df: False)
+    monkeypatch.setattr(ordered, "HOT_BYTES", 100_000)
+    assert list(ordered.hot_groups(wide, ["key"]).values()) == [100]
+
+
+def test_no_row_values_are_broadcast(spark):
+    df = spark.range(2_000).select(F.lit(1).alias("key"), "id", F.struct("id").alias("row"))
+    out = ordered.running(df, ["key"], ["id"], previous={"p": "row"}, hot_rows=0)
+    assert "broadcast" not in out._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
 def test_split_spreads_the_hot_group(spark):
     """No partition of the split form holds the whole group, and numbering moves its rows once."""
     df = spark.range(8_000).select(F.lit(1).alias("key"), "id")

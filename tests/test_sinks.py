@@ -37,7 +37,7 @@ def log(spark, n=2000):
     """One driver holds most of the events."""
     return spark.range(n).select(
         F.when(F.col("id") % 10 == 0, "small").otherwise("big").alias("driver_id"),
-        F.timestamp_seconds(F.col("id") * 100).alias("source_ts"), F.col("id").alias("seq"), F.lit("t").alias("entity"),
+        F.lit(None).cast("timestamp").alias("source_ts"), F.timestamp_seconds(F.col("id") * 100).alias("detected_at"), F.col("id").alias("seq"), F.lit("t").alias("entity"),
         F.concat(F.lit("e"), "id").alias("event_id"), F.concat(F.lit("cdc."), F.col("id") % 2).alias("subject"),
     )
 
@@ -52,7 +52,38 @@ def test_event_log_layout_replay_and_retention(spark, shared):
     now = datetime(1970, 1, 3, 12)
     assert tables.expired_days(spark, shared, now) == ["driver_id=big/event_date=1970-01-01", "driver_id=small/event_date=1970-01-01"]
     kept = tables.retain(tables.replay(spark, shared), now, timedelta(days=1))
-    assert kept.agg(F.min("source_ts")).first()[0] >= datetime(1970, 1, 2, 12)
+    assert kept.agg(F.min("detected_at")).first()[0] >= datetime(1970, 1, 2, 12)
+    assert 0 < kept.count() < 2000
+
+
+def test_replay_of_a_driver_and_a_range(spark, shared):
+    for _ in range(2):  # a run that is repeated replaces its own events
+        tables.write_events(log(spark), shared, run=7)
+    assert tables.replay(spark, shared).count() == 2000
+    out = tables.replay(spark, shared, driver="big", start=datetime(1970, 1, 2), end=datetime(1970, 1, 2, 1))
+    assert sorted(r.seq for r in out.collect()) == [i for i in range(864, 900) if i % 10]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(driver_id" in plan and "event_date" in plan.split("PartitionFilters:")[1].split("]")[0]
+    assert tables.replay(spark, shared, since={"big": 1990}).count() == 200 + 9
+    assert tables.expired_days(spark, shared, datetime(1970, 1, 3, 12)) == ["run=7/driver_id=big/event_date=1970-01-01", "run=7/driver_id=small/event_date=1970-01-01"]
+
+
+def test_a_checkpoint_needs_an_order(spark):
+    with pytest.raises(Exception, match="a checkpoint needs seq"):
+        cp.checkpoints(log(spark, 5).withColumn("seq", F.lit(None).cast("int"))).collect()
+
+
+def test_positions_of_other_kinds(spark):
+    state = spark.createDataFrame([("d", "t", 12), ("d", "u", 7)], "driver_id string, entity string, version long")
+    stored = cp.positions(state, "version")
+    rows = spark.createDataFrame([("d", "t", v) for v in (11, 12, 13, 100)] + [("d", "v", 3)], "driver_id string, entity string, version long")
+    assert sorted(r.version for r in cp.resume(rows, stored, "version", 0).collect()) == [3, 13, 100]
+    assert {r.position for r in cp.position_of(stored, "long").collect()} == {12, 7}
+    events = spark.createDataFrame([("d", "t", datetime(2026, 1, 1), i) for i in (1, 2, 2030)], "driver_id string, entity string, ts timestamp, n long")
+    by_id = positions(spark, [("d", "t", "2", "")])
+    assert [r.n for r in cp.resume(events, by_id, "ts", datetime(2025, 1, 1), id_col="n").collect()] == [2030]
+    with pytest.raises(Exception, match="position is no watermark"):
+        cp.resume(events, by_id, "ts", datetime(2025, 1, 1)).collect()
 
 
 def test_append_twice_adds_nothing(spark, shared):

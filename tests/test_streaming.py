@@ -99,6 +99,29 @@ def test_echo_stream(spark, events, shared):
     assert want.exceptAll(got).count() == 0 and got.exceptAll(want).count() == 0 and got.count() == 995
 
 
+def test_sessions_that_open_while_the_stream_runs(spark, shared):
+    schema = "i int, replica_session string"
+    for i, name in enumerate(("A-1", "b-2", "a-1", "B-2")):
+        spark.createDataFrame([(i, name)], schema).coalesce(1).write.mode("append").parquet(f"{shared}/in")
+    seen = []
+
+    def sessions():
+        seen.append(1)
+        return spark.createDataFrame([("a-1",), ("B-2",)][: len(seen)], "replica_session string")
+
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{shared}/in")
+    streaming.suppress_echo_stream(stream, sessions, ["i"], f"{shared}/out").awaitTermination()
+    assert sorted(r.i for r in micro.read_batches(spark, f"{shared}/out/changes").collect()) == [2, 3]
+
+
+def test_late_heartbeats_are_counted(spark, shared):
+    for day in (9, 1, 5):
+        spark.createDataFrame([(datetime(2026, 1, day), "d")], "ts timestamp, driver_id string").coalesce(1).write.mode("append").parquet(f"{shared}/in")
+    stream = spark.readStream.schema("ts timestamp, driver_id string").option("maxFilesPerTrigger", 1).parquet(f"{shared}/in")
+    streaming.heartbeat_stream(stream, f"{shared}/out").awaitTermination()
+    assert [r.events for r in streaming.read_heartbeats(spark, f"{shared}/out").collect()] == [1, 1, 1]
+
+
 def test_heartbeat_stream(spark, events, shared):
     rows = events.select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("driver_id"))
     land(rows, f"{shared}/in")
@@ -138,7 +161,7 @@ def test_publish_changes(spark, events, shared):
 
     def start():
         raw_stream = row_id(raw(source(spark, events, f"{shared}/in")))
-        streaming.publish_changes(raw_stream, driver, ["user_id"], ["source_ts", "row_id"], f"{shared}/out", F.col("source_ts"), max_bytes=420).awaitTermination()
+        streaming.publish_changes(raw_stream, driver, ["user_id"], ["source_ts", "row_id"], f"{shared}/out", F.col("source_ts"), max_bytes=464).awaitTermination()
 
     start()
     land(events, f"{shared}/in", CUTS[2:], CUTS[1])
@@ -202,6 +225,30 @@ def test_scan_step(spark, shared):
     assert len(ids()) == 3
 
 
+@pytest.mark.parametrize("zone", ["Asia/Tokyo", "America/New_York"])
+def test_scan_step_in_any_process_zone(spark, shared, monkeypatch, zone):
+    """The stored watermark is a moment, whatever zone this process runs in."""
+    import time
+
+    from changeflow.spec import Entity
+    from changeflow.streaming.polling import scan_step
+
+    rows = [(1, "2026-01-01 06:00:00")]
+    load = lambda e: spark.createDataFrame(rows, "id int, t string").select("id", F.to_timestamp("t").alias("updated_at"))
+    step = scan_step(spark, "d", [Entity("a", ("id",))], load, shared, now=lambda: datetime(2026, 1, 1, 6, 30))
+    monkeypatch.setenv("TZ", zone)
+    time.tzset()
+    try:
+        step(0)
+        rows += [(2, "2026-01-01 08:00:00"), (3, "2026-01-01 05:00:00")]
+        step(1)
+        step(2)
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+    assert sorted((r.v, r.pk) for r in micro.read_batches(spark, f"{shared}/changes").collect()) == [(0, '{"id":1}'), (1, '{"id":2}')]
+
+
 def test_snapshot_cycle(spark, shared):
     from changeflow.sources.scan import snapshot_cycle
 
