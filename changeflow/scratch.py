@@ -13,6 +13,7 @@ SMALL_INPUT_BYTES = 64 * 1024 * 1024
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 _local_dirs: dict[str, str] = {}
+_made: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,8 +30,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path in the shared folder."""
-    return f"{shared_dir(spark)}/changeflow/{label}-{uuid.uuid4().hex}"
+    """A new, unused path in the shared folder; ``clear`` removes it."""
+    path = f"{shared_dir(spark)}/changeflow/{label}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear(spark: SparkSession) -> int:
+    """Delete the tables this session has written to the shared folder, and return their number.
+
+    Call it when no result that reads from them is used any more.
+    """
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        remove(spark, path)
+    return len(paths)
 
 
 def plan_bytes(df: DataFrame) -> int:

@@ -32,3 +32,13 @@ def test_sizes(spark, shared):
     assert scratch.exists(spark, shared) and not scratch.exists(spark, shared + "x")
     scratch.remove(spark, shared)
     assert not scratch.exists(spark, shared) and scratch.children(spark, shared) == []
+
+
+def test_clear_removes_what_the_session_wrote(spark):
+    path = scratch.shared_path(spark, "clear")
+    spark.range(3).write.parquet(path)
+    assert scratch.exists(spark, path)
+    kept = dict(scratch._made)
+    scratch._made[spark.sparkContext.applicationId] = [path]
+    assert scratch.clear(spark) == 1 and not scratch.exists(spark, path)
+    scratch._made.update(kept)
