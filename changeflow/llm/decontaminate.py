@@ -169,7 +169,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
                     lists = batch.column("__matches").to_pylist()
                     for row, hits in found.items():
                         lists[row] = lists[row] + [{"item_id": i, "coverage": c, "tiles": [{"doc_start": d, "item_start": s, "length": n} for d, s, n in t]} for i, c, t in hits]
-                    batch = batch.set_column(batch.num_columns - 1, "__matches", pa.array(lists, batch.column("__matches").type))
+                    batch = pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(lists, batch.column("__matches").type)], schema=batch.schema)
                 yield batch
 
         return run
