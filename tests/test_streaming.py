@@ -68,6 +68,20 @@ def test_batch_run_again_is_the_same(spark, events, shared):
     assert state.before(2, spark.sql("select 'zz' k")).count() == 0
 
 
+def test_a_batch_reads_the_state_of_its_buckets(spark, shared):
+    from changeflow.scratch import children
+
+    state = micro.KeyedState(spark, shared, ["k"])
+    state.load(spark.range(2000).select(F.concat(F.lit("k"), "id").alias("k"), "id"))
+    state.write(spark.sql("select 'k7' k, -1L id where false"), 0)  # a batch that changes nothing
+    one = state.before(1, spark.sql("select 'k7' k"))
+    assert [r.id for r in one.collect()] == [7]
+    read = [r for r in one._jdf.queryExecution().executedPlan().toString().splitlines() if "PartitionFilters" in r]
+    assert read and all("__b" in r.split("PartitionFilters: [")[1].split("]")[0] for r in read)
+    assert len([c for c in children(spark, f"{shared}/base/v=-1") if c.startswith("__b=")]) == 17
+    assert state.before(1).count() == 2000
+
+
 @pytest.mark.parametrize("hot_rows", [None, 10])
 def test_dedup_stream(spark, events, shared, hot_rows):
     rows = events.select("event_id", "user_id", "ts")
