@@ -276,3 +276,21 @@ def test_prior_of_known_mixtures():
         web = np.concatenate([good(int(4000 * share)), rng.normal(-1.5, 1, (4000 - int(4000 * share), 4))])
         model = Q.fit_quality(good(3000), rng.permutation(web))
         assert abs(model.prior - share) < 0.08
+
+
+def test_blocks_of_pivots_lose_no_link():
+    rng = np.random.default_rng(7)
+    base = np.sort(rng.choice(10**6, 60, replace=False)).astype(np.uint64)
+    texts = []
+    for i in range(60):
+        ids = np.unique(np.concatenate([base[: rng.integers(30, 60)], rng.choice(10**6, rng.integers(0, 12)).astype(np.uint64)]))
+        texts.append((i, i % 7, ids, rng.integers(1, 3, len(ids)) if i % 2 else np.ones(len(ids), np.int64)))
+    block = N._Block(0.8)
+    for t in texts[:40]:
+        block.add(*t)
+    some = 0
+    for node, group, ids, weights in texts:
+        want = [p for p, g, i, w in texts[:40] if p < node and g != group and N.probability_jaccard(i, w, ids, weights) >= 0.8]
+        some += len(want)
+        assert sorted(block.links(node, group, ids, weights)) == want
+    assert some > 20
