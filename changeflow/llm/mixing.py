@@ -144,7 +144,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     def plan(pdf: pd.DataFrame) -> pd.DataFrame:
         """One source's sizes: as many rows as there are different sizes."""
-        key = pdf["source_key"].iloc[0]
+        key, pdf = pdf["source_key"].iloc[0], pdf.sort_values("size")  # rows arrive in any order, the plan must not
         return pdf[["source_key", "size"]].assign(need=fit_budget(pdf["size"].to_numpy(), pdf["n"].to_numpy(), budgets[key]))
 
     wanted = written(histogram.groupBy("source_key").applyInPandas(plan, "source_key string, size long, need long").where("need > 0"), "mix-wanted")
