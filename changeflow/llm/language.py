@@ -70,10 +70,11 @@ class ByteNetwork:
         w, full = self.weights, bool(inside.all())
         steps, n = ids.shape
         ahead = np.empty((steps, len(self.labels), n), np.float32)
-        for t, h in _run(w["ef"], w["uf"], ids, range(steps)):
+        live = None if full else inside
+        for t, h in _run(w["ef"], w["uf"], ids, range(steps), live):
             np.matmul(w["vf"], h, out=ahead[t])
         sums = np.zeros((len(self.labels), n), np.float32)
-        for t, h in _run(w["eb"], w["ub"], ids, range(steps - 1, -1, -1)):
+        for t, h in _run(w["eb"], w["ub"], ids, range(steps - 1, -1, -1), live):
             p = ahead[t]
             p += w["vb"] @ h
             p += w["c"]
@@ -93,8 +94,8 @@ def _squash(x: np.ndarray, room: np.ndarray) -> None:
     x /= room
 
 
-def _run(table: np.ndarray, state: np.ndarray, ids: np.ndarray, steps) -> Iterator[tuple[int, np.ndarray]]:
-    """The hidden state (H x n) at every step; the array is reused."""
+def _run(table: np.ndarray, state: np.ndarray, ids: np.ndarray, steps, live: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+    """The hidden state (H x n) at every step; the array is reused. Positions that are not ``live`` leave it at zero, so padding says nothing."""
     size, n = state.shape[1], ids.shape[1]
     h, x, g = np.zeros((size, n), np.float32), np.empty((3 * size, n), np.float32), np.empty((3 * size, n), np.float32)
     room, z, r = np.empty((2 * size, n), np.float32), x[:size], x[size : 2 * size]
@@ -112,6 +113,8 @@ def _run(table: np.ndarray, state: np.ndarray, ids: np.ndarray, steps) -> Iterat
         h -= new
         h *= z
         h += new
+        if live is not None:
+            h *= live[t]
         yield t, h
 
 
@@ -158,7 +161,7 @@ def _forward(table, state, ids, steps):
         z, r = gates[:size], gates[size:]
         new = x[2 * size :] + r * g[2 * size :]
         new = new / (1 + np.abs(new))
-        after = new + z * (h - new)
+        after = (new + z * (h - new)) * (ids[t] != PAD)
         kept[t] = (h, z, r, new, g[2 * size :], after)
         h = after
     return kept
@@ -170,7 +173,7 @@ def _backward(table, state, ids, kept, out_grads, steps):
     d_table, d_state, carry = np.zeros((257, 3 * size), np.float32), np.zeros_like(state), 0
     for t in steps:
         h, z, r, new, un, _ = kept[t]
-        dh = out_grads[t] + carry
+        dh = (out_grads[t] + carry) * (ids[t] != PAD)
         d_new = dh * (1 - z) * (1 - np.abs(new)) ** 2
         d_z = dh * (h - new) * 0.5 * (1 - np.abs(2 * z - 1)) ** 2
         d_r = d_new * un * 0.5 * (1 - np.abs(2 * r - 1)) ** 2
