@@ -10,8 +10,8 @@ a register with a probability equal to their similarity.
 
 Candidates: ``BANDS`` bands of ``ROWS`` registers. At similarity 0.8 a pair shares no band with probability (1 - 0.8**5)**32 = 3e-6, and
 less above. Within a bucket pairs are not enumerated: all members are held against a pivot, verified exactly, joined into
-classes, and the buckets that still hold several classes go into the next round with further pivots, until no pair of different classes
-is left unseen. A bucket of one group of copies, however many, is done after its first round.
+classes, and the buckets that still hold several classes go into further rounds, in which a block of pivots is held against all
+others by an inverted index of its shingles, until no pair of different classes is left unseen. A bucket of one group of copies, however many, is done after its first round.
 
 Defined results: a null text, and a text without words, is a class of its own per row id and never a copy. Copies with equal lower-case
 texts are one node from the start. Null ids sort last; a class of null ids only has the class id null. Repeated rows come back repeated.
@@ -30,7 +30,8 @@ from changeflow.llm.common import find_words, gram_hashes, mix64, slices, span_h
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 5
-PIVOTS = 32  # members of a bucket held against all its others in one later round
+PIVOTS = 512  # members of a bucket held against all its others in one later round
+PART = 4096  # members of a bucket that one task compares with its pivots
 _U = np.uint64
 _STEP, _REGISTER, _BAND = _U(0xD1B54A32D192ED03), _U(0x8CB92BA72F3D8DD7), _U(0xA24BAED4963EE407)
 _HASH_BITS = _U(44)  # of a shingle, within one slice
@@ -213,40 +214,118 @@ def _plain(column):
 def _classes(signed: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """(node, class) of all nodes with a verified link.
 
-    Round 1 holds every node against the smallest of its buckets' pivots, which settles groups of copies. Round 2 holds it against its
-    other pivots. Every further round takes up to PIVOTS more pivots from each bucket that still holds several classes.
-    A pair is verified once.
+    Round 1 holds every node against the smallest of its buckets' pivots, which settles groups of copies, and round 2 against its other pivots.
+    Every further round takes PIVOTS more pivots from each bucket that still holds several classes.
     """
     entries = signed.select("node", F.explode("bands").alias("key"))
     shared = entries.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot <> last").select("key", "pivot")
     members = written(entries.join(shared, "key"), "near-buckets")  # only buckets of several nodes
     packed = written(signed.select("node", "packed").join(members.select("node").distinct(), "node", "left_semi"), "near-texts")
     a, b = packed.select(F.col("node").alias("a"), F.col("packed").alias("packed_a")), packed.select(F.col("node").alias("b"), F.col("packed").alias("packed_b"))
-    pairs = members.where("pivot <> node").groupBy("node").agg(F.min("pivot").alias("pivot"))
-    links = tested = label = None
-    number = 1
+    verified = lambda pairs: written(_similar(pairs.select(F.col("pivot").alias("a"), F.col("node").alias("b")).join(b, "b").join(a, "a"), shingle, similarity), "near-found")
+
+    first = written(members.where("pivot <> node").groupBy("node").agg(F.min("pivot").alias("pivot")), "near-pairs")
+    label = _joined(signed.sparkSession.createDataFrame([], "node long, class long"), verified(first))
+    named = _mixed(members, label)
+    heads = named.where("pivot = node").select("key", F.col("class").alias("head_class"))
+    pairs = named.join(heads, "key").where("pivot <> node and class <> head_class").select("node", "pivot").distinct().join(first, ["node", "pivot"], "left_anti")
+    label = _joined(label, verified(pairs))
+    members = named.where("node <> pivot").select("key", "node")
     while True:
-        pairs = written(pairs.select(F.col("pivot").alias("a"), F.col("node").alias("b")), "near-pairs")
-        if pairs.isEmpty():
-            break
-        found = written(_similar(pairs.join(b, "b").join(a, "a"), shingle, similarity), "near-found")
-        links, tested = (found, pairs) if links is None else (links.unionByName(found), tested.unionByName(pairs))
-        label = written(components(links), "near-class")
-        number += 1
-        if number > 2:  # nodes up to the pivot have met the whole bucket
-            members = members.where("node > pivot")
-        named = members.join(label, "node", "left").select("key", "node", "pivot", F.coalesce("class", "node").alias("class"))
-        mixed = named.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("key")
-        named = written(named.join(mixed, "key", "left_semi"), "near-buckets")
-        if number == 2:
-            met, pivots = named.select("key", "node", "pivot"), named.where("pivot = node").select("key", F.col("node").alias("one"), F.col("class").alias("one_class"))
-        else:
-            rank = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-            pivots = named.select("key", F.col("node").alias("one"), F.col("class").alias("one_class"), rank.alias("rank")).where(F.col("rank") <= PIVOTS).drop("rank")
-            met = named.drop("pivot").join(pivots.groupBy("key").agg(F.max("one").alias("pivot")), "key").select("key", "node", "pivot")
-        other = named.join(pivots, "key").where("one < node and one_class <> class").select("node", F.col("one").alias("pivot")).distinct()
-        pairs = other.join(tested.select(F.col("a").alias("pivot"), F.col("b").alias("node")), ["pivot", "node"], "left_anti")
-        members = written(met, "near-buckets")
-    if label is None:
-        return signed.sparkSession.createDataFrame([], "node long, class long")
-    return label
+        named = _mixed(members, label)
+        if named.isEmpty():
+            return label
+        rank = F.row_number().over(Window.partitionBy("key").orderBy("node"))
+        chosen = written(named.withColumn("rank", rank).where(F.col("rank") <= PIVOTS).drop("rank"), "near-pivots")
+        label = _joined(label, written(_block_links(named, chosen, packed, shingle, similarity), "near-found"))
+        members = named.join(chosen.groupBy("key").agg(F.max("node").alias("last")), "key").where("node > last").select("key", "node")
+
+
+def _mixed(members: DataFrame, label: DataFrame) -> DataFrame:
+    """Members of buckets that hold several classes, with their class."""
+    named = members.join(label, "node", "left").withColumn("class", F.coalesce("class", "node"))
+    mixed = named.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("key")
+    return written(named.join(mixed, "key", "left_semi"), "near-buckets")
+
+
+def _block_links(named: DataFrame, chosen: DataFrame, packed: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Verified links between the chosen pivots of each bucket and its larger members of other classes.
+
+    A bucket is dealt out in parts of about PART members, each with a copy of the pivots; a task holds the pivots of one part at a time.
+    """
+    parts = named.groupBy("key").agg(F.ceil(F.count("*") / F.lit(PART)).cast("int").alias("parts"))
+    heads = chosen.join(parts, "key").select("key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), "node", "class")
+    rest = named.join(parts, "key").select("key", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"), "node", "class")
+    rows = heads.unionByName(rest).join(packed, "node").select("key", "part", "role", "node", "class", "packed")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
+        current, block = None, _Block(similarity)
+        for batch in (small for big in batches for small in slices(iter([big]), "packed", 1 << 18)):
+            texts = [unpack.decompress(p) for p in batch.column("packed").to_pylist()]
+            raw, offsets = np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+            owner, ids, weights = weighted_shingles(raw, offsets, shingle)
+            at = np.searchsorted(owner, np.arange(batch.num_rows + 1))
+            out: list[tuple[int, int]] = []
+            columns = [batch.column(c).to_pylist() for c in ("key", "part", "role", "node", "class")]
+            for i, (key, part, role, node, group) in enumerate(zip(*columns, strict=True)):
+                if current != (key, part):
+                    current, block = (key, part), _Block(similarity)
+                own = ids[at[i] : at[i + 1]], weights[at[i] : at[i + 1]]
+                if role == 0:
+                    block.add(node, group, *own)
+                else:
+                    out += [(p, node) for p in block.links(node, group, *own)]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
+
+    return rows.repartition("key", "part").sortWithinPartitions("key", "part", "role", "node").mapInArrow(compare, "a long, b long").distinct()
+
+
+class _Block:
+    """Pivots with an inverted index of their shingles."""
+
+    def __init__(self, similarity: float):
+        self.similarity, self.pivots, self.index = similarity, [], None
+
+    def add(self, node: int, group: int, ids: np.ndarray, weights: np.ndarray) -> None:
+        self.pivots.append((node, group, ids, weights))
+
+    def links(self, node: int, group: int, ids: np.ndarray, weights: np.ndarray) -> list[int]:
+        """Pivots of smaller node and another class that are similar enough.
+
+        Only pivots whose upper bound is high enough are computed. With p and q as the shares of a common shingle in the two texts and M the sum
+        of their minima, its part of the similarity is at most min(p, q), and at most max(p, q) / (2 - M), since the sum of the maxima is 2 - M.
+        """
+        if not self.pivots:
+            return []
+        if self.index is None:
+            every = np.concatenate([p[2] for p in self.pivots])
+            owner = np.repeat(np.arange(len(self.pivots)), [len(p[2]) for p in self.pivots])
+            order = np.argsort(every, kind="stable")
+            mass = np.concatenate([p[3] / p[3].sum() for p in self.pivots])
+            self.index = every[order], owner[order], mass[order]
+            self.nodes, self.groups = np.array([p[0] for p in self.pivots]), np.array([p[1] for p in self.pivots])
+        every, owner, mass = self.index
+        low, high = np.searchsorted(every, ids, "left"), np.searchsorted(every, ids, "right")
+        times = high - low
+        hit = np.repeat(low, times) + np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+        n, at = len(self.pivots), owner[hit]
+        here, there = np.repeat(weights / weights.sum(), times), mass[hit]
+        less, more = np.minimum(here, there), np.maximum(here, there)
+        both = np.bincount(at, less, n)
+        bound = np.bincount(at, np.minimum(more / (2 - both)[at], less), n)
+        maybe = np.flatnonzero((bound >= self.similarity - 1e-9) & (self.nodes < node) & (self.groups != group))
+        return [self.pivots[k][0] for k in maybe if probability_jaccard(*self.pivots[k][2:], ids, weights) >= self.similarity]
+
+
+def _joined(label: DataFrame, found: DataFrame) -> DataFrame:
+    """Classes after new links: the links between classes are few, and only they are followed."""
+    if found.isEmpty():
+        return label
+    known = label.unionByName(found.select(F.col("a").alias("node"), F.col("a").alias("class"))).unionByName(found.select(F.col("b").alias("node"), F.col("b").alias("class")))
+    known = written(known.groupBy("node").agg(F.min("class").alias("class")), "near-class")
+    left, right = known.select(F.col("node").alias("a"), F.col("class").alias("u")), known.select(F.col("node").alias("b"), F.col("class").alias("v"))
+    links = found.join(left, "a").join(right, "b").where("u <> v").select("u", "v").distinct()
+    merged = components(links, "u", "v").select(F.col("node").alias("class"), F.col("class").alias("into"))
+    return written(known.join(merged, "class", "left").select("node", F.coalesce("into", "class").alias("class")), "near-class")
