@@ -15,7 +15,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-MEMO_ENTRIES = 1 << 21  # segments remembered per Python worker, some 400 MB; the memo starts anew beyond it
+MEMO_ENTRIES = 1 << 19  # segments remembered per Python worker, some 100 MB; the memo starts anew beyond it
 MEMO_CHARS = 64  # longer segments are encoded but not remembered
 # Control characters that Python calls white space and the tokenizers' patterns do not.
 _ODD_SPACE = re.compile(r"[\x1c-\x1f]")
