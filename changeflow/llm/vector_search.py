@@ -3,8 +3,9 @@
 Components become integers floor(scale * x). Every vector has an approximation: per component the number of a cell between equally spaced borders,
 one byte each. Vectors lie in packs of up to ``PACK`` with their approximations beside them. For a pack and a block of queries the cells give an upper and a lower
 bound of each score; a query then reads exact vectors of the pack in the order of the upper bound until its k-th best score is
-certain, that is, no unread bound reaches it. Equal vectors of a pack are held once, with their k + 1 smallest ids, so ties cost no
-extra reads and lose nothing. The best k of all packs are merged per query.
+certain, that is, no unread bound reaches it. Equal vectors of a pack are held once, with the ids of their 2k smallest rows, of one id at most k, so
+ties cost no extra reads and lose nothing: without the rows of any one id, the query's own, the k smallest others remain. The best k of all packs
+are merged per query.
 
 Queries are themselves a share of all rows, so they come in blocks of about ``QUERY_BLOCK``: (pack, block) pairs meet by an equi-join on
 (block, salt), no side is broadcast, and every task holds one pack and one block.
@@ -44,7 +45,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _packs(rows: DataFrame, size: int, k: int) -> DataFrame:
-    """One row per pack: distinct vectors, the ids of each (the k + 1 smallest), cell borders and cell numbers."""
+    """One row per pack: distinct vectors, the ids of each (the 2k smallest, one id at most k times), cell borders and cell numbers."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -59,8 +60,11 @@ def _packs(rows: DataFrame, size: int, k: int) -> DataFrame:
             first = np.concatenate([[True], (v[1:] != v[:-1]).any(axis=1)])
             group = np.cumsum(first) - 1
             start = np.flatnonzero(first)
-            held = np.arange(len(id_)) - start[group] <= k  # k + 1 ids: one of them may be the query's own
             v = v[start]
+            same = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]) | (id_[1:] != id_[:-1])]))
+            few = np.arange(len(id_)) - np.repeat(same, np.diff(np.append(same, len(id_)))) < k  # of one id
+            id_, group = id_[few], group[few]
+            held = np.arange(len(id_)) - np.searchsorted(group, group) < 2 * k  # up to k of them may be the query's own
             low, high = v.min(axis=0), v.max(axis=0)
             width = np.maximum(1, -(-(high - low + 1) // CELLS))
             cells = ((v - low) // width).astype(np.uint8)

@@ -43,6 +43,16 @@ def test_search_against_every_pair(spark, pack, block):
     assert V.top_k(df.limit(0), F.col("id") % 10 == 0).count() == 0
 
 
+@pytest.mark.parametrize("times", [2, 6, 40])
+def test_repeated_query_rows_among_equal_vectors(spark, times):
+    v, less = [1.0, 0.5], [0.5, 0.25]
+    rows = [(50, v)] * times + [(i, v) for i in range(51, 56)] + [(60, v)] * 7 + [(i, less) for i in range(1, 9)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    out = V.top_k(df, F.col("id") % 10 == 0, k=5, scale=100).collect()
+    assert {tuple(r) for r in out} == plain_top(rows, 10, 5, 100) and len(out) == 10
+    assert [r.vec_id for r in sorted(out) if r.query_id == 50] == [51, 52, 53, 54, 55]
+
+
 def test_few_exact_vectors_are_read():
     rng = np.random.default_rng(1)
     vectors = np.concatenate([rng.normal(0, 20, (2000, 16)), rng.normal(0, 20, (20, 16)) + 200]).astype(int)
