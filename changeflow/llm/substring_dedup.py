@@ -13,7 +13,8 @@ a smaller id.
    shuffle and joined back.
 
 Null texts have no words. Texts of fewer than ``WINDOW`` words lose none. Rows of one id are one document; a null id counts as larger than all
-others. Repeated rows give repeated results. No result is lost by size.
+others. Repeated rows give repeated results: each (id, text) is listed about once a partition and packed once, and what goes is joined back to all its
+rows. No result is lost by size.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 from changeflow.llm.common import find_words, mix64, power_tables, slices, span_hashes, text_bytes, written
 
 WINDOW, SEED, HOT = 50, 8, 512
+SEEN = 1 << 16  # documents that a task remembers to leave out repeated rows
 _U = np.uint64
 _STEP, _OTHER = _U(0xD6E8FEB86659FD93), _U(0xC2B2AE3D27D4EB4F)
 _OTHER_INVERSE = _U(pow(int(_OTHER), -1, 1 << 64))
@@ -110,13 +112,29 @@ def _repeats_by_words(text: bytes, s: np.ndarray, e: np.ndarray, rows: np.ndarra
     return rows[gone], gone - np.searchsorted(rows, rows[gone]), np.full(len(gone), window)
 
 
+def _seldom_repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Without rows whose (o, c) came before in this partition, as far as it is remembered; the rest is made distinct after the shuffle."""
+    seen: set[tuple[int, int]] = set()
+    for batch in batches:
+        take = []
+        for i, key in enumerate(zip(batch.column("o").to_pylist(), batch.column("c").to_pylist(), strict=True)):
+            if key in seen:
+                continue
+            if len(seen) >= SEEN:
+                seen.clear()
+            seen.add(key)
+            take.append(i)
+        if take:
+            yield batch if len(take) == batch.num_rows else batch.take(pa.array(take))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, seed: int = SEED, hot: int = HOT) -> DataFrame:
     """Per row of ``docs``: id, n_words, n_removed, kept (the words that stay, joined by one space) and kept_sha256."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("o"), F.xxhash64(text).alias("c"), text.alias("text"))
 
     def listing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(_seldom_repeated(batches)):
             raw, offsets = text_bytes(batch.column("text"))
             s, e, row = find_words(raw, offsets)
             words = span_hashes(raw, s, e)
@@ -133,7 +151,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = written(equal.join(several, "k").select("k", "h", "low", (F.col("kinds") > 1).alias("mixed"), (F.col("kinds") > hot).alias("hot"), (F.col("low") < F.col("high")).alias("copied")), "kmer-shared")
     met = written(runs.join(shared.where("mixed or copied"), ["k", "h"]).select("o", "c", "at", "n", "k", "mixed", "hot", "low"), "kmer-met")
     copied = met.where("o > low").select("o", "c", "at", (F.col("n") + window - 1).alias("len"))
-    heads = met.where("o = low and mixed").groupBy("o", "c").agg(F.collect_list(F.struct("k", "at", "n", "hot")).alias("runs"))
+    heads = met.where("o = low and mixed").groupBy("o", "c").agg(F.collect_set(F.struct("k", "at", "n", "hot")).alias("runs"))
 
     def packing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -152,7 +170,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             take = pa.array(own)
             yield pa.RecordBatch.from_arrays([inner.field("k"), inner.field("hot"), batch.column("o").take(take), batch.column("c").take(take), inner.field("at"), pa.array(packed, pa.binary())], names=["k", "hot", "o", "c", "at", "packed"])
 
-    packed = written(rows.select("o", "c", "text").join(heads, ["o", "c"]).mapInArrow(packing, "k long, hot boolean, o long, c long, at int, packed binary"), "kmer-packed")
+    some = rows.select("o", "c", "text").mapInArrow(_seldom_repeated, "o long, c long, text string")
+    once = some.join(heads, ["o", "c"]).groupBy("o", "c").agg(F.first("text").alias("text"), F.first("runs").alias("runs"))
+    packed = written(once.mapInArrow(packing, "k long, hot boolean, o long, c long, at int, packed binary"), "kmer-packed")
 
     def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _whole_groups(batches, "k"):
@@ -182,7 +202,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     windows = packed.where("hot").mapInArrow(explode, "w1 long, w2 long, o long, c long, at int")
     lowest = windows.groupBy("w1", "w2").agg(F.min("o").alias("low"))
     dealt_out = windows.join(lowest, ["w1", "w2"]).where("o > low").select("o", "c", "at", F.lit(window).alias("len"))
-    gone = copied.unionByName(repeated).unionByName(dealt_out).groupBy("o", "c").agg(F.collect_list(F.struct("at", "len")).alias("gone"))
+    gone = copied.unionByName(repeated).unionByName(dealt_out).groupBy("o", "c").agg(F.collect_set(F.struct("at", "len")).alias("gone"))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

@@ -105,6 +105,25 @@ def test_repeats_of_odd_rows(spark):
     assert S.remove_repeats(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("seen, hot", [(1000, S.HOT), (2, 1)])
+def test_repeated_rows_are_packed_once(spark, monkeypatch, seen, hot):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice("ab") for _ in range(30)) for _ in range(20)]
+    own = dict(enumerate(texts))
+    rows = [(i, t) for i, t in own.items() for _ in range(60 if i in (0, 7) else 1)] + [(None, texts[3] + " b a")] * 60
+    rng.shuffle(rows)
+    tables, write = {}, S.written
+    monkeypatch.setattr(S, "SEEN", seen, raising=False)
+    monkeypatch.setattr(S, "written", lambda df, label: tables.setdefault(label, write(df, label)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = S.remove_repeats(df, window=7, seed=3, hot=hot).collect()
+    want = brute.repeats([*own.items(), (1 << 62, texts[3] + " b a")], 7)
+    assert len(out) == len(rows)
+    assert {(1 << 62 if r.doc_id is None else r.doc_id): (r.n_words, r.n_removed, r.kept_sha256) for r in out} == want
+    packed = tables["kmer-packed"]
+    assert packed.count() == packed.select("o", "c", "k", "at").distinct().count() > 0
+
+
 def test_windows_with_one_hash_are_told_apart(monkeypatch):
     monkeypatch.setattr(S, "_spans", lambda words, start, end, second=False: np.zeros(len(start), np.uint64))
     raw, offsets = text_bytes(pa.array(["a b c", "x b c", "a b c d"]))
