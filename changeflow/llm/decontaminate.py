@@ -1,19 +1,24 @@
 """Benchmark decontamination by greedy string tiling.
 
-Tokens are runs of letters, digits and non-ASCII characters, in lower case. Karp-Rabin hashes of ``MIN_MATCH`` tokens of the documents are looked up among those of
+Tokens are runs of letters, marks and digits by Unicode class, in lower case; each character of a script written without spaces (``UNSPACED``) and each
+symbol beyond ASCII is a token of its own, and all punctuation separates. Karp-Rabin hashes of ``MIN_MATCH`` tokens of the documents are looked up among those of
 the benchmark items; hits on one diagonal chain into maximal matches. For each pair of document and item the longest match without marked
 tokens is marked again and again (parts of a match that are marked already are cut off), until none of ``MIN_MATCH`` tokens is left. An item is
 found in a document when the marked tokens are at least ``COVERAGE`` of the item, in whatever order its passages stand.
 
-Defined results: null and empty texts contain nothing; items of fewer than ``MIN_MATCH`` tokens cannot be found; equal items are both
+Items of fewer than ``MIN_MATCH`` but at least ``shortest`` tokens are found where all their tokens stand in a row; the tile is the first such place.
+
+Defined results: null and empty texts contain nothing; items without tokens, or with fewer than ``shortest``, cannot be found; equal items are both
 reported; rows are judged one by one, so repeated rows and null ids get their own result. All columns of the documents come back.
 """
 
 from __future__ import annotations
 
 import heapq
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,22 +29,65 @@ from changeflow.llm.common import gram_hashes, slices, span_hashes, text_bytes
 MIN_MATCH, COVERAGE = 4, 0.5
 BLOCK_TOKENS = 1 << 21  # tokens of items in one broadcast block, about 50 MB
 _U = np.uint64
-_TOKEN = np.zeros(256, bool)
-_TOKEN[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+_TOKEN = np.zeros(256, np.uint8)
+_TOKEN[[*range(48, 58), *range(65, 91), *range(97, 123)]] = 1
+_JOINERS = (0x200C, 0x200D)  # inside words of Persian and Indic scripts
+#: First and last character of the blocks of scripts without spaces: Thai, Lao; Myanmar; Khmer; Tai Le to Tai Tham; Balinese; Han and kana; Yi; Javanese,
+#: Myanmar; Cham to Tai Viet; compatibility ideographs; half-width kana; Ahom; cuneiform, hieroglyphs; Tangut to kana; Nushu; further Han.
+UNSPACED = (
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x1AAF), (0x1B00, 0x1B7F), (0x2E80, 0x312F), (0x31A0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xA980, 0xA9FF),
+    (0xAA00, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x11700, 0x1174F), (0x12000, 0x1467F), (0x16FE0, 0x1B16F), (0x1B170, 0x1B2FF), (0x20000, 0x3FFFF),
+)
 _FILTER_BITS = 20
 MATCHES = "array<struct<item_id: {id}, coverage: double, tiles: array<struct<doc_start: int, item_start: int, length: int>>>>"
 
 
+@cache
+def _classes() -> np.ndarray:
+    """Per code point: 0 separates, 1 stands inside words, 2 is a token of its own. What Unicode has not assigned counts as a letter."""
+    of = {"L": 1, "M": 1, "N": 1, "Co": 1, "Cn": 1, "Sm": 2, "Sc": 2, "So": 2}
+    names = [unicodedata.category(chr(c)) for c in range(0x40000)]
+    kind = np.ones(0x110000, np.uint8)
+    kind[:0x40000] = [of.get(n, of.get(n[0], 0)) for n in names]
+    for a, b in UNSPACED:
+        own = [c for c in range(a, b + 1) if names[c][0] in "LM" or names[c] in ("Nl", "Cn")]
+        kind[own] = 2
+    kind[list(_JOINERS)] = 1
+    kind[0xE0000:0xE0080] = 0  # tags
+    return kind
+
+
+def _kinds(raw: np.ndarray) -> np.ndarray:
+    """The class of every byte's character."""
+    kind = _TOKEN[raw]
+    lead = np.flatnonzero(raw >= 0xC0)
+    if len(lead):
+        first, size = raw[lead].astype(np.int32), 2 + (raw[lead] >= 0xE0) + (raw[lead] >= 0xF0)
+        code = first & (0x7F >> size)
+        for j in range(1, 4):
+            more = size > j
+            at = np.minimum(lead[more] + j, len(raw) - 1)
+            code[more] = (code[more] << 6) | (raw[at] & 0x3F)
+        own = _classes()[np.minimum(code, 0x10FFFF)]
+        kind[lead] = own
+        for j in range(1, 4):
+            more = (size > j) & (lead + j < len(raw))
+            kind[lead[more] + j] = own[more]
+    return kind
+
+
 def tokens(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash and row of every token."""
     if not len(raw):
         return np.zeros(0, _U), np.zeros(0, np.int64)
-    inside = _TOKEN[raw]
+    kind = _kinds(raw)
+    inside = kind > 0
     first = np.zeros(len(raw) + 1, bool)
     first[offsets] = True
+    alone = (kind[1:] == 2) | (kind[:-1] == 2)
     starts, ends = inside.copy(), inside.copy()
-    starts[1:] &= ~inside[:-1] | first[1:-1]
-    ends[:-1] &= ~inside[1:] | first[1:-1]
+    starts[1:] &= ~inside[:-1] | first[1:-1] | alone & ((raw[1:] & 0xC0) != 0x80)
+    ends[:-1] &= ~inside[1:] | starts[1:]
     s, e = np.flatnonzero(starts), np.flatnonzero(ends) + 1
     return span_hashes(raw, s, e), np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(s, offsets)))
 
@@ -55,9 +103,10 @@ class Items:
     seed_item: np.ndarray
     seed_at: np.ndarray
     table: np.ndarray  # whether a seed with these leading bits exists
+    short: dict[int, tuple[np.ndarray, np.ndarray]]  # of the items of fewer tokens than a seed, by their number: hashes, sorted, and items
 
     @classmethod
-    def of(cls, ids: list, texts: list[str], k: int) -> "Items":
+    def of(cls, ids: list, texts: list[str], k: int, shortest: int | None = None) -> "Items":
         raw, offsets = text_bytes(pa.array(texts, pa.string()))
         words, rows = tokens(raw, offsets)
         grams, at = gram_hashes(words, rows, k)
@@ -65,7 +114,14 @@ class Items:
         starts = np.searchsorted(rows, np.arange(len(ids) + 1))
         table = np.zeros(1 << _FILTER_BITS, bool)
         table[(grams >> _U(64 - _FILTER_BITS)).astype(np.int64)] = True
-        return cls(ids, words, starts, grams[order], rows[at][order], (at - starts[rows[at]])[order], table)
+        short = {}
+        for n in range(max(1, k if shortest is None else shortest), k):
+            whole, first = gram_hashes(words, rows, n)
+            whole, item = whole[np.diff(starts)[rows[first]] == n], rows[first][np.diff(starts)[rows[first]] == n]
+            if len(item):
+                by = np.argsort(whole, kind="stable")
+                short[n] = whole[by], item[by]
+        return cls(ids, words, starts, grams[order], rows[at][order], (at - starts[rows[at]])[order], table, short)
 
 
 def tile(pairs: list[tuple[int, int, int]], item_size: int, least: int) -> list[tuple[int, int, int]]:
@@ -99,14 +155,30 @@ def tile(pairs: list[tuple[int, int, int]], item_size: int, least: int) -> list[
     return sorted(tiles)
 
 
+def _short_matches(items: Items, words: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, tuple]]:
+    """Row and found item for the items that are shorter than a seed; all their tokens stand in the row."""
+    for n, (whole, item) in items.short.items():
+        grams, at = gram_hashes(words, rows, n)
+        low = np.searchsorted(whole, grams, "left")
+        hit = np.flatnonzero(whole[np.minimum(low, len(whole) - 1)] == grams)
+        at, low = at[hit], low[hit]
+        _, once = np.unique(np.stack([rows[at], low]), axis=1, return_index=True)  # the first place of each
+        for p, x in zip(at[once].tolist(), low[once].tolist(), strict=True):
+            place = p - int(np.searchsorted(rows, rows[p]))
+            for y in item[x : np.searchsorted(whole, whole[x], "right")].tolist():
+                yield int(rows[p]), (items.ids[y], 1.0, [(place, 0, n)])
+
+
 def _matches(items: Items, words: np.ndarray, rows: np.ndarray, k: int, coverage: float) -> dict[int, list]:
     """Per row of a slice: its found items as (item, coverage, tiles)."""
+    out: dict[int, list] = {}
+    for r, found in _short_matches(items, words, rows):
+        out.setdefault(r, []).append(found)
     grams, at = gram_hashes(words, rows, k)
     maybe = np.flatnonzero(items.table[(grams >> _U(64 - _FILTER_BITS)).astype(np.int64)])
     low, high = np.searchsorted(items.seeds, grams[maybe], "left"), np.searchsorted(items.seeds, grams[maybe], "right")
     hit = high > low
     low, high, at = low[hit], high[hit], at[maybe[hit]]
-    out: dict[int, list] = {}
     if not len(at):
         return out
     times = high - low
@@ -134,22 +206,22 @@ def _matches(items: Items, words: np.ndarray, rows: np.ndarray, k: int, coverage
     return out
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, k: int, block_tokens: int) -> Iterator[Items]:
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str, k: int, block_tokens: int, shortest: int) -> Iterator[Items]:
     """The benchmark in blocks of bounded size."""
     ids, texts, held = [], [], 0
     for r in benchmark.select(F.col(id_col), F.lower(F.coalesce(F.col(text_col), F.lit("")))).toLocalIterator():
-        size = len(r[1]) // 2 + 1  # tokens at most
+        size = len(r[1]) // 2 + 1 if r[1].isascii() else len(r[1])  # tokens at most
         if ids and held + size > block_tokens:
-            yield Items.of(ids, texts, k)
+            yield Items.of(ids, texts, k, shortest)
             ids, texts, held = [], [], 0
         ids.append(r[0])
         texts.append(r[1])
         held += size
     if ids:
-        yield Items.of(ids, texts, k)
+        yield Items.of(ids, texts, k, shortest)
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", matches_col: str = "matches", min_match: int = MIN_MATCH, coverage: float = COVERAGE, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", matches_col: str = "matches", min_match: int = MIN_MATCH, coverage: float = COVERAGE, block_tokens: int = BLOCK_TOKENS, shortest: int = MIN_MATCH) -> DataFrame:
     """All rows and columns of ``docs`` with ``matches``: the items found, their coverage, and the tiles (token positions).
 
     The documents are read once and not shuffled; each block of items is broadcast and is one more step of the same pass.
@@ -174,6 +246,6 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
 
         return run
 
-    for items in _blocks(benchmark, item_col, item_text_col, min_match, block_tokens):
+    for items in _blocks(benchmark, item_col, item_text_col, min_match, block_tokens, shortest):
         out = out.mapInArrow(step(sc.broadcast(items)), schema)
     return out.select(*names, "__matches").toDF(*columns, matches_col)

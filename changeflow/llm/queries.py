@@ -87,7 +87,7 @@ def op3_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
-    found = decontaminate.find_leaks(read(spark, folder, "documents").select("doc_id", "text"), read(spark, folder, "benchmark"))
+    found = decontaminate.find_leaks(read(spark, folder, "documents").select("doc_id", "text"), read(spark, folder, "benchmark"), shortest=1)
     return found.select(
         "doc_id", (F.size("matches") > 0).alias("contaminated"), F.coalesce(F.array_max("matches.coverage"), F.lit(0.0)).alias("coverage"),
         F.array_sort("matches.item_id").alias("item_ids"),

@@ -31,7 +31,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item is found."""
-    found = decontaminate.find_leaks(docs, read(spark, sf_dir, "benchmark"), matches_col="__matches")
+    found = decontaminate.find_leaks(docs, read(spark, sf_dir, "benchmark"), matches_col="__matches", shortest=1)
     return found.where(F.size("__matches") == 0).select(*docs.columns)
 
 

@@ -163,6 +163,27 @@ def test_reordered_passages_are_found(spark):
     assert D.find_leaks(df, bench.limit(0)).where(F.size("matches") > 0).isEmpty()
 
 
+def test_tokens_by_unicode_class():
+    cut = lambda t: D.tokens(*text_bytes(pa.array([t])))[0].tolist()
+    same = [("“la maison” – c’est «ça»…", 'la maison - c\'est "ça"...'), ("今天，天气很好。", "今 天 天 气 很 好"), ("ภาษาไทย", " ".join("ภาษาไทย")), ("ab日本12", "ab 日 本 12"), ("カタカナ・ー", "カ タ カ ナ ー"), ("हिन्दी में", "हिन्दी, में"), ("5€ ☃☃", "5 € ☃ ☃"), ("𠀀𠀁x", "𠀀 𠀁 x")]
+    for a, b in same:
+        assert cut(a) == cut(b) and len(cut(a)) == len(b.replace(",", " ").replace("-", " ").replace("'", " ").replace('"', " ").replace(".", " ").split())
+    hashes, rows = D.tokens(*text_bytes(pa.array(["日本", "", "本x", None, "—"])))
+    assert rows.tolist() == [0, 0, 2, 2] and hashes[1] == hashes[2]
+
+
+def test_items_without_spaces_and_of_few_words_are_found(spark):
+    chinese, three, one = "中国的首都是哪一座城市？", "Quo vadis, domine", "xylograph"
+    docs = [(1, f"前言：{chinese}后记"), (2, "«quo» vadis — domine?"), (3, "quo vadis"), (4, "a Xylograph, a xylograph"), (5, "中国很大"), (6, None), (7, chinese), (7, chinese)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, chinese), (2, three), (3, three.upper()), (4, one), (5, "?!"), (6, None)], "item_id long, text string")
+    for block in (D.BLOCK_TOKENS, 5):
+        out = D.find_leaks(df, bench, block_tokens=block, shortest=1).collect()
+        assert sorted((r.doc_id, sorted(m.item_id for m in r.matches)) for r in out) == [(1, [1]), (2, [2, 3]), (3, []), (4, [4]), (5, []), (6, []), (7, [1]), (7, [1])]
+        tiles = {(r.doc_id, m.item_id): [tuple(t) for t in m.tiles] for r in out for m in r.matches}
+        assert tiles[1, 1] == [(2, 0, 11)] and tiles[2, 3] == [(0, 0, 3)] and tiles[4, 4] == [(1, 0, 1)]
+
+
 # mixing
 
 
