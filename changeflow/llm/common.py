@@ -70,12 +70,12 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             yield batch.slice(a, b - a)
 
 
-def find_words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of every run of bytes outside space and 0x09-0x0D; runs end at the row's edges."""
+def find_words(raw: np.ndarray, offsets: np.ndarray, separator: np.ndarray = _SEPARATOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of every run of bytes outside ``separator`` (space and 0x09-0x0D); runs end at the row's edges."""
     if not len(raw):
         none = np.zeros(0, np.int64)
         return none, none, none
-    word = ~_SEPARATOR[raw]
+    word = ~separator[raw]
     first = np.zeros(len(raw) + 1, bool)
     first[offsets] = True
     starts = word.copy()
@@ -86,6 +86,25 @@ def find_words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return s, e, np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(s, offsets)))
 
 
+def pieces(raw: np.ndarray, offsets: np.ndarray, separator: np.ndarray = _SEPARATOR, limit: int = SLICE_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """A slice's bytes and offsets; a text above twice the limit, which is a slice by itself, in pieces that end at separators."""
+    if len(offsets) != 2 or len(raw) <= 2 * limit:
+        yield raw, offsets
+        return
+    at = 0
+    while at < len(raw):
+        end = at + limit
+        while end < len(raw):
+            gap = np.flatnonzero(separator[raw[end : end + limit]])
+            if len(gap):
+                end += int(gap[0])
+                break
+            end += limit
+        end = min(end, len(raw))
+        yield raw[at:end], np.array([0, end - at])
+        at = end
+
+
 def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of byte spans, by a running polynomial over all bytes."""
     up, down = power_tables(len(raw) + 1)

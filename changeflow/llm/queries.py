@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changeflow.llm import decontaminate, language, mixing, near_dedup, quality, substring_dedup, token_counts, token_files, url_lists, vector_search
+from changeflow.llm import decontaminate, language, lexical, mixing, near_dedup, quality, substring_dedup, token_counts, token_files, url_lists, vector_search
 from changeflow.plans.tables import read
 
 # Lists of the URL query: kind, share of patterns that are ever listed (1 / n).
@@ -123,11 +123,17 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(read(spark, folder, "documents"), "byte_bpe_50k.json", limit=512)
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(read(spark, folder, "documents"), read(spark, folder, "benchmark"), k=50)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_quality, op2_url_lists, op3_near_dedup, op4_decontaminate, op5_vector_search, op6_language, op7_token_files, op8_substring_dedup, op9_mixing, op10_token_counts)
+    for f in (op1_quality, op2_url_lists, op3_near_dedup, op4_decontaminate, op5_vector_search, op6_language, op7_token_files, op8_substring_dedup, op9_mixing, op10_token_counts, op11_lexical_search)
 }
 
+_SQL_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
 ORACLE: dict[str, str] = {
     "op2_url_lists": _url_sql(),
     "op5_vector_search": """
@@ -137,4 +143,15 @@ scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_z
            FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
 FROM scored QUALIFY rank <= 5""",
+    "op11_lexical_search": rf"""
+WITH split AS (SELECT doc_id, {_SQL_TERMS} AS terms FROM documents),
+docs AS (SELECT row_number() OVER () AS r, doc_id, terms, len(terms) AS n FROM split WHERE len(terms) > 0),
+stat AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM docs),
+tf AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, n, unnest(terms) AS term FROM docs) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+asked AS (SELECT DISTINCT item_id, unnest({_SQL_TERMS}) AS term FROM benchmark),
+scored AS (
+  SELECT item_id, r, doc_id, sum(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN df USING (term) JOIN tf USING (term), stat GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM scored WHERE score > 0 QUALIFY rank <= 50""",
 }
