@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changeflow.llm import decontaminate, language, lexical, mixing, near_dedup, quality, substring_dedup, token_counts, token_files, url_lists, vector_search
+from changeflow.llm import alignment, decontaminate, host_rules, language, lexical, mixing, near_dedup, quality, substring_dedup, token_counts, token_files, url_lists, vector_search
 from changeflow.plans.tables import read
 
 # Lists of the URL query: kind, share of patterns that are ever listed (1 / n).
@@ -127,14 +127,53 @@ def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical.search(read(spark, folder, "documents"), read(spark, folder, "benchmark"), k=50)
 
 
+def op12_host_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return host_rules.judge(read(spark, folder, "documents")).select("doc_id", *host_rules.FEATURES, "base_failed", "kept")
+
+
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_tokens(read(spark, folder, "documents"), "byte_bpe_50k.json", "piece_bpe_32k.model")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_quality, op2_url_lists, op3_near_dedup, op4_decontaminate, op5_vector_search, op6_language, op7_token_files, op8_substring_dedup, op9_mixing, op10_token_counts, op11_lexical_search)
+    for f in (op1_quality, op2_url_lists, op3_near_dedup, op4_decontaminate, op5_vector_search, op6_language, op7_token_files, op8_substring_dedup, op9_mixing, op10_token_counts, op11_lexical_search, op12_host_rules, op13_token_alignment)
 }
 
 _SQL_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 
+def _host_sql() -> str:
+    rules = host_rules.RULES
+    failed = ", ".join(f"count(*) FILTER ({rule}) AS f_{name}" for name, rule in rules.items())
+    sums = ", ".join(f"sum(f_{name}) AS f_{name}, sum(f_{name}::DOUBLE * f_{name} / n) AS s_{name}" for name in rules)
+    shares = ", ".join(
+        f"""((s_{name} - f_{name} * f_{name} / docs) / (hosts - 1) - (f_{name} - s_{name}) / (docs - hosts))
+          / nullif((s_{name} - f_{name} * f_{name} / docs) / (hosts - 1) + ((docs - sizes / docs) / (hosts - 1) - 1) * (f_{name} - s_{name}) / (docs - hosts), 0) AS r_{name}, f_{name} / docs AS m_{name}"""
+        for name in rules
+    )
+    strengths = ", ".join(f"CASE WHEN r_{name} > 0 THEN least(greatest((1 - r_{name}) / r_{name}, 1), docs) ELSE docs END AS k_{name}, m_{name}" for name in rules)
+    worst = ", ".join(f"(h.f_{name} + m_{name} * k_{name}) / (h.n + k_{name})" for name in rules)
+    return rf"""
+WITH texts AS (SELECT doc_id, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(words[i:i + 7], ' ') AS w FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM texts)),
+twice AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, w) > 1),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM twice) GROUP BY doc_id),
+base AS (
+  SELECT t.doc_id, source, len(words) AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words
+  FROM texts t LEFT JOIN covered c ON c.doc_id = t.doc_id),
+hosts AS (SELECT source, count(*) AS n, {failed} FROM base WHERE source IS NOT NULL GROUP BY source),
+total AS (SELECT count(*)::DOUBLE AS hosts, sum(n)::DOUBLE AS docs, sum(n::DOUBLE * n) AS sizes, {sums} FROM hosts),
+shares AS (SELECT docs, {shares} FROM total),
+prior AS (SELECT {strengths} FROM shares),
+rates AS (SELECT source, greatest({worst}) AS rate FROM hosts h, prior),
+judged AS (SELECT b.*, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, coalesce(r.rate, 0) AS rate FROM base b LEFT JOIN rates r ON r.source = b.source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rate <= {host_rules.HOST_LIMIT} AS kept FROM judged"""
+
+
 ORACLE: dict[str, str] = {
+    "op12_host_rules": _host_sql(),
     "op2_url_lists": _url_sql(),
     "op5_vector_search": """
 WITH whole AS (SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)::BIGINT) AS v FROM embeddings
