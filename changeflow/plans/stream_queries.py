@@ -1,4 +1,4 @@
-"""Registered queries: the streaming forms over several micro-batches, stopped and started again once."""
+"""Registered queries: the streaming forms over several micro-batches, stopped and started again between them."""
 
 from __future__ import annotations
 
@@ -22,23 +22,21 @@ BATCHES = 5
 
 
 def cuts(df: DataFrame, by: str, parts: int = BATCHES) -> list[DataFrame]:
-    """A table in ``parts`` pieces of about equal size, in order of a time column."""
-    at = F.unix_micros(F.col(by).cast("timestamp"))
-    edges = df.select(at.cast("double").alias("t")).approxQuantile("t", [i / parts for i in range(1, parts)], 0.01)
+    """A table in ``parts`` pieces of about equal size, in order of a time column; rows without a time come first."""
+    at = F.unix_micros(F.col(by).cast("timestamp")).cast("double")
+    edges = df.select(at.alias("t")).approxQuantile("t", [i / parts for i in range(1, parts)], 0.01)
     edges = [float("-inf"), *edges, float("inf")]
-    return [df.filter((at.cast("double") > a) & (at.cast("double") <= b)) for a, b in zip(edges, edges[1:])]
+    first = lambda a: at.isNull() if a == edges[0] else F.lit(False)
+    return [df.filter(first(a) | ((at > a) & (at <= b))) for a, b in zip(edges, edges[1:])]
 
 
-def in_two_runs(pieces: list[DataFrame], start: Callable[[DataFrame], StreamingQuery]) -> None:
-    """Land the pieces one after another as files and stream them, one file a batch; the query is stopped and started again midway."""
+def restarted(pieces: list[DataFrame], start: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Land the pieces one after another, in as many files as they have partitions; the query is started again for each and goes on where it stopped."""
     spark = pieces[0].sparkSession
     folder = shared_path(spark, "landed")
-    half = len(pieces) // 2 + 1
-    for part in (pieces[:half], pieces[half:]):
-        for piece in part:
-            piece.coalesce(1).write.mode("append").parquet(folder)
-        stream = spark.readStream.schema(pieces[0].schema).option("maxFilesPerTrigger", 1).parquet(folder)
-        start(stream).awaitTermination()
+    for piece in pieces:
+        piece.write.mode("append").parquet(folder)
+        start(spark.readStream.schema(pieces[0].schema).parquet(folder)).awaitTermination()
 
 
 def _events(spark, sf) -> list[DataFrame]:
@@ -52,7 +50,7 @@ def _raw(events: DataFrame) -> DataFrame:
 
 def stream_change_events(spark, sf):
     path = shared_path(spark, "stream-changes")
-    in_two_runs(_events(spark, sf), lambda s: streaming.track_changes(_raw(s), ["user_id"], ["source_ts", "event_id"], path))
+    restarted(_events(spark, sf), lambda s: streaming.track_changes(_raw(s), ["user_id"], ["source_ts", "event_id"], path))
     out = read_batches(spark, f"{path}/events")
     return out.select("event_id", "row.user_id", "source_ts", "change_type", F.col("prev.event_id").alias("prev_id"), F.col("prev.value").alias("prev_value"))
 
@@ -64,7 +62,7 @@ def stream_publish(spark, sf):
         _raw(s).withColumnRenamed("event_id", "number"), change_queries.WEB, ["user_id"], ["source_ts", "number"], path,
         detected_at=F.col("source_ts"),
     )
-    in_two_runs(_events(spark, sf), start)
+    restarted(_events(spark, sf), start)
     out = read_batches(spark, f"{path}/events").filter("outcome = 'published'")
     return out.select(
         F.col("fields.event_id").alias("source_event_id"), "pk.user_id", "source_ts", "change_type", "driver_id", "context",
@@ -79,7 +77,7 @@ def stream_commands(spark, sf):
     table = streaming.CommandTable(spark, f"{path}/table", command_queries.KEY)
     table.load(command_queries.customers(spark, sf))
     commands = cuts(command_queries.event_commands(spark, sf), "ts")
-    in_two_runs(commands, lambda s: streaming.apply_command_stream(s, table, command_queries.ORDER, f"{path}/run", types=("element",)))
+    restarted(commands, lambda s: streaming.apply_command_stream(s, table, command_queries.ORDER, f"{path}/run", types=("element",)))
     return table.read()
 
 
@@ -87,7 +85,7 @@ def stream_heartbeats(spark, sf):
     """Batches in reverse order of time: all but the first come late, and all are counted."""
     path = shared_path(spark, "stream-heartbeats")
     pieces = [p.select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("driver_id")) for p in reversed(_events(spark, sf))]
-    in_two_runs(pieces, lambda s: streaming.heartbeat_stream(s, path))
+    restarted(pieces, lambda s: streaming.heartbeat_stream(s, path))
     out = streaming.read_heartbeats(spark, path)
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end", "last_event_at")})
 
@@ -95,16 +93,19 @@ def stream_heartbeats(spark, sf):
 def stream_dedup(spark, sf):
     path = shared_path(spark, "stream-dedup")
     pieces = [p.select("event_id", "user_id", "ts") for p in _events(spark, sf)]
-    in_two_runs(pieces, lambda s: streaming.dedup_stream(s, "user_id", "ts", path, timedelta(hours=24), ["event_id"]))
+    restarted(pieces, lambda s: streaming.dedup_stream(s, "user_id", "ts", path, timedelta(hours=24), ["event_id"]))
     return read_batches(spark, f"{path}/requests").drop("v")
 
 
 def stream_echo(spark, sf):
-    """Sessions are asked for batch by batch."""
-    sessions = lambda: read(spark, sf, "events").filter("event_type = 'signup' and value > 40").select(F.col("user_id").alias("replica_session"))
-    path = shared_path(spark, "stream-echo")
+    """Sessions come as a stream of their own, each not after its first change."""
+    events = read(spark, sf, "events")
+    opened = events.filter("event_type = 'signup' and value > 40").select(F.col("user_id").alias("replica_session")).distinct()
+    path, landed = shared_path(spark, "stream-echo"), shared_path(spark, "sessions")
+    opened.write.parquet(landed)
+    sessions = spark.readStream.schema(opened.schema).parquet(landed)
     pieces = [p.select("event_id", "ts", F.when(F.col("event_type") != "view", F.col("user_id")).alias("replica_session")) for p in _events(spark, sf)]
-    in_two_runs(pieces, lambda s: streaming.suppress_echo_stream(s, sessions, ["ts", "event_id"], path))
+    restarted(pieces, lambda s: streaming.suppress_echo_stream(s, sessions, ["ts", "event_id"], path))
     return read_batches(spark, f"{path}/changes").drop("v")
 
 

@@ -2,53 +2,54 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
+from contextlib import contextmanager
 from datetime import timedelta
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from changeflow.operators.changes import dedup_requests, with_history
-from changeflow.operators.lookup import lookup
+from changeflow.operators.changes import with_history
 from changeflow.operators.monitor import heartbeats
-from changeflow.operators.writeback import apply_planned, plan_commands, suppress_echo
+from changeflow.operators.writeback import apply_planned, plan_commands
 from changeflow.plans.forward import Driver, finish_events, publishable
 from changeflow.sinks.checkpoints import checkpoints, merge_checkpoints
 from changeflow.sinks.tables import MAX_BYTES, dead_letter_reason, drop_versions, read_version, write_version
 from changeflow.streaming.micro import KeyedState, read_batches, run, write_batch
+from changeflow.streaming.state import rocksdb, with_accepted, with_newest, without_first
 
 
-class Tracker:
-    """Before images and kinds across micro-batches: the last change per key is put before a batch's own.
+_OWN = "__own"
+
+
+def _seeded(stream: DataFrame, key: Sequence[str], order: Sequence[str], keep: timedelta | None) -> DataFrame:
+    """A stream of raw changes with the last change per key of all earlier micro-batches before a key's own, marked in ``__own``."""
+    names = [f"__k{i}" for i in range(len(key))]
+    keyed = stream.withColumns({n: F.col(f"row.`{k}`") for n, k in zip(names, key)})
+    return with_newest(keyed, ["entity", *names], order, ["source_ts", "row"], _OWN, keep=keep)
+
+
+def _history(batch: DataFrame, key: Sequence[str], order: Sequence[str], ttl: timedelta | None, hot_rows: int | None) -> DataFrame:
+    """Before images and kinds of a micro-batch's own rows."""
+    out = with_history(batch, key, [_OWN, *order], hot_rows=hot_rows, ttl=ttl)
+    return out.filter(_OWN).drop(_OWN, *[f"__k{i}" for i in range(len(key))])
 
-    ``order`` names columns of the raw change table. A Delete clears the state. With ``ttl`` a state
-    older than that, against the change that reads it, counts as absent.
-    """
 
-    def __init__(
-        self, spark: SparkSession, path: str, key: Sequence[str], order: Sequence[str],
-        ttl: timedelta | None = None, hot_rows: int | None = None,
-    ):
-        self.key, self.order, self.ttl, self.hot_rows = list(key), list(order), ttl, hot_rows
-        self.names = [f"__k{i}" for i in range(len(key))]
-        self.state = KeyedState(spark, path, ["entity", *self.names])
-
-    def history(self, batch: DataFrame, number: int) -> DataFrame:
-        keyed = batch.withColumns({n: F.col(f"row.`{k}`") for n, k in zip(self.names, self.key)})
-        seeds = self.state.before(number, keyed)
-        rows = keyed.withColumn("__stored", F.lit(1))
-        if seeds is not None:
-            rows = rows.unionByName(seeds.withColumn("__stored", F.lit(0)), allowMissingColumns=True)
-        out = with_history(rows, self.key, ["__stored", *self.order], hot_rows=self.hot_rows, ttl=self.ttl)
-        return out.filter("__stored = 1").drop("__stored")
-
-    def save(self, done: DataFrame, number: int) -> None:
-        """Store the newest change per key of a written batch."""
-        columns = dict.fromkeys(["change_type", "source_ts", "row", *self.order])
-        newest = Window.partitionBy("entity", *self.names).orderBy(*[F.col(c).desc() for c in self.order])
-        last = done.withColumn("__n", F.row_number().over(newest)).filter("__n = 1")
-        self.state.write(last.select("entity", *self.names, *columns), number, live="change_type != 'Delete'")
+def _check_interval(keep: timedelta | None, every: str | None) -> None:
+    if keep is not None and every is None:
+        raise ValueError("a state that expires by the clock needs an interval: pass every")
+
+
+@contextmanager
+def _held(batch: DataFrame):
+    """A micro-batch that is read more than once: its stateful part runs once."""
+    batch = batch.persist(StorageLevel.DISK_ONLY)
+    try:
+        yield batch
+    finally:
+        batch.unpersist()
 
 
 def track_changes(
@@ -59,19 +60,22 @@ def track_changes(
     ttl: timedelta | None = None,
     every: str | None = None,
     hot_rows: int | None = None,
+    keep: timedelta | None = None,
 ) -> StreamingQuery:
     """Before images and change kinds on a stream of raw changes, the same as in one run over everything.
 
-    Output: ``path/events``.
+    ``order`` names columns of the raw change table. The last change per key is kept in Spark's state store until a Delete clears it. With ``ttl`` a
+    state older than that, against the change that reads it, counts as absent; with ``keep`` the store also drops it that long after its last
+    change. Output: ``path/events``.
     """
-    spark = stream.sparkSession
-    tracker = Tracker(spark, f"{path}/state", key, order, ttl, hot_rows)
 
     def step(batch: DataFrame, number: int) -> None:
-        write_batch(tracker.history(batch, number), f"{path}/events", number)
-        tracker.save(spark.read.parquet(f"{path}/events/v={number}"), number)
+        with _held(batch) as rows:
+            write_batch(_history(rows, key, order, ttl, hot_rows), f"{path}/events", number)
 
-    return run(stream, step, f"{path}/checkpoint", every)
+    _check_interval(keep, every)
+    with rocksdb(stream.sparkSession):
+        return run(_seeded(stream, key, order, keep), step, f"{path}/checkpoint", every)
 
 
 def publish_changes(
@@ -84,33 +88,36 @@ def publish_changes(
     max_bytes: int = MAX_BYTES,
     every: str | None = None,
     hot_rows: int | None = None,
+    keep: timedelta | None = None,
 ) -> StreamingQuery:
     """The whole forward path on a stream.
 
     ``path/events`` gets publishable events and dead letters side by side, in folders by column
     ``outcome``; ``path/checkpoints`` the positions, which also pass dead letters. Sequence numbers
-    continue over batches and restarts.
+    continue over batches and restarts; ``path/numbers`` has the last one per driver.
     """
     spark = stream.sparkSession
-    tracker = Tracker(spark, f"{path}/state", key, order, hot_rows=hot_rows)
-    numbers = KeyedState(spark, f"{path}/numbers", ["driver_id"])
 
     def step(batch: DataFrame, number: int) -> None:
-        known = numbers.before(number)
+        known = read_version(spark, f"{path}/numbers", before=number)
         after = known.agg(F.max("seq")).first()[0] if known is not None else None
-        history = tracker.history(batch, number)
-        events = finish_events(history, driver, key, order, detected_at, after or 0, hot_rows)
-        marked = publishable(events).withColumn("reason", dead_letter_reason(max_bytes, kind="change_type"))
-        marked = marked.withColumn("outcome", F.when(F.col("reason").isNull(), "published").otherwise("dead_lettered"))
-        marked.write.mode("overwrite").partitionBy("outcome").parquet(f"{path}/events/v={number}")
+        with _held(batch) as rows:
+            events = finish_events(_history(rows, key, order, None, hot_rows), driver, key, order, detected_at, after or 0, hot_rows)
+            marked = publishable(events).withColumn("reason", dead_letter_reason(max_bytes, kind="change_type"))
+            marked = marked.withColumn("outcome", F.when(F.col("reason").isNull(), "published").otherwise("dead_lettered"))
+            marked.write.mode("overwrite").partitionBy("outcome").parquet(f"{path}/events/v={number}")
         done = spark.read.parquet(f"{path}/events/v={number}")
-        tracker.save(done, number)
-        numbers.write(done.groupBy("driver_id").agg(F.max("seq").alias("seq")), number)
+        last = done.groupBy("driver_id").agg(F.max("seq").alias("seq"))
+        last = last if known is None else last.unionByName(known).groupBy("driver_id").agg(F.max("seq").alias("seq"))
+        write_version(last, f"{path}/numbers", number)
         old = read_version(spark, f"{path}/checkpoints", before=number)
         write_version(merge_checkpoints(old, checkpoints(done)), f"{path}/checkpoints", number)
-        drop_versions(spark, f"{path}/checkpoints", number - 1)
+        for table in ("numbers", "checkpoints"):
+            drop_versions(spark, f"{path}/{table}", number - 1)
 
-    return run(stream, step, f"{path}/checkpoint", every)
+    _check_interval(keep, every)
+    with rocksdb(spark):
+        return run(_seeded(stream, key, order, keep), step, f"{path}/checkpoint", every)
 
 
 class CommandTable:
@@ -166,34 +173,28 @@ def dedup_stream(
     ttl: timedelta = timedelta(minutes=5),
     tie: Sequence[str] = (),
     every: str | None = None,
-    hot_rows: int | None = None,
+    keep: timedelta | None = None,
 ) -> StreamingQuery:
     """Idempotent intake on a stream: ``path/requests`` gets every row with ``duplicate``.
 
-    The last accepted time per request id is the state; a row that arrives after a later accepted
-    one is a duplicate. ``drop_within_watermark`` is the cheaper built-in form.
+    The last accepted time per request id is the state, kept in Spark's state store; a row that arrives after a later accepted
+    one is a duplicate. The store finds the accepted times, the first row in ``tie`` of each is accepted.
+    ``drop_within_watermark`` is the cheaper built-in form.
     """
-    spark = stream.sparkSession
-    state = KeyedState(spark, f"{path}/state", [request])
+    rows = stream.withColumn("__at", F.unix_micros(F.col(ts).cast("timestamp")))
 
     def step(batch: DataFrame, number: int) -> None:
-        seeds = state.before(number, batch)
-        rows = batch.withColumn("__stored", F.lit(False))
-        late = None
-        if seeds is not None:
-            side = seeds.select(F.col(request).alias("__r"), F.col("accepted").alias("__accepted"))
-            joined = lookup(rows, side, [request], ["__r"]).drop("__r")
-            is_late = F.coalesce(F.col(ts) <= F.col("__accepted"), F.lit(False))
-            late = joined.filter(is_late).drop("__accepted").withColumn("duplicate", F.lit(True))
-            seed_rows = seeds.select(request, F.col("accepted").alias(ts), F.lit(True).alias("__stored"))
-            rows = joined.filter(~is_late).drop("__accepted").unionByName(seed_rows, allowMissingColumns=True)
-        out = dedup_requests(rows, request, ts, ttl, tie, hot_rows).filter(~F.col("__stored"))
-        out = out if late is None else out.unionByName(late)
-        write_batch(out.drop("__stored"), f"{path}/requests", number)
-        done = spark.read.parquet(f"{path}/requests/v={number}")
-        state.write(done.filter("not duplicate").groupBy(request).agg(F.max(ts).alias("accepted")), number)
+        with _held(batch) as held:
+            accepted = held.filter("__accepted").select(F.col(request).alias("__r"), F.col("__at").alias("__t"))
+            own = held.filter("not __accepted").drop("__accepted")
+            first = F.row_number().over(Window.partitionBy(request, "__at").orderBy(*tie or ["__at"]))
+            joined = own.withColumn("__n", first).join(accepted, F.col(request).eqNullSafe(F.col("__r")) & (F.col("__at") == F.col("__t")), "left")
+            taken = F.col("__t").isNotNull() & (F.col("__n") == 1)
+            write_batch(joined.withColumn("duplicate", ~taken).drop("__r", "__t", "__n", "__at"), f"{path}/requests", number)
 
-    return run(stream, step, f"{path}/checkpoint", every)
+    _check_interval(keep, every)
+    with rocksdb(stream.sparkSession):
+        return run(with_accepted(rows, request, "__at", "__accepted", ttl, keep), step, f"{path}/checkpoint", every)
 
 
 def drop_within_watermark(stream: DataFrame, request: str, ts: str, ttl: str = "5 minutes") -> DataFrame:
@@ -202,30 +203,18 @@ def drop_within_watermark(stream: DataFrame, request: str, ts: str, ttl: str = "
 
 
 def suppress_echo_stream(
-    stream: DataFrame, sessions: DataFrame | Callable[[], DataFrame], order: Sequence[str], path: str,
-    session: str = "replica_session", every: str | None = None,
+    stream: DataFrame, sessions: DataFrame, order: Sequence[str], path: str,
+    session: str = "replica_session", every: str | None = None, keep: timedelta | None = None,
 ) -> StreamingQuery:
-    """Echo suppression on a stream; sessions that were used up are the state. Output: ``path/changes``.
+    """Echo suppression on a stream: the first change of each session that an applied command opened is dropped, once. Output: ``path/changes``.
 
-    Give a function to see sessions that open while the stream runs: it is called for every batch. A
-    batch reads the state of its own sessions only. Session names ignore case.
+    ``sessions`` is a stream too, so that sessions open while the query runs, or a table of sessions that are open from the start.
+    Which are open, and which used up, is kept in Spark's state store. Session names ignore case.
     """
-    spark = stream.sparkSession
-    state = KeyedState(spark, f"{path}/state", ["__session"])
-
-    def step(batch: DataFrame, number: int) -> None:
-        known = sessions() if callable(sessions) else sessions
-        name = F.lower(F.col(session).cast("string")).alias("__session")
-        here = batch.select(name).filter("__session is not null").distinct()
-        opened = known.select(name).distinct().join(here, "__session", "left_semi")
-        used = state.before(number, here)
-        if used is not None:
-            opened = opened.join(used, "__session", "left_anti")
-        opened = opened.withColumnRenamed("__session", session)
-        write_batch(suppress_echo(batch, opened, order, session), f"{path}/changes", number)
-        state.write(opened.select(name).withColumn("used", F.lit(True)), number)
-
-    return run(stream, step, f"{path}/checkpoint", every)
+    _check_interval(keep, every)
+    with rocksdb(stream.sparkSession):
+        kept = without_first(stream, sessions, session, order, keep)
+        return run(kept, lambda df, n: write_batch(df, f"{path}/changes", n), f"{path}/checkpoint", every)
 
 
 def heartbeat_stream(

@@ -40,9 +40,7 @@ COLUMNS = ["event_id", "change_type", "prev.event_id", "prev.value"]
 
 
 @pytest.mark.parametrize("ttl", [None, timedelta(hours=20)])
-def test_track_changes(spark, events, shared, ttl, monkeypatch):
-    original = micro.KeyedState.__init__
-    monkeypatch.setattr(micro.KeyedState, "__init__", lambda self, s, p, k: original(self, s, p, k, compact_every=2))
+def test_track_changes(spark, events, shared, ttl):
     land(events, f"{shared}/in", CUTS[:2])
     args = (["user_id"], ["source_ts", "event_id"], f"{shared}/out")
     streaming.track_changes(raw(source(spark, events, f"{shared}/in")), *args, ttl=ttl).awaitTermination()
@@ -53,7 +51,38 @@ def test_track_changes(spark, events, shared, ttl, monkeypatch):
     want = changes.with_history(raw(events), ["user_id"], ["source_ts", "event_id"], ttl=ttl)
     assert got.select(*COLUMNS).exceptAll(want.select(*COLUMNS)).count() == 0
     assert got.count() == 1000
-    assert micro.versions(spark, f"{shared}/out/state/base") == [1, 3]
+    stored = spark.read.format("statestore").option("stateVarName", "value").load(f"{shared}/out/checkpoint")
+    last = changes.current_state(raw(events), ["user_id"], ["source_ts", "event_id"])
+    assert stored.count() == last.count()  # one value per key, none for deleted keys
+    assert "RocksDB" in spark.read.text(f"{shared}/out/checkpoint/offsets/0").select(F.collect_list("value").cast("string")).first()[0]
+
+
+def test_state_of_a_key_may_expire(spark, shared):
+    """With ``keep`` the store forgets a key by itself."""
+    import time
+
+    schema = "entity string, change_type string, source_ts timestamp, row struct<id: int>, meta map<string,string>"
+    land_change(spark, schema, shared, 1)
+    args = (spark.readStream.schema(schema).parquet(f"{shared}/in"), ["id"], ["source_ts"], f"{shared}/out")
+    with pytest.raises(ValueError):
+        streaming.track_changes(*args, keep=timedelta(seconds=1))
+    kinds = lambda: [r.change_type for r in micro.read_batches(spark, f"{shared}/out/events").collect()]
+    query = streaming.track_changes(*args, keep=timedelta(seconds=1), every="500 milliseconds")
+    try:
+        for n in (1, 2):
+            if n == 2:
+                land_change(spark, schema, shared, 2)
+            deadline = time.time() + 40
+            while time.time() < deadline and not (micro.versions(spark, f"{shared}/out/events") and len(kinds()) == n):
+                time.sleep(0.5)
+            time.sleep(2.5)
+    finally:
+        query.stop()
+    assert kinds() == ["Insert", "Insert"]
+
+
+def land_change(spark, schema, folder, day):
+    spark.createDataFrame([("e", "Snapshot", datetime(2026, 1, day), (7,), {})], schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
 
 
 def test_batch_run_again_is_the_same(spark, events, shared):
@@ -82,12 +111,11 @@ def test_a_batch_reads_the_state_of_its_buckets(spark, shared):
     assert state.before(1).count() == 2000
 
 
-@pytest.mark.parametrize("hot_rows", [None, 10])
-def test_dedup_stream(spark, events, shared, hot_rows):
+def test_dedup_stream(spark, events, shared):
     rows = events.select("event_id", "user_id", "ts")
     land(rows, f"{shared}/in")
     streaming.dedup_stream(
-        source(spark, rows, f"{shared}/in"), "user_id", "ts", f"{shared}/out", timedelta(hours=30), ["event_id"], hot_rows=hot_rows
+        source(spark, rows, f"{shared}/in"), "user_id", "ts", f"{shared}/out", timedelta(hours=30), ["event_id"]
     ).awaitTermination()
     got = micro.read_batches(spark, f"{shared}/out/requests").select("event_id", "duplicate")
     want = changes.dedup_requests(rows, "user_id", "ts", timedelta(hours=30), ["event_id"]).select("event_id", "duplicate")
@@ -114,18 +142,15 @@ def test_echo_stream(spark, events, shared):
 
 
 def test_sessions_that_open_while_the_stream_runs(spark, shared):
-    schema = "i int, replica_session string"
-    for i, name in enumerate(("A-1", "b-2", "a-1", "B-2")):
-        spark.createDataFrame([(i, name)], schema).coalesce(1).write.mode("append").parquet(f"{shared}/in")
-    seen = []
-
-    def sessions():
-        seen.append(1)
-        return spark.createDataFrame([("a-1",), ("B-2",)][: len(seen)], "replica_session string")
-
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{shared}/in")
-    streaming.suppress_echo_stream(stream, sessions, ["i"], f"{shared}/out").awaitTermination()
-    assert sorted(r.i for r in micro.read_batches(spark, f"{shared}/out/changes").collect()) == [2, 3]
+    schema, opened = "i int, replica_session string", "replica_session string"
+    batches = ([(1, "A-1"), (0, "a-1"), (9, None)], [(2, "b-2"), (3, "b-2")], [(4, "a-1")], [(5, "B-2"), (6, "c-3")])
+    for rows, names in zip(batches, (["a-1"], [], ["B-2", "A-1"], ["zz", None])):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{shared}/in")
+        spark.createDataFrame([(n,) for n in names], opened).write.mode("append").parquet(f"{shared}/sessions")
+        stream, sessions = spark.readStream.schema(schema).parquet(f"{shared}/in"), spark.readStream.schema(opened).parquet(f"{shared}/sessions")
+        streaming.suppress_echo_stream(stream, sessions, ["i"], f"{shared}/out").awaitTermination()
+    # b-2 opened after its first changes: the next one is dropped
+    assert sorted(r.i for r in micro.read_batches(spark, f"{shared}/out/changes").collect()) == [1, 2, 3, 4, 6, 9]
 
 
 def test_late_heartbeats_are_counted(spark, shared):
