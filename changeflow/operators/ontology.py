@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.operators.lookup import lookup
-from changeflow.scratch import BROADCAST_BYTES, small
+from changeflow.scratch import shared_path
 from changeflow.sinks.tables import write_version
 
 # IRIs of the vocabulary.
@@ -96,7 +96,6 @@ def find_label(df: DataFrame, onto: DataFrame, column: str) -> DataFrame:
     table = onto.filter(F.col("label").isNotNull()).select(
         F.lower("label").alias("__label"), "iri", "label", "parent_iri", "type"
     )
-    table = F.broadcast(table) if small(table, BROADCAST_BYTES) else table
     return df.join(table, F.lower(F.col(column)) == F.col("__label")).drop("__label")
 
 
@@ -106,9 +105,14 @@ def refresh_ontology(new: DataFrame, path: str) -> int:
 
 
 def enrich_concepts(events: DataFrame, onto: DataFrame, columns: Sequence[str], ordinal: str | None = None) -> DataFrame:
-    """Label, parent and type beside each mapped IRI column."""
+    """Label, parent and type beside each mapped IRI column. The ontology is reduced to one entry per IRI once, and written, for all columns."""
+    spark, path = onto.sparkSession, shared_path(onto.sparkSession, "ontology")
+    by_iri(onto, ordinal).write.parquet(path)
+    entries = spark.read.parquet(path)
     for column in columns:
-        events = lookup_iri(events, onto, column, ordinal, prefix=f"{column}_")
+        names = {c: f"{column}_{c}" for c in ("label", "parent_iri", "type")}
+        table = entries.select(F.col("iri").alias("__iri"), *[F.col(c).alias(n) for c, n in names.items()])
+        events = lookup(events, table, [column], ["__iri"]).drop("__iri")
     return events
 
 

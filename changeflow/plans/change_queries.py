@@ -32,7 +32,7 @@ def event_order():
 
 def _change_events(spark, sf, hot_rows=None, since=SINCE):
     raw = event_changes(spark, sf, since)
-    out = build_events(raw, WEB, ["user_id"], event_order(), detected_at=F.col("source_ts"), hot_rows=hot_rows)
+    out = build_events(raw, WEB, ["user_id"], event_order(), detected_at=F.col("source_ts"), sequence=True, hot_rows=hot_rows)
     return out.select(
         F.col("fields.event_id").alias("source_event_id"), "pk.user_id", "source_ts", "change_type", "driver_id", "context",
         F.col("fields.event_type").alias("event_type"), F.col("prev.event_type").alias("prev_event_type"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from changeflow.functions.maps import merge_attributes
-from changeflow.operators import writeback
+from changeflow.operators import routing, writeback
 from changeflow.plans.reverse import command_columns
 from changeflow.plans.tables import read
 from changeflow.spec import Target
@@ -184,10 +184,32 @@ def echo_suppression(spark, sf):
     return writeback.suppress_echo(changes, sessions, ["ts", "event_id"])
 
 
+def route_by_table(spark, sf):
+    """Commands of all customers and events against thousands of subscriptions that suppliers and parts hold."""
+    events = read(spark, sf, "events")
+    subject = F.concat_ws(".", F.lit("cmd"), F.concat(F.lit("u"), F.col("user_id") % 200), "event_type", F.concat(F.lit("v"), F.floor("value").cast("int") % 10))
+    target = F.when(F.col("event_id") % 11 == 0, F.concat(F.lit("D"), F.col("event_id") % 40))
+    commands = events.select("event_id", subject.alias("subject"), F.when(target.isNotNull(), F.create_map(F.lit("targetDriverId"), target)).alias("meta"))
+    return routing.route_by_table(commands, subscriptions(spark, sf)).select("event_id", "subject", "driver_id", "source_type")
+
+
+def subscriptions(spark, sf):
+    """Five patterns per part: whole subjects, ``*`` inside, ``>`` at the end, and some that match nothing."""
+    part = read(spark, sf, "part").select(F.col("p_partkey").alias("k"))
+    kinds = F.element_at(F.array(*map(F.lit, ("click", "view", "purchase", "signup", "error"))), (F.col("k") % 5 + 1).cast("int"))
+    user, value = F.concat(F.lit("u"), F.col("k") % 200), F.concat(F.lit("v"), F.col("k") % 10)
+    forms = [
+        F.concat_ws(".", F.lit("cmd"), user, kinds, value), F.concat_ws(".", F.lit("cmd"), user, F.lit("*"), value), F.concat_ws(".", F.lit("cmd"), user, F.lit(">")),
+        F.concat_ws(".", F.lit("*"), user, kinds, F.lit("*")), F.concat_ws(".", F.lit("cmd"), user, kinds),
+    ]
+    rows = part.select("k", F.posexplode(F.array(*forms)).alias("n", "pattern")).filter("(k + n) % 3 > 0 or n = 0")
+    return rows.select(F.concat(F.lit("d"), F.col("k") % 40).alias("driver_id"), F.lit("pg").alias("source_type"), "pattern")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        decode_commands, route_commands, route_per_pattern, apply_commands, command_results, apply_commands_split,
+        decode_commands, route_commands, route_per_pattern, route_by_table, apply_commands, command_results, apply_commands_split,
         rename_commands, rename_results, command_targets, element_attributes, template_attributes, point_attributes, echo_suppression,
     )
 }
@@ -231,6 +253,13 @@ _RENAMES = """t AS (SELECT c_custkey + CASE WHEN c_acctbal > 0 THEN 0 ELSE 10000
   r AS (SELECT *, known AND CASE WHEN event_type = 'view' THEN moved ELSE NOT moved END AS success FROM c)"""
 
 ORACLE = {
+    "route_by_table": r"""WITH p AS (SELECT p_partkey AS k, ['click', 'view', 'purchase', 'signup', 'error'][p_partkey % 5 + 1] AS kind, 'u' || p_partkey % 200 AS u, 'v' || p_partkey % 10 AS v FROM part),
+        forms AS (SELECT k, unnest(['cmd.' || u || '.' || kind || '.' || v, 'cmd.' || u || '.*.' || v, 'cmd.' || u || '.>', '*.' || u || '.' || kind || '.*', 'cmd.' || u || '.' || kind]) AS pattern,
+          unnest([0, 1, 2, 3, 4]) AS n FROM p),
+        subs AS (SELECT DISTINCT 'd' || k % 40 AS driver_id, pattern, '^' || replace(replace(replace(pattern, '.', '\.'), '*', '[^.]+'), '>', '.+') || '$' AS re FROM forms WHERE (k + n) % 3 > 0 OR n = 0),
+        c AS (SELECT event_id, 'cmd.u' || user_id % 200 || '.' || event_type || '.v' || floor(value)::INT % 10 AS subject, CASE WHEN event_id % 11 = 0 THEN 'd' || event_id % 40 END AS target FROM events),
+        hits AS (SELECT DISTINCT s.subject, driver_id FROM (SELECT DISTINCT subject FROM c) s JOIN subs ON regexp_matches(s.subject, re))
+        SELECT event_id, subject, driver_id, 'pg' AS source_type FROM c JOIN hits USING (subject) WHERE target IS NULL OR target = driver_id""",
     "rename_commands": f"""WITH {_RENAMES}, l AS (SELECT user_id, max((move AND success)::INT) AS gone, arg_max(value, (ts, event_id)) FILTER (success) AS bal,
           arg_max(props, (ts, event_id)) FILTER (success AND event_type = 'purchase') AS segm FROM r GROUP BY 1)
         SELECT CASE WHEN gone = 1 THEN -1 - c_custkey ELSE c_custkey END AS c_custkey, c_name, coalesce(bal, c_acctbal) AS c_acctbal,

@@ -36,13 +36,13 @@ def change_events(
     key: Sequence[str],
     order: Sequence[str | Column],
     detected_at: Column | None = None,
-    sequence: bool = True,
+    sequence: bool = False,
     hot_rows: int | None = None,
 ) -> DataFrame:
     """Raw changes as change events with before image, kind, mapped fields, id, sequence and subject.
 
-    State operators run on raw column names, before the mapping. ``sequence=False`` leaves the
-    per-driver number out (NULL), which saves an ordered pass over all rows.
+    State operators run on raw column names, before the mapping. ``sequence=True`` adds the
+    per-driver number (else NULL), which costs an ordered pass over all rows of a driver.
     """
     raw, order = without_excluded(raw, driver.rules, key, order)
     history = with_history(raw, key, order, hot_rows=hot_rows)

@@ -48,7 +48,7 @@ def override_subject(spark, sf):
 def _events(spark, sf):
     driver = Driver("Web-1", "postgres", "ctx:Web", headers={"region": "eu"})
     return change_events(
-        event_changes(spark, sf), driver, ["user_id"], event_order(), detected_at=F.col("source_ts"), sequence=False
+        event_changes(spark, sf), driver, ["user_id"], event_order(), detected_at=F.col("source_ts")
     )
 
 
@@ -120,7 +120,27 @@ def append_if_absent(spark, sf):
     path = shared_path(spark, "audit")
     sinks.append_if_absent(events.filter("source_ts < '2024-01-15'"), path, order=["source_ts"])
     sinks.append_if_absent(events.unionByName(events.filter("value > 50")), path, order=["source_ts"])
-    return spark.read.parquet(path)
+    return spark.read.schema(events.schema).parquet(path)
+
+
+def append_overlapping(spark, sf):
+    """Three appends of ids with a time prefix, each overlapping the one before by days: a day and bucket is opened only where ids fall into it."""
+    events = _events(spark, sf).select("event_id", "source_ts", F.col("fields.value").alias("value"))
+    path = shared_path(spark, "audit")
+    for start, end in ((1, 14), (10, 24), (20, 32)):
+        days = F.dayofmonth("source_ts")
+        sinks.append_if_absent(events.filter((days >= start) & (days < end)), path, order=["source_ts"])
+    out = spark.read.schema("source_ts timestamp_ntz, value double, id_day string").parquet(path)
+    return out.select("source_ts", "value", "id_day")
+
+
+def publish_outcomes(spark, sf):
+    """Publishable events and dead letters from one pass; the second run of the same batch replaces the first. With the counts taken while writing."""
+    path = shared_path(spark, "outcomes")
+    events = publishable(_events(spark, sf)).withColumn("subject", F.when(F.col("fields.event_id") % 7 == 0, F.lit("")).otherwise(F.col("subject")))
+    counts = [sinks.write_outcomes(events, path), sinks.write_outcomes(events, path)]
+    out = spark.read.parquet(f"{path}/run=0").select(F.col("fields.event_id").alias("source_event_id"), "outcome", "reason", "subject")
+    return out.withColumns({n: F.lit(counts[1][n]).cast("bigint") for n in ("published", "dead_lettered", "retried")})
 
 
 def retention(spark, sf):
@@ -160,7 +180,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         sanitised_paths, default_subject, template_subject, override_subject, envelope, envelope_doubles, headers, subscribe,
-        dead_letters, append_if_absent, retention, retention_without_source_time, replay_log, replay_range,
+        dead_letters, append_if_absent, append_overlapping, publish_outcomes, retention, retention_without_source_time, replay_log, replay_range,
     )
 }
 
@@ -207,6 +227,13 @@ ORACLE = {
     "append_if_absent": """SELECT 'e' || event_id AS event_id, ts AS source_ts, value,
         CASE WHEN event_type = 'error' THEN 'Delete' ELSE 'Insert' END AS change_type,
         CASE WHEN event_type = 'error' THEN 2 ELSE 0 END AS change_code FROM events""",
+    "append_overlapping": "SELECT ts AS source_ts, value, strftime(ts, '%Y-%m-%d') AS id_day FROM events",
+    "publish_outcomes": f"""WITH {HISTORY_SQL.format(source="events")},
+        marked AS (SELECT event_id AS source_event_id, CASE WHEN event_id % 7 = 0 THEN 'dead_lettered' ELSE 'published' END AS outcome,
+          CASE WHEN event_id % 7 = 0 THEN 'no address' END AS reason,
+          CASE WHEN event_id % 7 = 0 THEN 'cdc.dlq.' ELSE 'cdc.ctx-web.public.events.' || lower({_KIND}) END AS subject FROM h)
+        SELECT *, count_if(outcome = 'published') OVER () AS published, count_if(outcome <> 'published') OVER () AS dead_lettered,
+          count_if(outcome = 'published') OVER () AS retried FROM marked""",
     "retention": "SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-29 12:00:00'",
     "retention_without_source_time": """SELECT event_id, ts AS detected_at, CASE WHEN event_type = 'view' THEN ts END AS source_ts FROM events
         WHERE ts >= TIMESTAMP '2024-01-18 12:00:00'""",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -12,10 +13,12 @@ from pyspark.sql.streaming import StreamingQuery
 from changeflow.plans import capture_queries, change_queries, command_queries, monitor_queries
 from changeflow.plans.tables import read
 from changeflow.scratch import shared_path
+from changeflow.sinks.stream_sink import CommittedFiles, read_committed
+from changeflow.sources.feed_stream import VERSION, ChangeFeed
 from changeflow.sources.scan import raw_changes, snapshot_cycle
 from changeflow.spec import Entity
 from changeflow.streaming import operators as streaming
-from changeflow.streaming.micro import read_batches
+from changeflow.streaming.micro import read_batches, run as micro_run, write_batch
 from changeflow.streaming.polling import scan_step
 
 BATCHES = 5
@@ -30,13 +33,22 @@ def cuts(df: DataFrame, by: str, parts: int = BATCHES) -> list[DataFrame]:
     return [df.filter(first(a) | ((at > a) & (at <= b))) for a, b in zip(edges, edges[1:])]
 
 
-def restarted(pieces: list[DataFrame], start: Callable[[DataFrame], StreamingQuery]) -> None:
-    """Land the pieces one after another, in as many files as they have partitions; the query is started again for each and goes on where it stopped."""
+def restarted(pieces: list[DataFrame], start: Callable[[DataFrame], StreamingQuery], retries: int = 0) -> None:
+    """Land the pieces one after another, in as many files as they have partitions; the query is started again for each and goes on where it stopped.
+
+    A query that fails is started again up to ``retries`` times.
+    """
     spark = pieces[0].sparkSession
     folder = shared_path(spark, "landed")
     for piece in pieces:
         piece.write.mode("append").parquet(folder)
-        start(spark.readStream.schema(pieces[0].schema).parquet(folder)).awaitTermination()
+        for left in range(retries, -1, -1):
+            try:
+                start(spark.readStream.schema(pieces[0].schema).parquet(folder)).awaitTermination()
+                break
+            except StreamingQueryException:
+                if not left:
+                    raise
 
 
 def _events(spark, sf) -> list[DataFrame]:
@@ -109,6 +121,45 @@ def stream_echo(spark, sf):
     return read_batches(spark, f"{path}/changes").drop("v")
 
 
+def stream_feed_source(spark, sf):
+    """A landed feed by offset ranges: what was there before the first start is skipped, a restart goes on after the last range."""
+    spark.dataSource.register(ChangeFeed)
+    path, landed = shared_path(spark, "stream-feed"), shared_path(spark, "feed")
+    events = read(spark, sf, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), "value")
+    days = F.dayofmonth("ts")
+    land = lambda version, part: part.write.parquet(f"{landed}/{VERSION}={version}")
+
+    def run() -> None:
+        stream = spark.readStream.format("change_feed").schema(f"event_id long, user_id long, ts timestamp, value double, {VERSION} long")
+        stream = stream.option("path", landed).option("position", f"{path}/position.json").load()
+        micro_run(stream, lambda df, n: write_batch(df, f"{path}/rows", n), f"{path}/checkpoint").awaitTermination()
+
+    land(0, events.filter(days <= 5))
+    run()
+    land(1, events.filter((days > 5) & (days <= 12)))
+    land(2, events.filter((days > 12) & (days <= 20)))
+    run()
+    land(3, events.filter(days > 20))
+    run()
+    return read_batches(spark, f"{path}/rows").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "value", F.col(VERSION).alias("version"))
+
+
+def stream_committed_sink(spark, sf):
+    """Two-phase commit: the second batch fails once after some of its tasks have staged their files, and runs again."""
+    spark.dataSource.register(CommittedFiles)
+    path = shared_path(spark, "stream-sink")
+    pieces = [p.select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts")) for p in _events(spark, sf)]
+    failing = iter((False, True, False, False, False, False))
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        broken = F.when(F.lit(next(failing)) & (F.col("event_id") % 97 == 0), F.raise_error(F.lit("one failure"))).otherwise(F.col("event_id"))
+        rows = stream.withColumn("event_id", broken.cast("bigint"))
+        return rows.writeStream.format("committed_files").option("path", path).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
+
+    restarted(pieces, start, retries=1)
+    return read_committed(spark, path, "event_id long, event_type string, ts timestamp").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 def poll_scan(spark, sf):
     """Polls of a growing table: each reads what came after the stored watermark; one poll is run twice."""
     path = shared_path(spark, "poll")
@@ -140,7 +191,8 @@ def snapshot_polls(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        stream_change_events, stream_publish, stream_commands, stream_heartbeats, stream_dedup, stream_echo, poll_scan, snapshot_polls,
+        stream_change_events, stream_publish, stream_commands, stream_heartbeats, stream_dedup, stream_echo, stream_feed_source,
+        stream_committed_sink, poll_scan, snapshot_polls,
     )
 }
 
@@ -154,6 +206,9 @@ ORACLE = {
     "stream_heartbeats": monitor_queries.HEARTBEATS_SQL,
     "stream_dedup": change_queries.ORACLE["dedup_requests"],
     "stream_echo": command_queries.ORACLE["echo_suppression"],
+    "stream_feed_source": """SELECT event_id, ts, value, CASE WHEN day(ts) <= 12 THEN 1 WHEN day(ts) <= 20 THEN 2 ELSE 3 END::BIGINT AS version
+        FROM events WHERE day(ts) > 5""",
+    "stream_committed_sink": "SELECT event_id, event_type, ts FROM events",
     "poll_scan": "SELECT 'public.events' AS entity, event_id::VARCHAR AS event_id, ts AS source_ts FROM events",
     "snapshot_polls": capture_queries.ORACLE["snapshot_changes"],
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from changeflow.functions.text import subject_matches
@@ -59,6 +59,29 @@ def split_dead_letters(
     return marked.filter("reason is null").drop("reason"), dead
 
 
+def write_outcomes(
+    df: DataFrame, path: str, max_bytes: int = MAX_BYTES, prefix: str = DEAD_LETTER_PREFIX, errors: str | None = None, run: int | str = 0
+) -> dict[str, int]:
+    """Publishable events and dead letters in one pass, in folders by ``outcome`` below that of a run, which a repeated run replaces.
+
+    Returns how many rows were published and dead-lettered, and ``retried``: those of a run whose folder was there before. The numbers are taken
+    while the rows are written, so the plan runs once.
+    """
+    spark, kind = df.sparkSession, "change_type" if "change_type" in df.columns else None
+    again = exists(spark, f"{path}/run={run}")
+    marked = df.withColumn("reason", dead_letter_reason(max_bytes, errors, kind))
+    dead = F.col("reason").isNotNull()
+    marked = marked.withColumns({
+        "outcome": F.when(dead, "dead_lettered").otherwise("published"),
+        "subject": F.when(dead, F.lower(F.concat_ws(".", F.lit(prefix), F.coalesce("subject", F.lit(""))))).otherwise(F.col("subject")),
+    })
+    counted = Observation()
+    rows = marked.observe(counted, F.count_if(~dead).alias("published"), F.count_if(dead).alias("dead_lettered"))
+    rows.write.mode("overwrite").partitionBy("outcome").parquet(f"{path}/run={run}")
+    out = {n: int(v) for n, v in counted.get.items()}
+    return out | {"retried": out["published"] if again else 0}
+
+
 def retain(df: DataFrame, now: datetime, max_age: timedelta = timedelta(days=1), ts: str = "detected_at") -> DataFrame:
     """Events detected within ``max_age``; an event without that time is kept."""
     return df.filter(F.col(ts).isNull() | (F.col(ts) >= moment(now - max_age, df.schema[ts].dataType)))
@@ -74,6 +97,14 @@ def expired_days(spark: SparkSession, path: str, now: datetime, max_age: timedel
     return sorted(f"{d}/{day}" for d, day in days if day.startswith("event_date=") and day[11:] < limit)
 
 
+def drop_expired(spark: SparkSession, path: str, now: datetime, max_age: timedelta = timedelta(days=1)) -> list[str]:
+    """Delete the day folders that ``expired_days`` names, and return them."""
+    gone = expired_days(spark, path, now, max_age)
+    for folder in gone:
+        remove(spark, f"{path}/{folder}")
+    return gone
+
+
 def replay(
     spark: SparkSession, path: str, subject: str | None = None, since: int | Mapping[str, int] | None = None,
     driver: str | None = None, start: datetime | None = None, end: datetime | None = None, ts: str = "detected_at",
@@ -116,14 +147,41 @@ def new_rows(events: DataFrame, table: DataFrame, key: str = "event_id", order:
     return one.join(table.select(key), key, "left_anti").select(*events.columns)
 
 
-def append_if_absent(events: DataFrame, path: str, key: str = "event_id", order: Sequence[str] = ()) -> None:
-    """Append the events a stored table lacks. Running it again with the same events adds nothing."""
+def id_slots(key: str = "event_id", buckets: int = 16) -> dict[str, Column]:
+    """Where an id is stored: the day of its time prefix (12 hex digits of milliseconds; none for other ids) and a bucket of its hash."""
+    prefix = F.when(F.col(key).rlike("^[0-9a-f]{12}"), F.conv(F.substring(key, 1, 12), 16, 10).cast("bigint"))
+    day = F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), F.expr("0") + F.floor(prefix / 86_400_000).cast("int")), "yyyy-MM-dd")
+    return {"id_day": F.coalesce(day, F.lit("none")), "id_bucket": F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")}
+
+
+def stored_slots(table: DataFrame, slots: Sequence[tuple[str, int]], most: int = 1000) -> DataFrame:
+    """The part of a table in the given (day, bucket) folders; by day alone when they are many."""
+    by_day: dict[str, list[int]] = {}
+    for day, bucket in slots:
+        by_day.setdefault(day, []).append(bucket)
+    wanted = F.col("id_day").isin(sorted(by_day))
+    if len(by_day) <= most:
+        exact = F.lit(False)
+        for day, own in sorted(by_day.items()):
+            exact = exact | ((F.col("id_day") == day) & F.col("id_bucket").isin(sorted(own)))
+        wanted = exact
+    return table.filter(wanted)
+
+
+def append_if_absent(events: DataFrame, path: str, key: str = "event_id", order: Sequence[str] = (), buckets: int = 16) -> None:
+    """Append the events a stored table lacks. Running it again with the same events adds nothing.
+
+    The table is laid out by the day of an id's time prefix and by a bucket of its hash (``id_slots``), so an append opens only the folders that its own
+    ids fall into; their names, days times buckets at most, are all that comes to the driver. The layout columns are the table's last two.
+    """
     spark = events.sparkSession
+    placed = events.withColumns(id_slots(key, buckets))
+    rows = events.limit(0)
     if exists(spark, path):
-        fresh = new_rows(events, spark.read.parquet(path), key, order)
-    else:
-        fresh = new_rows(events, events.limit(0), key, order)
-    fresh.write.mode("append").parquet(path)
+        slots = [(r.id_day, r.id_bucket) for r in placed.select("id_day", "id_bucket").distinct().collect()]
+        rows = stored_slots(spark.read.schema(placed.schema).parquet(path), slots)
+    fresh = new_rows(placed, rows, key, [*order] or [c for c in events.columns if c != key])
+    fresh.write.mode("append").partitionBy("id_day", "id_bucket").parquet(path)
 
 
 def versions(spark: SparkSession, path: str, before: int | None = None, after: int | None = None) -> list[int]:

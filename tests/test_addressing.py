@@ -48,7 +48,7 @@ def events(spark, **options):
     ).withColumn("price", F.lit("1.10").cast("decimal(12,2)"))
     raw = raw_changes(df, "t", "at")
     driver = Driver("d", "pg", "c", rules=[Rule("id", is_key=True)])
-    return change_events(raw, driver, ["id"], ["source_ts"], F.col("source_ts"), **options)
+    return change_events(raw, driver, ["id"], ["source_ts"], F.col("source_ts"), **{"sequence": True} | options)
 
 
 def test_envelope(spark):

@@ -182,7 +182,7 @@ def test_excluded_columns_are_not_read_by_the_forward_plan(spark, tmp_path):
     raw = raw_changes(table.withColumn("ts", F.timestamp_seconds("t")), "t", "ts", "Snapshot")
     driver = Driver("d", "pg", rules=[Rule("ssn", exclude=True), Rule("t", exclude=True)])
     raw = raw.withColumn("row", F.col("row").dropFields("ts"))
-    out = change_events(raw, driver, ["k"], [F.col("row.t")], detected_at=F.col("source_ts"), sequence=False)
+    out = change_events(raw, driver, ["k"], [F.col("row.t")], detected_at=F.col("source_ts"))
     assert "ssn" not in out._jdf.queryExecution().executedPlan().toString().split("ReadSchema:")[1]
     got = [r.asDict(recursive=True) for r in out.orderBy("source_ts").collect()]
     assert [r["fields"] for r in got] == [{"n": 5}, {"n": 6}] and got[1]["prev"] == {"n": 5}

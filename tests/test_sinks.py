@@ -12,6 +12,40 @@ def positions(spark, rows):
     return spark.createDataFrame(rows, "driver_id string, entity string, position string, updated_at string")
 
 
+def test_an_append_opens_only_its_folders(spark, shared):
+    day = lambda d: f"{(d * 86_400_000):012x}"
+    rows = [(f"{day(d)}-{i}", i) for d in range(30) for i in range(40)] + [("no prefix", 1)]
+    events = spark.createDataFrame(rows, "event_id string, n int")
+    tables.append_if_absent(events, shared)
+    one = events.filter(F.col("event_id").startswith(day(3)) & (F.col("n") < 2))
+    slots = [(r.id_day, r.id_bucket) for r in one.select(*[c.alias(n) for n, c in tables.id_slots().items()]).distinct().collect()]
+    table = spark.read.parquet(shared)
+    part = tables.stored_slots(table, slots)
+    assert 1 <= len(part.inputFiles()) and part.select(F.input_file_name()).distinct().count() <= 2 < len(table.inputFiles()) // 10
+    for _ in range(2):
+        tables.append_if_absent(one.unionByName(spark.createDataFrame([(f"{day(3)}-new", 7)], events.schema)), shared)
+    assert spark.read.schema(events.schema).parquet(shared).count() == len(rows) + 1
+    assert {r.id_day for r in table.select("id_day").distinct().collect()} == {f"1970-01-{d + 1:02d}" for d in range(30)} | {"none"}
+
+
+def test_outcomes_are_counted_while_they_are_written(spark, shared):
+    rows = [(i, "a.b" if i % 3 else "", "x" * i) for i in range(30)]
+    df = spark.createDataFrame(rows, "i int, subject string, envelope string")
+    first, second = tables.write_outcomes(df, shared, max_bytes=20), tables.write_outcomes(df, shared, max_bytes=20)
+    assert first == {"published": 14, "dead_lettered": 16, "retried": 0} and second["retried"] == 14
+    stored = spark.read.parquet(f"{shared}/run=0")
+    good, dead = tables.split_dead_letters(df, max_bytes=20)
+    assert {r.i for r in stored.filter("outcome = 'published'").collect()} == {r.i for r in good.collect()}
+    assert {(r.i, r.reason, r.subject) for r in stored.filter("outcome = 'dead_lettered'").collect()} == {(r.i, r.reason, r.subject) for r in dead.collect()}
+
+
+def test_expired_days_can_be_dropped(spark, shared):
+    rows = spark.sql("select 'd' driver_id, timestamp '2026-01-01 05:00:00' + make_interval(0, 0, 0, cast(id as int)) detected_at from range(5)")
+    tables.write_events(rows, shared)
+    assert len(tables.drop_expired(spark, shared, datetime(2026, 1, 4, 12))) == 2
+    assert spark.read.parquet(shared).count() == 3
+
+
 def test_checkpoints_overwrite_and_stay_apart(spark, shared):
     cp.save_checkpoints(positions(spark, [("d1", "a", "1", "t"), ("d1", "b", "2", "t"), ("d2", "a", "3", "t")]), shared)
     cp.save_checkpoints(positions(spark, [("d1", "a", "9", "u")]), shared)

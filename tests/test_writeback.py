@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from changeflow.operators import writeback
+from changeflow.operators import routing, writeback
 from changeflow.spec import Target
 
 COLUMNS = "k string, a int, b string"
@@ -56,6 +56,31 @@ def make(seed, n=150, renames=False):
 SCHEMA = "correlation_id string, operation string, k string, new_key string, a int, b string, set array<string>"
 
 
+def test_routing_by_a_table_of_subscriptions(spark):
+    """The trie gives what one expression per subscription gives."""
+    rng = random.Random(4)
+    token = lambda *more: rng.choice(["a", "b", "c", "*x", ">y", *more])
+    patterns = {".".join([*(token("*", "*") for _ in range(rng.randint(0, 3))), token("*", ">", ">")]) for _ in range(150)}
+    subjects = [".".join(token("", "*") for _ in range(rng.randint(1, 5))) for _ in range(300)] + [None, "", ".", "a..", "*"]
+    subs = [(f"D{i % 7}", "pg" if i % 2 else "x", p, i % 5 > 0) for i, p in enumerate(sorted(patterns))]
+    cmds = spark.createDataFrame([(i, s, {"targetDriverId": "d3"} if i % 4 == 0 else {"originDriverId": "D1"} if i % 4 == 1 else None) for i, s in enumerate(subjects)], "i int, subject string, meta map<string,string>")
+    table = spark.createDataFrame(subs, "driver_id string, source_type string, pattern string, enabled boolean")
+    by = {}
+    for d, t, p, on in subs:
+        if on:
+            by.setdefault((d, t), []).append(p)
+    targets = [Target(d, t, tuple(p)) for (d, t), p in by.items()]
+    key = lambda df: sorted((r.i, r.driver_id, r.source_type) for r in df.collect())
+    for options in ({}, {"per_pattern": True}, {"skip_origin": True}):
+        want = key(writeback.route_commands(cmds, targets, **options))
+        assert key(routing.route_by_table(cmds, table, **options)) == want and len(want) > 200
+    plan = routing.match_subjects(cmds, table)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert routing.route_by_table(cmds, table.limit(0)).count() == 0
+    with pytest.raises(Exception, match="may only end"):
+        routing.match_subjects(cmds, spark.createDataFrame([("a.>.b",)], "pattern string")).count()
+
+
 @pytest.mark.parametrize("hot_rows", [None, 0, 40])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_apply_commands(spark, seed, hot_rows):
