@@ -4,8 +4,10 @@ Both read a space and the text; B adds the space itself. Spans: A's character of
 characters; within characters of several bytes, and for byte-fallback tokens, the ends follow from the tokens' decoded bytes. Places where both have an
 end cut the tokens into groups; a link is a pair of an A and a B token whose bytes overlap.
 
-A text is cut before a space that follows a character which is no white space, where neither tokenizer can have a token across (checked in their
-vocabularies), so both have an end there. Each distinct segment is encoded and aligned once per worker; a document is the sequence of its segments.
+A text is cut where neither tokenizer can have a token across, so that both have an end there: before a space or line end that follows a character which is
+no white space, after such a line end before a character that is none, and between an ASCII letter and a full stop or comma (A's pattern always splits there; B's pieces are checked, and it writes
+line ends as bytes). Each distinct segment is encoded and aligned once per worker; words with their marks and line ends are put together from segments, and a
+document from words.
 Where a vocabulary allows no such cuts, texts are encoded whole.
 
 The count of an id pair is the number of documents of the whole table that hold it linked. Tasks gather their documents in shards; counts are summed by
@@ -25,6 +27,7 @@ import re
 from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import public_tokenizers
@@ -39,9 +42,15 @@ from changeflow.llm.segments import _byte_letters, cut_kind
 
 SHARD_CHARS = 1 << 23  # of text whose documents look up their pairs together
 PIECE_CHARS = 1 << 20
-MEMO_SEGMENTS = 1 << 18  # aligned segments remembered per Python worker; the memo starts anew beyond it
-MEMO_CHARS = 1 << 24
+MEMO_SEGMENTS = 1 << 20  # aligned words and segments remembered per Python worker, some 300 MB; the memo starts anew beyond it
+PAIRS = 1 << 20  # of ids numbered per worker; between shards the numbers start anew beyond it
+MEMO_CHARS = 1 << 25
 _CUT = re.compile(r"(?<=\S)(?= .)", re.S)
+_FINE = re.compile(r"(?<=\S)(?=\n)|(?<=\S\n)(?=\S)|(?<=[A-Za-z])(?=[.,])")
+_FINE_MARK = re.compile(r"[.,\n]")
+_ODD_SPACE = re.compile(r"  |[^\S \n]| \n|\n | $")  # elsewhere words stand between single spaces
+_ACROSS = re.compile(r"[^▁]▁|\n|[A-Za-z][.,]")  # in no piece, if texts may be cut so
+_WORD = re.compile(r" [A-Za-z]+")
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 
 
@@ -53,6 +62,8 @@ def aligner(byte_name: str, piece_name: str) -> "Aligner":
 
 def token_ends(ends: Sequence[int], ids: Sequence[int], table: list[bytes], whole: list[bool]) -> list[int]:
     """Byte end of every token: its span's end if it holds whole characters, else what its bytes add to the token before."""
+    if all(map(whole.__getitem__, ids)):
+        return list(ends)
     out, at = [], 0
     for i, end in zip(ids, ends, strict=True):
         at = end if whole[i] else at + len(table[i])
@@ -62,16 +73,22 @@ def token_ends(ends: Sequence[int], ids: Sequence[int], table: list[bytes], whol
 
 def overlaps(a: Sequence[int], a_ends: Sequence[int], b: Sequence[int], b_ends: Sequence[int]) -> tuple[str, int, list[int]]:
     """The groups as text, their number, and all links as ``a << 32 | b``."""
-    groups, links, i, j, i0, j0 = [], [], 0, 0, 0, 0
+    text, links, n, i, j, i0, j0 = "", [], 0, 0, 0, 0, 0
     while i < len(a) and j < len(b):
         links.append(a[i] << 32 | b[j])
         x, y = a_ends[i], b_ends[j]
-        i += x <= y
-        j += y <= x
-        if x == y:
-            groups.append(f"{','.join(map(str, a[i0:i]))}|{','.join(map(str, b[j0:j]))}")
+        if x < y:
+            i += 1
+        elif y < x:
+            j += 1
+        else:
+            i, j, n = i + 1, j + 1, n + 1
+            if i == i0 + 1 and j == j0 + 1:
+                text += f";{a[i0]}|{b[j0]}"
+            else:
+                text += f";{','.join(map(str, a[i0:i]))}|{','.join(map(str, b[j0:j]))}"
             i0, j0 = i, j
-    return ";".join(groups), len(groups), links
+    return text[1:], n, links
 
 
 class Aligner:
@@ -92,31 +109,71 @@ class Aligner:
         self.b_whole = [m is None for m in byte]
         with open(byte_path, encoding="utf-8") as f:
             config = json.load(f)
-        self.cuts = cut_kind(config) == "spaced" and not any(re.search("[^▁]▁", p) for p in pieces) and self._keeps_spaces()
+        self.cuts = cut_kind(config) == "spaced" and not any(map(_ACROSS.search, pieces)) and self._keeps_spaces()
+        self.pairs: dict[int, int] = {}
         self.clear()
 
+    def new_shard(self) -> None:
+        """Between shards the numbers of pairs may start anew."""
+        if len(self.pairs) > PAIRS:
+            self.pairs = {}
+            self.clear()
+
     def _keeps_spaces(self) -> bool:
-        """Whether B writes a text's spaces one by one and adds one before it."""
-        return self.b.decode(self.b.encode("a  b")) == "a  b" and self.b.encode("a  b") == self.b.encode("a") + self.b.encode(" b")
+        """Whether B writes a text's spaces one by one, adds one before it, and writes a line end as a byte."""
+        spaces = self.b.encode("a  b") == self.b.encode("a") + self.b.encode(" b")
+        return spaces and [self.b_bytes[i] for i in self.b.encode("\n")] == [b" ", b"\n"]
 
     def clear(self) -> None:
-        self.memo: dict[str, int] = {}
-        self.texts: list[str] = []
-        self.sums = array("q")  # A tokens, B tokens, groups, 1 if a token's bytes are not the text's
-        self.links, self.starts, self.chars = array("q"), array("q", [0]), 0
-
-    def segments(self, text: str) -> list[str]:
-        """The segments of a text that starts with a space."""
-        return _CUT.split(text) if self.cuts else [text]
-
-    def learn(self, segments: list[str]) -> None:
-        """Encode and align the segments that are not known yet."""
-        fresh = [s for s in dict.fromkeys(segments) if s not in self.memo]
-        encoded = self.a.encode_batch(fresh, add_special_tokens=False)
-        protos = self.b.encode([s[1:] for s in fresh], return_type="proto", num_threads=1) if fresh else []
-        for s, e, p in zip(fresh, encoded, protos, strict=True):
-            self.memo[s] = len(self.texts)
-            self._add(s, e.ids, [y for _, y in e.offsets], [x.id for x in p.pieces], [x.end + 1 for x in p.pieces])
+        """Forget all segments; the numbers of pairs stay."""
+        self.memo: dict[str | tuple[str], int] = {}
+        self.texts: list[bytes] = []
+        self.sums = array("i")  # A tokens, B tokens, groups, 1 if a token's bytes are not the text's
+        self.links, self.starts, self.chars = array("i"), array("q", [0]), 0  # links by the numbers of their pairs
+
+    def segments(self, text: str) -> list:
+        """The words of a text that starts with a space: a text for a word after one space, else the segment in a tuple."""
+        if not self.cuts:
+            return [(text,)]
+        return [(x,) for x in _CUT.split(text)] if _ODD_SPACE.search(text) else text[1:].split(" ")
+
+    def learn(self, words: set) -> None:
+        """Encode and align the words that are not known yet."""
+        made, fresh = {}, set()
+        for w in words.difference(self.memo):
+            s = " " + w if isinstance(w, str) else w[0]
+            parts = _FINE.split(s) if self.cuts and _FINE_MARK.search(s) else [s]
+            if len(parts) == 1:
+                fresh.add(w)
+            else:
+                made[w] = [p[1:] if p[0] == " " and " " not in p[1:] else (p,) for p in parts]
+                fresh.update(p for p in made[w] if p not in self.memo)
+        self._encode([(w, " " + w if isinstance(w, str) else w[0]) for w in fresh])
+        for w, parts in made.items():
+            at = [self.memo[p] for p in parts]
+            if w not in self.memo:
+                self.memo[w] = len(self.texts)
+                self.texts.append(b";".join([self.texts[i] for i in at]))
+                self.sums.extend([sum(self.sums[4 * i + k] for i in at) for k in range(4)])
+                for i in at:
+                    self.links.extend(self.links[self.starts[i] : self.starts[i + 1]])
+                self.starts.append(len(self.links))
+
+    def _encode(self, fresh: list[tuple]) -> None:
+        # one piece of A's pattern each: its model alone tells the tokens
+        plain = [x for x in fresh if self.cuts and _WORD.fullmatch(x[1])]
+        others = [x for x in fresh if not (self.cuts and _WORD.fullmatch(x[1]))]
+        encoded = [(e.ids, [y for _, y in e.offsets]) for e in self.a.encode_batch([s for _, s in others], add_special_tokens=False)]
+        # in the model's alphabet a space has two bytes
+        encoded += [([t.id for t in own], [t.offsets[1] - 1 for t in own]) for own in (self.a.model.tokenize("Ġ" + s[1:]) for _, s in plain)]
+        fresh = others + plain
+        # B adds a space of its own, or, before other segments, is given a line end, which stands for itself
+        protos = self.b.encode([s[1:] if s[0] == " " else "\n" + s for _, s in fresh], return_type="proto", num_threads=1) if fresh else []
+        for (w, s), (a, a_ends), p in zip(fresh, encoded, protos, strict=True):
+            self.memo[w] = len(self.texts)
+            add, drop = (1, 0) if s[0] == " " else (-1, 2)
+            pieces = [(x.id, x.end + add) for x in p.pieces][drop:]
+            self._add(s, a, a_ends, [i for i, _ in pieces], [y for _, y in pieces])
             self.chars += len(s)
 
     def _add(self, s: str, a: list[int], a_ends: list[int], b: list[int], b_ends: list[int]) -> None:
@@ -128,12 +185,12 @@ class Aligner:
             self.sums.extend((0, 0, 0, 1))
         else:
             if len(raw) != len(s):  # A counts characters
-                at = np.concatenate([[0], np.cumsum([len(c.encode()) for c in s])]).tolist()
-                a_ends = [at[x] for x in a_ends]
+                a_ends = [len(s[:x].encode()) for x in a_ends] if len(s) < 256 else _byte_ends(s, a_ends)
             groups, n, links = overlaps(a, token_ends(a_ends, a, self.a_bytes, self.a_whole), b, token_ends(b_ends, b, self.b_bytes, self.b_whole))
             self.sums.extend((len(a), len(b), n, 0))
-        self.texts.append(groups)
-        self.links.extend(links)
+        self.texts.append(groups.encode())
+        number = self.pairs
+        self.links.extend([number.setdefault(x, len(number)) for x in links])
         self.starts.append(len(self.links))
 
 
@@ -145,6 +202,11 @@ def _is_text(raw: bytes) -> bool:
     return True
 
 
+def _byte_ends(text: str, ends: list[int]) -> list[int]:
+    at = list(accumulate((len(c.encode()) for c in text), initial=0))
+    return [at[x] for x in ends]
+
+
 def _parts(text: str, size: int) -> Iterator[str]:
     """A text in parts of about ``size`` characters that end where segments end."""
     at = 0
@@ -158,10 +220,11 @@ class _Shard:
     """Documents of one task: their sums and digests, and the pairs that each holds."""
 
     def __init__(self, align: Aligner):
+        align.new_shard()
         self.align, self.ids, self.docs, self.chars = align, [], 0, 0
         self.sums: list[np.ndarray] = []
         self.digests: list = []
-        self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # document, pair, times
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []  # document << 32 | number of a pair, and times
 
     def add(self, ids: pa.Array, texts: list[str | None]) -> None:
         first, work, size = self.docs, [], 0
@@ -180,33 +243,39 @@ class _Shard:
         if work:
             self._align(work)
 
-    def _align(self, work: list[tuple[int, list[str]]]) -> None:
+    def _align(self, work: list[tuple[int, list]]) -> None:
         known = self.align
         if len(known.memo) > MEMO_SEGMENTS or known.chars > MEMO_CHARS:
             known.clear()
-        known.learn([s for _, own in work for s in own])
-        sums, starts, links = (np.frombuffer(x, np.int64) for x in (known.sums, known.starts, known.links or array("q", [0])))
+        known.learn(set().union(*(own for _, own in work)))
+        sums, starts, links = np.frombuffer(known.sums, np.int32), np.frombuffer(known.starts, np.int64), np.frombuffer(known.links or array("i", [0]), np.int32)
         sums, keys = sums.reshape(-1, 4), []
         for doc, own in work:
-            at = np.fromiter(map(known.memo.__getitem__, own), np.int64, len(own))
+            at = [known.memo[s] for s in own]
             more = b";" if self.sums[doc].any() else b""
-            self.sums[doc] += sums[at].sum(axis=0)
-            self.digests[doc].update(more + ";".join(map(known.texts.__getitem__, at.tolist())).encode())
+            self.digests[doc].update(more + b";".join([known.texts[i] for i in at]))
+            at = np.array(at, np.int64)
+            self.sums[doc] += sums[at].sum(axis=0, dtype=np.int64)
             keys.append(doc << 32 | at)
         keys, times = np.unique(np.concatenate(keys), return_counts=True)
         segment = keys & 0xFFFFFFFF
         n = starts[segment + 1] - starts[segment]
         places = np.repeat(starts[segment] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        self.held.append(_summed(np.repeat(keys >> 32, n), links[places], np.repeat(times, n))[:3])
+        self.held.append(_summed(np.repeat(keys & ~0xFFFFFFFF, n) | links[places], np.repeat(times, n)))
 
     def batches(self, name: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         """One row per document, and one with the shard's distinct pairs and the number of its documents that hold each."""
         sums = np.array(self.sums)
         good = (sums[:, 3] == 0) & (sums[:, 0] > 0)
         sums[~good] = 0
-        doc, pair, times = (np.concatenate(x) for x in zip(*self.held, strict=True)) if self.held else (np.zeros(0, np.int64),) * 3
-        keep = good[doc]
-        doc, pair, times, which, pairs = _summed(doc[keep], pair[keep], times[keep])
+        key, times = (np.concatenate(x) for x in zip(*self.held, strict=True)) if self.held else (np.zeros(0, np.int64),) * 2
+        if (np.diff(key) <= 0).any():  # parts of one long text
+            key, times = _summed(key, times)
+        keep = good[key >> 32]
+        doc, number, times = key[keep] >> 32, key[keep] & 0xFFFFFFFF, times[keep]
+        here = np.zeros(len(self.align.pairs), bool)
+        here[number] = True
+        which, pairs = (np.cumsum(here) - 1)[number], np.fromiter(self.align.pairs, np.int64, len(here))[here]
         edges = pa.array(np.searchsorted(doc, np.arange(self.docs + 1)), pa.int32())
         of_docs = {
             "shard": pa.array([name] * self.docs), "doc_id": pa.chunked_array(self.ids).combine_chunks(),
@@ -219,15 +288,12 @@ class _Shard:
             yield pa.RecordBatch.from_arrays([columns[f.name].cast(f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
 
 
-def _summed(doc: np.ndarray, pair: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (document, pair) in order with the sum of their times, the pairs' places among the distinct pairs, and these."""
-    pairs, which = np.unique(pair, return_inverse=True)
-    key = doc << 32 | which
-    by = np.argsort(key, kind="stable")
+def _summed(key: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sums of their times."""
+    by = np.argsort(key)
     key, times = key[by], times[by]
     new = np.flatnonzero(np.diff(key, prepend=-1))
-    key, times = key[new], np.add.reduceat(times, new) if len(new) else times
-    return key >> 32, pairs[key & 0xFFFFFFFF], times, key & 0xFFFFFFFF, pairs
+    return key[new], np.add.reduceat(times, new) if len(new) else times
 
 
 def _run_sums(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
