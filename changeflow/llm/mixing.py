@@ -8,7 +8,7 @@ The budget is filled from the source's histogram of sizes alone: all but ``PROGR
 down) and then by the largest sizes, and the rest by a bounded-knapsack dynamic program over the documents that remain, which comes as near as
 sizes allow. The histogram says how many documents of a size get one more copy; which ones, a seeded hash of the id decides.
 
-Null texts have size 0. Documents of size 0 get the whole copies alone. Rows of equal ids and texts are equal candidates. An empty
+Null texts have size 0. Documents of size 0 get the whole copies alone. Rows of equal ids are told apart by all their columns, and rows that are equal in all of them are equal candidates. An empty
 table gives an empty result.
 """
 
@@ -19,7 +19,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from changeflow.llm.common import find_words, slices, text_bytes, written
 
@@ -92,8 +92,13 @@ def _key(source: Column) -> Column:
     return F.when(source.isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), source.cast("string")))
 
 
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns of a row, other than maps."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))])
+
+
 def word_sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
-    """(id, content, source_key, size, h): the narrow table that everything else works on; content is a hash of the text, h the seeded hash of the id."""
+    """(id, content, source_key, size, h): the narrow table that everything else works on; content is a hash of the whole row, h the seeded hash of the id."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -102,7 +107,7 @@ def word_sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str, see
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(np.bincount(rows, minlength=batch.num_rows), pa.int64())], names=[*keep, "size"])
 
     text = F.col(text_col)
-    narrow = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("content"), _key(F.col(source_col)).alias("source_key"), text.alias("text"), F.xxhash64(F.col(id_col), F.lit(seed)).alias("h"))
+    narrow = docs.select(F.col(id_col).alias("id"), row_hash(docs).alias("content"), _key(F.col(source_col)).alias("source_key"), text.alias("text"), F.xxhash64(F.col(id_col), F.lit(seed)).alias("h"))
     return narrow.mapInArrow(count, f"id {narrow.schema['id'].dataType.simpleString()}, content long, source_key string, h long, size long")
 
 
@@ -131,7 +136,7 @@ def _first_by_hash(rows: DataFrame, wanted: DataFrame, level: int = 0, levels: i
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: Sequence[float] = WEIGHTS, most: int = MOST, seed: int = 17) -> DataFrame:
-    """One row per row of ``docs``: id, content (hash of the text), size, source_size, target, copies, taken.
+    """One row per row of ``docs``: id, content (hash of the row), size, source_size, target, copies, taken.
 
     The per-source totals, one row per source as in the list of weights, are the only thing that comes to the driver.
     """
@@ -157,10 +162,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """The rows of ``docs``, each as many times as the mix takes it."""
-    plain = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    mixed = mix(docs, id_col, text_col, **settings).groupBy(plain.alias("__id"), F.col("content").alias("__content")).agg(F.sum("copies").cast("int").alias("__copies"))
-    # equal rows count together: one of them stands for all
-    marked = docs.withColumn("__id", plain).withColumn("__content", F.xxhash64(text_col))
+    """The rows of ``docs``, each as many times as the mix takes it. Rows that are equal in all columns count together."""
+    columns, names = docs.columns, [f"c{i}" for i in range(len(docs.columns))]
+    plain = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    mixed = mix(docs, id_col, text_col, **settings).groupBy(plain(id_col).alias("__id"), F.col("content").alias("__content")).agg(F.sum("copies").cast("int").alias("__copies"))
+    rows = docs.toDF(*names)
+    marked = rows.withColumns({"__id": plain(names[columns.index(id_col)]), "__content": row_hash(rows)})
     joined = marked.join(mixed.where("__copies > 0"), ["__id", "__content"]).dropDuplicates(["__id", "__content"])
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*names).toDF(*columns)

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from changeflow.llm.common import find_words, gram_hashes, mix64, slices, span_hashes, text_bytes, written
 
@@ -185,12 +185,8 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
     A class holds everything that links of texts of ``similarity`` or more lead to.
     """
-    text, node = F.lower(F.col(text_col)), text_node(F.col(text_col))
-    own = docs.select(F.col(id_col).alias("id"), node.alias("node"))
-    texts = docs.select(node.alias("node"), text.alias("text")).where(F.col("node").isNotNull())
-    # one row per node; copies met in the same task are merged before the shuffle
-    signed = written(signatures(texts, shingle, bands, rows).groupBy("node").agg(F.first("bands").alias("bands"), F.first("packed").alias("packed")), "near-signatures")
-    label = _classes(signed, shingle, similarity)
+    own = docs.select(F.col(id_col).alias("id"), text_node(F.col(text_col)).alias("node"))
+    label = linked_nodes(docs.select(F.col(text_col).alias("text")), shingle, similarity, bands, rows)
     marked = own.join(label, "node", "left").withColumn("class", F.coalesce("class", "node"))
     summary = marked.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("id").alias("first_id"), F.count("*").alias("members"))
     out = marked.join(summary, "class", "left")
@@ -198,17 +194,35 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     return out.select(F.col("id").alias(id_col), F.when(alone, F.col("id")).otherwise(F.col("first_id")).alias("class_id"), F.coalesce("members", F.lit(1)).alias("class_size"), "node")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its class, once each."""
-    classes = near_duplicate_classes(docs, id_col, text_col, **settings)
-    first = classes.where(F.col(id_col).eqNullSafe(F.col("class_id"))).select(_plain(F.col(id_col)).alias("__id"), _plain(F.col("node")).alias("__node")).distinct()
-    marked = docs.withColumn("__id", _plain(F.col(id_col))).withColumn("__node", _plain(text_node(F.col(text_col))))
-    return marked.join(first, ["__id", "__node"]).dropDuplicates(["__id", "__node"]).select(*docs.columns)
+def linked_nodes(texts: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """(node, class) of all nodes of ``text`` that have a near duplicate."""
+    nodes = texts.select(text_node(F.col("text")).alias("node"), F.lower("text").alias("text")).where(F.col("node").isNotNull())
+    # one row per node; copies met in the same task are merged before the shuffle
+    signed = written(signatures(nodes, shingle, bands, rows).groupBy("node").agg(F.first("bands").alias("bands"), F.first("packed").alias("packed")), "near-signatures")
+    return _classes(signed, shingle, similarity)
 
 
-def _plain(column):
-    """A key without nulls, so that a join and a grouping share one shuffle."""
-    return F.coalesce(column.cast("string"), F.lit(""))
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """One row of each class: of the smallest id (null last), and among several of that id the one of the smallest hash of text and of all columns.
+
+    A text without words is a class of its own per row id; with a null id each such row is kept.
+    """
+    columns, names = docs.columns, [f"c{i}" for i in range(len(docs.columns))]
+    rows = docs.toDF(*names)
+    own, text = F.col(names[columns.index(id_col)]), F.col(names[columns.index(text_col)])
+    tie = F.xxhash64(*[F.col(n) for n, f in zip(names, docs.schema, strict=True) if not isinstance(f.dataType, (T.MapType, T.VariantType))])
+    # keys without nulls, so that the join and the grouping share one shuffle
+    key = {"__id": F.coalesce(own.cast("string"), F.lit("")), "__none": own.isNull(), "__node": F.coalesce(text_node(text), F.lit(0)), "__tie": tie}
+    rows = rows.withColumns(key | {"__words": text_node(text).isNotNull()})
+    worded = rows.where("__words")
+    label = linked_nodes(docs.select(F.col(text_col).alias("text")), **settings)
+    narrow = worded.select(own.alias("__own"), *key).join(label.withColumnRenamed("node", "__node"), "__node", "left")
+    order = F.struct("__none", "__own", "__node", "__tie", "__id")
+    first = narrow.groupBy(F.coalesce("class", "__node")).agg(F.min(order).alias("o")).select(*(F.col(f"o.{c}").alias(c) for c in key))
+    kept = worded.join(first, list(key)).dropDuplicates(list(key))
+    bare = rows.where("not __words")
+    alone = bare.where("not __none").withColumn("__n", F.row_number().over(Window.partitionBy("__id").orderBy("__tie"))).where("__n = 1")
+    return kept.select(*names).unionByName(alone.select(*names)).unionByName(bare.where("__none").select(*names)).toDF(*columns)
 
 
 def _classes(signed: DataFrame, shingle: int, similarity: float) -> DataFrame:
