@@ -27,7 +27,6 @@ BLOCK = 2048  # windows scored together
 SAMPLE_ROWS = 1500  # labelled texts per language that are learned from, about
 SAMPLE_CHARS = 96  # characters of each window of the sample
 SAMPLE_WINDOWS = 2  # windows per sampled text
-LANGUAGES_MOST = 512  # languages that the sample may have
 STEPS, BATCH, RATE = 400, 128, 0.02
 
 
@@ -212,11 +211,11 @@ def _gradients(w: dict[str, np.ndarray], ids: np.ndarray, targets: np.ndarray) -
 def learn(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", rows: int = SAMPLE_ROWS, seed: int = 7) -> ByteNetwork | None:
     """Train on about ``rows`` texts per language out of those that ``learn_from`` marks; None if there are none.
 
-    The sample is drawn by a hash of the id with one rate per language, so no rows are shuffled; what comes to the driver is at most
-    3/2 x rows x languages x SAMPLE_WINDOWS windows of SAMPLE_CHARS characters.
+    The sample is drawn by a hash of the id with one rate per language, so no rows are shuffled; what comes to the driver one count per
+    language and at most 3/2 x rows x languages x SAMPLE_WINDOWS windows of SAMPLE_CHARS characters.
     """
     known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(label_col).alias("label")).where(learn_from & F.col("label").isNotNull())
-    counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label").limit(LANGUAGES_MOST).collect()}
+    counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return None
     labels = sorted(counts)
@@ -225,7 +224,7 @@ def learn(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col:
     room = F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0))
     windows = [F.substring("text", (1 + F.floor(room * sample_share(F.col("id").cast("string"), seed=seed + 1 + k))).cast("int"), F.lit(SAMPLE_CHARS)) for k in range(SAMPLE_WINDOWS)]
     drawn = known.where((share < rates[F.col("label")]) & F.col("text").rlike(r"\p{L}")).select("label", F.explode(F.array(*windows)).alias("piece"))
-    got = drawn.limit(rows * len(labels) * SAMPLE_WINDOWS * 3 // 2).collect()
+    got = drawn.orderBy(F.xxhash64("piece"), "piece", "label").limit(rows * len(labels) * SAMPLE_WINDOWS * 3 // 2).collect()
     got.sort(key=lambda r: (r["label"], r["piece"]))
     if not got:
         return None
@@ -234,7 +233,7 @@ def learn(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col:
 
 
 def identify(docs: DataFrame, model: ByteNetwork | None, text_col: str = "text", pred_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
-    """All rows and columns of ``docs`` with the predicted language and its pooled probability. One pass, no shuffle."""
+    """All rows and columns of ``docs`` with the predicted language and its pooled probability, which replace columns of their names. One pass, no shuffle."""
     sc = docs.sparkSession.sparkContext
     shared = sc.broadcast(model)  # a few hundred kB, whatever the corpus
     columns = docs.columns
@@ -256,4 +255,5 @@ def identify(docs: DataFrame, model: ByteNetwork | None, text_col: str = "text",
     text = F.col(f"c{columns.index(text_col)}")
     renamed = renamed.withColumn("__text", F.coalesce(text, F.lit(""))).withColumn("__letters", F.coalesce(text.rlike(r"\p{L}"), F.lit(False)))
     schema = ", ".join([*(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema)), "p string", "s double"])
-    return renamed.mapInArrow(score, schema).toDF(*columns, pred_col, score_col)
+    kept = [i for i, c in enumerate(columns) if c.lower() not in (pred_col.lower(), score_col.lower())]
+    return renamed.mapInArrow(score, schema).select(*(f"c{i}" for i in kept), "p", "s").toDF(*(columns[i] for i in kept), pred_col, score_col)

@@ -169,18 +169,18 @@ def _features(docs: DataFrame) -> np.ndarray:
 def learn(docs: DataFrame, labels: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", positives: int = POSITIVES, unlabelled: int = UNLABELLED, prior: float | None = None) -> QualityModel | None:
     """Fit on rows that ``learn_from`` (a condition on the column ``id``, the id as text) allows.
 
-    The sample takes the rows of the smallest hashes: at most ``positives`` ids labelled 1 and ``unlabelled`` ids of any row, so both lists
-    are of bounded size however large the tables are. Labels 0 are not used.
+    The sample takes the rows of the smallest hashes: at most ``positives`` ids labelled 1 and ``unlabelled`` ids of any row, and one text of an
+    id that stands repeatedly, so both lists are of bounded size however large the tables are. Labels 0 are not used.
     """
-    draw = lambda df, n, seed: df.select(F.col(id_col).cast("string").alias("id")).where(F.col("id").isNotNull() & learn_from).orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(n).distinct()
+    draw = lambda df, n, seed: df.select(F.col(id_col).cast("string").alias("id")).where(F.col("id").isNotNull() & learn_from).distinct().orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(n)
     texts = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
-    good = texts.join(F.broadcast(draw(labels.where(F.col(label_col) == 1), positives, 1)), "id", "left_semi")
-    web = texts.join(F.broadcast(draw(docs, unlabelled, 2)), "id", "left_semi")
+    one = lambda ids: texts.join(F.broadcast(ids), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+    good, web = one(draw(labels.where(F.col(label_col) == 1), positives, 1)), one(draw(docs, unlabelled, 2))
     return fit_quality(_features(good), _features(web), prior)
 
 
 def score(docs: DataFrame, model: QualityModel | None, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """All rows and columns of ``docs`` with the score. One pass, no shuffle."""
+    """All rows and columns of ``docs`` with the score, which replaces a column of its name. One pass, no shuffle."""
     shared, columns = docs.sparkSession.sparkContext.broadcast(model), docs.columns  # some kB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,4 +194,5 @@ def score(docs: DataFrame, model: QualityModel | None, text_col: str = "text", s
     renamed = docs.toDF(*(f"c{i}" for i in range(len(columns))))
     renamed = renamed.withColumn("__text", F.coalesce(F.col(f"c{columns.index(text_col)}"), F.lit("")))
     schema = ", ".join([*(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema)), "s double"])
-    return renamed.mapInArrow(run, schema).toDF(*columns, score_col)
+    kept = [i for i, c in enumerate(columns) if c.lower() != score_col.lower()]
+    return renamed.mapInArrow(run, schema).select(*(f"c{i}" for i in kept), "s").toDF(*(columns[i] for i in kept), score_col)

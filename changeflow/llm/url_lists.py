@@ -32,13 +32,14 @@ def url_key(url: Column) -> Column:
     return F.concat(host(url), F.when(path == "", F.lit("/")).otherwise(path), F.regexp_extract(url, URL, 3))
 
 
-def url_keys(url: Column) -> Column:
-    """Everything of a URL that an entry may name, as array<struct<kind, pattern>>."""
+def url_keys(url: Column, depths: Sequence[int] | None = None) -> Column:
+    """Everything of a URL that an entry may name, as array<struct<kind, pattern>>; prefixes of all depths or of the given ones (slashes in them)."""
     name, path = host(url), F.regexp_extract(url, URL, 2)
     labels, parts = F.split(name, r"\."), F.split(F.when(path == "", F.lit("/")).otherwise(path), "/")
     key = lambda kind, pattern: F.struct(F.lit(kind).alias("kind"), pattern.alias("pattern"))
     domains = F.when(F.size(labels) > 1, F.transform(F.sequence(F.lit(1), F.size(labels) - 1), lambda i: key("domain", F.array_join(F.slice(labels, i, F.size(labels)), "."))))
-    prefixes = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: key("prefix", F.concat(name, F.array_join(F.slice(parts, F.lit(1), i), "/"), F.lit("/"))))
+    deep = F.sequence(F.lit(1), F.size(parts) - 1) if depths is None else F.filter(F.array(*map(F.lit, depths)).cast("array<int>"), lambda i: i < F.size(parts))
+    prefixes = F.transform(deep, lambda i: key("prefix", F.concat(name, F.array_join(F.slice(parts, F.lit(1), i), "/"), F.lit("/"))))
     none = F.array().cast("array<struct<kind: string, pattern: string>>")
     every = F.concat(F.array(key("url", url_key(url)), key("host", name)), F.coalesce(domains, none), F.coalesce(prefixes, none))
     return F.when(name != "", every).otherwise(none)
@@ -58,7 +59,10 @@ def judge(captures: DataFrame, entries: DataFrame, url_col: str = "url", time_co
     rows = captures.toDF(*names)
     url, fetched = names[captures.columns.index(url_col)], names[captures.columns.index(time_col)]
     listed = intervals(entries).groupBy("kind", "pattern").agg(F.collect_list(F.struct("list", "valid_from", "valid_to")).alias("entries"))
-    keys = rows.select(F.col(url).alias("u")).where(F.col("u").isNotNull()).distinct().select("u", F.explode(url_keys(F.col("u"))).alias("key"))
+    # a URL gives only the prefixes of depths that some entry has: as many texts as the lists ask for, not one per slash
+    depth = (F.size(F.split("pattern", "/")) - 1).alias("depth")
+    depths = sorted(r.depth for r in entries.where((F.col("kind") == "prefix") & F.col("pattern").isNotNull()).select(depth).distinct().collect())
+    keys = rows.select(F.col(url).alias("u")).where(F.col("u").isNotNull()).distinct().select("u", F.explode(url_keys(F.col("u"), depths)).alias("key"))
     hits = keys.select("u", "key.kind", "key.pattern").join(listed, ["kind", "pattern"]).groupBy("u").agg(F.flatten(F.collect_list("entries")).alias("entries"))
     at = F.col(fetched).cast("timestamp")
     active = F.filter("entries", lambda e: (e.valid_from <= at) & (e.valid_to.isNull() | (at < e.valid_to)))
@@ -66,4 +70,5 @@ def judge(captures: DataFrame, entries: DataFrame, url_col: str = "url", time_co
     out = rows.join(hits, F.col(url) == F.col("u"), "left").withColumn("__lists", F.when(at.isNull(), F.array().cast("array<string>")).otherwise(found))
     allowed = F.array(*[F.lit(a) for a in allow]).cast("array<string>")
     blocked = (F.size("__lists") > 0) & ~F.arrays_overlap("__lists", allowed)
-    return out.select(*names, "__lists", blocked.alias("__blocked")).toDF(*captures.columns, lists_col, blocked_col)
+    kept = [(n, c) for n, c in zip(names, captures.columns, strict=True) if c.lower() not in (lists_col.lower(), blocked_col.lower())]
+    return out.select(*(n for n, _ in kept), "__lists", blocked.alias("__blocked")).toDF(*(c for _, c in kept), lists_col, blocked_col)

@@ -143,9 +143,15 @@ def search_pack(query_ids: np.ndarray, queries: np.ndarray, pack: dict, k: int)
 
 
 def top_k(rows: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, scale: int = 256, pack: int = PACK, query_block: int = QUERY_BLOCK) -> DataFrame:
-    """query_id, rank, id and score of the k highest inner products of every query (a condition on the column ``id``) among all other rows."""
+    """query_id, rank, id and score of the k highest inner products of every query (a condition on the column ``id``) among all other rows.
+
+    Vectors whose products could leave 64 bits are an error.
+    """
     spark = rows.sparkSession
     ints = written(integer_vectors(rows, id_col, vector_col, scale), "vectors")
+    largest = ints.agg(F.max(F.size("v")), F.max(F.greatest(F.array_max("v").cast("double"), -F.array_min("v").cast("double")))).first()
+    if largest[0] and largest[0] * largest[1] ** 2 >= 2.0**63:
+        raise ValueError("components are too large: sums of their products do not fit 64 bits")
     packs = written(_packs(ints, pack, k), "vector-packs")
     blocks = max(1, -(-ints.where(is_query).count() // query_block))
     salts = max(1, min(packs.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))))
