@@ -134,16 +134,67 @@ def test_windows_with_one_hash_are_told_apart(monkeypatch):
 # benchmark
 
 
-def test_tiling_against_plain_search():
+def test_tiling_against_plain_search(monkeypatch):
     rng = random.Random(6)
     for _ in range(150):
         doc, item = [rng.choice("abc") for _ in range(rng.randint(4, 25))], [rng.choice("abc") for _ in range(rng.randint(4, 12))]
-        block = D.Items.of([7], [" ".join(item)], 3)
+        block = D.Items.of([7], [" ".join(item)], 3, coverage=1e-9)
         words, rows = D.tokens(*text_bytes(pa.array([" ".join(doc)])))
         found = D._matches(block, words, rows, 3, 1e-9)
         share = found[0][0][1] if found else 0.0
-        # among longest matches of one length the choice is free; so is what is left after it
-        assert abs(share * len(item) - brute.tiling(doc, item, 3)) <= 3
+        assert round(share * len(item)) == brute.tiling(doc, item, 3)
+        every = [tuple(x.tolist() for x in D.maximal_matches(words, block.tokens, at, np.arange(len(block.own)), seed, block.own, 3)) for at, seed in [_seeds(block, words)]]
+        monkeypatch.setattr(D, "MOST_HITS", 0)
+        runs = D._run_matches(words, block.tokens, _seeds(block, words)[0], 3)
+        assert sorted(zip(*every[0])) == sorted(zip(*(x.tolist() for x in runs)))
+        monkeypatch.undo()
+
+
+def _seeds(block, words):
+    from changeflow.llm.common import gram_hashes
+
+    grams, at = gram_hashes(words, np.zeros(len(words), int), 3)
+    seed = np.minimum(np.searchsorted(block.seeds, grams), len(block.seeds) - 1)
+    return at[block.seeds[seed] == grams], seed[block.seeds[seed] == grams]
+
+
+def test_leaks_of_a_table_by_definition(spark):
+    """Every document against every item by plain tiling."""
+    docs, items = text_rows(spark)[:120], [(r.item_id, r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
+    rng = random.Random(3)
+    for i, t in items[:12]:  # reordered and partial copies
+        w = t.split()
+        docs.append((10**6 + i, " ".join(w[len(w) // 2 :] + ["zz"] + w[: rng.randint(2, len(w) // 2)])))
+    cut = lambda t: D.tokens(*text_bytes(pa.array([(t or "").lower()])))[0].tolist()
+    want = set()
+    tokens = [(i, cut(t)) for i, t in items]
+    for d, t in docs:
+        own = cut(t)
+        near = {tuple(own[p : p + 4]) for p in range(len(own) - 3)}
+        for i, item in tokens:
+            if any(tuple(item[p : p + 4]) in near for p in range(len(item) - 3)):
+                if brute.tiling([x if x in set(item) else -p for p, x in enumerate(own)][:3000], item, 4) >= 0.5 * len(item):
+                    want.add((d, i))
+    df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 AS matches")
+    got = {(r.doc_id, m.item_id) for r in D.find_leaks(df, spark.createDataFrame(items, "item_id long, text string")).collect() for m in r.matches}
+    assert got == want and len(want) > 10
+
+
+def test_frequent_seeds_and_repeated_words_stay_cheap():
+    """Many items share a phrase, and text and item repeat one word: neither lists all pairs of places."""
+    import resource
+    import time
+
+    rng = random.Random(1)
+    word = lambda: "w%d" % rng.randint(0, 10**7)
+    block = D.Items.of(list(range(20_000)), [" ".join([*(word() for _ in range(8)), "which of the following is", *(word() for _ in range(8))]) for _ in range(20_000)], 4)
+    text = " ".join(" ".join(word() for _ in range(20)) + " which of the following is" for _ in range(80))
+    same = D.Items.of([1], ["a " * 500], 4)
+    before, start = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.process_time()
+    assert D._matches(block, *D.tokens(*text_bytes(pa.array([text]))), 4, 0.5) == {}
+    found = D._matches(same, *D.tokens(*text_bytes(pa.array(["a " * 100_000]))), 4, 0.5)
+    assert found[0][0][1:] == (1.0, [(0, 0, 500)])
+    assert time.process_time() - start < 8 and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 500_000
 
 
 def test_reordered_passages_are_found(spark):
@@ -226,12 +277,49 @@ def test_mix(spark):
     taken = sum(r.taken for r in out)
     assert abs(taken - total) < 0.02 * total
     assert sorted((str(r.doc_id), r.taken) for r in M.mix(rows.repartition(7)).collect()) == sorted((str(r.doc_id), r.taken) for r in out)
+    for (target, size), of_source in by_target.items():
+        assert abs(sum(r.taken for r in of_source) - target) <= max(3, 0.001 * size), target
     copies = sum(r.copies for r in out)
     mixed = M.apply_mix(rows)
     assert mixed.count() == copies and mixed.columns == rows.columns
     assert M.mix(rows.limit(0)).count() == 0
 
 
+def test_rows_of_one_id_and_text_stay_in_their_source(spark):
+    rows = [(1, "a b c d", "s1", "u1"), (1, "a b c d", "s2", "u2"), (1, "a b c d", "s2", "u3"), (None, None, None, "u4")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, __id string")
+    taken = {s: [r for r in M.apply_mix(df, weights=(1.0, 0.0)).collect() if r.source == s] for s in ("s1", "s2")}
+    assert len(taken["s1"]) == 3 and not taken["s2"] and {r["__id"] for r in taken["s1"]} == {"u1"}
+
+
+def test_one_row_is_kept_of_each_class(spark):
+    words = [f"w{i}" for i in range(60)]
+    near = " ".join(words), " ".join([*words[:-1], "zz"])
+    rows = [(i, t, "q") for i in (None, None, 7, 7) for t in near] + [(8, " ".join(words[1:]), "q"), (9, "other text of five words", "a"), (9, "other text of five words", "b")]
+    rows += [(None, None, "n1"), (None, "", "n2"), (5, " ", "n3"), (5, None, "n3")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __id string")
+    out = N.keep_one(df).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in out) == [(False, 5), (False, 7), (False, 9), (True, 0), (True, 0)]
+    assert {r["__id"] for r in out if r.doc_id is None} == {"n1", "n2"} and N.keep_one(df.limit(0)).count() == 0
+
+
+def test_result_names_replace_columns(spark):
+    df = spark.createDataFrame([(1, "und der die das", 9.0, "x", 0)], "doc_id long, text string, score double, lang_pred string, matches int")
+    assert Q.score(df, None).select("score").first() == (0.5,)
+    assert L.identify(df, None).select("lang_pred", "score").first() == ("und", 0.0)
+    assert D.find_leaks(df, df.select(F.col("doc_id").alias("item_id"), "text")).select(F.size("matches")).first() == (1,)
+
+
+def test_samples_are_bounded_in_rows(spark, monkeypatch):
+    rows = [(1, "same text here")] * 3000 + [(i, f"text number {i}") for i in range(2, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    seen = []
+    monkeypatch.setattr(Q, "fit_quality", lambda good, web, prior: seen.append((len(good), len(web))))
+    Q.learn(docs, labels, F.lit(True), positives=20, unlabelled=1000)
+    assert seen == [(20, 39)]
+
+
 def test_choice_of_documents_follows_the_count(spark):
     """One size holds all rows: the cells of two levels and the last rank must add up to the number wanted."""
     rows = spark.createDataFrame([(i, i, "s", 10) for i in range(5000)], "id long, content long, source_key string, size long").withColumn("h", F.xxhash64("id"))
