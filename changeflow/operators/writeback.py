@@ -12,6 +12,7 @@ from changeflow.functions.maps import merge_ignoring_case, override, text_map
 from changeflow.functions.text import subject_matches
 from changeflow.operators.lookup import lookup
 from changeflow.operators.ordered import Hot, Step, hot_groups, running_steps
+from changeflow.operators.renames import components, fold_components
 from changeflow.scratch import shared_path
 from changeflow.spec import Target
 
@@ -22,6 +23,8 @@ POINT_ATTRIBUTES = {
     "descriptor": "descriptor", "engineeringUnits": "engunits", "pointType": "pointtype", "pointClass": "pointclass",
 }
 POINT_DEFAULTS = {"pointType": "Float32", "pointClass": "classic"}
+# Commands of one component of keys that one task works off in order.
+FOLD_COMMANDS = 5_000_000
 
 
 def decode_commands(df: DataFrame) -> DataFrame:
@@ -218,12 +221,46 @@ def rename_target(fields: str, current: str | Column) -> Column:
 
 
 def apply_with_renames(
-    table: DataFrame, cmds: DataFrame, key: str, order: Sequence[str], new_key: str = "new_key", hot_rows: int | None = None
+    table: DataFrame, cmds: DataFrame, key: str, order: Sequence[str], new_key: str = "new_key", hot_rows: int | None = None,
+    most: int = FOLD_COMMANDS,
 ) -> tuple[DataFrame, DataFrame]:
     """``apply_commands`` where an Update may also change the key of its row.
 
-    Later commands address the new key, so a rename must be decided before what follows it on either
-    key. The batch is worked off in rounds: a round takes all commands that precede the first open
+    Later commands address the new key, so a rename must be decided before what follows it on either key. Keys that renames connect form components.
+    The commands of each component run in order in one pass over it, those on all other keys as one set. A component of more than ``most`` commands,
+    which would be too much for one task, is worked off in rounds instead. A rename fails as a whole when its row is missing or the new key is taken.
+    """
+    spark, path = table.sparkSession, shared_path(table.sparkSession, "renames")
+    rename = (F.col("operation") == "Update") & F.col(new_key).isNotNull() & (F.col(new_key) != F.col(key))
+    cmds = _kept(cmds, f"{path}/commands")
+    label = components(cmds.filter(rename), key, new_key).select(F.col("node").alias("__node"), "component")
+    marked = lookup(cmds, label, [key], ["__node"]).drop("__node")
+    large = marked.filter("component is not null").groupBy("component").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > most).select("component")
+    large = _kept(large, f"{path}/large")
+    own = label.join(table.select(F.col(key).alias("__node")).distinct(), "__node", "left_semi")
+    rows = table.join(own, F.col(key) == F.col("__node")).drop("__node")
+    after, results = fold_components(
+        rows.join(large, "component", "left_anti").select("component", *table.columns),
+        marked.filter("component is not null").join(large, "component", "left_anti"), key, new_key, order,
+    )
+    plain, planned = apply_commands(
+        table.join(label, F.col(key) == F.col("__node"), "left_anti"), marked.filter("component is null").drop("component"), [key], order, hot_rows=hot_rows
+    )
+    out = plain.unionByName(after)
+    results = results.unionByName(planned.withColumn(new_key, F.lit(None).cast(cmds.schema[new_key].dataType)).select(*results.columns))
+    if not large.isEmpty():
+        many = rows.join(large, "component", "left_semi").select(*table.columns)
+        rounds, more = _in_rounds(many, marked.join(large, "component", "left_semi").select(*cmds.columns), key, order, new_key, hot_rows)
+        out, results = out.unionByName(rounds), results.unionByName(more.select(*results.columns))
+    return out, results
+
+
+def _in_rounds(
+    table: DataFrame, cmds: DataFrame, key: str, order: Sequence[str], new_key: str, hot_rows: int | None
+) -> tuple[DataFrame, DataFrame]:
+    """``apply_with_renames`` for components too large for one task.
+
+    The batch is worked off in rounds: a round takes all commands that precede the first open
     rename of their key, then every rename that is the first open one of both its keys. Rounds are as
     many as the longest chain of renames that touch a common key; each runs on all keys at once.
     A rename fails as a whole when its row is missing or the new key is taken.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from changeflow.functions.maps import merge_attributes
@@ -122,6 +123,19 @@ def rename_results(spark, sf):
     return _renames(spark, sf)[1]
 
 
+def rename_alternating(spark, sf):
+    """Every event renames its user's row from one of two names to the other: as many renames on one key as the user has events."""
+    events = read(spark, sf, "events").select("event_id", "user_id", "ts", "value")
+    turn = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")) % 2
+    name = lambda n: F.concat(F.lit("u"), "user_id", F.when(n, "a").otherwise("b"))
+    cmds = events.select(
+        F.col("event_id").alias("correlation_id"), F.lit("Update").alias("operation"), name(turn == 1).alias("name"), name(turn == 0).alias("new_key"), "ts",
+        F.col("value").alias("last_value"), F.lit(None).cast("string").alias("origin"),
+    )
+    users = events.select("user_id").distinct().select(name(F.lit(True)).alias("name"), F.lit(0.0).alias("last_value"), F.col("user_id").cast("string").alias("origin"))
+    return writeback.apply_with_renames(users, cmds, "name", ["ts", "correlation_id"])[0]
+
+
 def command_targets(spark, sf):
     talks = read(spark, sf, "conversations")
     cmds = talks.select(
@@ -210,7 +224,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         decode_commands, route_commands, route_per_pattern, route_by_table, apply_commands, command_results, apply_commands_split,
-        rename_commands, rename_results, command_targets, element_attributes, template_attributes, point_attributes, echo_suppression,
+        rename_commands, rename_results, rename_alternating, command_targets, element_attributes, template_attributes, point_attributes, echo_suppression,
     )
 }
 
@@ -253,6 +267,8 @@ _RENAMES = """t AS (SELECT c_custkey + CASE WHEN c_acctbal > 0 THEN 0 ELSE 10000
   r AS (SELECT *, known AND CASE WHEN event_type = 'view' THEN moved ELSE NOT moved END AS success FROM c)"""
 
 ORACLE = {
+    "rename_alternating": """SELECT 'u' || user_id || CASE WHEN count(*) % 2 = 0 THEN 'a' ELSE 'b' END AS name,
+        arg_max(value, (ts, event_id)) AS last_value, user_id::VARCHAR AS origin FROM events GROUP BY user_id""",
     "route_by_table": r"""WITH p AS (SELECT p_partkey AS k, ['click', 'view', 'purchase', 'signup', 'error'][p_partkey % 5 + 1] AS kind, 'u' || p_partkey % 200 AS u, 'v' || p_partkey % 10 AS v FROM part),
         forms AS (SELECT k, unnest(['cmd.' || u || '.' || kind || '.' || v, 'cmd.' || u || '.*.' || v, 'cmd.' || u || '.>', '*.' || u || '.' || kind || '.*', 'cmd.' || u || '.' || kind]) AS pattern,
           unnest([0, 1, 2, 3, 4]) AS n FROM p),

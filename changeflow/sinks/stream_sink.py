@@ -83,7 +83,8 @@ def commits(path: str) -> dict[int, dict]:
     """Batch number to its files and number of rows."""
     system, place = opened(path)
     found = system.get_file_info(fs.FileSelector(f"{place}/commits", allow_not_found=True))
-    return {int(f.base_name[:-5]): json.loads(read_text(f"{path}/commits/{f.base_name}")) for f in found if f.base_name.endswith(".json")}
+    names = sorted(f.base_name for f in found if f.base_name.endswith(".json"))
+    return {int(name[:-5]): json.loads(read_text(f"{path}/commits/{name}")) for name in names}
 
 
 def read_committed(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:

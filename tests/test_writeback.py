@@ -94,16 +94,32 @@ def test_apply_commands(spark, seed, hot_rows):
     assert {r.correlation_id: r.error_message for r in results.collect()} == messages
 
 
-@pytest.mark.parametrize("seed", [3, 4])
-def test_apply_with_renames(spark, seed):
+@pytest.mark.parametrize("seed, most", [(3, 10**6), (4, 10**6), (4, 8)])
+def test_apply_with_renames(spark, seed, most):
+    """With ``most`` a component of many commands is worked off in rounds."""
     table, cmds = make(seed, n=40, renames=True)
     df = spark.createDataFrame(cmds, SCHEMA).repartition(3)
-    after, results = writeback.apply_with_renames(spark.createDataFrame(table, COLUMNS), df, "k", ["correlation_id"])
+    after, results = writeback.apply_with_renames(spark.createDataFrame(table, COLUMNS), df, "k", ["correlation_id"], most=most)
     rows, messages = by_hand(table, cmds)
     assert {tuple(r) for r in after.collect()} == rows
     assert {r.correlation_id: r.error_message for r in results.collect()} == messages
 
 
+def test_jobs_do_not_grow_with_the_renames_of_a_key(spark):
+    names, jobs = ["a", "b"], []
+    table = spark.createDataFrame([("a", 1, "x"), ("z", 5, "y")], COLUMNS)
+    for n in (20, 1000):
+        cmds = [(i, "Update", names[i % 2], names[1 - i % 2], i, None) for i in range(n)] + [(n, "Delete", "a", None, None, None), (n + 1, "Create", "b", None, 7, "n")]
+        df = spark.createDataFrame(cmds, "correlation_id int, operation string, k string, new_key string, a int, b string")
+        spark.sparkContext.setJobGroup(f"renames-{n}", "renames")
+        after, results = writeback.apply_with_renames(table, df, "k", ["correlation_id"])
+        rows, faults = {tuple(r) for r in after.collect()}, results.filter("not success").count()
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"renames-{n}")))
+        spark.sparkContext._jsc.clearJobGroup()
+        assert rows == {("b", 7, "n"), ("z", 5, "y")} and faults == 0
+    assert abs(jobs[0] - jobs[1]) <= 3 and max(jobs) < 60, jobs
+
+
 def test_faults_do_not_touch_the_table(spark):
     df = spark.createDataFrame(
         [("1", "Delete", "a", "pump", None), ("2", "Delete", "b", "Element", "no name"), ("3", "Update", "a", "ELEMENT", None)],
