@@ -387,6 +387,6 @@ def test_committed_sink_stores_each_row_once(spark, shared):
     from changeflow.sinks.stream_sink import FilesWriter, Staged
 
     files = commits(f"{shared}/out")[1]["files"]
-    FilesWriter(f"{shared}/out").commit([Staged(files[0], 10), None], 1)  # run again with the same result: nothing is lost
+    FilesWriter(f"{shared}/out").commit([*(Staged(f, 1) for f in files), None], 1)  # run again with the same result: nothing is lost
     FilesWriter(f"{shared}/out").abort([Staged("part-none.parquet", 1)], 2)
     assert read_committed(spark, f"{shared}/out", "i long").count() == 110 and not set(staged_only(f"{shared}/out")) & set(files)
