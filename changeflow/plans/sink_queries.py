@@ -120,7 +120,7 @@ def append_if_absent(spark, sf):
     path = shared_path(spark, "audit")
     sinks.append_if_absent(events.filter("source_ts < '2024-01-15'"), path, order=["source_ts"])
     sinks.append_if_absent(events.unionByName(events.filter("value > 50")), path, order=["source_ts"])
-    return spark.read.schema(events.schema).parquet(path)
+    return spark.read.parquet(path).drop("id_day", "id_bucket")
 
 
 def append_overlapping(spark, sf):
