@@ -149,6 +149,44 @@ def field_diff(df: DataFrame, new: str = "row", old: str = "prev") -> DataFrame:
     )
 
 
+def document_paths(df: DataFrame, value: str, depth: int = 8) -> DataFrame:
+    """One row per leaf of a VARIANT column: ``path`` (names joined by dots, a dot in a name as ``\\.``) and ``value``, beside all other columns.
+
+    Arrays, empty objects and objects below ``depth`` levels are leaves. A NULL document has no rows.
+    """
+    spark = df.sparkSession
+    kept = [c for c in df.columns if c != value]
+    rows = df.filter(F.col(value).isNotNull()).select(*kept, F.lit(None).cast("string").alias("path"), F.col(value).alias("value"))
+    for _ in range(depth):
+        # an object gives its entries, anything else stays as it is
+        inner = F.when(F.schema_of_variant("value").startswith("OBJECT<") & (F.schema_of_variant("value") != "OBJECT<>"), F.col("value"))
+        rows = rows.withColumn("__inner", inner)
+        entries = spark.tvf.variant_explode_outer(F.col("__inner").outer()).toDF("__pos", "__name", "__value")
+        name = F.replace("__name", F.lit("."), F.lit("\\."))
+        rows = rows.lateralJoin(entries).select(
+            *kept, F.when(F.col("__name").isNull(), F.col("path")).otherwise(F.concat_ws(".", "path", name)).alias("path"),
+            F.when(F.col("__name").isNull(), F.col("value")).otherwise(F.col("__value")).alias("value"),
+        )
+    return rows
+
+
+def document_diff(df: DataFrame, key: Sequence[str], new: str, old: str, depth: int = 8) -> DataFrame:
+    """Paths of two versions of a document that differ: (key columns, path, kind, old, new), values as JSON text.
+
+    ``new`` and ``old`` are JSON text or VARIANT; each document has its own fields. ``kind`` is added, removed or changed. Without a
+    before image, or without a document, nothing is reported; text that is no JSON counts as none. Both versions are taken apart in one pass.
+    """
+    parsed = {c: F.try_parse_json(c) if isinstance(df.schema[c].dataType, T.StringType) else F.col(c) for c in (new, old)}
+    both = df.select(*key, parsed[new].alias("n"), parsed[old].alias("o")).filter("n is not null and o is not null")
+    sides = both.select(*key, F.explode(F.array(F.struct(F.lit(True).alias("new"), F.col("n").alias("v")), F.struct(F.lit(False).alias("new"), F.col("o").alias("v")))).alias("__s"))
+    leaves = document_paths(sides.select(*key, "__s.new", "__s.v"), "v", depth).withColumn("text", F.to_json("value"))
+    found = leaves.groupBy(*key, "path").agg(
+        F.max(F.when(~F.col("new"), F.coalesce("text", F.lit("null")))).alias("old"), F.max(F.when(F.col("new"), F.coalesce("text", F.lit("null")))).alias("new")
+    )
+    kind = F.when(F.col("old").isNull(), "added").when(F.col("new").isNull(), "removed").when(F.col("old") != F.col("new"), "changed")
+    return found.withColumn("kind", kind).filter("kind is not null").select(*key, "path", "kind", "old", "new")
+
+
 def key_history(df: DataFrame, key_values: Mapping[str, object], order: Sequence[str], pk: str = "row") -> DataFrame:
     """All changes whose key holds the given values, newest first."""
     for name, value in key_values.items():

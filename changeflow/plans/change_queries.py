@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from changeflow.operators import changes
@@ -137,9 +138,20 @@ def key_history(spark, sf):
     return numbered_as_given(out.select("event_id", "row.user_id", "source_ts"))
 
 
+def document_changes(spark, sf):
+    """Each event of a user as a document, against the document of the event before; some have a field that others lack."""
+    cents = F.round(F.col("value") * 100).cast("bigint")
+    flags = F.when(cents % 3 == 0, F.struct(cents.alias("deep")))
+    document = F.to_json(F.struct(F.struct(F.col("user_id").alias("id")).alias("user"), F.struct(F.col("event_type").alias("type"), (cents % 5).alias("mark"), flags.alias("flags")).alias("event")))
+    rows = read(spark, sf, "events").select("event_id", "user_id", "ts", document.alias("after"))
+    before = F.lag("after").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
+    return changes.document_diff(rows.withColumn("before", before), ["event_id"], "after", "before")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
+        document_changes,
         change_events, change_events_whole, change_events_split, line_events, supplied_before_image, resolved_kinds, forgotten_state,
         current_state, field_diff, resolve_seen, event_identity, sequence_numbers, dedup_requests,
         dedup_requests_split, key_history,
@@ -174,6 +186,13 @@ def _dedup_sql(hours: int) -> str:
 _LINE_W = f"OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {LINE_ORDER_SQL})"
 
 ORACLE = {
+    "document_changes": """WITH d AS (SELECT event_id, user_id, ts, event_type AS t, round(value * 100)::BIGINT AS c FROM events),
+        h AS (SELECT *, lag(t) OVER w AS pt, lag(c) OVER w AS pc FROM d WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+        f AS (SELECT event_id, unnest(['event.type', 'event.mark', 'event.flags.deep']) AS path,
+          unnest(['"' || pt || '"', (pc % 5)::VARCHAR, CASE WHEN pc % 3 = 0 THEN pc::VARCHAR END]) AS old,
+          unnest(['"' || t || '"', (c % 5)::VARCHAR, CASE WHEN c % 3 = 0 THEN c::VARCHAR END]) AS new FROM h WHERE pt IS NOT NULL)
+        SELECT event_id, path, CASE WHEN old IS NULL THEN 'added' WHEN new IS NULL THEN 'removed' ELSE 'changed' END AS kind, old, new
+        FROM f WHERE old IS DISTINCT FROM new""",
     "change_events": _EVENTS_SQL.format(since="2024-01-03"),
     "change_events_whole": _EVENTS_SQL.format(since="0001-01-01"),
     "change_events_split": _EVENTS_SQL.format(since="2024-01-03"),

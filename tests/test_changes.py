@@ -133,3 +133,18 @@ def test_key_history_newest_first(spark):
     raw = event_changes(spark, SMALL)
     ts = [r.source_ts for r in changes.key_history(raw, {"user_id": 3}, ["source_ts"]).collect()]
     assert ts == sorted(ts, reverse=True) and len(ts) > 10
+
+
+def test_document_diff(spark):
+    rows = [
+        (1, '{"a": 1, "b": {"c": [1, 2], "d": {"e": "x"}}, "gone": null}', '{"b": {"d": {"e": "y", "f.g": true}, "c": [1, 2]}, "a": 1.0, "n": {}}'),
+        (2, '{"a": 1}', None), (3, None, '{"a": 1}'), (4, "{broken", '{"a": 1}'), (5, '{"a": {"b": 1}}', '{"a": "{\\"b\\": 1}"}'), (6, "[1]", "[2]"), (7, '{"a": 1}', '{"a": 1}'),
+    ]
+    df = spark.createDataFrame(rows, "id int, before string, after string")
+    got = {(r.id, r.path, r.kind, r.old, r.new) for r in changes.document_diff(df, ["id"], "after", "before").collect()}
+    assert got == {
+        (1, "b.d.e", "changed", '"x"', '"y"'), (1, r"b.d.f\.g", "added", None, "true"), (1, "gone", "removed", "null", None), (1, "n", "added", None, "{}"),
+        (5, "a.b", "removed", "1", None), (5, "a", "added", None, '"{\\"b\\": 1}"'), (6, None, "changed", "[1]", "[2]"),
+    }
+    shallow = changes.document_diff(df.filter("id = 1"), ["id"], "after", "before", depth=1)
+    assert ("b", "changed") in {(r.path, r.kind) for r in shallow.collect()}
