@@ -131,3 +131,26 @@ def test_pipeline_against_plain_python(spark, monkeypatch):
     assert {i for i, _ in fourth} <= {i for i, _ in third} and max(sum(1 for j, _ in fourth if j == i) for i, _ in fourth) <= 3
     tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     assert sorted((r.doc_id, r.n_tokens) for r in out) == sorted((i, len(tok.encode(t or "", add_special_tokens=False).ids) + 1) for i, t in fourth)
+
+
+def test_pipeline_of_odd_rows_and_of_none(spark):
+    """Null, empty and repeated rows, rows that share an id, and no rows at all, through every stage."""
+    from changeflow.llm.common import written
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    some = docs.limit(60)
+    one = some.orderBy("doc_id").first()
+    odd = [(None, None, None, None, None), (10**6, "", "en", "src1", 0), (10**6, " \n", "en", None, 2), (one.doc_id, one.text, one.lang, "elsewhere", one.n_chars), (None, one.text, one.lang, one.source, one.n_chars)]
+    rows = some.unionByName(some).unionByName(spark.createDataFrame(odd, some.schema))
+    for given in (rows, docs.limit(0)):
+        out = given
+        for name, stage in corpus_pipeline.STAGES:
+            before, out = out, written(stage(spark, out, SMALL), "odd-" + name.replace(" ", "-"))
+            if name == "language":
+                assert out.where("text is null or trim(text) = ''").isEmpty()
+            if name == "near duplicates":
+                assert out.count() == out.select("doc_id").distinct().count() == out.select("text").distinct().count()
+            if name != corpus_pipeline.STAGES[-1][0]:
+                assert out.columns == docs.columns
+                assert name == "source mix" or out.exceptAll(before).isEmpty()
+        assert out.isEmpty() == (given is not rows)
