@@ -13,8 +13,11 @@ from changeflow.functions.maps import merge_metadata
 from changeflow.operators.addressing import to_envelope, with_headers, with_subject
 from changeflow.operators.changes import with_event_id, with_history, with_sequence
 from changeflow.operators.mapping import apply_mapping
+from changeflow.operators.ordered import numbered
 from changeflow.spec import Rule
 
+_PLACE = "__place"
+
 
 @dataclass(frozen=True)
 class Driver:
@@ -45,6 +48,8 @@ def change_events(
     per-driver number (else NULL), which costs an ordered pass over all rows of a driver.
     """
     raw, order = without_excluded(raw, driver.rules, key, order)
+    if sequence:
+        raw = with_numbers(raw, driver, order, hot_rows)
     history = with_history(raw, key, order, hot_rows=hot_rows)
     out = finish_events(history, driver, key, order, detected_at, 0 if sequence else None, hot_rows)
     return out.drop(*[c for c in order if isinstance(c, str) and c.startswith("__order")])
@@ -70,6 +75,16 @@ def without_excluded(
     return out, [c if isinstance(c, str) else f"__order{i}" for i, c in enumerate(order)]
 
 
+def with_numbers(raw: DataFrame, driver: Driver, order: Sequence[str | Column], hot_rows: int | None = None) -> DataFrame:
+    """Raw changes of one driver with their place in order, which ``finish_events`` takes as the sequence number.
+
+    All rows of a driver are one group. Numbered first, only bare rows meet in one task; images, mapping and envelopes
+    are made by key afterwards.
+    """
+    named = raw.withColumn("__driver", F.lit(driver.driver_id))
+    return numbered(named, ["__driver"], order, _PLACE, hot_rows).drop("__driver")
+
+
 def finish_events(
     history: DataFrame,
     driver: Driver,
@@ -79,7 +94,10 @@ def finish_events(
     after: int | None = 0,
     hot_rows: int | None = None,
 ) -> DataFrame:
-    """Everything of an event that follows from its own row; numbers continue ``after`` the last one."""
+    """Everything of an event that follows from its own row; numbers continue ``after`` the last one.
+
+    Rows that ``with_numbers`` numbered keep their order; others are numbered here.
+    """
     out = history.withColumns(
         {
             "source_type": F.lit(driver.source_type),
@@ -92,6 +110,8 @@ def finish_events(
     out = with_event_id(out, ["driver_id", "entity", *[F.col(f"row.`{k}`") for k in key], *order])
     if after is None:
         out = out.withColumn("seq", F.lit(None).cast("bigint"))
+    elif _PLACE in out.columns:
+        out = out.withColumn("seq", F.col(_PLACE) + after).drop(_PLACE)
     else:
         out = with_sequence(out, order, hot_rows=hot_rows).withColumn("seq", F.col("seq") + after)
     out = apply_mapping(out, driver.rules, key)

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from changeflow.operators.changes import with_history
 from changeflow.operators.monitor import heartbeats
 from changeflow.operators.writeback import apply_planned, plan_commands
-from changeflow.plans.forward import Driver, finish_events, publishable
+from changeflow.plans.forward import Driver, finish_events, publishable, with_numbers
 from changeflow.sinks.checkpoints import checkpoints, merge_checkpoints
 from changeflow.sinks.tables import MAX_BYTES, dead_letter_reason, drop_versions, read_version, write_version
 from changeflow.streaming.micro import KeyedState, read_batches, run, write_batch
@@ -102,6 +102,8 @@ def publish_changes(
         known = read_version(spark, f"{path}/numbers", before=number)
         after = known.agg(F.max("seq")).first()[0] if known is not None else None
         with _held(batch) as rows:
+            own = with_numbers(rows.filter(_OWN), driver, order, hot_rows)
+            rows = own.unionByName(rows.filter(~F.col(_OWN)), allowMissingColumns=True)
             events = finish_events(_history(rows, key, order, None, hot_rows), driver, key, order, detected_at, after or 0, hot_rows)
             marked = publishable(events).withColumn("reason", dead_letter_reason(max_bytes, kind="change_type"))
             marked = marked.withColumn("outcome", F.when(F.col("reason").isNull(), "published").otherwise("dead_lettered"))

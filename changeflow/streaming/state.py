@@ -21,6 +21,8 @@ _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # Rows without a key share no state; they are dealt to so many groups.
 NO_KEY_GROUPS = 1024
+# The newest rows lie in maps by key, one map for all keys of a slot: a call of the processor costs more than a key does.
+KEY_SLOTS = 512
 
 
 @contextmanager
@@ -62,27 +64,47 @@ class _Value(StatefulProcessor):
         pass
 
 
-class _Newest(_Value):
-    """All rows, and before a key's own the one that was its newest; a row of an ending kind clears it."""
+def _same(value: Any) -> Any:
+    """A key value as Spark groups it (one zero, one NaN)."""
+    return (float("nan") if value != value else value + 0.0) if isinstance(value, float) else value
 
-    def __init__(self, names: Sequence[str], schema: T.StructType, order: Sequence[str], flag: str, kind: str, ends: str, keep: timedelta | None):
-        super().__init__(schema, keep)
-        self.names, self.order, self.flag, self.kind, self.ends = list(names), list(order), flag, kind, ends
+
+def _hashable(value: Any) -> Any:
+    if isinstance(value, dict):
+        return tuple((n, _hashable(v)) for n, v in value.items())
+    if isinstance(value, (list, tuple)):
+        return tuple(_hashable(v) for v in value)
+    return ("NaN",) if isinstance(value, float) and value != value else value
+
+
+class _Newest(StatefulProcessor):
+    """The newest row per key of the keys of one slot, given out when the key has rows again; a row of an ending kind clears it."""
+
+    def __init__(self, key: Sequence[str], keys: T.StructType, schema: T.StructType, order: Sequence[str], kind: str, ends: str, keep: timedelta | None):
+        self.key, self.keys, self.schema, self.order, self.kind, self.ends = list(key), keys, schema, list(order), kind, ends
+        self.keep_ms = int(keep.total_seconds() * 1000) if keep else None
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.value = handle.getMapState("value", self.keys, self.schema, self.keep_ms)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        stored = self.stored()
-        if stored is not None:
-            yield Row(**(dict.fromkeys(self.names) | dict(zip(self.schema.names, stored))), **{self.flag: False})
-        newest, at = None, None
+        newest: dict[Any, tuple] = {}
         for row in rows:
-            rank = place([row[c] for c in self.order])
-            if newest is None or rank >= at:
-                newest, at = row, rank
-            yield Row(**{n: row[n] for n in self.names}, **{self.flag: True})
-        if newest is not None and newest[self.kind] == self.ends:
-            self.value.clear()
-        elif newest is not None:
-            self.value.update(tuple(newest[n] for n in self.schema.names))
+            own, rank = tuple(_same(row[c]) for c in self.key), place([row[c] for c in self.order])
+            known = newest.get(name := _hashable(own))
+            if known is None or rank >= known[0]:
+                newest[name] = rank, own, row
+        for _, own, row in newest.values():
+            stored = self.value.getValue(own)
+            if stored is not None:
+                yield Row(**dict(zip(self.schema.names, stored)))
+            if row[self.kind] != self.ends:
+                self.value.updateValue(own, tuple(row[n] for n in self.schema.names))
+            elif stored is not None:
+                self.value.removeKey(own)
+
+    def close(self) -> None:
+        pass
 
 
 def with_newest(
@@ -91,12 +113,14 @@ def with_newest(
 ) -> DataFrame:
     """The rows of a stream with ``flag`` true, and per key and micro-batch the newest row of all earlier batches with ``flag`` false.
 
-    Of the newest row the ``stored`` columns are kept, the others are null.
+    Of the newest row the ``stored`` columns are kept, the others are null. The rows themselves go beside the store, not through it, so
+    both read the same source rows: columns of the stream must follow from them, not from chance.
     """
-    every = T.StructType([T.StructField(f.name, f.dataType) for f in stream.schema])
-    own = T.StructType([f for f in every if f.name in {*key, *order, *stored, kind}])
-    out = T.StructType([*every, T.StructField(flag, T.BooleanType())])
-    return _stateful(stream, key, _Newest(every.names, own, order, flag, kind, ends, keep), out, keep)
+    own = T.StructType([T.StructField(f.name, f.dataType) for f in stream.schema if f.name in {*key, *order, *stored, kind}])
+    keys = T.StructType([T.StructField(n, stream.schema[n].dataType) for n in key])
+    slots = stream.select(*own.names, F.pmod(F.xxhash64(*key), F.lit(KEY_SLOTS)).alias("__slot"))
+    newest = _stateful(slots, ["__slot"], _Newest(key, keys, own, order, kind, ends, keep), own, keep)
+    return stream.withColumn(flag, F.lit(True)).unionByName(newest.withColumn(flag, F.lit(False)), allowMissingColumns=True)
 
 
 class _Accepted(_Value):

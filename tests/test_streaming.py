@@ -390,3 +390,28 @@ def test_committed_sink_stores_each_row_once(spark, shared):
     FilesWriter(f"{shared}/out").commit([*(Staged(f, 1) for f in files), None], 1)  # run again with the same result: nothing is lost
     FilesWriter(f"{shared}/out").abort([Staged("part-none.parquet", 1)], 2)
     assert read_committed(spark, f"{shared}/out", "i long").count() == 110 and not set(staged_only(f"{shared}/out")) & set(files)
+
+
+def test_published_rows_are_made_in_many_tasks(spark, events, shared):
+    """One driver is one group: only its numbers are made in order, images and envelopes by key."""
+    from changeflow.plans.forward import Driver
+
+    land(events, f"{shared}/in", CUTS[-1:])
+    rows = raw(source(spark, events, f"{shared}/in")).withColumnRenamed("event_id", "row_id")
+    streaming.publish_changes(rows, Driver("d1", "pg", "ctx:A"), ["user_id"], ["source_ts", "row_id"], f"{shared}/out", F.col("source_ts")).awaitTermination()
+    got = micro.read_batches(spark, f"{shared}/out/events")
+    assert len(got.inputFiles()) > 1
+    assert [r.seq for r in got.orderBy("source_ts", "row_id").select("seq").collect()] == list(range(1, 1001))
+
+
+def test_newest_rows_of_null_and_float_keys(spark, shared):
+    """Keys that Spark groups as one (nulls, NaN, both zeros) have one newest row; a Delete clears it."""
+    schema = "entity string, change_type string, source_ts timestamp, row struct<id: double, n: int>, meta map<string,string>"
+    batches = [[(None, 1), (float("nan"), 2), (-0.0, 3), (1.5, 4)], [(None, 5), (float("nan"), 6), (0.0, 7), (1.5, 8)], [(1.5, 9)]]
+    for i, rows in enumerate(batches):
+        kind = lambda n: "Delete" if n == 8 else "Snapshot"
+        spark.createDataFrame([("e", kind(n), datetime(2026, 1, 1 + i), (k, n), None) for k, n in rows], schema).write.mode("append").parquet(f"{shared}/in")
+        streaming.track_changes(spark.readStream.schema(schema).parquet(f"{shared}/in"), ["id"], ["source_ts"], f"{shared}/out").awaitTermination()
+    got = {r.row.n: (r.change_type, r.prev.n if r.prev else None) for r in micro.read_batches(spark, f"{shared}/out/events").collect()}
+    first = {n: ("Insert", None) for n in (1, 2, 3, 4)}
+    assert got == first | {5: ("Update", 1), 6: ("Update", 2), 7: ("Update", 3), 8: ("Delete", 4), 9: ("Insert", None)}
