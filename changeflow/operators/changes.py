@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeflow.operators.lookup import lookup
-from changeflow.operators.ordered import Step, hot_groups, numbered, running, running_steps
+from changeflow.operators.ordered import Step, measured, numbered, running, running_steps
 from changeflow.scratch import shared_path
 
 _SEEN = "__seen"
@@ -220,7 +220,7 @@ def dedup_requests(
 
     # One row per distinct (id, time): only the first of equal times can be accepted.
     times = rows.groupBy(F.col(request).alias("__id"), "__at").agg(F.count(F.lit(1)).alias("__rows"))
-    hot = hot_groups(df, [request], hot_rows)
+    hot = measured(df, [request], hot_rows)
     head = F.col("__before").isNull() | (F.col("__at") - F.col("__before") >= micros)
     steps = [
         Step(previous={"__before": "__at"}, derive={"__head": head}),

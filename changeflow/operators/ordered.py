@@ -27,21 +27,49 @@ HOT_BYTES = 1 << 30
 _POS, _PART, _HASH = "__pos", "__part", "__hash"
 
 ColumnLike = Column | str
+# So many hot groups are named in a filter; more stay in a table.
+LISTED = 1_000
+
+
+@dataclass(frozen=True)
+class HotTable:
+    """Many hot groups: a written table of their key hashes, and how many rows they hold."""
+
+    path: str
+    rows: int
+
+
 # A threshold in rows (None: the default), or groups that were measured already.
-Hot = int | dict[int, int] | None
+Hot = int | dict[int, int] | HotTable | None
 
 
-def hot_groups(df: DataFrame, key: Sequence[ColumnLike], hot_rows: Hot = None) -> dict[int, int]:
+def hot_groups(df: DataFrame, key: Sequence[ColumnLike], hot_rows: int | None = None) -> dict[int, int]:
     """Key hash → rows of every group above ``hot_rows`` rows (default HOT_ROWS, or HOT_BYTES bytes).
 
     Without an explicit threshold small inputs are not measured: they cannot hold a large group. The
-    groups found are at most the table's size divided by the limit. Several passes over the same key
-    can share one measurement by passing it on.
+    groups found are at most the table's size divided by the limit. At a low threshold they may be as many as the keys; ``measured`` keeps them in a table then.
     """
-    if isinstance(hot_rows, dict):
+    large = _large(df, key, hot_rows)
+    return {} if large is None else {r[_HASH]: r["rows"] for r in large.collect()}
+
+
+def measured(df: DataFrame, key: Sequence[ColumnLike], hot_rows: Hot = None) -> dict[int, int] | HotTable:
+    """``hot_groups`` for the passes: above ``LISTED`` groups only a table of them is kept. Several passes over the same key can share one by passing it on."""
+    if isinstance(hot_rows, (dict, HotTable)):
         return hot_rows
+    if hot_rows is None:
+        return hot_groups(df, key)
+    spark, path = df.sparkSession, shared_path(df.sparkSession, "hot")
+    _large(df, key, hot_rows).write.parquet(path)
+    large = spark.read.parquet(path)
+    groups, rows = large.agg(F.count(F.lit(1)), F.sum("rows")).first()
+    return HotTable(path, rows) if groups > LISTED else {r[_HASH]: r["rows"] for r in large.collect()}
+
+
+def _large(df: DataFrame, key: Sequence[ColumnLike], hot_rows: int | None) -> DataFrame | None:
+    """(key hash, rows) of the hot groups; None for a small input without a threshold."""
     if hot_rows is None and small(df):
-        return {}
+        return None
     columns = [F.xxhash64(*key).alias(_HASH)] + ([_row_bytes(df.schema).alias("__bytes")] if hot_rows is None else [])
     groups = df.select(*columns).groupBy(_HASH)
     if hot_rows is not None:
@@ -50,7 +78,7 @@ def hot_groups(df: DataFrame, key: Sequence[ColumnLike], hot_rows: Hot = None) -
         large = groups.agg(F.count(F.lit(1)).alias("rows"), F.sum("__bytes").alias("bytes")).filter(
             (F.col("rows") > HOT_ROWS) | (F.col("bytes") > HOT_BYTES)
         )
-    return {r[_HASH]: r["rows"] for r in large.select(_HASH, "rows").collect()}
+    return large.select(_HASH, "rows")
 
 
 def _row_bytes(schema: T.StructType) -> Column:
@@ -117,7 +145,7 @@ def running_steps(
     keys, orders = _names(df, key, "__k", made), _names(df, order, "__o", made)
     columns = [*df.columns, *(n for s in steps for n in (*s.previous, *s.last, *s.total, *s.derive))]
     wide = df.withColumns(made)
-    hot = hot_groups(wide, keys, hot_rows)
+    hot = measured(wide, keys, hot_rows)
     if not hot:
         return _plain_steps(wide, keys, orders, steps).select(*columns)
     calm, rows = _apart(wide, keys, orders, hot)
@@ -165,7 +193,7 @@ def numbered(
     columns = [*(c for c in df.columns if c != name), name]
     wide = df.withColumns(made)
     plain = F.row_number().over(Window.partitionBy(*keys).orderBy(*orders)).cast("bigint")
-    hot = hot_groups(wide, keys, hot_rows)
+    hot = measured(wide, keys, hot_rows)
     if not hot:
         return wide.withColumn(name, plain).select(*columns)
     calm, rows = _apart(wide, keys, orders, hot)
@@ -189,18 +217,23 @@ def _plain(df, keys, orders, previous, last, total):
 def _apart(df, keys, orders, hot):
     """Rows of ordinary groups, and rows of hot groups written in order with their position."""
     spark = df.sparkSession
-    is_hot = F.xxhash64(*keys).isin(list(hot))
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-sum(hot.values()) // HOT_ROWS))
+    if isinstance(hot, HotTable):
+        table, hashed = spark.read.parquet(hot.path).select(_HASH), df.withColumn(_HASH, F.xxhash64(*keys))
+        inside, outside = (hashed.join(table, _HASH, how).select(*df.columns) for how in ("left_semi", "left_anti"))
+        total = hot.rows
+    else:
+        is_hot = F.xxhash64(*keys).isin(list(hot))
+        inside, outside, total = df.filter(is_hot), df.filter(~is_hot), sum(hot.values())
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // HOT_ROWS))
     path = shared_path(spark, "ordered")
     # monotonically_increasing_id is (partition << 33) + row; writing it out fixes it for good.
     (
-        df.filter(is_hot)
-        .repartitionByRange(parts, *keys, *orders)
+        inside.repartitionByRange(parts, *keys, *orders)
         .sortWithinPartitions(*keys, *orders)
         .withColumn(_POS, F.monotonically_increasing_id())
         .write.parquet(path)
     )
-    return df.filter(~is_hot), spark.read.parquet(path).withColumn(_PART, F.shiftright(_POS, 33))
+    return outside, spark.read.parquet(path).withColumn(_PART, F.shiftright(_POS, 33))
 
 
 def _carried(ends, keys, values, keep=()):

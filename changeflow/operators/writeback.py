@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from changeflow.functions.maps import merge_ignoring_case, override, text_map
 from changeflow.functions.text import subject_matches
 from changeflow.operators.lookup import lookup
-from changeflow.operators.ordered import Hot, Step, hot_groups, running_steps
+from changeflow.operators.ordered import Hot, Step, measured, running_steps
 from changeflow.operators.renames import components, fold_components
 from changeflow.scratch import shared_path
 from changeflow.spec import Target
@@ -125,7 +125,7 @@ def plan_commands(
     """
     here = table.select(*[F.col(k).alias(f"__t{i}") for i, k in enumerate(key)], F.lit(True).alias("__stored"))
     stored = [f"__t{i}" for i in range(len(key))]
-    hot_rows = hot_groups(cmds, list(key), hot_rows)
+    hot_rows = measured(cmds, list(key), hot_rows)
     joined = lookup(cmds, here, list(key), stored).drop(*stored)
     fault = F.col("error") if "error" in cmds.columns else F.lit(None).cast("string")
     if types is not None and "entity_type" in cmds.columns:

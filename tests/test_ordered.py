@@ -88,3 +88,15 @@ def test_shared_shuffle(spark):
     twice = ordered.running(once, ["key"], ["id"], total={"s": "id"})
     plan = twice._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_many_hot_groups_stay_in_a_table(spark):
+    """Every key above a low threshold: the plan does not name them all, and the values are those of a plain window."""
+    df = spark.range(9_000).select((F.col("id") % 3_000).alias("key"), "id")
+    out = ordered.running(df, ["key"], ["id"], previous={"p": "id"}, hot_rows=2)
+    assert " INSET " not in out._jdf.queryExecution().optimizedPlan().toString()
+    want = ordered.running(df, ["key"], ["id"], previous={"p": "id"})
+    assert out.exceptAll(want).count() == 0 and out.count() == 9_000
+    assert isinstance(ordered.measured(df, ["key"], 2), ordered.HotTable)
+    mixed = df.filter("key < 1500 or id < 3000")  # half of the keys stay below the threshold
+    assert ordered.numbered(mixed, ["key"], ["id"], "n", hot_rows=2).groupBy("n").count().orderBy("n").collect() == [(1, 3_000), (2, 1_500), (3, 1_500)]
