@@ -34,14 +34,14 @@ def cuts(df: DataFrame, by: str, parts: int = BATCHES) -> list[DataFrame]:
 
 
 def restarted(pieces: list[DataFrame], start: Callable[[DataFrame], StreamingQuery], retries: int = 0) -> None:
-    """Land the pieces one after another, in as many files as they have partitions; the query is started again for each and goes on where it stopped.
+    """Land the pieces one after another, each dealt evenly over a file per core; the query is started again for each and goes on where it stopped.
 
     A query that fails is started again up to ``retries`` times.
     """
     spark = pieces[0].sparkSession
     folder = shared_path(spark, "landed")
     for piece in pieces:
-        piece.write.mode("append").parquet(folder)
+        piece.repartition(spark.sparkContext.defaultParallelism).write.mode("append").parquet(folder)
         for left in range(retries, -1, -1):
             try:
                 start(spark.readStream.schema(pieces[0].schema).parquet(folder)).awaitTermination()

@@ -415,3 +415,13 @@ def test_newest_rows_of_null_and_float_keys(spark, shared):
     got = {r.row.n: (r.change_type, r.prev.n if r.prev else None) for r in micro.read_batches(spark, f"{shared}/out/events").collect()}
     first = {n: ("Insert", None) for n in (1, 2, 3, 4)}
     assert got == first | {5: ("Update", 1), 6: ("Update", 2), 7: ("Update", 3), 8: ("Delete", 4), 9: ("Insert", None)}
+
+
+def test_landed_pieces_are_dealt_over_files(spark, shared, monkeypatch):
+    from changeflow.plans import stream_queries
+
+    monkeypatch.setattr(stream_queries, "shared_path", lambda *_: f"{shared}/landed")
+    start = lambda s: micro.run(s, lambda df, n: micro.write_batch(df, f"{shared}/out", n), f"{shared}/checkpoint")
+    stream_queries.restarted([spark.range(4_000).coalesce(1)], start)
+    sizes = [r[1] for r in spark.read.parquet(f"{shared}/landed").groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 1_000 and micro.read_batches(spark, f"{shared}/out").count() == 4_000
