@@ -26,11 +26,12 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from changeflow.llm.common import find_words, gram_hashes, mix64, slices, span_hashes, text_bytes, written
+from changeflow.llm.common import SLICE_BYTES, find_words, gram_hashes, mix64, slices, span_hashes, text_bytes, written
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 5
 PIVOTS = 512  # members of a bucket held against all its others in one later round
+HITS = 1 << 20  # common shingles of a text and the pivots looked at together
 PART = 4096  # members of a bucket that one task compares with its pivots
 _U = np.uint64
 _STEP, _REGISTER, _BAND = _U(0xD1B54A32D192ED03), _U(0x8CB92BA72F3D8DD7), _U(0xA24BAED4963EE407)
@@ -120,7 +121,7 @@ def signatures(texts: DataFrame, shingle: int = SHINGLE, bands: int = BANDS, row
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE_BYTES // 4):
             raw, offsets = text_bytes(batch.column("text"))
             owner, ids, weights = weighted_shingles(raw, offsets, shingle)
             keys = band_keys(prob_minhash(owner, ids, weights, batch.num_rows, bands * rows), bands, rows).view(np.int64)
@@ -132,6 +133,20 @@ def signatures(texts: DataFrame, shingle: int = SHINGLE, bands: int = BANDS, row
     return texts.mapInArrow(sign, "node long, bands array<long>, packed binary")
 
 
+def unpacked_slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES // 4) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that their texts take about ``limit`` bytes when unpacked: a text of one repeated line packs to a hundredth. A longer text comes alone."""
+    for batch in batches:
+        start, held = 0, 0
+        for i, packed in enumerate(batch.column("packed")):
+            size = zstandard.frame_content_size(packed.as_buffer())
+            if i > start and held + size > limit:
+                yield batch.slice(start, i - start)
+                start, held = i, 0
+            held += size
+        if batch.num_rows > start:
+            yield batch.slice(start)
+
+
 def _similar(pairs: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """(a, b, packed_a, packed_b) to the pairs (a, b) whose similarity is high enough."""
 
@@ -275,7 +290,7 @@ def _block_links(named: DataFrame, chosen: DataFrame, packed: DataFrame, shingle
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         current, block = None, _Block(similarity)
-        for batch in (small for big in batches for small in slices(iter([big]), "packed", 1 << 18)):
+        for batch in unpacked_slices(batches):
             texts = [unpack.decompress(p) for p in batch.column("packed").to_pylist()]
             raw, offsets = np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
             owner, ids, weights = weighted_shingles(raw, offsets, shingle)
@@ -323,12 +338,25 @@ class _Block:
         every, owner, mass = self.index
         low, high = np.searchsorted(every, ids, "left"), np.searchsorted(every, ids, "right")
         times = high - low
-        hit = np.repeat(low, times) + np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
-        n, at = len(self.pivots), owner[hit]
-        here, there = np.repeat(weights / weights.sum(), times), mass[hit]
-        less, more = np.minimum(here, there), np.maximum(here, there)
-        both = np.bincount(at, less, n)
-        bound = np.bincount(at, np.minimum(more / (2 - both)[at], less), n)
+        n, share, total = len(self.pivots), weights / weights.sum(), np.cumsum(times)
+
+        def common(a: int, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """Pivot, smaller and larger share of the shingles a to b that pivots have too."""
+            some = times[a:b]
+            hit = np.repeat(low[a:b], some) + np.arange(int(some.sum())) - np.repeat(np.cumsum(some) - some, some)
+            here, there = np.repeat(share[a:b], some), mass[hit]
+            return owner[hit], np.minimum(here, there), np.maximum(here, there)
+
+        edges = [0, *(np.flatnonzero(np.diff(total // HITS)) + 1).tolist(), len(ids)]
+        spans = list(zip(edges, edges[1:], strict=False))
+        whole = common(*spans[0]) if len(spans) == 1 else None
+        both, bound = np.zeros(n), np.zeros(n)
+        for span in spans:
+            at, less, _ = whole or common(*span)
+            both += np.bincount(at, less, n)
+        for span in spans:
+            at, less, more = whole or common(*span)
+            bound += np.bincount(at, np.minimum(more / (2 - both)[at], less), n)
         maybe = np.flatnonzero((bound >= self.similarity - 1e-9) & (self.nodes < node) & (self.groups != group))
         return [self.pivots[k][0] for k in maybe if probability_jaccard(*self.pivots[k][2:], ids, weights) >= self.similarity]
 

@@ -418,3 +418,36 @@ def test_blocks_of_pivots_lose_no_link():
         some += len(want)
         assert sorted(block.links(node, group, ids, weights)) == want
     assert some > 20
+
+
+def test_packed_texts_are_cut_by_their_unpacked_size():
+    """Repetitive texts pack to almost nothing; what is unpacked at once stays bounded."""
+    import pyarrow as pa
+    import zstandard
+
+    from changeflow.llm import near_dedup
+
+    texts = [b"the same line again and again\n" * n for n in (10, 2_000, 2_000, 50_000, 1, 2_000)]
+    batch = pa.RecordBatch.from_arrays([pa.array([zstandard.ZstdCompressor(level=1).compress(t) for t in texts], pa.binary())], names=["packed"])
+    assert batch.nbytes < 10_000
+    cut = list(near_dedup.unpacked_slices(iter([batch]), 100_000))
+    assert pa.Table.from_batches(cut).column("packed").to_pylist() == batch.column("packed").to_pylist()
+    sizes = [sum(len(zstandard.ZstdDecompressor().decompress(p.as_py())) for p in b.column("packed")) for b in cut]
+    assert all(s <= 100_000 or b.num_rows == 1 for s, b in zip(sizes, cut, strict=True))
+
+
+def test_pivots_in_small_steps(monkeypatch):
+    """Links do not depend on how many common shingles are looked at together."""
+    import numpy as np
+
+    from changeflow.llm import near_dedup
+
+    rng, found = np.random.default_rng(1), []
+    sets = [(np.unique(np.concatenate([np.arange(200), rng.integers(200, 240, 30)])).astype(np.uint64)) for _ in range(40)]
+    for hits in (1 << 20, 7):
+        monkeypatch.setattr(near_dedup, "HITS", hits)
+        block = near_dedup._Block(0.9)
+        for i, ids in enumerate(sets[:30]):
+            block.add(i, i, ids, np.ones(len(ids)))
+        found.append([block.links(100 + i, 100 + i, ids, np.ones(len(ids))) for i, ids in enumerate(sets)])
+    assert found[0] == found[1] and any(found[0])
