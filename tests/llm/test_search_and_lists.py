@@ -65,6 +65,66 @@ def test_few_exact_vectors_are_read():
     assert read <= 2 * V.CHUNK
 
 
+def as_pack(v, ids):
+    low = v.min(0)
+    width = np.maximum(1, -(-(v.max(0) - low + 1) // V.CELLS))
+    cells = ((v - low) // width).astype(np.uint8)
+    error = float(np.sqrt(((v - (low + cells * width + (width - 1) / 2)) ** 2).sum(1).max()))
+    return {"dims": v.shape[1], "vectors": v.astype("<i8").tobytes(), "cells": cells.tobytes(), "low": low.astype("<i8").tobytes(), "width": width.astype("<i8").tobytes(), "ids": ids.astype("<i8").tobytes(), "owner": np.arange(len(v)).astype("<i4").tobytes(), "error": error}
+
+
+def test_packs_meet_queries_once_per_group(spark):
+    """400 packs and 40 blocks of queries are no 16,000 rows of a join."""
+    rng = np.random.default_rng(4)
+    rows = [(i, v) for i, v in enumerate(rng.normal(0, 0.3, (1600, 8)).tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    out = V.top_k(df, F.col("id") % 20 == 0, k=5, scale=100, pack=4, query_block=2)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Cartesian" not in plan
+    assert {tuple(r) for r in out.collect()} == plain_top(rows, 20, 5, 100)
+
+
+@pytest.mark.parametrize("size", [3e9, 1e300])
+def test_sums_beyond_64_bits_are_an_error(spark, size):
+    df = spark.createDataFrame([(i, [size, -size, i / 10]) for i in range(6)], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="too large"):
+        V.top_k(df, F.col("id") % 2 == 0)
+
+
+def test_best_scores_hold_for_later_packs():
+    rng = np.random.default_rng(8)
+    v = rng.normal(0, 1, (20_000, 32))
+    v = np.floor(256 * v / np.linalg.norm(v, axis=1)[:, None]).astype(int)
+    queries = np.floor(256 * rng.normal(0, 0.2, (50, 32))).astype(int)
+    block, read = V._Block(np.arange(-50, 0), queries, 5), []
+    for a in range(0, len(v), 2000):
+        read.append(block.scan(V._Pack(as_pack(v[a : a + 2000], np.arange(a, a + 2000)))) / (50 * 2000))
+    at, ids, scores = block.best()
+    truth = [(q, i, s) for q in range(50) for s, i in sorted(zip((-(v @ queries[q])).tolist(), range(len(v)), strict=True))[:5]]
+    assert list(zip(at.tolist(), ids.tolist(), (-scores).tolist(), strict=True)) == truth
+    assert max(read[5:]) < 0.005
+
+
+@pytest.mark.parametrize("dims, size", [(1, 3), (16, 30), (64, 30), (400, 30), (64, 10**5), (16, 2 * 10**8), (64, 0)])
+def test_scores_of_every_size_and_length_are_exact(dims, size):
+    """Bounds in fields of a double, whole packs in single and double precision and in whole numbers; ties, own rows under several vectors."""
+    rng = np.random.default_rng(dims + size)
+    v = np.unique(np.floor(rng.normal(0, size, (150, dims))).astype(int), axis=0)
+    v = rng.permutation(v)
+    ids = np.sort(rng.integers(0, 40, len(v)))
+    queries, asked = np.concatenate([v[:6], np.zeros((1, dims), int)]), np.append(ids[:6], 999)
+    for parts in (1, 3):
+        block = V._Block(asked, queries, 5)
+        for part in np.array_split(np.arange(len(v)), parts):
+            if len(part):
+                block.scan(V._Pack(as_pack(v[part], ids[part])))
+        got = [[] for _ in queries]
+        for q, i, s in zip(*(x.tolist() for x in block.best()), strict=True):
+            got[q].append((-s, i))
+        plain = [sorted((-sum(x * y for x, y in zip(a, b, strict=True)), i) for b, i in zip(v.tolist(), ids.tolist(), strict=True) if i != own)[:5] for a, own in zip(queries.tolist(), asked.tolist(), strict=True)]
+        assert got == plain
+
+
 # URL lists
 
 
